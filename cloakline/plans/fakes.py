@@ -1,0 +1,75 @@
+"""In-process lookups standing in for the remote service (tests, driver checks).
+
+They are picklable classes, so ``mapInPandas`` and pandas UDFs ship them to
+Python workers. Counters live per worker process.
+"""
+
+from __future__ import annotations
+
+from cloakline.operators.lookup import RetryableError
+
+
+class PrefixLookup:
+    """``v -> prefix + v`` (a stand-in pseudonymization service)."""
+
+    def __init__(self, prefix: str = "p_"):
+        self.prefix = prefix
+
+    def __call__(self, values: list[str]) -> list[str]:
+        return [self.prefix + v for v in values]
+
+
+class StripLookup:
+    """Inverse of ``PrefixLookup`` (a stand-in re-identification service)."""
+
+    def __init__(self, prefix: str = "p_"):
+        self.prefix = prefix
+
+    def __call__(self, values: list[str]) -> list[str]:
+        n = len(self.prefix)
+        return [v[n:] if v.startswith(self.prefix) else "" for v in values]
+
+
+class FlakyLookup:
+    """Fails the first ``failures`` calls of each batch (None, then an error)."""
+
+    def __init__(self, inner, failures: int = 2):
+        self.inner = inner
+        self.failures = failures
+        self._seen: dict[tuple, int] = {}
+
+    def __call__(self, values: list[str]):
+        key = (len(values), values[0] if values else None)
+        n = self._seen.get(key, 0)
+        self._seen[key] = n + 1
+        if n < self.failures:
+            if n % 2 == 0:
+                return None
+            raise RetryableError("throttled")
+        return self.inner(values)
+
+
+class ShortLookup:
+    """Answers one value too few (a malformed service response)."""
+
+    def __call__(self, values: list[str]) -> list[str]:
+        return [("p_" + v) for v in values[:-1]]
+
+
+class NeverLookup:
+    """Never answers."""
+
+    def __call__(self, values: list[str]):
+        return None
+
+
+class RecordingLookup:
+    """Records batch sizes in the worker (driver-side use only, for tests)."""
+
+    def __init__(self, inner):
+        self.inner = inner
+        self.calls: list[int] = []
+
+    def __call__(self, values: list[str]):
+        self.calls.append(len(values))
+        return self.inner(values)
