@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cloakline.keys import KeyColumns
 
@@ -54,7 +55,11 @@ def seal(value: Column, keys: KeyColumns, deterministic: bool | Column = True) -
     """
     data = utf8(value)
     det = F.aes_encrypt(data, keys.k, F.lit(MODE), F.lit(PADDING), deterministic_iv(data, keys))
-    rnd = F.aes_encrypt(data, keys.k, F.lit(MODE))
+    # A random IV makes the result differ on every evaluation, but Catalyst
+    # treats aes_encrypt as deterministic and may evaluate it twice (a filter
+    # pushed through the projection, a plan read twice). The always-true
+    # rand() guard marks it nondeterministic, so it is evaluated once.
+    rnd = F.when(F.rand() >= F.lit(0.0), F.aes_encrypt(data, keys.k, F.lit(MODE)))
     if isinstance(deterministic, Column):
         return b64(F.when(deterministic, det).otherwise(rnd))
     return b64(det if deterministic else rnd)
@@ -80,25 +85,31 @@ def has_text(value: Column) -> Column:
     return value.rlike(TEXT_PATTERN)
 
 
+def may_be_blank(dtype: T.DataType) -> bool:
+    """Only text can be empty or whitespace; a cast number, date or boolean can't."""
+    return isinstance(dtype, (T.StringType, T.CharType, T.VarcharType, T.BinaryType))
+
+
 def pseudonymize_value(
     value: Column,
     keys: KeyColumns,
     *,
     deterministic: bool = True,
     null_as_text: bool = False,
+    text: bool = True,
 ) -> Column:
     """Table-form rule: null stays null, blank becomes '', the rest is sealed.
 
     ``null_as_text`` reproduces the reference, which sent ``str(None)``.
+    ``text=False`` (a non-text source column) skips the per-row blank regex.
     """
     s = value.cast("string")
     if null_as_text:
         s = F.coalesce(s, F.lit(NULL_TEXT))
-    return (
-        F.when(s.isNull(), F.lit(None).cast("string"))
-        .when(~has_text(s), F.lit(""))
-        .otherwise(seal(s, keys, deterministic))
-    )
+    rule = F.when(s.isNull(), F.lit(None).cast("string"))
+    if text:
+        rule = rule.when(~has_text(s), F.lit(""))
+    return rule.otherwise(seal(s, keys, deterministic))
 
 
 def reidentify_value(value: Column, keys: KeyColumns, *, on_error: str = "fail") -> Column:

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cloakline.functions.crypto import NULL_TEXT, has_text
+from cloakline.functions.crypto import NULL_TEXT, has_text, may_be_blank
 from cloakline.operators.table import _check_columns, as_list
 from cloakline.session import checkpoint_dir
 
@@ -170,6 +170,12 @@ def mapping_size(mapping: DataFrame) -> tuple[int, int]:
     return int(row["n"]), int(row["bytes"])
 
 
+def materialize(mapping: DataFrame) -> DataFrame:
+    """Checkpoint to the shared folder: computed once, re-read after executor loss."""
+    checkpoint_dir(mapping.sparkSession)
+    return mapping.checkpoint(eager=True)
+
+
 def join_mapping(
     df: DataFrame,
     columns: Iterable[str],
@@ -177,36 +183,43 @@ def join_mapping(
     *,
     null_as_text: bool = False,
     broadcast_max_bytes: int = 64 << 20,
-    materialize: bool = True,
-) -> DataFrame:
+    materialize_first: bool = True,
+    missing: str | None = "",
+    require_broadcast: bool = False,
+) -> DataFrame | None:
     """Replace each column's values by ``mapping.mapped`` (left join, order kept).
 
     Null stays null, blank becomes '', a value missing from the mapping
-    becomes '' (as the reference). The mapping is checkpointed first when
-    ``materialize``; it is broadcast only when its measured payload is at
-    most ``broadcast_max_bytes``.
+    becomes ``missing`` ('' as the reference). The mapping is checkpointed
+    first when ``materialize_first``; it is broadcast only when its measured
+    payload is at most ``broadcast_max_bytes``. With ``require_broadcast`` a
+    larger mapping returns ``None`` (the caller picks another plan) instead
+    of a shuffle join.
     """
     cols = as_list(columns)
     _check_columns(df, cols)
-    if materialize:
-        checkpoint_dir(df.sparkSession)
-        mapping = mapping.checkpoint(eager=True)
+    if materialize_first:
+        mapping = materialize(mapping)
     _, size = mapping_size(mapping)
     small = size <= broadcast_max_bytes
+    if require_broadcast and not small:
+        return None
     out = df
     replaced = {}
+    types = {f.name: f.dataType for f in df.schema.fields}
     for i, c in enumerate(cols):
         key, val = f"__cl_key{i}", f"__cl_val{i}"
         s = key_expr(c, null_as_text)
+        text = may_be_blank(types[c])
         side = mapping.select(F.col("value").alias(key), F.col("mapped").alias(val))
         if small:
             side = F.broadcast(side)
-        out = out.withColumn(key, F.when(has_text(s), s)).join(side, on=key, how="left")
-        replaced[c] = (
-            F.when(s.isNull(), F.lit(None).cast("string"))
-            .when(~has_text(s), F.lit(""))
-            .otherwise(F.coalesce(F.col(val), F.lit("")))
-        )
+        out = out.withColumn(key, F.when(has_text(s), s) if text else s).join(side, on=key, how="left")
+        found = F.col(val) if missing is None else F.coalesce(F.col(val), F.lit(missing))
+        rule = F.when(s.isNull(), F.lit(None).cast("string"))
+        if text:
+            rule = rule.when(~has_text(s), F.lit(""))
+        replaced[c] = rule.otherwise(found)
     return out.select(*[replaced[c].alias(c) if c in replaced else F.col(c) for c in df.columns])
 
 
@@ -220,8 +233,16 @@ def apply_lookup(
     null_as_text: bool = False,
     broadcast_max_bytes: int = 64 << 20,
 ) -> DataFrame:
-    """Service-mode pseudonymize or re-identify (the lookup decides which)."""
+    """Service-mode pseudonymize or re-identify (the lookup decides which).
+
+    The input is read twice (distinct values, then the join), so an input
+    whose plan is nondeterministic is checkpointed first.
+    """
+    from cloakline.plans.inspect import is_deterministic
+
     cols = as_list(columns)
+    if not df.isStreaming and not is_deterministic(df):
+        df = materialize(df)
     mapping = lookup_mapping(
         df, cols, lookup, policy=policy, partitions=partitions, null_as_text=null_as_text
     )

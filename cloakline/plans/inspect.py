@@ -17,6 +17,11 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow
                 "FlatMapGroupsInPandas", "PythonUDF")
 
 
+def is_deterministic(df: DataFrame) -> bool:
+    """False if recomputing ``df`` may give other values (rand, random IVs, ...)."""
+    return bool(df._jdf.queryExecution().analyzed().deterministic())
+
+
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     return df._jdf.queryExecution().explainString(
         df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode)

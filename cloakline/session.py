@@ -8,7 +8,6 @@ set only when it is unset *and* the master is local (tests, bench).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -61,9 +60,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint folder, for written copies."""
+    """A fresh (not yet existing) path below the shared checkpoint folder."""
     base = checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/scratch/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    return f"{base.rstrip('/')}/scratch/{name}-{uuid.uuid4().hex[:12]}"
