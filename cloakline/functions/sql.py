@@ -32,7 +32,8 @@ def seal_sql(x: str, det: str) -> str:
         f"unhex(substring(sha2(concat(op, unhex(sha2(concat(ip, {data}), 256))), 256), 1, {IV_HEX_CHARS}))"
     )
     det_ct = f"aes_encrypt({data}, k, '{MODE}', '{PADDING}', {iv})"
-    rnd_ct = f"aes_encrypt({data}, k, '{MODE}')"
+    # rand() guard: evaluate a random-IV pseudonym once (see crypto.seal).
+    rnd_ct = f"CASE WHEN rand() >= 0 THEN aes_encrypt({data}, k, '{MODE}') END"
     return f"replace(base64(CASE WHEN {det} THEN {det_ct} ELSE {rnd_ct} END), {_CRLF}, '')"
 
 
