@@ -156,12 +156,31 @@ class StreamJob(_Config):
     secret_name: str | None = None
     trigger: str = stream.DEFAULT_TRIGGER
     reject_path: str | None = None
+    repartition_no: int | None = None
     prefix: str = "s_"
 
     def __post_init__(self):
         self._check()
 
 
+# The last URL segment of the reference service's two endpoints.
+URL_ACTIONS = {"pseudonymization": "pseudonymize", "reidentification": "reidentify"}
+
+
+def action_from_url(url: str) -> str:
+    """Action named by the endpoint URL's last path segment; unknown names are rejected.
+
+    (The reference took the segment as given and re-identified on anything
+    that was not ``pseudonymization``.)
+    """
+    import urllib.parse
+
+    segment = urllib.parse.urlparse(url).path.rstrip("/").rsplit("/", 1)[-1]
+    if segment not in URL_ACTIONS:
+        raise ValueError(f"endpoint {url!r} names no known action ({sorted(URL_ACTIONS)})")
+    return URL_ACTIONS[segment]
+
+
 def _service_lookup(job, api_key: str | None) -> Lookup:
     codec = PSEUDONYMIZE_CODEC if job.action == "pseudonymize" else REIDENTIFY_CODEC
     det = job.determinism if job.action == "pseudonymize" else None
@@ -169,9 +188,16 @@ def _service_lookup(job, api_key: str | None) -> Lookup:
 
 
 def transform(df: DataFrame, job, *, keyring: Keyring | None = None, lookup: Lookup | None = None,
-              api_key: str | None = None, policy: LookupPolicy = LookupPolicy()) -> DataFrame:
-    """Apply the job's action to its columns and name the output columns."""
+              api_key: str | None = None, policy: LookupPolicy = LookupPolicy(),
+              keep_original: bool = False) -> DataFrame:
+    """Apply the job's action to its columns and name the output columns.
+
+    ``keep_original`` keeps each input column as ``real_<col>`` as well (the
+    reference added it, then dropped it before writing).
+    """
     cols = list(job.input_columns)
+    if keep_original:
+        df = df.withColumns({f"real_{c}": df[c] for c in cols})
     if job.mode == "service":
         lookup = lookup or _service_lookup(job, api_key)
         out = apply_lookup(df, cols, lookup, policy=policy, partitions=job.repartition_no)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cloakline.functions.crypto import pseudonym_length
-from cloakline.functions.sql import register_functions
+from cloakline.functions.sql import register_functions, register_lookup_function
 from cloakline.jobs import BatchJob, CsvJob, StreamJob, run_batch, run_csv_batch, run_stream
 from cloakline.keys import test_keyring
 from cloakline.operators.grouping import group_arrays, group_reidentify, n_per_group
@@ -200,6 +200,17 @@ def distinct_requests(spark, sf):
     return lookup_mapping(src, ["l_suppkey", "l_partkey"], PrefixLookup("p_"))
 
 
+def sql_lookup_function(spark, sf):
+    register_lookup_function(spark, "svc_pseudonymize", PrefixLookup("p_"), LookupPolicy(batch_size=300))
+    views(spark, sf, "customer")
+    return spark.sql(
+        """
+        SELECT c_custkey, a[0] AS e0, a[1] AS e1
+        FROM (SELECT c_custkey, svc_pseudonymize(array(c_name, c_mktsegment)) AS a FROM customer)
+        """
+    )
+
+
 # -------------------------------------------------------------------- SQL surface
 
 
@@ -415,6 +426,21 @@ def stream_rejects(spark, sf):
     )
 
 
+def stream_lookup(spark, sf):
+    base = _stream_input(spark, sf, corrupt_every=50)
+    db = "cloakline_" + base.rsplit("-", 1)[-1]
+    job = StreamJob.from_dict(
+        {"input_path": f"{base}/in", "input_column": "user_id", "schema": EVENT_SCHEMA,
+         "output_root": base, "db_name": db, "table_name": "pseudo_table",
+         "checkpoint": f"{base}/ck", "reject_path": f"{base}/rejects", "mode": "service",
+         "endpoint_url": "https://service.invalid/Dev/pseudonymization"}
+    )
+    q = run_stream(spark, job, available_now=True, lookup=PrefixLookup("p_"))
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/realtime/warehouse/{db}/pseudo_table")
+    return out.select("event_id", "s_user_id", "event_type")
+
+
 QUERIES: dict[str, Query] = {
     "roundtrip_customer": roundtrip_customer,
     "roundtrip_random": roundtrip_random,
@@ -432,6 +458,7 @@ QUERIES: dict[str, Query] = {
     "lookup_retry": lookup_retry,
     "lookup_roundtrip": lookup_roundtrip,
     "distinct_requests": distinct_requests,
+    "sql_lookup_function": sql_lookup_function,
     "sql_array_roundtrip": sql_array_roundtrip,
     "sql_array_random": sql_array_random,
     "sql_json_roundtrip": sql_json_roundtrip,
@@ -445,6 +472,7 @@ QUERIES: dict[str, Query] = {
     "table_append": table_append,
     "stream_roundtrip": stream_roundtrip,
     "stream_rejects": stream_rejects,
+    "stream_lookup": stream_lookup,
 }
 
 
@@ -509,6 +537,7 @@ def oracles() -> dict[str, str]:
         "distinct_requests": "SELECT value, 'p_' || value AS mapped FROM ("
                              "SELECT CAST(l_suppkey AS VARCHAR) AS value FROM lineitem UNION "
                              "SELECT CAST(l_partkey AS VARCHAR) AS value FROM lineitem)",
+        "sql_lookup_function": "SELECT c_custkey, 'p_' || c_name AS e0, 'p_' || c_mktsegment AS e1 FROM customer",
         "sql_array_roundtrip": "SELECT c_custkey, c_name AS e0, c_mktsegment AS e1, CAST(3 AS BIGINT) AS n, "
                                "TRUE AS stable FROM customer",
         "sql_array_random": "SELECT c_custkey, c_name AS e0, c_name AS e1, TRUE AS differs FROM customer",
@@ -528,6 +557,8 @@ def oracles() -> dict[str, str]:
         "json_roundtrip": "SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, event_type FROM events",
         "table_append": "SELECT s_suppkey, s_name, CAST(2 AS BIGINT) AS n FROM supplier",
         "stream_roundtrip": "SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, event_type FROM events",
+        "stream_lookup": "SELECT event_id, 'p_' || CAST(user_id AS VARCHAR) AS s_user_id, event_type FROM events "
+                         "WHERE event_id % 50 <> 0",
         "stream_rejects": "SELECT count(*) FILTER (WHERE event_id % 50 <> 0) AS n_good, "
                           "count(*) FILTER (WHERE event_id % 50 = 0) AS n_rejects FROM events",
     }

@@ -83,3 +83,14 @@ def test_synthetic_event_stream(spark):
         q.stop()
     rows = spark.table("synthetic_events").collect()
     assert rows and all(set(__import__("json").loads(r.value)) == {"dept_id", "vin", "example_ts"} for r in rows)
+
+
+def test_action_from_url_and_keep_original(spark, kr):
+    assert jobs.action_from_url("https://x.invalid/Dev/pseudonymization?deterministic=true") == "pseudonymize"
+    assert jobs.action_from_url("https://x.invalid/Dev/reidentification/") == "reidentify"
+    with pytest.raises(ValueError):
+        jobs.action_from_url("https://x.invalid/Dev/other")
+    df = spark.createDataFrame([("V1",)], "vin string")
+    job = jobs.CsvJob.from_dict({"input_loc": "-", "output_loc": "-", "input_column": "vin"})
+    out = jobs.transform(df, job, keyring=kr, keep_original=True)
+    assert out.columns == ["s_vin", "real_vin"] and out.first().real_vin == "V1"
