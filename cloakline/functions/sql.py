@@ -121,5 +121,8 @@ def lookup_array_udf(lookup: Lookup, policy: LookupPolicy = LookupPolicy()):
 def register_lookup_function(spark: SparkSession, name: str, lookup: Lookup,
                              policy: LookupPolicy = LookupPolicy()) -> str:
     """Register a service-backed ``name(array<string>) -> array<string>``."""
+    from cloakline.session import ship_package
+
+    ship_package(spark)
     spark.udf.register(name, lookup_array_udf(lookup, policy))
     return name

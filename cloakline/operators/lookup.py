@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from cloakline.functions.crypto import NULL_TEXT, has_text, may_be_blank
 from cloakline.operators.table import _check_columns, as_list
-from cloakline.session import checkpoint_dir
+from cloakline.session import checkpoint_dir, ship_package
 
 Lookup = Callable[[list[str]], list[str] | None]
 
@@ -153,6 +153,7 @@ def lookup_mapping(
     ``partitions`` caps the number of concurrent callers (the reference's
     ``repartition_no``); by default the distinct's shuffle partitions are used.
     """
+    ship_package(df.sparkSession)
     values = distinct_values(df, as_list(columns), null_as_text=null_as_text)
     if partitions:
         values = values.repartition(int(partitions), "value")

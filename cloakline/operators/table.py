@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from cloakline.functions import crypto
 from cloakline.keys import Keyring
-from cloakline.plans.inspect import is_deterministic
+from cloakline.plans.inspect import has_exchange, is_deterministic
 
 
 def as_list(columns: str | Iterable[str]) -> list[str]:
@@ -52,8 +52,10 @@ def spread(df: DataFrame, min_partitions: int | str | None = "auto") -> DataFram
     Sealing costs ~10 us per value, so a one-partition scan (one row group)
     would run on one core. At cluster scale the scan already has far more
     partitions than ``min_partitions`` and this is a no-op (no shuffle).
+    Only scan-like inputs are inspected: counting the partitions of a plan
+    with an exchange would run its upstream stages an extra time.
     """
-    if min_partitions is None or df.isStreaming:
+    if min_partitions is None or df.isStreaming or has_exchange(df):
         return df
     if min_partitions == "auto":
         min_partitions = df.sparkSession.sparkContext.defaultParallelism
@@ -78,6 +80,9 @@ def _distinct_plan(df, cols, value_fn, *, strategy, null_as_text, distinct_max,
     if not is_deterministic(df):
         # The mapping and the join would see two different evaluations.
         return None
+    if strategy == "auto" and has_exchange(df):
+        # The estimate and the mapping would re-run the upstream shuffles.
+        return None
     from cloakline.operators.lookup import distinct_values, join_mapping
 
     if strategy == "auto":
@@ -93,8 +98,10 @@ def _distinct_plan(df, cols, value_fn, *, strategy, null_as_text, distinct_max,
         n = df.sparkSession.sparkContext.defaultParallelism if min_partitions == "auto" else int(min_partitions)
         values = values.repartition(n)
     mapping = values.select("value", value_fn(F.col("value")).alias("mapped"))
+    # Spread the input here, while it is still a scan: later per-row work on
+    # the joined output can no longer be spread without re-running the join.
     return join_mapping(
-        df, cols, mapping, null_as_text=null_as_text,
+        spread(df, min_partitions), cols, mapping, null_as_text=null_as_text,
         broadcast_max_bytes=broadcast_max_bytes, missing=None,
         require_broadcast=(strategy == "auto"),
     )

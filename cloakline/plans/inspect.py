@@ -22,6 +22,15 @@ def is_deterministic(df: DataFrame) -> bool:
     return bool(df._jdf.queryExecution().analyzed().deterministic())
 
 
+def has_exchange(df: DataFrame) -> bool:
+    """True if the physical plan shuffles or broadcasts (planned, not executed).
+
+    Such a plan is expensive to run twice, so helpers that would inspect or
+    pre-scan their input (partition count, distinct estimate) skip it.
+    """
+    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     return df._jdf.queryExecution().explainString(
         df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode)

@@ -59,6 +59,43 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or current
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cloakline`` importable in Python workers (once per SparkContext).
+
+    Only the service-mode paths (``mapInPandas``, pandas UDFs) run Python on
+    executors; they unpickle lookups defined in this package. On a cluster the
+    package is deployed with the job (``--py-files`` or an installed wheel),
+    so nothing is done there. In local mode (tests, bench) the workers only
+    see the driver's cwd, so the package is zipped below the session's
+    checkpoint folder and added with ``addPyFile``.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED or not _is_local(spark):
+        return
+    base = checkpoint_dir(spark)
+    if "://" in base and not base.startswith("file:"):
+        return
+    folder = os.path.join(base.removeprefix("file:"), "pkg", uuid.uuid4().hex[:12])
+    os.makedirs(folder, exist_ok=True)
+    target = os.path.join(folder, "cloakline.zip")
+    root = os.path.dirname(os.path.abspath(__file__))
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for sub, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(sub, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh (not yet existing) path below the shared checkpoint folder."""
     base = checkpoint_dir(spark)
