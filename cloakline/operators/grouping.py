@@ -5,8 +5,11 @@ array per group, which failed once a group passed the request limit, and
 which puts a whole group into one task. Here a group becomes *chunks* of at
 most ``batch_size`` values:
 
-1. rows are sorted by group *within* each partition (local, spillable sort,
-   no shuffle), so a group's rows are contiguous inside a partition;
+1. rows are sorted by (group, value) *within* each partition (local,
+   spillable sort, no shuffle), so a group's rows are contiguous inside a
+   partition, and the order -- hence the numbering below -- depends only on
+   the partition's rows: a task re-run after an executor loss assigns every
+   row to the same chunk as the first attempt;
 2. ``monotonically_increasing_id`` gives (partition, position); the chunk key
    is ``(partition, position div batch_size)``, so a chunk never holds more
    than ``batch_size`` rows, however large the group;
@@ -57,7 +60,7 @@ def group_arrays(
     value = F.col(value_col).cast("string")
     numbered = (
         df.select(*groups, value.alias("__cl_v"))
-        .sortWithinPartitions(*groups)
+        .sortWithinPartitions(*groups, "__cl_v")
         .withColumn("__cl_rid", F.monotonically_increasing_id())
         .withColumn("chunk", chunk)
     )

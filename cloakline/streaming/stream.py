@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,14 +128,21 @@ def per_batch(
     """``foreachBatch`` function: split rejects, transform, write idempotently."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if skip_empty and batch.isEmpty():
-            return
-        if reject_path is not None and corrupt in batch.columns:
-            good, rejects = split_rejects(batch, corrupt)
-            write_batch(rejects, reject_path, batch_id, fmt)
-        else:
-            good = batch
-        write_batch(transform(good), path, batch_id, fmt)
+        # The batch is read several times (emptiness, rejects, and the
+        # transform's distinct + join), so it is persisted for the duration of
+        # this call; a lost block is recomputed from the replayable source.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if skip_empty and batch.isEmpty():
+                return
+            if reject_path is not None and corrupt in batch.columns:
+                good, rejects = split_rejects(batch, corrupt)
+                write_batch(rejects, reject_path, batch_id, fmt)
+            else:
+                good = batch
+            write_batch(transform(good), path, batch_id, fmt)
+        finally:
+            batch.unpersist()
 
     return run
 
