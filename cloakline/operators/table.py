@@ -86,12 +86,26 @@ def _distinct_plan(df, cols, value_fn, *, strategy, null_as_text, distinct_max,
     from cloakline.operators.lookup import distinct_values, join_mapping
 
     if strategy == "auto":
+        # One scan of the chosen columns, partial aggregation only: row count,
+        # HLL distinct counts and mean value sizes.
         est = df.agg(
             F.count(F.lit(1)).alias("__cl_rows"),
-            *[F.approx_count_distinct(c).alias(c) for c in cols],
+            *[F.approx_count_distinct(c).alias(f"__cl_d{i}") for i, c in enumerate(cols)],
+            *[F.avg(F.octet_length(F.col(c).cast("string"))).alias(f"__cl_b{i}")
+              for i, c in enumerate(cols)],
         ).first()
-        distinct = sum(int(est[c] or 0) for c in cols)
-        if distinct > distinct_max or distinct > DISTINCT_RATIO * est["__cl_rows"] * len(cols):
+        distinct = [int(est[f"__cl_d{i}"] or 0) for i in range(len(cols))]
+        total = sum(distinct)
+        if total > distinct_max or total > DISTINCT_RATIO * est["__cl_rows"] * len(cols):
+            return None
+        # Predicted mapping payload (value + pseudonym, the larger side of
+        # either direction): skip the mapping pass when it could not be
+        # broadcast anyway.
+        predicted = sum(
+            d * (b + 4 * ((28 + b) // 3 + 1))
+            for d, b in zip(distinct, (float(est[f"__cl_b{i}"] or 0.0) for i in range(len(cols))))
+        )
+        if predicted > broadcast_max_bytes:
             return None
     values = distinct_values(df, cols, null_as_text=null_as_text)
     if min_partitions is not None:

@@ -54,3 +54,12 @@ def test_group_arrays_has_no_window_over_groups(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     text = plan_text(group_arrays(df, "event_type", "user_id", batch_size=10), "simple")
     assert "Window" not in text
+
+
+def test_auto_skips_mapping_predicted_too_large(spark, kr):
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    # l_suppkey repeats (few distinct values), but its predicted mapping is over 100 bytes.
+    p = pseudonymize(df, "l_suppkey", kr, strategy="auto", min_partitions=None, broadcast_max_bytes=100)
+    text = plan_text(p, "simple")
+    assert "Join" not in text and "Project" in text
+    assert shuffles(p) == []
