@@ -177,6 +177,23 @@ def materialize(mapping: DataFrame) -> DataFrame:
     return mapping.checkpoint(eager=True)
 
 
+def _check_skew_handling(spark) -> None:
+    """The shuffle join relies on AQE to split a hot value's partition.
+
+    A value (or the null/blank rows) may hold a large share of the table; AQE's
+    skew join splits that left-side partition by map blocks, which also
+    spreads exact-copy rows, and needs no extra pass. Warn when it is off.
+    """
+    import warnings
+
+    on = lambda k: spark.conf.get(k, "true").lower() == "true"
+    if not (on("spark.sql.adaptive.enabled") and on("spark.sql.adaptive.skewJoin.enabled")):
+        warnings.warn(
+            "mapping is joined by a shuffle but AQE skew join is disabled: a hot value "
+            "would land in one task", RuntimeWarning, stacklevel=3,
+        )
+
+
 def join_mapping(
     df: DataFrame,
     columns: Iterable[str],
@@ -205,6 +222,8 @@ def join_mapping(
     small = size <= broadcast_max_bytes
     if require_broadcast and not small:
         return None
+    if not small:
+        _check_skew_handling(df.sparkSession)
     out = df
     replaced = {}
     types = {f.name: f.dataType for f in df.schema.fields}

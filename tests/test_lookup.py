@@ -112,3 +112,35 @@ def test_service_sql_function(spark):
         .createOrReplaceTempView("arrays_svc")
     got = [r.a for r in spark.sql("SELECT svc_pseudonymize(arr) AS a FROM arrays_svc").collect()]
     assert got == [["p_a", None, "p_b"], None, []]
+
+
+def test_shuffle_join_splits_hot_value(spark):
+    """A mapping too large to broadcast -> sort-merge join; AQE splits a hot value's partition."""
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        t = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey", "o_custkey")
+        # A third of the rows share one customer; several map tasks feed the join.
+        hot = F.when(F.col("o_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("o_custkey"))
+        df = t.withColumn("o_custkey", hot).repartition(8).checkpoint()
+        out = L.apply_lookup(df, ["o_custkey"], PrefixLookup(), broadcast_max_bytes=0)
+        got = dict(out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+        want = {r[0]: f"p_{r[1]}" for r in df.collect()}
+        assert got == want
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
