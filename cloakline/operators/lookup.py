@@ -24,7 +24,7 @@ from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cloakline.functions.crypto import NULL_TEXT, has_text, may_be_blank
@@ -34,6 +34,9 @@ from cloakline.session import checkpoint_dir, ship_package
 Lookup = Callable[[list[str]], list[str] | None]
 
 MAPPING_SCHEMA = "value string, mapped string"
+MASKED_MAPPING_SCHEMA = "value string, mapped string, mask long"
+# Columns whose index is at or over this share one "all columns" mask bit pattern.
+MASK_BITS = 62
 
 
 class RetryableError(Exception):
@@ -111,14 +114,23 @@ def call_with_retry(lookup: Lookup, batch: list[str], policy: LookupPolicy,
     )
 
 
-def _mapper(lookup: Lookup, policy: LookupPolicy):
+def _mapper(lookup: Lookup, policy: LookupPolicy, with_mask: bool = False):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        masks: list[int] = []
+
         def values() -> Iterator[str]:
             for pdf in frames:
+                if with_mask:
+                    masks.extend(pdf["mask"].tolist())
                 yield from pdf["value"].tolist()
 
         for batch in batches(values(), policy):
-            yield pd.DataFrame({"value": batch, "mapped": call_with_retry(lookup, batch, policy)})
+            out = {"value": batch, "mapped": call_with_retry(lookup, batch, policy)}
+            if with_mask:
+                # ``masks`` is aligned with the values not yet answered.
+                out["mask"] = masks[:len(batch)]
+                del masks[:len(batch)]
+            yield pd.DataFrame(out)
 
     return run
 
@@ -128,15 +140,38 @@ def key_expr(column: str, null_as_text: bool = False):
     return F.coalesce(s, F.lit(NULL_TEXT)) if null_as_text else s
 
 
-def distinct_values(df: DataFrame, columns: Iterable[str], *, null_as_text: bool = False) -> DataFrame:
-    """Distinct non-blank string values over all ``columns`` (one column ``value``)."""
+def column_bit(i: int) -> int:
+    """Mask bit of the ``i``-th column (columns past ``MASK_BITS`` share all bits)."""
+    return 1 << i if i < MASK_BITS else -1
+
+
+def distinct_values(df: DataFrame, columns: Iterable[str], *, null_as_text: bool = False,
+                    with_mask: bool = False) -> DataFrame:
+    """Distinct non-blank string values over all ``columns`` (column ``value``).
+
+    One partial + final aggregate over the union of the columns. With
+    ``with_mask`` a bigint ``mask`` tells in which columns the value occurs
+    (bit ``i`` for column ``i``), so each column's join side holds only its own
+    values. Only text columns pay for the whitespace rule; a cast number,
+    date or boolean is never blank.
+    """
     cols = as_list(columns)
     _check_columns(df, cols)
-    parts = [df.select(key_expr(c, null_as_text).alias("value")) for c in cols]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    parts = []
+    for i, c in enumerate(cols):
+        v = key_expr(c, null_as_text)
+        keep = has_text(v) if may_be_blank(types[c]) else v.isNotNull()
+        part = df.where(keep).select(v.alias("value"))
+        if with_mask:
+            part = part.withColumn("mask", F.lit(column_bit(i)).cast("long"))
+        parts.append(part)
     union = parts[0]
     for p in parts[1:]:
         union = union.unionAll(p)
-    return union.where(has_text(F.col("value"))).distinct()
+    if with_mask:
+        return union.groupBy("value").agg(F.bit_or("mask").alias("mask"))
+    return union.distinct()
 
 
 def lookup_mapping(
@@ -147,30 +182,46 @@ def lookup_mapping(
     policy: LookupPolicy = LookupPolicy(),
     partitions: int | None = None,
     null_as_text: bool = False,
+    with_mask: bool = False,
 ) -> DataFrame:
     """``(value, mapped)`` for every distinct value; each value is sent once.
 
     ``partitions`` caps the number of concurrent callers (the reference's
     ``repartition_no``); by default the distinct's shuffle partitions are used.
+    ``with_mask`` adds the column mask of ``distinct_values``.
     """
     ship_package(df.sparkSession)
-    values = distinct_values(df, as_list(columns), null_as_text=null_as_text)
+    values = distinct_values(df, as_list(columns), null_as_text=null_as_text, with_mask=with_mask)
     if partitions:
         values = values.repartition(int(partitions), "value")
-    return values.mapInPandas(_mapper(lookup, policy), MAPPING_SCHEMA)
+    schema = MASKED_MAPPING_SCHEMA if with_mask else MAPPING_SCHEMA
+    return values.mapInPandas(_mapper(lookup, policy, with_mask), schema)
+
+
+def _payload() -> Column:
+    return F.octet_length("value") + F.coalesce(F.octet_length("mapped"), F.lit(0))
 
 
 def mapping_size(mapping: DataFrame) -> tuple[int, int]:
     row = mapping.agg(
         F.count(F.lit(1)).alias("n"),
-        F.coalesce(
-            F.sum(F.octet_length("value") + F.coalesce(F.octet_length("mapped"), F.lit(0))),
-            F.lit(0),
-        ).alias("bytes"),
+        F.coalesce(F.sum(_payload()), F.lit(0)).alias("bytes"),
     ).first()
     return int(row["n"]), int(row["bytes"])
 
 
+def column_sizes(mapping: DataFrame, n_columns: int) -> list[int]:
+    """Payload bytes of each column's join side, in one aggregate."""
+    if "mask" not in mapping.columns:
+        return [mapping_size(mapping)[1]] * n_columns
+    in_col = lambda i: F.col("mask").bitwiseAND(F.lit(column_bit(i))) != 0
+    row = mapping.agg(
+        *[F.coalesce(F.sum(F.when(in_col(i), _payload())), F.lit(0)).alias(f"b{i}")
+          for i in range(n_columns)]
+    ).first()
+    return [int(row[f"b{i}"]) for i in range(n_columns)]
+
+
 def materialize(mapping: DataFrame) -> DataFrame:
     """Checkpoint to the shared folder: computed once, re-read after executor loss."""
     checkpoint_dir(mapping.sparkSession)
@@ -209,20 +260,21 @@ def join_mapping(
 
     Null stays null, blank becomes '', a value missing from the mapping
     becomes ``missing`` ('' as the reference). The mapping is checkpointed
-    first when ``materialize_first``; it is broadcast only when its measured
-    payload is at most ``broadcast_max_bytes``. With ``require_broadcast`` a
-    larger mapping returns ``None`` (the caller picks another plan) instead
-    of a shuffle join.
+    first when ``materialize_first``. If it has a ``mask`` column (see
+    ``distinct_values``), each column joins only the values that occur in it.
+    Each column's side is broadcast only when its measured payload is at
+    most ``broadcast_max_bytes``; with ``require_broadcast`` a larger side
+    returns ``None`` (the caller picks another plan) instead of a shuffle join.
     """
     cols = as_list(columns)
     _check_columns(df, cols)
     if materialize_first:
         mapping = materialize(mapping)
-    _, size = mapping_size(mapping)
-    small = size <= broadcast_max_bytes
-    if require_broadcast and not small:
+    sizes = column_sizes(mapping, len(cols))
+    small = [size <= broadcast_max_bytes for size in sizes]
+    if require_broadcast and not all(small):
         return None
-    if not small:
+    if not all(small):
         _check_skew_handling(df.sparkSession)
     out = df
     replaced = {}
@@ -231,8 +283,11 @@ def join_mapping(
         key, val = f"__cl_key{i}", f"__cl_val{i}"
         s = key_expr(c, null_as_text)
         text = may_be_blank(types[c])
-        side = mapping.select(F.col("value").alias(key), F.col("mapped").alias(val))
-        if small:
+        side = mapping
+        if "mask" in mapping.columns:
+            side = side.where(F.col("mask").bitwiseAND(F.lit(column_bit(i))) != 0)
+        side = side.select(F.col("value").alias(key), F.col("mapped").alias(val))
+        if small[i]:
             side = F.broadcast(side)
         out = out.withColumn(key, F.when(has_text(s), s) if text else s).join(side, on=key, how="left")
         found = F.col(val) if missing is None else F.coalesce(F.col(val), F.lit(missing))
@@ -264,7 +319,8 @@ def apply_lookup(
     if not df.isStreaming and not is_deterministic(df):
         df = materialize(df)
     mapping = lookup_mapping(
-        df, cols, lookup, policy=policy, partitions=partitions, null_as_text=null_as_text
+        df, cols, lookup, policy=policy, partitions=partitions, null_as_text=null_as_text,
+        with_mask=True,
     )
     return join_mapping(
         df, cols, mapping, null_as_text=null_as_text, broadcast_max_bytes=broadcast_max_bytes

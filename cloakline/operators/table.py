@@ -107,11 +107,11 @@ def _distinct_plan(df, cols, value_fn, *, strategy, null_as_text, distinct_max,
         )
         if predicted > broadcast_max_bytes:
             return None
-    values = distinct_values(df, cols, null_as_text=null_as_text)
+    values = distinct_values(df, cols, null_as_text=null_as_text, with_mask=True)
     if min_partitions is not None:
         n = df.sparkSession.sparkContext.defaultParallelism if min_partitions == "auto" else int(min_partitions)
         values = values.repartition(n)
-    mapping = values.select("value", value_fn(F.col("value")).alias("mapped"))
+    mapping = values.select("value", value_fn(F.col("value")).alias("mapped"), "mask")
     # Spread the input here, while it is still a scan: later per-row work on
     # the joined output can no longer be spread without re-running the join.
     return join_mapping(
@@ -150,9 +150,9 @@ def pseudonymize(
 
         if not is_deterministic(df):
             df = materialize(df)
-        values = distinct_values(df, cols, null_as_text=null_as_text)
+        values = distinct_values(df, cols, null_as_text=null_as_text, with_mask=True)
         mapping = values.select(
-            "value", crypto.seal(F.col("value"), keys, deterministic=False).alias("mapped")
+            "value", crypto.seal(F.col("value"), keys, deterministic=False).alias("mapped"), "mask"
         )
         return join_mapping(df, cols, mapping, null_as_text=null_as_text,
                             broadcast_max_bytes=broadcast_max_bytes)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cloakline.functions.sql import register_lookup_function
 from cloakline.operators import lookup as L
+from cloakline.plans.inspect import plan_text
 from cloakline.plans.fakes import FlakyLookup, NeverLookup, PrefixLookup, ShortLookup, StripLookup
 
 
@@ -144,3 +145,30 @@ def test_shuffle_join_splits_hot_value(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_column_masks_pick_join_per_column(spark):
+    # c_big has 2000 distinct values, c_small 3; "1" occurs in both.
+    df = spark.range(0, 2000).select(
+        F.col("id"), F.col("id").cast("string").alias("c_big"),
+        (F.col("id") % 3).cast("string").alias("c_small"),
+    )
+    values = L.distinct_values(df, ["c_big", "c_small"], with_mask=True)
+    masks = {r.value: r.mask for r in values.collect()}
+    assert masks["1"] == 3 and masks["1999"] == 1 and len(masks) == 2000
+    mapping = L.materialize(L.lookup_mapping(df, ["c_big", "c_small"], PrefixLookup(), with_mask=True))
+    sizes = L.column_sizes(mapping, 2)
+    assert sizes[1] < 100 < sizes[0]
+    out = L.join_mapping(df, ["c_big", "c_small"], mapping, materialize_first=False, broadcast_max_bytes=100)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only our per-column choice
+    try:
+        plan = plan_text(out, "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1, plan
+    bad = out.where(
+        (F.col("c_big") != F.concat(F.lit("p_"), F.col("id").cast("string")))
+        | (F.col("c_small") != F.concat(F.lit("p_"), (F.col("id") % 3).cast("string")))
+    )
+    assert bad.count() == 0 and out.count() == 2000
