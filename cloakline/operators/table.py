@@ -98,14 +98,14 @@ def _distinct_plan(df, cols, value_fn, *, strategy, null_as_text, distinct_max,
         total = sum(distinct)
         if total > distinct_max or total > DISTINCT_RATIO * est["__cl_rows"] * len(cols):
             return None
-        # Predicted mapping payload (value + pseudonym, the larger side of
-        # either direction): skip the mapping pass when it could not be
-        # broadcast anyway.
-        predicted = sum(
+        # Predicted payload of each column's join side (value + pseudonym, the
+        # larger side of either direction): skip the mapping pass when a side
+        # could not be broadcast anyway.
+        predicted = [
             d * (b + 4 * ((28 + b) // 3 + 1))
             for d, b in zip(distinct, (float(est[f"__cl_b{i}"] or 0.0) for i in range(len(cols))))
-        )
-        if predicted > broadcast_max_bytes:
+        ]
+        if max(predicted) > broadcast_max_bytes:
             return None
     values = distinct_values(df, cols, null_as_text=null_as_text, with_mask=True)
     if min_partitions is not None:
