@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from cloakline.functions import crypto
 from cloakline.keys import BOUND_KEY_COLUMNS, Keyring, bind_keys
-from cloakline.operators.table import _check_columns, as_list
+from cloakline.operators.table import _check_columns, as_list, reidentify
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
 _POS_MASK = (1 << _POS_BITS) - 1
@@ -98,11 +98,30 @@ def group_reidentify(
     batch_size: int = 900,
     out_col: str | None = None,
     on_error: str = "fail",
+    strategy: str = "auto",
 ) -> DataFrame:
-    """Re-identify a column grouped into bounded arrays (reference query, guarded)."""
+    """Re-identify a column grouped into bounded arrays (reference query, guarded).
+
+    Values are revealed *before* grouping, through the table operator: with
+    ``strategy='auto'`` a column of repeating (deterministic) pseudonyms is
+    decrypted once per distinct value and joined back, instead of once per
+    array element. The element rule is kept: '' stays '', null stays null,
+    and a whitespace-only pseudonym (which the table form would treat as a
+    blank) fails, or is null with ``on_error='null'``.
+    """
+    if on_error not in ("fail", "null"):
+        raise ValueError("on_error must be 'fail' or 'null'")
+    groups = as_list(group_cols)
+    _check_columns(df, groups + [pseudonym_col])
     out_col = out_col or pseudonym_col
-    arrays = group_arrays(df, group_cols, pseudonym_col, batch_size=batch_size, out_col=out_col)
-    return reidentify_arrays(arrays, out_col, keyring, on_error=on_error)
+    s = F.col(pseudonym_col).cast("string")
+    bad = s.isNotNull() & (s != F.lit("")) & ~crypto.has_text(s)
+    guard = (
+        F.raise_error(F.lit("invalid pseudonym: whitespace only")) if on_error == "fail" else F.lit(None)
+    ).cast("string")
+    pre = df.select(*groups, F.when(bad, guard).otherwise(s).alias(pseudonym_col))
+    revealed = reidentify(pre, pseudonym_col, keyring, on_error=on_error, strategy=strategy)
+    return group_arrays(revealed, groups, pseudonym_col, batch_size=batch_size, out_col=out_col)
 
 
 def n_per_group(

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from cloakline.operators.grouping import group_arrays, group_reidentify, n_per_group, pseudonymize_arrays
@@ -52,3 +53,23 @@ def test_n_per_group(spark):
     for g in sorted({t for t, _ in rows}):
         exp.extend([(t, i) for t, i in rows if t == g][:2])
     assert got == exp
+
+
+def test_group_reidentify_matches_elementwise(spark, kr):
+    from cloakline.operators.grouping import reidentify_arrays
+    from cloakline.operators.table import pseudonymize
+
+    rows = [("a", f"v{i % 7}") for i in range(60)] + [("b", None), ("b", ""), ("b", "x")]
+    df = spark.createDataFrame(rows, "g string, v string")
+    pdf = pseudonymize(df, "v", kr)  # '' stays '', null stays null
+    for strategy in ("auto", "distinct", "row"):
+        fast = group_reidentify(pdf, "g", "v", kr, batch_size=8, strategy=strategy)
+        slow = reidentify_arrays(group_arrays(pdf, "g", "v", batch_size=8), "v", kr)
+        flat = lambda d: sorted(((r.g, repr(x)) for r in d.collect() for x in r.v))
+        assert flat(fast) == flat(slow)
+        assert all(len(r.v) <= 8 for r in fast.collect())
+    blank = spark.createDataFrame([("a", "  ")], "g string, v string")
+    with pytest.raises(Exception, match="whitespace"):
+        group_reidentify(blank, "g", "v", kr).collect()
+    got = group_reidentify(blank, "g", "v", kr, on_error="null").collect()
+    assert got[0].v == [None]
