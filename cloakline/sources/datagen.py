@@ -49,19 +49,25 @@ def synthetic_batch(
 
 def rows_for_megabytes(spark: SparkSession, target_mb: float, *, sample_rows: int = 200_000,
                        **kwargs) -> int:
-    """Rows needed for about ``target_mb`` of Parquet, from a written sample."""
-    import os
+    """Rows needed for about ``target_mb`` of Parquet, from a written sample.
 
+    The sample goes to the shared scratch folder and is measured through the
+    Hadoop ``FileSystem`` of its path (local, HDFS or object store alike).
+    """
     path = scratch_path(spark, "size-sample")
     synthetic_batch(spark, sample_rows, partitions=1, **kwargs).write.mode("overwrite").parquet(path)
-    local = path.replace("file:", "")
-    size = sum(
-        os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(local) for f in fs
-        if f.endswith(".parquet")
-    )
+    size = path_bytes(spark, path)
     return max(1, int(target_mb * 1_048_576 * sample_rows / max(size, 1)))
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total bytes below ``path`` on its file system."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
 def synthetic_event_stream(
     spark: SparkSession,
     rows_per_second: int = 1000,

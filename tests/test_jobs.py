@@ -3,7 +3,7 @@ import pytest
 from cloakline import jobs
 from cloakline.keys import KeySource, Keyring
 from cloakline.session import scratch_path
-from cloakline.sources.datagen import synthetic_batch, synthetic_event_stream
+from cloakline.sources.datagen import path_bytes, rows_for_megabytes, synthetic_batch, synthetic_event_stream
 
 REFERENCE_BATCH_YAML = """
 repartition_no: 1
@@ -94,3 +94,12 @@ def test_action_from_url_and_keep_original(spark, kr):
     job = jobs.CsvJob.from_dict({"input_loc": "-", "output_loc": "-", "input_column": "vin"})
     out = jobs.transform(df, job, keyring=kr, keep_original=True)
     assert out.columns == ["s_vin", "real_vin"] and out.first().real_vin == "V1"
+
+
+def test_rows_for_megabytes(spark):
+    from cloakline.session import scratch_path
+
+    rows = rows_for_megabytes(spark, 1.0, sample_rows=20_000)
+    path = scratch_path(spark, "mb")
+    synthetic_batch(spark, rows, partitions=1).write.parquet(path)
+    assert 0.5 * 1_048_576 < path_bytes(spark, path) < 2 * 1_048_576
