@@ -3,8 +3,8 @@
 Plan: the distinct non-blank values of all chosen columns (one partial +
 final aggregate, so a hot value collapses map-side) -> ``mapInPandas``
 sending size-bounded batches to the lookup with bounded retries -> the
-mapping is checkpointed to the shared folder (each value is sent once, and an
-executor loss re-reads the mapping instead of calling again) -> joined back
+mapping is written as a Parquet table to the shared folder (each value is sent
+once, and an executor loss re-reads the mapping instead of calling again) -> joined back
 per column. The join broadcasts the mapping only when its measured size is
 under a bound; otherwise it is a shuffle join that AQE may split for skew.
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from cloakline.functions.crypto import NULL_TEXT, has_text, may_be_blank
 from cloakline.operators.table import _check_columns, as_list
-from cloakline.session import checkpoint_dir, ship_package
+from cloakline.session import checkpoint_dir, ship_package, write_scratch
 
 Lookup = Callable[[list[str]], list[str] | None]
 
@@ -222,10 +222,15 @@ def column_sizes(mapping: DataFrame, n_columns: int) -> list[int]:
     return [int(row[f"b{i}"]) for i in range(n_columns)]
 
 
-def materialize(mapping: DataFrame) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
     """Checkpoint to the shared folder: computed once, re-read after executor loss."""
-    checkpoint_dir(mapping.sparkSession)
-    return mapping.checkpoint(eager=True)
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def materialize_mapping(mapping: DataFrame) -> DataFrame:
+    """The mapping as a Parquet table in the shared folder (deleted by a ``scratch_scope``)."""
+    return write_scratch(mapping, "mapping")
 
 
 def _check_skew_handling(spark) -> None:
@@ -269,7 +274,7 @@ def join_mapping(
     cols = as_list(columns)
     _check_columns(df, cols)
     if materialize_first:
-        mapping = materialize(mapping)
+        mapping = materialize_mapping(mapping)
     sizes = column_sizes(mapping, len(cols))
     small = [size <= broadcast_max_bytes for size in sizes]
     if require_broadcast and not all(small):

@@ -6,16 +6,17 @@ keeps predicate pushdown and column pruning across it and the plan is
 ``Scan -> Project`` with no shuffle and no Python worker.
 
 ``linkage='run'`` with random pseudonyms needs one pseudonym per distinct
-value and run: distinct values are sealed once, the mapping is checkpointed
-(a random result must not change when recomputed) and joined back.
+value and run: distinct values are sealed once, the mapping is written to the
+shared folder (a random result must not change when recomputed) and joined
+back.
 
 Deterministic mode picks between two plans (``strategy='auto'``). Sealing
 costs ~10 us per value, while identifier columns usually repeat a lot (the
 reference's batch data has 10,000 VINs at any size). So an HLL estimate of
 the distinct count (one scan, partial aggregation, no shuffle) decides:
-few distinct values -> seal each once, checkpoint the mapping, measure it,
-and broadcast-join it back if under the byte bound; otherwise (or if the
-measured mapping is too large) the per-row projection. Both give the same
+few distinct values -> seal each once, write the mapping to the shared
+folder, measure it, and broadcast-join it back if under the byte bound;
+otherwise (or if the measured mapping is too large) the per-row projection. Both give the same
 output. Streams always use the projection.
 """
 

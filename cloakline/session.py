@@ -9,7 +9,9 @@ set only when it is unset *and* the master is local (tests, bench).
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -100,3 +102,55 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh (not yet existing) path below the shared checkpoint folder."""
     base = checkpoint_dir(spark)
     return f"{base.rstrip('/')}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_scopes = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the scratch tables written inside the block when it ends.
+
+    Used around one micro-batch of ``foreachBatch``: its mapping table is
+    needed only until the batch's output is written, and a stream that runs
+    for months must not leave one folder per batch behind. Per thread, so
+    concurrent streams in one driver keep their own lists.
+    """
+    stack = getattr(_scopes, "stack", None)
+    if stack is None:
+        stack = _scopes.stack = []
+    created: list[str] = []
+    stack.append(created)
+    try:
+        yield created
+    finally:
+        stack.pop()
+        for path in created:
+            delete_path(spark, path)
+
+
+def track_scratch(path: str) -> None:
+    stack = getattr(_scopes, "stack", None)
+    if stack:
+        stack[-1].append(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursive delete through the Hadoop file system of ``path``."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def write_scratch(df, name: str):
+    """Write ``df`` as a Parquet table below the shared folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` (a lost executor re-reads the files,
+    nothing is recomputed), gives Catalyst the table's statistics, and the
+    path is known, so a ``scratch_scope`` can delete it.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    track_scratch(path)
+    return spark.read.parquet(path)

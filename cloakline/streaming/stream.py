@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cloakline.functions.crypto import has_text
 from cloakline.operators.lookup import Lookup, LookupPolicy, apply_lookup
 from cloakline.operators.table import as_list
+from cloakline.session import scratch_scope
 from cloakline.sources.io import CORRUPT_COLUMN, with_corrupt_column
 
 BATCH_COLUMN = "batch_id"
@@ -131,16 +132,19 @@ def per_batch(
         # The batch is read several times (emptiness, rejects, and the
         # transform's distinct + join), so it is persisted for the duration of
         # this call; a lost block is recomputed from the replayable source.
+        # Scratch tables of the batch (the lookup mapping) are deleted once its
+        # output is written.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if skip_empty and batch.isEmpty():
-                return
-            if reject_path is not None and corrupt in batch.columns:
-                good, rejects = split_rejects(batch, corrupt)
-                write_batch(rejects, reject_path, batch_id, fmt)
-            else:
-                good = batch
-            write_batch(transform(good), path, batch_id, fmt)
+            with scratch_scope(batch.sparkSession):
+                if skip_empty and batch.isEmpty():
+                    return
+                if reject_path is not None and corrupt in batch.columns:
+                    good, rejects = split_rejects(batch, corrupt)
+                    write_batch(rejects, reject_path, batch_id, fmt)
+                else:
+                    good = batch
+                write_batch(transform(good), path, batch_id, fmt)
         finally:
             batch.unpersist()
 

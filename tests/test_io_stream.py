@@ -1,4 +1,5 @@
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -97,8 +98,12 @@ def test_lookup_stream(spark):
     _write_lines(f"{base}/in", [json.dumps({"dept_id": "1", "vin": str(i % 4), "example_ts": "t"})
                                 for i in range(12)])
     raw = spark.readStream.format("text").load(f"{base}/in")
+    scratch = base.rsplit("/", 1)[0]
+    mappings = lambda: {n for n in os.listdir(scratch.removeprefix("file:")) if n.startswith("mapping-")}
+    before = mappings()
     q = stream.start_lookup_stream(stream.parse_json(raw, SCHEMA).drop("_corrupt_record"), "vin",
                                    PrefixLookup(), f"{base}/out", f"{base}/ck", available_now=True)
     q.awaitTermination()
     out = spark.read.parquet(f"{base}/out")
     assert out.count() == 12 and {r.vin for r in out.collect()} == {"p_0", "p_1", "p_2", "p_3"}
+    assert mappings() == before  # each batch's mapping table is deleted after its write
