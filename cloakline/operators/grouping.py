@@ -114,14 +114,19 @@ def group_reidentify(
     groups = as_list(group_cols)
     _check_columns(df, groups + [pseudonym_col])
     out_col = out_col or pseudonym_col
-    s = F.col(pseudonym_col).cast("string")
-    bad = s.isNotNull() & (s != F.lit("")) & ~crypto.has_text(s)
+    # The column stays as stored (so 'auto' can use the distinct plan); a copy
+    # of the pseudonym rides along to tell a whitespace-only pseudonym (table
+    # form: '') from a real '' -- checked only where the result is ''.
+    orig = "__cl_orig"
+    pre = df.select(*groups, F.col(pseudonym_col), F.col(pseudonym_col).alias(orig))
+    revealed = reidentify(pre, pseudonym_col, keyring, on_error=on_error, strategy=strategy)
+    o, r = F.col(orig).cast("string"), F.col(pseudonym_col)
+    bad = (r == F.lit("")) & (o != F.lit("")) & ~crypto.has_text(o)
     guard = (
         F.raise_error(F.lit("invalid pseudonym: whitespace only")) if on_error == "fail" else F.lit(None)
     ).cast("string")
-    pre = df.select(*groups, F.when(bad, guard).otherwise(s).alias(pseudonym_col))
-    revealed = reidentify(pre, pseudonym_col, keyring, on_error=on_error, strategy=strategy)
-    return group_arrays(revealed, groups, pseudonym_col, batch_size=batch_size, out_col=out_col)
+    fixed = revealed.select(*groups, F.when(bad, guard).otherwise(r).alias(pseudonym_col))
+    return group_arrays(fixed, groups, pseudonym_col, batch_size=batch_size, out_col=out_col)
 
 
 def n_per_group(

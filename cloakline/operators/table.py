@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from cloakline.functions import crypto
 from cloakline.keys import Keyring
-from cloakline.plans.inspect import has_exchange, is_deterministic
+from cloakline.plans.inspect import computes_columns, has_exchange, is_deterministic
 
 
 def as_list(columns: str | Iterable[str]) -> list[str]:
@@ -81,8 +81,10 @@ def _distinct_plan(df, cols, value_fn, *, strategy, null_as_text, distinct_max,
     if not is_deterministic(df):
         # The mapping and the join would see two different evaluations.
         return None
-    if strategy == "auto" and has_exchange(df):
-        # The estimate and the mapping would re-run the upstream shuffles.
+    if strategy == "auto" and (has_exchange(df) or computes_columns(df, cols)):
+        # The estimate and the mapping would re-run the upstream shuffles, or
+        # re-evaluate the expressions computing the columns (each pass would
+        # pay for them again).
         return None
     from cloakline.operators.lookup import distinct_values, join_mapping
 

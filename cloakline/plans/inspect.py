@@ -22,6 +22,32 @@ def is_deterministic(df: DataFrame) -> bool:
     return bool(df._jdf.queryExecution().analyzed().deterministic())
 
 
+def computes_columns(df: DataFrame, columns: list[str]) -> bool:
+    """True if any of ``columns`` is computed by an expression, not read as stored.
+
+    Walks the optimized plan of ``df.select(columns)`` down through projections
+    and filters: a projection of anything but a (renamed) attribute means each
+    evaluation pays for that expression again, e.g. a pseudonym computed in
+    the same lineage.
+    """
+    node = df.select(*columns)._jdf.queryExecution().optimizedPlan()
+    while True:
+        name = node.nodeName()
+        if name == "Project":
+            exprs = node.projectList()
+            for i in range(exprs.size()):
+                e = exprs.apply(i)
+                if e.nodeName() == "Alias":
+                    e = e.child()
+                if e.nodeName() != "AttributeReference":
+                    return True
+            node = node.child()
+        elif name == "Filter":
+            node = node.child()
+        else:
+            return False
+
+
 def has_exchange(df: DataFrame) -> bool:
     """True if the physical plan shuffles or broadcasts (planned, not executed).
 

@@ -73,3 +73,14 @@ def test_group_reidentify_matches_elementwise(spark, kr):
         group_reidentify(blank, "g", "v", kr).collect()
     got = group_reidentify(blank, "g", "v", kr, on_error="null").collect()
     assert got[0].v == [None]
+
+
+def test_group_reidentify_uses_distinct_plan_on_stored_column(spark, kr):
+    from cloakline.plans.inspect import plan_text
+    from cloakline.session import scratch_path
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_type", "user_id")
+    path = scratch_path(spark, "gr")
+    pseudonymize(ev, "user_id", kr).write.parquet(path)
+    out = group_reidentify(spark.read.parquet(path), "event_type", "user_id", kr)
+    assert "BroadcastHashJoin" in plan_text(out, "simple")

@@ -63,3 +63,18 @@ def test_auto_skips_mapping_predicted_too_large(spark, kr):
     text = plan_text(p, "simple")
     assert "Join" not in text and "Project" in text
     assert shuffles(p) == []
+
+
+def test_auto_takes_row_plan_for_computed_columns(spark, kr):
+    from cloakline.plans.inspect import computes_columns
+
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    assert not computes_columns(df, ["l_suppkey"])
+    assert not computes_columns(df.withColumnRenamed("l_suppkey", "s").where("l_quantity > 3"), ["s"])
+    inner = pseudonymize(df, "l_suppkey", kr, strategy="row", min_partitions=None)
+    assert computes_columns(inner, ["l_suppkey"])
+    back = reidentify(inner, "l_suppkey", kr, strategy="auto", min_partitions=None)
+    assert "Join" not in plan_text(back, "simple") and shuffles(back) == []
+    # Stored, repeating values still take the distinct plan.
+    p = pseudonymize(df, "l_suppkey", kr, strategy="auto", min_partitions=None)
+    assert "BroadcastHashJoin" in plan_text(p, "simple")
