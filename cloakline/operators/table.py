@@ -11,7 +11,7 @@ shared folder (a random result must not change when recomputed) and joined
 back.
 
 Deterministic mode picks between two plans (``strategy='auto'``). Sealing
-costs ~10 us per value, while identifier columns usually repeat a lot (the
+costs ~20 us per value, while identifier columns usually repeat a lot (the
 reference's batch data has 10,000 VINs at any size). So an HLL estimate of
 the distinct count (one scan, partial aggregation, no shuffle) decides:
 few distinct values -> seal each once, write the mapping to the shared
@@ -50,7 +50,7 @@ def _check_columns(df: DataFrame, cols: list[str]) -> None:
 def spread(df: DataFrame, min_partitions: int | str | None = "auto") -> DataFrame:
     """Round-robin fan-out when a scan yields fewer partitions than cores.
 
-    Sealing costs ~10 us per value, so a one-partition scan (one row group)
+    Sealing costs ~20 us per value, so a one-partition scan (one row group)
     would run on one core. At cluster scale the scan already has far more
     partitions than ``min_partitions`` and this is a no-op (no shuffle).
     Only scan-like inputs are inspected: counting the partitions of a plan
