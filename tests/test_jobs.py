@@ -7,14 +7,14 @@ from cloakline.sources.datagen import path_bytes, rows_for_megabytes, synthetic_
 
 REFERENCE_BATCH_YAML = """
 repartition_no: 1
-aws_region: eu-west-1
+aws_region: region-1
 endpoint_url: https://example.invalid/Dev/pseudonymization
 secret_name: hex:00112233445566778899aabbccddeeff
 determinism: True
 input_s3_path: s3://bucket/input/
 output_bucket_name: my-output-bucket
 input_column: vin
-db_name: blog_batch_db
+db_name: batch_db
 table_name: pseudo_table
 """
 
