@@ -298,7 +298,9 @@ def join_mapping(
         found = F.col(val) if missing is None else F.coalesce(F.col(val), F.lit(missing))
         rule = F.when(s.isNull(), F.lit(None).cast("string"))
         if text:
-            rule = rule.when(~has_text(s), F.lit(""))
+            # The key is null exactly for null or blank values: the whitespace
+            # regex runs once per row, for the key.
+            rule = rule.when(F.col(key).isNull(), F.lit(""))
         replaced[c] = rule.otherwise(found)
     return out.select(*[replaced[c].alias(c) if c in replaced else F.col(c) for c in df.columns])
 
