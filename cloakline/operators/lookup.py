@@ -114,15 +114,22 @@ def call_with_retry(lookup: Lookup, batch: list[str], policy: LookupPolicy,
     )
 
 
+def is_blank(value: str) -> bool:
+    """The reference's blank rule (``str.strip``); ``has_text`` is its column form."""
+    return value.strip() == ""
+
+
 def _mapper(lookup: Lookup, policy: LookupPolicy, with_mask: bool = False):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         masks: list[int] = []
 
         def values() -> Iterator[str]:
+            # Blank values are never sent (and get no mapping row).
             for pdf in frames:
+                keep = ~pdf["value"].map(is_blank)
                 if with_mask:
-                    masks.extend(pdf["mask"].tolist())
-                yield from pdf["value"].tolist()
+                    masks.extend(pdf["mask"][keep].tolist())
+                yield from pdf["value"][keep].tolist()
 
         for batch in batches(values(), policy):
             out = {"value": batch, "mapped": call_with_retry(lookup, batch, policy)}
@@ -146,14 +153,16 @@ def column_bit(i: int) -> int:
 
 
 def distinct_values(df: DataFrame, columns: Iterable[str], *, null_as_text: bool = False,
-                    with_mask: bool = False) -> DataFrame:
-    """Distinct non-blank string values over all ``columns`` (column ``value``).
+                    with_mask: bool = False, drop_blank: bool = True) -> DataFrame:
+    """Distinct non-null string values over all ``columns`` (column ``value``).
 
     One partial + final aggregate over the union of the columns. With
     ``with_mask`` a bigint ``mask`` tells in which columns the value occurs
     (bit ``i`` for column ``i``), so each column's join side holds only its own
-    values. Only text columns pay for the whitespace rule; a cast number,
-    date or boolean is never blank.
+    values. ``drop_blank`` removes blank values with a per-row whitespace rule
+    (text columns only; a cast number, date or boolean is never blank); the
+    mapping builders pass ``False`` and handle the few blank *distinct*
+    values themselves, which keeps the regex off the per-row path.
     """
     cols = as_list(columns)
     _check_columns(df, cols)
@@ -161,7 +170,7 @@ def distinct_values(df: DataFrame, columns: Iterable[str], *, null_as_text: bool
     parts = []
     for i, c in enumerate(cols):
         v = key_expr(c, null_as_text)
-        keep = has_text(v) if may_be_blank(types[c]) else v.isNotNull()
+        keep = has_text(v) if drop_blank and may_be_blank(types[c]) else v.isNotNull()
         part = df.where(keep).select(v.alias("value"))
         if with_mask:
             part = part.withColumn("mask", F.lit(column_bit(i)).cast("long"))
@@ -191,7 +200,8 @@ def lookup_mapping(
     ``with_mask`` adds the column mask of ``distinct_values``.
     """
     ship_package(df.sparkSession)
-    values = distinct_values(df, as_list(columns), null_as_text=null_as_text, with_mask=with_mask)
+    values = distinct_values(df, as_list(columns), null_as_text=null_as_text, with_mask=with_mask,
+                             drop_blank=False)
     if partitions:
         values = values.repartition(int(partitions), "value")
     schema = MASKED_MAPPING_SCHEMA if with_mask else MAPPING_SCHEMA
@@ -294,13 +304,13 @@ def join_mapping(
         side = side.select(F.col("value").alias(key), F.col("mapped").alias(val))
         if small[i]:
             side = F.broadcast(side)
-        out = out.withColumn(key, F.when(has_text(s), s) if text else s).join(side, on=key, how="left")
+        out = out.withColumn(key, s).join(side, on=key, how="left")
         found = F.col(val) if missing is None else F.coalesce(F.col(val), F.lit(missing))
         rule = F.when(s.isNull(), F.lit(None).cast("string"))
         if text:
-            # The key is null exactly for null or blank values: the whitespace
-            # regex runs once per row, for the key.
-            rule = rule.when(F.col(key).isNull(), F.lit(""))
+            # The mapping holds no blank value, so a blank row finds no match;
+            # the whitespace regex runs only for the rows without one.
+            rule = rule.when(F.col(val).isNull() & ~has_text(s), F.lit(""))
         replaced[c] = rule.otherwise(found)
     return out.select(*[replaced[c].alias(c) if c in replaced else F.col(c) for c in df.columns])
 

@@ -110,11 +110,14 @@ def _distinct_plan(df, cols, value_fn, *, strategy, null_as_text, distinct_max,
         ]
         if max(predicted) > broadcast_max_bytes:
             return None
-    values = distinct_values(df, cols, null_as_text=null_as_text, with_mask=True)
+    # Blank distinct values stay in the mapping with a null pseudonym: the
+    # whitespace rule runs per distinct value, not per row (see join_mapping).
+    values = distinct_values(df, cols, null_as_text=null_as_text, with_mask=True, drop_blank=False)
     if min_partitions is not None:
         n = df.sparkSession.sparkContext.defaultParallelism if min_partitions == "auto" else int(min_partitions)
         values = values.repartition(n)
-    mapping = values.select("value", value_fn(F.col("value")).alias("mapped"), "mask")
+    v = F.col("value")
+    mapping = values.select("value", F.when(crypto.has_text(v), value_fn(v)).alias("mapped"), "mask")
     # Spread the input here, while it is still a scan: later per-row work on
     # the joined output can no longer be spread without re-running the join.
     return join_mapping(
@@ -153,9 +156,11 @@ def pseudonymize(
 
         if not is_deterministic(df):
             df = materialize(df)
-        values = distinct_values(df, cols, null_as_text=null_as_text, with_mask=True)
+        values = distinct_values(df, cols, null_as_text=null_as_text, with_mask=True, drop_blank=False)
+        v = F.col("value")
         mapping = values.select(
-            "value", crypto.seal(F.col("value"), keys, deterministic=False).alias("mapped"), "mask"
+            "value", F.when(crypto.has_text(v), crypto.seal(v, keys, deterministic=False)).alias("mapped"),
+            "mask",
         )
         return join_mapping(df, cols, mapping, null_as_text=null_as_text,
                             broadcast_max_bytes=broadcast_max_bytes)
