@@ -1,12 +1,14 @@
 """Service mode: pseudonyms from a pluggable batched ``Lookup``.
 
-Plan: the distinct non-blank values of all chosen columns (one partial +
-final aggregate, so a hot value collapses map-side) -> ``mapInPandas``
-sending size-bounded batches to the lookup with bounded retries -> the
-mapping is written as a Parquet table to the shared folder (each value is sent
-once, and an executor loss re-reads the mapping instead of calling again) -> joined back
-per column. The join broadcasts the mapping only when its measured size is
-under a bound; otherwise it is a shuffle join that AQE may split for skew.
+Plan: the distinct values of all chosen columns with a column mask (one
+partial + final aggregate, so a hot value collapses map-side) ->
+``mapInPandas`` skipping blank values and sending size-bounded batches to the
+lookup with bounded retries -> the mapping is written as a Parquet table to
+the shared folder (each value is sent once, and an executor loss re-reads the
+mapping instead of calling again) -> joined back per column, each column with
+only its own values. A column's side is broadcast only when its measured size
+is under a bound; otherwise it is a sort-merge join whose hot values AQE
+splits.
 
 A ``Lookup`` is any picklable callable ``list[str] -> list[str]`` of the same
 length (one answer per value, in order). It may raise ``RetryableError`` or
