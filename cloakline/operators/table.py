@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from cloakline.functions import crypto
 from cloakline.keys import Keyring
-from cloakline.plans.inspect import computes_columns, has_exchange, is_deterministic
+from cloakline.plans.inspect import catalog_estimate, computes_columns, has_exchange, is_deterministic
 
 
 def as_list(columns: str | Iterable[str]) -> list[str]:
@@ -71,6 +71,40 @@ DISTINCT_RATIO = 0.5
 BROADCAST_MAX_BYTES = 64 << 20
 
 
+# Bytes of the longest string form of a non-text value (a bigint has 20).
+NON_TEXT_BYTES = 20.0
+
+
+def _scan_estimate(df: DataFrame, cols: list[str]) -> tuple[int, list[int], list[float]]:
+    """One scan of the chosen columns, partial aggregation only: row count,
+    HLL distinct counts and mean string sizes."""
+    est = df.agg(
+        F.count(F.lit(1)).alias("__cl_rows"),
+        *[F.approx_count_distinct(c).alias(f"__cl_d{i}") for i, c in enumerate(cols)],
+        *[F.avg(F.octet_length(F.col(c).cast("string"))).alias(f"__cl_b{i}")
+          for i, c in enumerate(cols)],
+    ).first()
+    return (
+        int(est["__cl_rows"]),
+        [int(est[f"__cl_d{i}"] or 0) for i in range(len(cols))],
+        [float(est[f"__cl_b{i}"] or 0.0) for i in range(len(cols))],
+    )
+
+
+def _estimate(df: DataFrame, cols: list[str]) -> tuple[int, list[int], list[float]]:
+    """Catalyst's column statistics when the catalog has them (no job), else a scan."""
+    known = catalog_estimate(df, cols)
+    if known is None:
+        return _scan_estimate(df, cols)
+    rows, distinct, sizes = known
+    types = {f.name: f.dataType for f in df.schema.fields}
+    sizes = [
+        b if (crypto.may_be_blank(types[c]) and b is not None) else NON_TEXT_BYTES
+        for c, b in zip(cols, sizes)
+    ]
+    return rows, distinct, sizes
+
+
 def _distinct_plan(df, cols, value_fn, *, strategy, null_as_text, distinct_max,
                    broadcast_max_bytes, min_partitions):
     """Seal/reveal each distinct value once and join back; None = use the row plan."""
@@ -89,25 +123,14 @@ def _distinct_plan(df, cols, value_fn, *, strategy, null_as_text, distinct_max,
     from cloakline.operators.lookup import distinct_values, join_mapping
 
     if strategy == "auto":
-        # One scan of the chosen columns, partial aggregation only: row count,
-        # HLL distinct counts and mean value sizes.
-        est = df.agg(
-            F.count(F.lit(1)).alias("__cl_rows"),
-            *[F.approx_count_distinct(c).alias(f"__cl_d{i}") for i, c in enumerate(cols)],
-            *[F.avg(F.octet_length(F.col(c).cast("string"))).alias(f"__cl_b{i}")
-              for i, c in enumerate(cols)],
-        ).first()
-        distinct = [int(est[f"__cl_d{i}"] or 0) for i in range(len(cols))]
+        rows, distinct, sizes = _estimate(df, cols)
         total = sum(distinct)
-        if total > distinct_max or total > DISTINCT_RATIO * est["__cl_rows"] * len(cols):
+        if total > distinct_max or total > DISTINCT_RATIO * rows * len(cols):
             return None
         # Predicted payload of each column's join side (value + pseudonym, the
         # larger side of either direction): skip the mapping pass when a side
         # could not be broadcast anyway.
-        predicted = [
-            d * (b + 4 * ((28 + b) // 3 + 1))
-            for d, b in zip(distinct, (float(est[f"__cl_b{i}"] or 0.0) for i in range(len(cols))))
-        ]
+        predicted = [d * (b + 4 * ((28 + b) // 3 + 1)) for d, b in zip(distinct, sizes)]
         if max(predicted) > broadcast_max_bytes:
             return None
     # Blank distinct values stay in the mapping with a null pseudonym: the

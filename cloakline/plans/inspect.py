@@ -48,6 +48,39 @@ def computes_columns(df: DataFrame, columns: list[str]) -> bool:
             return False
 
 
+def _number(value) -> int:
+    """A JVM number as a Python int (py4j converts some, a BigInt stays an object)."""
+    return int(value) if isinstance(value, (int, float)) else int(value.toString())
+
+
+def catalog_estimate(df: DataFrame, columns: list[str]):
+    """``(rows, [distinct per column], [mean bytes per column])`` from Catalyst's
+    plan statistics, or ``None`` when any of them is unknown.
+
+    Known for catalog tables analyzed with ``ANALYZE TABLE ... COMPUTE
+    STATISTICS FOR COLUMNS`` when CBO is on; filters keep them as upper
+    bounds. Costs no job.
+    """
+    try:
+        plan = df.select(*columns)._jdf.queryExecution().optimizedPlan()
+        stats = plan.stats()
+        if not stats.rowCount().isDefined():
+            return None
+        rows = _number(stats.rowCount().get())
+        out = plan.output()
+        distinct, sizes = [], []
+        for i in range(out.size()):
+            col = stats.attributeStats().get(out.apply(i))
+            if not col.isDefined() or not col.get().distinctCount().isDefined():
+                return None
+            distinct.append(_number(col.get().distinctCount().get()))
+            avg = col.get().avgLen()
+            sizes.append(float(_number(avg.get())) if avg.isDefined() else None)
+        return rows, distinct, sizes
+    except Exception:  # noqa: BLE001 -- statistics are an optimization only
+        return None
+
+
 def has_exchange(df: DataFrame) -> bool:
     """True if the physical plan shuffles or broadcasts (planned, not executed).
 

@@ -78,3 +78,27 @@ def test_auto_takes_row_plan_for_computed_columns(spark, kr):
     # Stored, repeating values still take the distinct plan.
     p = pseudonymize(df, "l_suppkey", kr, strategy="auto", min_partitions=None)
     assert "BroadcastHashJoin" in plan_text(p, "simple")
+
+
+def test_auto_uses_catalog_statistics(spark, kr, monkeypatch):
+    """An analyzed catalog table needs no estimate scan."""
+    from cloakline.operators import table as T
+    from cloakline.plans.inspect import catalog_estimate
+    from cloakline.session import scratch_path
+
+    old = spark.conf.get("spark.sql.cbo.enabled")
+    spark.conf.set("spark.sql.cbo.enabled", "true")
+    try:
+        src = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey", "l_suppkey")
+        src.write.option("path", scratch_path(spark, "stats")).saveAsTable("cl_stats_lineitem")
+        spark.sql("ANALYZE TABLE cl_stats_lineitem COMPUTE STATISTICS FOR COLUMNS l_suppkey")
+        df = spark.table("cl_stats_lineitem")
+        rows, distinct, _ = catalog_estimate(df, ["l_suppkey"])
+        assert rows == src.count() and distinct == [src.select("l_suppkey").distinct().count()]
+        assert catalog_estimate(df, ["l_orderkey"]) is None  # not analyzed
+        monkeypatch.setattr(T, "_scan_estimate", lambda *a: (_ for _ in ()).throw(AssertionError("scan")))
+        p = pseudonymize(df, "l_suppkey", kr, strategy="auto", min_partitions=None)
+        assert "BroadcastHashJoin" in plan_text(p, "simple")
+    finally:
+        spark.conf.set("spark.sql.cbo.enabled", old)
+        spark.sql("DROP TABLE IF EXISTS cl_stats_lineitem")
