@@ -102,3 +102,16 @@ def test_auto_uses_catalog_statistics(spark, kr, monkeypatch):
     finally:
         spark.conf.set("spark.sql.cbo.enabled", old)
         spark.sql("DROP TABLE IF EXISTS cl_stats_lineitem")
+
+
+def test_group_arrays_one_shuffle_after_local_sort(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    g = group_arrays(df, "l_returnflag", "l_suppkey", batch_size=100)
+    sh = shuffles(g)
+    assert len(sh) == 1 and "l_returnflag" in sh[0] and "chunk" in sh[0], sh
+    text = plan_text(g, "simple")
+    # The sort is within partitions (global=false) and sits below the only exchange.
+    sort_line = next(line for line in text.splitlines() if "Sort [" in line)
+    assert "false" in sort_line
+    assert text.index("Exchange") < text.index(sort_line)
+    assert python_nodes(g) == []
