@@ -335,7 +335,12 @@ def apply_lookup(
     from cloakline.plans.inspect import is_deterministic
 
     cols = as_list(columns)
-    if not df.isStreaming and not is_deterministic(df):
+    if df.isStreaming:
+        raise ValueError(
+            "service mode needs a distinct + join per micro-batch: use "
+            "streaming.stream.start_lookup_stream (foreachBatch) for a stream"
+        )
+    if not is_deterministic(df):
         df = materialize(df)
     mapping = lookup_mapping(
         df, cols, lookup, policy=policy, partitions=partitions, null_as_text=null_as_text,

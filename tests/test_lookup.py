@@ -172,3 +172,9 @@ def test_column_masks_pick_join_per_column(spark):
         | (F.col("c_small") != F.concat(F.lit("p_"), (F.col("id") % 3).cast("string")))
     )
     assert bad.count() == 0 and out.count() == 2000
+
+
+def test_apply_lookup_rejects_a_stream(spark):
+    sdf = spark.readStream.format("rate").load().select(F.col("value").cast("string").alias("v"))
+    with pytest.raises(ValueError, match="start_lookup_stream"):
+        L.apply_lookup(sdf, "v", PrefixLookup())
