@@ -175,6 +175,9 @@ def pseudonymize(
         raise ValueError("linkage must be 'row' or 'run'")
     keys = keyring.columns(df.sparkSession)
     if not deterministic and linkage == "run":
+        if df.isStreaming:
+            raise ValueError("linkage='run' needs a distinct + join per batch; on a stream use "
+                             "linkage='row' or a foreachBatch sink")
         from cloakline.operators.lookup import distinct_values, join_mapping, materialize
 
         if not is_deterministic(df):

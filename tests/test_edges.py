@@ -43,3 +43,12 @@ def test_one_group_of_100k_values(spark, kr):
                     F.sum("s").alias("s")).first()
     assert agg.n == 100_000 and agg.mx <= 900 and agg.arrays >= 112
     assert agg.s == 10 * sum(range(10_000))
+
+
+def test_run_linkage_rejects_a_stream(spark, kr):
+    import pytest
+
+    sdf = spark.readStream.format("rate").load().select(F.col("value").cast("string").alias("v"))
+    with pytest.raises(ValueError, match="linkage"):
+        pseudonymize(sdf, "v", kr, deterministic=False, linkage="run")
+    assert pseudonymize(sdf, "v", kr, deterministic=False).isStreaming  # row linkage is a projection
