@@ -132,6 +132,8 @@ def deterministic_iv(spark, sf):
 
 
 def _edge_value():
+    # Every customer row is kept: the key only picks which edge value the row
+    # carries (null, blanks, the text 'None', padded or plain names).
     k = F.pmod(F.col("c_custkey"), F.lit(8))
     return (
         F.when(k == 0, F.lit(None).cast("string"))
@@ -156,6 +158,7 @@ def blank_null_policy(spark, sf):
 
 
 def null_as_text(spark, sf):
+    # Every row is kept; a fifth of them carry a null name.
     k = F.pmod(F.col("c_custkey"), F.lit(5))
     src = table(spark, sf, "customer").select(
         "c_custkey", F.when(k == 0, F.lit(None).cast("string")).otherwise(F.col("c_name")).alias("v")
