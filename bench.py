@@ -47,7 +47,7 @@ def main() -> None:
     pseudo_path = scratch_path(spark, "bench-pseudo")
     src = t("lineitem").select("l_orderkey", "l_returnflag", "l_suppkey")
     rename_with_prefix(pseudonymize(src, "l_suppkey", KR), ["l_suppkey"]).write.parquet(pseudo_path)
-    noop(pseudonymize(t("customer"), "c_name", KR))
+    noop(reidentify(pseudonymize(t("customer"), "c_name", KR), "c_name", KR))  # both cipher directions
     register_functions(spark, KR)
     spark.read.parquet(pseudo_path).createOrReplaceTempView("pseudo_lineitem")
 
