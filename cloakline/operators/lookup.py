@@ -293,20 +293,30 @@ def join_mapping(
         return None
     if not all(small):
         _check_skew_handling(df.sparkSession)
+
+    def side_of(i: int, key: str, val: str) -> DataFrame:
+        side = mapping
+        if "mask" in mapping.columns:
+            side = side.where(F.col("mask").bitwiseAND(F.lit(column_bit(i))) != 0)
+        return side.select(F.col("value").alias(key), F.col("mapped").alias(val))
+
     out = df
+    big = [i for i in range(len(cols)) if not small[i]]
+    if len(big) >= 2:
+        out = _join_tuples(df, cols, big, side_of, null_as_text)
     replaced = {}
     types = {f.name: f.dataType for f in df.schema.fields}
     for i, c in enumerate(cols):
         key, val = f"__cl_key{i}", f"__cl_val{i}"
         s = key_expr(c, null_as_text)
         text = may_be_blank(types[c])
-        side = mapping
-        if "mask" in mapping.columns:
-            side = side.where(F.col("mask").bitwiseAND(F.lit(column_bit(i))) != 0)
-        side = side.select(F.col("value").alias(key), F.col("mapped").alias(val))
-        if small[i]:
-            side = F.broadcast(side)
-        out = out.withColumn(key, s).join(side, on=key, how="left")
+        if len(big) >= 2 and i in big:
+            pass  # ``val`` came with the tuple join
+        else:
+            side = side_of(i, key, val)
+            if small[i]:
+                side = F.broadcast(side)
+            out = out.withColumn(key, s).join(side, on=key, how="left")
         found = F.col(val) if missing is None else F.coalesce(F.col(val), F.lit(missing))
         rule = F.when(s.isNull(), F.lit(None).cast("string"))
         if text:
@@ -317,6 +327,31 @@ def join_mapping(
     return out.select(*[replaced[c].alias(c) if c in replaced else F.col(c) for c in df.columns])
 
 
+def _join_tuples(df: DataFrame, cols: list[str], big: list[int], side_of, null_as_text: bool) -> DataFrame:
+    """Columns ``big`` (sides too large to broadcast) through one shuffle of ``df``.
+
+    Joining each such column on its own would shuffle the whole table once
+    per column. The result depends only on the tuple of those values, so the
+    distinct tuples (narrow, one partial + final aggregate) are joined with
+    each column's side, and the table joins that once on the tuple (null-safe
+    keys): one shuffle of the table however many columns. Exact-copy tuples
+    collapse in the distinct; a hot tuple's partition is split by AQE.
+    Adds ``__cl_val<i>`` for each ``i`` in ``big``.
+    """
+    tk = {i: f"__cl_tk{i}" for i in big}
+    rk = {i: f"__cl_rk{i}" for i in big}
+    tuples = df.select(*[key_expr(cols[i], null_as_text).alias(tk[i]) for i in big]).distinct()
+    for i in big:
+        side = side_of(i, f"__cl_sk{i}", f"__cl_val{i}")
+        tuples = tuples.join(side, F.col(tk[i]) == F.col(f"__cl_sk{i}"), "left").drop(f"__cl_sk{i}")
+    tuples = tuples.withColumnsRenamed({tk[i]: rk[i] for i in big})
+    keyed = df.withColumns({tk[i]: key_expr(cols[i], null_as_text) for i in big})
+    cond = F.col(tk[big[0]]).eqNullSafe(F.col(rk[big[0]]))
+    for i in big[1:]:
+        cond = cond & F.col(tk[i]).eqNullSafe(F.col(rk[i]))
+    return keyed.join(tuples, cond, "left")
+
+
 def apply_lookup(
     df: DataFrame,
     columns: str | Iterable[str],

@@ -178,3 +178,23 @@ def test_apply_lookup_rejects_a_stream(spark):
     sdf = spark.readStream.format("rate").load().select(F.col("value").cast("string").alias("v"))
     with pytest.raises(ValueError, match="start_lookup_stream"):
         L.apply_lookup(sdf, "v", PrefixLookup())
+
+
+def test_large_sides_of_several_columns_shuffle_the_table_once(spark):
+    rows = [(i, str(i % 700), None if i % 11 == 0 else str(i % 500), "  " if i % 13 == 0 else f"x{i % 300}")
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, a string, b string, c string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = L.apply_lookup(df, ["a", "b", "c"], PrefixLookup(), broadcast_max_bytes=0)
+        plan = plan_text(out, "simple")
+        # The table is shuffled once, on the (null-safe) tuple of the three keys;
+        # the other exchanges move narrow tuples and mapping sides.
+        assert plan.count("Exchange hashpartitioning(coalesce(__cl_tk") == 1, plan
+        assert "Exchange hashpartitioning(__cl_key" not in plan, plan
+        got = {r.id: (r.a, r.b, r.c) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    want = {i: ("p_" + a, None if b is None else "p_" + b, "" if c == "  " else "p_" + c) for i, a, b, c in rows}
+    assert got == want
