@@ -52,3 +52,23 @@ def test_run_linkage_rejects_a_stream(spark, kr):
     with pytest.raises(ValueError, match="linkage"):
         pseudonymize(sdf, "v", kr, deterministic=False, linkage="run")
     assert pseudonymize(sdf, "v", kr, deterministic=False).isStreaming  # row linkage is a projection
+
+
+def test_prefix_renames(spark):
+    import pytest
+
+    from cloakline.operators.table import rename_with_prefix, strip_prefix
+
+    df = spark.createDataFrame([(1, "a")], "id int, vin string")
+    named = rename_with_prefix(df, ["vin"])
+    assert named.columns == ["id", "s_vin"]
+    assert strip_prefix(named, ["s_vin"]).columns == ["id", "vin"]
+    with pytest.raises(ValueError):
+        strip_prefix(df, ["vin"])
+
+
+def test_python_blank_rule():
+    from cloakline.operators.lookup import is_blank
+
+    assert is_blank("") and is_blank(" \t\n") and is_blank("\xa0\u3000\x1c")
+    assert not is_blank(" a ") and not is_blank("\u200b")

@@ -107,3 +107,16 @@ def test_lookup_stream(spark):
     out = spark.read.parquet(f"{base}/out")
     assert out.count() == 12 and {r.vin for r in out.collect()} == {"p_0", "p_1", "p_2", "p_3"}
     assert mappings() == before  # each batch's mapping table is deleted after its write
+
+
+def test_stream_to_catalog_table(spark, kr):
+    base = scratch_path(spark, "t-tstream")
+    _write_lines(f"{base}/in", [json.dumps({"dept_id": "1", "vin": f"V{i}", "example_ts": "t"}) for i in range(20)])
+    good, _ = stream.split_rejects(stream.parse_json(spark.readStream.format("text").load(f"{base}/in"), SCHEMA))
+    db = "cl_ts_" + base.rsplit("-", 1)[-1]
+    io.ensure_database(spark, db, location=f"{base}/db")
+    name = io.ensure_table(spark, db, "t", pseudonymize(good, "vin", kr).schema, location=f"{base}/db/t")
+    q = stream.start_table_sink(pseudonymize(good, "vin", kr), name, f"{base}/ck", available_now=True)
+    q.awaitTermination()
+    back = reidentify(spark.table(name), "vin", kr)
+    assert sorted(r.vin for r in back.collect()) == sorted(f"V{i}" for i in range(20))

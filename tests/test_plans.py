@@ -115,3 +115,11 @@ def test_group_arrays_one_shuffle_after_local_sort(spark):
     assert "false" in sort_line
     assert text.index("Exchange") < text.index(sort_line)
     assert python_nodes(g) == []
+
+
+def test_has_exchange(spark):
+    from cloakline.plans.inspect import has_exchange
+
+    df = spark.read.parquet(CUSTOMER)
+    assert not has_exchange(df.where("c_nationkey = 3"))
+    assert has_exchange(df.groupBy("c_nationkey").count())
