@@ -198,3 +198,15 @@ def test_large_sides_of_several_columns_shuffle_the_table_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     want = {i: ("p_" + a, None if b is None else "p_" + b, "" if c == "  " else "p_" + c) for i, a, b, c in rows}
     assert got == want
+
+
+def test_shuffle_join_warns_without_skew_handling(spark):
+    df = spark.createDataFrame([(i, str(i % 50)) for i in range(200)], "id int, v string")
+    old = spark.conf.get("spark.sql.adaptive.skewJoin.enabled")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        with pytest.warns(RuntimeWarning, match="skew"):
+            out = L.apply_lookup(df, "v", PrefixLookup(), broadcast_max_bytes=0)
+        assert out.where(F.col("v") != F.concat(F.lit("p_"), (F.col("id") % 50).cast("string"))).count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", old)
