@@ -82,11 +82,19 @@ class _Config:
 
     @classmethod
     def from_yaml(cls, text_or_path: str, **overrides: Any):
-        import yaml
-
+        """Config from YAML text or a file path (JSON text works without PyYAML)."""
         if "\n" not in text_or_path and not text_or_path.strip().startswith("{"):
             with open(text_or_path) as fh:
                 text_or_path = fh.read()
+        try:
+            import yaml
+        except ImportError:  # optional dependency: JSON is a subset of YAML
+            import json
+
+            try:
+                return cls.from_dict(json.loads(text_or_path) or {}, **overrides)
+            except ValueError as exc:
+                raise ImportError("YAML configs need PyYAML; pass JSON or a dict instead") from exc
         return cls.from_dict(yaml.safe_load(text_or_path) or {}, **overrides)
 
     def _check(self) -> None:

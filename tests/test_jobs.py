@@ -103,3 +103,22 @@ def test_rows_for_megabytes(spark):
     path = scratch_path(spark, "mb")
     synthetic_batch(spark, rows, partitions=1).write.parquet(path)
     assert 0.5 * 1_048_576 < path_bytes(spark, path) < 2 * 1_048_576
+
+
+def test_config_from_json_without_yaml(monkeypatch):
+    import builtins
+    import json
+
+    real_import = builtins.__import__
+
+    def no_yaml(name, *args, **kwargs):
+        if name == "yaml":
+            raise ImportError("no yaml")
+        return real_import(name, *args, **kwargs)
+
+    monkeypatch.setattr(builtins, "__import__", no_yaml)
+    text = json.dumps({"input_s3_path": "s3://b/in/", "input_column": "vin", "output_bucket_name": "o",
+                       "db_name": "d", "table_name": "t"})
+    assert jobs.BatchJob.from_yaml(text).input_columns == ("vin",)
+    with pytest.raises(ImportError, match="PyYAML"):
+        jobs.BatchJob.from_yaml(REFERENCE_BATCH_YAML)
