@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cloakline.functions.crypto import IV_HEX_CHARS, MODE, PADDING
+from cloakline.operators.grouping import POS_BITS
 from cloakline.keys import KEYRING_VIEW, Keyring
 from cloakline.operators.lookup import Lookup, LookupPolicy, batches, call_with_retry
 
@@ -53,6 +54,9 @@ def register_functions(spark: SparkSession, keyring: Keyring, *, view: str = KEY
     ``try_reidentify(array<string>)`` (null for a bad pseudonym)
     ``pseudonymize_json(string, string) -> string``, ``reidentify_json(string)``:
     the older form with a JSON array in a string.
+    ``chunk_of(rid, n)``: the bounded-array chunk key for grouping in SQL, e.g.
+    ``SELECT g, reidentify(array_agg(v)) FROM (SELECT g, v, monotonically_increasing_id() AS rid
+    FROM (SELECT g, v FROM t SORT BY g, v)) GROUP BY g, chunk_of(rid, 900)``.
 
     The public functions pass the keys to inner functions as *uncorrelated*
     scalar subqueries: Spark runs them once per query and the plan stays a
@@ -80,10 +84,14 @@ def register_functions(spark: SparkSession, keyring: Keyring, *, view: str = KEY
         "RETURN to_json(pseudonymize(from_json(input, 'array<string>'), deterministic))",
         "reidentify_json(input STRING) RETURNS STRING "
         "RETURN to_json(reidentify(from_json(input, 'array<string>')))",
+        # The chunk key of ``group_arrays`` for SQL: rows numbered by
+        # monotonically_increasing_id() after a SORT BY (within partitions).
+        "chunk_of(rid BIGINT, n INT) RETURNS BIGINT "
+        f"RETURN shiftleft(shiftright(rid, {POS_BITS}), {POS_BITS}) + floor((rid & {(1 << POS_BITS) - 1}) / n)",
     ]
     for body in statements:
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {body}")
-    return ["pseudonymize", "reidentify", "try_reidentify", "pseudonymize_json", "reidentify_json"]
+    return ["pseudonymize", "reidentify", "try_reidentify", "pseudonymize_json", "reidentify_json", "chunk_of"]
 
 
 def lookup_array_udf(lookup: Lookup, policy: LookupPolicy = LookupPolicy()):

@@ -30,8 +30,8 @@ from cloakline.functions import crypto
 from cloakline.keys import BOUND_KEY_COLUMNS, Keyring, bind_keys
 from cloakline.operators.table import _check_columns, as_list, reidentify
 
-_POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
-_POS_MASK = (1 << _POS_BITS) - 1
+POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
+POS_MASK = (1 << POS_BITS) - 1
 
 
 def group_arrays(
@@ -54,8 +54,8 @@ def group_arrays(
     _check_columns(df, groups + [value_col])
     out_col = out_col or value_col
     rid = F.col("__cl_rid")
-    chunk = F.shiftleft(F.shiftright(rid, _POS_BITS), _POS_BITS) + F.floor(
-        rid.bitwiseAND(F.lit(_POS_MASK)) / F.lit(batch_size)
+    chunk = F.shiftleft(F.shiftright(rid, POS_BITS), POS_BITS) + F.floor(
+        rid.bitwiseAND(F.lit(POS_MASK)) / F.lit(batch_size)
     ).cast("long")
     value = F.col(value_col).cast("string")
     numbered = (

@@ -45,3 +45,20 @@ def test_grouped_reidentify_sql(spark, sql, kr):
                  FROM (SELECT * FROM pe_sql WHERE event_type = 'click' LIMIT 20) GROUP BY event_type""")
     row = out.first()
     assert row.event_type == "click" and len(row.ids) == 20 and all(i.isdigit() for i in row.ids)
+
+
+def test_chunked_grouping_in_sql(spark, kr):
+    from cloakline.operators.table import pseudonymize
+
+    register_functions(spark, kr)
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_type", "user_id")
+    pseudonymize(ev, "user_id", kr).createOrReplaceTempView("pe_chunks")
+    out = spark.sql(
+        """SELECT event_type, reidentify(array_agg(user_id)) AS vins
+           FROM (SELECT event_type, user_id, monotonically_increasing_id() AS rid
+                 FROM (SELECT event_type, user_id FROM pe_chunks SORT BY event_type, user_id))
+           GROUP BY event_type, chunk_of(rid, 50)"""
+    ).collect()
+    assert max(len(r.vins) for r in out) <= 50
+    got = sorted((r.event_type, v) for r in out for v in r.vins)
+    assert got == sorted((r.event_type, str(r.user_id)) for r in ev.collect())
