@@ -282,6 +282,30 @@ def sql_group_reidentify(spark, sf):
     )
 
 
+def sql_chunked_groups(spark, sf):
+    """The reference's grouped query in plain SQL, each group cut into arrays of <= 900 by ``chunk_of``."""
+    register_functions(spark, KR)
+    _pseudo_events(spark, sf)
+    return spark.sql(
+        f"""
+        WITH numbered AS (
+          SELECT event_type, s_user_id, monotonically_increasing_id() AS rid
+          FROM (SELECT event_type, s_user_id FROM pseudo_events SORT BY event_type, s_user_id)
+        ), chunks AS (
+          SELECT event_type, reidentify(array_agg(s_user_id)) AS vins
+          FROM numbered GROUP BY event_type, chunk_of(rid, {BATCH})
+        )
+        SELECT event_type,
+               CAST(sum(size(vins)) AS BIGINT) AS n_values,
+               sum(aggregate(vins, 0L, (acc, x) -> acc + CAST(x AS BIGINT))) AS id_sum,
+               min(array_min(transform(vins, x -> CAST(x AS BIGINT)))) AS id_min,
+               max(array_max(transform(vins, x -> CAST(x AS BIGINT)))) AS id_max,
+               max(size(vins)) <= {BATCH} AS chunks_ok
+        FROM chunks GROUP BY event_type
+        """
+    )
+
+
 def sql_filter_limit(spark, sf):
     register_functions(spark, KR)
     _pseudo_events(spark, sf)
@@ -475,6 +499,7 @@ QUERIES: dict[str, Query] = {
     "sql_array_random": sql_array_random,
     "sql_json_roundtrip": sql_json_roundtrip,
     "sql_group_reidentify": sql_group_reidentify,
+    "sql_chunked_groups": sql_chunked_groups,
     "sql_filter_limit": sql_filter_limit,
     "sql_union_groups": sql_union_groups,
     "top_per_group": top_per_group,
@@ -558,6 +583,9 @@ def oracles() -> dict[str, str]:
         "sql_group_reidentify": "SELECT event_type, count(*) AS n_values, CAST(sum(user_id) AS BIGINT) AS id_sum, "
                                 "min(user_id) AS id_min, max(user_id) AS id_max, TRUE AS chunks_ok "
                                 "FROM events GROUP BY event_type",
+        "sql_chunked_groups": "SELECT event_type, count(*) AS n_values, CAST(sum(user_id) AS BIGINT) AS id_sum, "
+                              "min(user_id) AS id_min, max(user_id) AS id_max, TRUE AS chunks_ok "
+                              "FROM events WHERE user_id IS NOT NULL GROUP BY event_type",
         "sql_filter_limit": _limited("click"),
         "sql_union_groups": " UNION ALL ".join(_limited(g) for g in ("click", "view", "error")),
         "top_per_group": "SELECT event_type, event_id, user_id FROM (SELECT event_type, event_id, user_id, "
