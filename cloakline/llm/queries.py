@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloakline.llm import decontam, lines, minhash, mixing, toxicity
-from cloakline.llm.common import identity, table
+from cloakline.llm import (
+    decontam, embeddings, langid, lines, lpf, minhash, mixing, secrets, sentences, toxicity,
+)
+from cloakline.llm.common import identity, table, utf8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +23,38 @@ def remainder(n: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+def op1_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    out = secrets.find_secrets(table(spark, sf, "documents").select("doc_id", "text"))
+    base = [r.kind for r in secrets.BASE]
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return out.select(
+        "doc_id", *map(number, base),
+        sha256(secrets.listing(F.filter("spans", lambda s: s["kind"].isin(*base)))).alias("base_sha256"),
+        secrets.listing(F.col("spans")).alias("spans"))
+
+
+def op2_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    held = F.coalesce(remainder(5) == 0, F.lit(False))
+    base = langid.train(docs.where(~held).select("text", "lang"))
+    out = langid.predict(docs.select("doc_id", "text"), base, "p")
+    return out.select("doc_id", held.alias("held_out"), "p.lang_pred", "p.score")
+
+
+def op3_lpf(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    cut = lpf.removed(docs).select("_k", "_h", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    text = utf8("text")
+    rows = docs.select("doc_id", *lpf.key(), F.octet_length(text).cast("long").alias("n_bytes"), sha256(text).alias("s"))
+    none = F.lit(0).cast("long")
+    return rows.join(cut, ["_k", "_h"], "left").select(
+        "doc_id", "n_bytes", F.coalesce("n_removed", none).alias("n_removed"),
+        F.coalesce("n_spans", none).alias("n_spans"), F.coalesce("kept_sha256", "s").alias("kept_sha256"))
+
+
 def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
     p = mixing.plan(table(spark, sf, "documents"))
     return p.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -47,6 +81,17 @@ def op7_decontam(spark: SparkSession, sf: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op8_sentences(spark: SparkSession, sf: str) -> DataFrame:
+    out = sentences.drop_repeats(table(spark, sf, "documents").select("doc_id", "text"))
+    return out.select("row.doc_id", "n_sentences", "n_removed",
+                      sha256(F.coalesce("text", F.lit(""))).alias("kept_sha256"))
+
+
+def op9_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    out = embeddings.near_vectors(table(spark, sf, "embeddings"))
+    return out.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+
+
 def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     held = F.coalesce(remainder(4) == 2, F.lit(False))
@@ -57,7 +102,8 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op4_mixing, op5_minhash, op6_lines, op7_decontam, op10_toxicity,
+    op1_secrets, op2_language, op3_lpf, op4_mixing, op5_minhash, op6_lines, op7_decontam, op8_sentences,
+    op9_embeddings, op10_toxicity,
 )}
 ORACLES: dict[str, str] = {}
 
@@ -113,3 +159,69 @@ it AS (
 SELECT d.doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(it.n, 0) AS n_items,
   sha256(coalesce(it.s, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)"""
+
+
+def _marked(pattern: str) -> str:
+    """The pattern for SQL text, its matches marked: before, match length, after."""
+    return pattern.replace("'", "''")
+
+
+def _secrets_sql() -> str:
+    """Matches are marked by two private characters; lengths before a mark give its place."""
+    parts = []
+    for order, r in enumerate(secrets.RULES):
+        pattern = _marked(r.pattern)
+        flags = "(?i)" if r.fold else ""
+        n = f"len(regexp_extract(m, '^{flags}{pattern}$', 2))" if "(" in r.pattern and r.kind == "assign" else "len(m)"
+        parts.append(f"""
+  SELECT doc_id, {order} AS o, '{r.kind}' AS kind, s, s + len(m) AS e FROM (
+    SELECT doc_id, split_part(p[i], chr(57345), 1) AS m,
+      list_sum(list_transform(p[:i - 1], lambda x: len(x))) - (i - 2) AS s
+    FROM (SELECT doc_id, p, unnest(range(2, len(p) + 1)) AS i FROM (
+      SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '{flags}({pattern})',
+        chr(57344) || '\\1' || chr(57345), 'g'), chr(57344)) AS p FROM documents)))
+  WHERE {n} >= {r.least}""")
+    listed = "coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o){0}, '')"
+    count = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secrets.BASE)
+    base = " FILTER (o < %d)" % len(secrets.BASE)
+    return f"""WITH f AS ({" UNION ALL ".join(parts)})
+SELECT d.doc_id, {count}, sha256({listed.format(base)}) AS base_sha256, {listed.format(" FILTER (kind IS NOT NULL)")} AS spans
+FROM documents d LEFT JOIN f ON f.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
+ORACLES["op1_secrets"] = _secrets_sql()
+
+ORACLES["op3_lpf"] = """
+WITH RECURSIVE d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (
+  SELECT doc_id, i, md5(b[i + 1:i + 100]) AS w
+  FROM (SELECT doc_id, b, unnest(range(octet_length(b) - 99)) AS i FROM d WHERE octet_length(b) >= 100)),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS r FROM w),
+g AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM f WHERE r > 1),
+h AS (SELECT doc_id, i, sum((before IS NULL OR i > before + 100)::INT) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM g),
+s AS (SELECT doc_id, n, min(i) AS a, max(i) + 100 AS b FROM h GROUP BY doc_id, n),
+k AS (
+  SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, list(a ORDER BY a) AS a, list(b ORDER BY a) AS b
+  FROM s GROUP BY doc_id),
+t AS (
+  SELECT d.doc_id, octet_length(d.b)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    CASE WHEN n_removed IS NULL THEN sha256(d.b) ELSE sha256(unhex(list_reduce(list_prepend('', list_transform(
+      range(1, len(k.a) + 2), lambda j: hex(d.b[CASE WHEN j = 1 THEN 1 ELSE k.b[j - 1] + 1 END:
+        CASE WHEN j > len(k.a) THEN octet_length(d.b) ELSE k.a[j] END]))), lambda x, y: x || y))) END AS kept_sha256
+  FROM d LEFT JOIN k USING (doc_id))
+SELECT * FROM t"""
+
+ORACLES["op9_embeddings"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+n AS (SELECT x, count(*) AS n FROM l GROUP BY x),
+r AS (SELECT vec_id AS node, vec_id AS low FROM embeddings
+      UNION SELECT l.y, r.low FROM r JOIN l ON l.x = r.node WHERE r.low < l.y)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, c.low AS component_id, c.low = e.vec_id AS kept
+FROM embeddings e LEFT JOIN n ON n.x = e.vec_id
+JOIN (SELECT node, min(low) AS low FROM r GROUP BY node) c ON c.node = e.vec_id"""
