@@ -43,9 +43,9 @@ def _keys(batches):
             own = set(line_keys(t.as_py())) - {b""}
             at += [i] * len(own)
             keys += own
-        rows = b.take(pa.array(at, pa.int64()))
+        own = pa.array(at, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [rows["_k"], rows["_h"], pa.array(keys, pa.binary())], ["_k", "_h", "key"])
+            [b["_k"].take(own), b["_h"].take(own), pa.array(keys, pa.binary())], ["_k", "_h", "key"])
 
 
 class LineRuns:
