@@ -151,16 +151,21 @@ class Automaton:
             entry = next(fresh)
             free.setdefault(root, []).append(entry)
             ends[build(tree, entry)] = 1 << bit
+        # Bytes that are in the same sets behave alike: one of each kind is followed.
+        sets = sorted({x for arcs in step.values() for x, _ in arcs}, key=sorted)
+        kinds, kind = np.unique([[c in x for x in sets] for c in range(256)], axis=0, return_inverse=True)
+        kind = kind.reshape(-1)
+        member = {x: np.flatnonzero(kinds[:, i]).tolist() for i, x in enumerate(sets)}
         start = closed([root])
         ids, rows, todo = {start: 0}, [], [start]
         for state in todo:
             row: dict[int, set[int]] = {}
             for x in state:
                 for codes, to in step.get(x, ()):
-                    for c in codes:
+                    for c in member[codes]:
                         row.setdefault(c, set()).add(to)
-            nexts = np.zeros(256, np.int32)
-            for c in range(256):
+            nexts = np.zeros(len(kinds), np.int32)
+            for c in range(len(kinds)):
                 to = closed(row.get(c, ()))
                 if anywhere:
                     to |= start
@@ -184,10 +189,10 @@ class Automaton:
             if order[b] < 0:
                 order[b] = (order >= 0).sum()
         block = order[block]
-        first = np.array([np.flatnonzero(block == b)[0] for b in range(block.max() + 1)])
+        first = np.unique(block, return_index=True)[1]
         table, self.accepts = block[table[first]], accepts[first]
-        columns, self.classes = np.unique(table, axis=1, return_inverse=True)
-        self.classes = self.classes.reshape(-1).astype(np.uint8)
+        columns, classes = np.unique(table, axis=1, return_inverse=True)
+        self.classes = classes.reshape(-1)[kind].astype(np.uint8)
         self.table = np.ascontiguousarray(columns, np.int32)
         #: Bytes that lead every state back to the start.
         self.resets = (self.table == 0).all(0)[self.classes] if anywhere else np.zeros(256, bool)
