@@ -125,15 +125,12 @@ def passages(data: bytes, model: Model, get) -> tuple[list[tuple[int, int, float
     return [(a, b, r - lo) for lo, r, a, b, _ in found], n
 
 
-def evidence(data: bytes, model: Model, get) -> tuple[float, float, list[tuple[int, int, float]]]:
-    """Summed standardised excess of the significant passages, the largest segment's
-    score less ln(words) (0 without a segment), and those passages."""
+def evidence(data: bytes, model: Model, get) -> tuple[float, list[tuple[int, int, float]]]:
+    """Summed standardised excess of the significant passages, and those passages."""
     found, n = passages(data, model, get)
-    size = math.log(max(n, 1))
-    cut = max(0.0, size + model.location)
+    cut = max(0.0, math.log(max(n, 1)) + model.location)
     kept = [p for p in found if p[2] > cut]
-    top = max((p[2] for p in found), default=0.0)
-    return sum(p[2] - cut for p in kept) / model.scale, top - size, kept
+    return sum(p[2] - cut for p in kept) / model.scale, kept
 
 
 def bin_of(x: float) -> int:
@@ -191,7 +188,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from the rows of ``docs`` that ``labels`` marks (callers filter out held-out rows)."""
     marked = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.max((F.col("toxic") != 0).cast("int")).alias("_y"))
-    rows = docs.select("doc_id", utf8("text").alias("_t")).join(marked, "doc_id").select("_t", "_y")
+    rows = docs.select("doc_id", utf8("text").alias("_t")).join(
+        marked.hint("merge"), "doc_id").select("_t", "_y")  # labels grow with the documents: no broadcast
     # Tokens are counted on some texts and the chances fitted on the others (copies stay together).
     apart = F.xxhash64("_t") % FOLDS == 0
     counted, rows = rows.where(~apart), rows.where(apart)
@@ -219,32 +217,30 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     own = [r for r in kept if not r["token"].endswith(b"*")]
     p1, p0 = sum(r["n1"] for r in own) / t1, sum(r["n0"] for r in own) / t0
     model.rest = min(-1e-3, math.log((1 - p1) / (1 - p0)) if p1 < 1 and p0 < 1 else -1e-3)
-    # Extreme-value location and scale (moments of the Gumbel law) over the clean texts.
-    first = Model(model.scores, model.rest)
+    # Each calibration text's segment scores; what follows needs no text.
+    kinds = "y int, size double, scores array<double>"
 
-    def tops(batches):
-        get = scorer(first)
+    def scored(batches):
+        get = scorer(model)
         for b in batches:
-            out = [evidence(t.as_py(), first, get)[1] for t, y in zip(b["_t"], b["_y"]) if y.as_py() == 0]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.float64())], ["x"])
+            out = [passages(t.as_py(), model, get) for t in b["_t"]]
+            yield pa.RecordBatch.from_arrays(
+                [b["_y"], pa.array([math.log(max(n, 1)) for _, n in out], pa.float64()),
+                 pa.array([[p[2] for p in found] for found, _ in out], pa.list_(pa.float64()))],
+                ["y", "size", "scores"])
 
-    n, mean, sd = rows.mapInArrow(tops, "x double").agg(
-        F.count("x"), F.avg("x"), F.stddev_pop("x")).first()
+    rows = scratch(rows.mapInArrow(scored, kinds), "toxic-scores")
+    # Extreme-value location and scale (moments of the Gumbel law) over the clean texts.
+    top = F.coalesce(F.array_max("scores"), F.lit(0.0)) - F.col("size")
+    n, mean, sd = rows.where("y = 0").agg(F.count(top), F.avg(top), F.stddev_pop(top)).first()
     if n >= 2 and sd > 0:
         model.scale = sd * math.sqrt(6) / math.pi
         model.location = mean - 0.5772156649015329 * model.scale
-    fitted = Model(model.scores, model.rest, model.location, model.scale)
-
-    def bins(batches):
-        get = scorer(fitted)
-        for b in batches:
-            at = Counter((bin_of(evidence(t.as_py(), fitted, get)[0]), y.as_py()) for t, y in zip(b["_t"], b["_y"]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in at], pa.int32()), pa.array([k[1] for k in at], pa.int32()),
-                 pa.array(list(at.values()), pa.int64())], ["bin", "y", "n"])
-
-    counts = {(r["bin"], r["y"]): r["n"] for r in
-              rows.mapInArrow(bins, "bin int, y int, n long").groupBy("bin", "y").agg(F.sum("n").alias("n")).collect()}
+    cut = F.greatest(F.lit(0.0), F.col("size") + model.location)
+    over = F.aggregate("scores", F.lit(0.0), lambda x, s: x + F.greatest(F.lit(0.0), s - F.col("cut")))
+    bins = rows.withColumn("cut", cut).select(
+        "y", F.least(F.lit(BINS - 1), F.ceil(over / model.scale / BIN)).cast("int").alias("bin"))
+    counts = {(r["bin"], r["y"]): r["n"] for r in bins.groupBy("bin", "y").agg(F.count("*").alias("n")).collect()}
     model.chances = monotone([(counts.get((k, 1), 0), counts.get((k, 0), 0)) for k in range(BINS)])
     return model
 
@@ -286,7 +282,7 @@ def find_passages(docs: DataFrame, model: Model) -> DataFrame:
         get = scorer(model)
         for texts in batches:
             yield texts.map(lambda t: [dict(first_word=a, end_word=b, score=s)
-                                       for a, b, s in evidence(bytes(t), model, get)[2]])
+                                       for a, b, s in evidence(bytes(t), model, get)[1]])
 
     return docs.select("doc_id", F.inline(udf(utf8("text"))))
 
