@@ -33,6 +33,24 @@ def utf8(value: Column) -> Column:
     return F.encode(value.cast("string"), "UTF-8")
 
 
+def check_type(name: str, dtype: T.DataType) -> None:
+    """Arrays, maps, structs and variants have no stable text form and are refused."""
+    if not isinstance(dtype, (T.AtomicType, T.NullType)) or isinstance(dtype, T.VariantType):
+        raise ValueError(f"column {name}: {dtype.simpleString()} can't be pseudonymized, pick its fields")
+
+
+def text_of(value: Column, dtype: T.DataType | None = None) -> Column:
+    """The string form that is sealed; it does not depend on session settings.
+
+    A timestamp with time zone is an instant: its text is UTC with a ``Z``,
+    whatever ``spark.sql.session.timeZone`` says.
+    """
+    if isinstance(dtype, T.TimestampType):
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.concat(F.timestamp_add("MICROSECOND", F.unix_micros(value), epoch).cast("string"), F.lit("Z"))
+    return value.cast("string")
+
+
 def hmac_sha256_hex(data: Column, keys: KeyColumns) -> Column:
     """HMAC-SHA256 over binary ``data`` as a lowercase hex string."""
     inner = F.unhex(F.sha2(F.concat(keys.ip, data), 256))
@@ -53,20 +71,26 @@ def seal(value: Column, keys: KeyColumns, deterministic: bool | Column = True) -
 
     Null in, null out. ``deterministic`` may be a boolean Column (SQL form).
     """
-    data = utf8(value)
+    return seal_bytes(utf8(value), keys, deterministic)
+
+
+def seal_bytes(data: Column, keys: KeyColumns, deterministic: bool | Column = True) -> Column:
+    """``seal`` of bytes as they are."""
     det = F.aes_encrypt(data, keys.k, F.lit(MODE), F.lit(PADDING), deterministic_iv(data, keys))
     # A random IV makes the result differ on every evaluation, but Catalyst
-    # treats aes_encrypt as deterministic and may evaluate it twice (a filter
-    # pushed through the projection, a plan read twice). The always-true
-    # rand() guard marks it nondeterministic, so it is evaluated once.
-    rnd = F.when(F.rand() >= F.lit(0.0), F.aes_encrypt(data, keys.k, F.lit(MODE)))
+    # treats aes_encrypt as deterministic: it may evaluate it twice (a filter
+    # pushed through the projection, a plan read twice) or share one result
+    # between two columns of equal values. The always-true rand() guard on its
+    # input marks it nondeterministic: one evaluation for each column and row.
+    # (The optimizer folds a bare ``rand() >= 0``, so the guard is a product.)
+    rnd = F.aes_encrypt(F.when(F.rand() * 2 >= F.lit(0.0), data), keys.k, F.lit(MODE))
     if isinstance(deterministic, Column):
         return b64(F.when(deterministic, det).otherwise(rnd))
     return b64(det if deterministic else rnd)
 
 
-def reveal(pseudonym: Column, keys: KeyColumns, on_error: str = "fail") -> Column:
-    """Value of a pseudonym, as a string.
+def reveal(pseudonym: Column, keys: KeyColumns, on_error: str = "fail", binary: bool = False) -> Column:
+    """Value of a pseudonym, as a string or as the bytes that were sealed.
 
     ``on_error='fail'`` raises on a tampered, truncated or foreign pseudonym;
     ``'null'`` yields null instead.
@@ -77,7 +101,7 @@ def reveal(pseudonym: Column, keys: KeyColumns, on_error: str = "fail") -> Colum
         raw = F.try_aes_decrypt(F.try_to_binary(pseudonym, F.lit("base64")), keys.k, F.lit(MODE))
     else:
         raw = F.aes_decrypt(F.to_binary(pseudonym, F.lit("base64")), keys.k, F.lit(MODE))
-    return raw.cast("string")
+    return raw if binary else raw.cast("string")
 
 
 def has_text(value: Column) -> Column:
@@ -87,7 +111,7 @@ def has_text(value: Column) -> Column:
 
 def may_be_blank(dtype: T.DataType) -> bool:
     """Only text can be empty or whitespace; a cast number, date or boolean can't."""
-    return isinstance(dtype, (T.StringType, T.CharType, T.VarcharType, T.BinaryType))
+    return isinstance(dtype, (T.StringType, T.CharType, T.VarcharType))
 
 
 def pseudonymize_value(
@@ -96,29 +120,35 @@ def pseudonymize_value(
     *,
     deterministic: bool = True,
     null_as_text: bool = False,
-    text: bool = True,
+    dtype: T.DataType = T.StringType(),
 ) -> Column:
     """Table-form rule: null stays null, blank becomes '', the rest is sealed.
 
-    ``null_as_text`` reproduces the reference, which sent ``str(None)``.
-    ``text=False`` (a non-text source column) skips the per-row blank regex.
+    ``null_as_text`` reproduces the reference, which sent ``str(None)``. Only
+    text columns pay for the blank regex. Binary values are sealed as bytes;
+    of those only the empty one is blank.
     """
-    s = value.cast("string")
+    if isinstance(dtype, T.BinaryType):
+        none = seal(F.lit(NULL_TEXT), keys, deterministic) if null_as_text else F.lit(None).cast("string")
+        return (F.when(value.isNull(), none).when(F.octet_length(value) == 0, F.lit(""))
+                .otherwise(seal_bytes(value, keys, deterministic)))
+    s = text_of(value, dtype)
     if null_as_text:
         s = F.coalesce(s, F.lit(NULL_TEXT))
     rule = F.when(s.isNull(), F.lit(None).cast("string"))
-    if text:
+    if may_be_blank(dtype):
         rule = rule.when(~has_text(s), F.lit(""))
     return rule.otherwise(seal(s, keys, deterministic))
 
 
-def reidentify_value(value: Column, keys: KeyColumns, *, on_error: str = "fail") -> Column:
+def reidentify_value(value: Column, keys: KeyColumns, *, on_error: str = "fail", binary: bool = False) -> Column:
     """Table-form inverse: null stays null, blank stays ''."""
     s = value.cast("string")
+    kind = "binary" if binary else "string"
     return (
-        F.when(s.isNull(), F.lit(None).cast("string"))
-        .when(~has_text(s), F.lit(""))
-        .otherwise(reveal(s, keys, on_error))
+        F.when(s.isNull(), F.lit(None).cast(kind))
+        .when(~has_text(s), F.lit("").cast(kind))
+        .otherwise(reveal(s, keys, on_error, binary))
     )
 
 

@@ -13,6 +13,8 @@ distinct and no blank filter; a null element stays null.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +23,7 @@ from pyspark.sql import types as T
 from cloakline.functions.crypto import IV_HEX_CHARS, MODE, PADDING
 from cloakline.operators.grouping import POS_BITS
 from cloakline.keys import KEYRING_VIEW, Keyring
-from cloakline.operators.lookup import Lookup, LookupPolicy, batches, call_with_retry
+from cloakline.operators.lookup import Lookup, LookupFailed, LookupPolicy, call_with_retry, value_cost
 
 _CRLF = "concat(char(13), char(10))"
 
@@ -34,7 +36,7 @@ def seal_sql(x: str, det: str) -> str:
     )
     det_ct = f"aes_encrypt({data}, k, '{MODE}', '{PADDING}', {iv})"
     # rand() guard: evaluate a random-IV pseudonym once (see crypto.seal).
-    rnd_ct = f"CASE WHEN rand() >= 0 THEN aes_encrypt({data}, k, '{MODE}') END"
+    rnd_ct = f"aes_encrypt(CASE WHEN rand() * 2 >= 0 THEN {data} END, k, '{MODE}')"
     return f"replace(base64(CASE WHEN {det} THEN {det_ct} ELSE {rnd_ct} END), {_CRLF}, '')"
 
 
@@ -94,36 +96,56 @@ def register_functions(spark: SparkSession, keyring: Keyring, *, view: str = KEY
     return ["pseudonymize", "reidentify", "try_reidentify", "pseudonymize_json", "reidentify_json", "chunk_of"]
 
 
+def _answers(arrays: Iterator, lookup: Lookup, policy: LookupPolicy) -> Iterator[list | None]:
+    """Each array with its elements answered, in order; calls span arrays.
+
+    Held at once: the elements of one call and the arrays they belong to, so a
+    batch of many arrays is never flattened as a whole.
+    """
+    waiting: list[tuple[list | None, list]] = []  # an array and its answers so far
+    pending: list[tuple[list, int]] = []  # where the next answers go
+    values: list[str] = []
+    size = 0
+
+    def send():
+        for (to, at), x in zip(pending, call_with_retry(lookup, values, policy)):
+            to[at] = x
+        pending.clear()
+        values.clear()
+
+    for arr in arrays:
+        out = None if arr is None else [None] * len(arr)
+        waiting.append((arr, out))
+        for at, v in enumerate(arr if arr is not None else ()):
+            if v is None:
+                continue
+            cost = value_cost(v)
+            if cost > policy.max_bytes:
+                raise LookupFailed(f"one value of {cost} bytes exceeds max_bytes={policy.max_bytes}")
+            if values and (len(values) >= policy.batch_size or size + cost > policy.max_bytes):
+                send()
+                size = 0
+                yield from (o for _, o in waiting[:-1])
+                del waiting[:-1]
+            pending.append((out, at))
+            values.append(v)
+            size += cost
+    send()
+    yield from (o for _, o in waiting)
+
+
 def lookup_array_udf(lookup: Lookup, policy: LookupPolicy = LookupPolicy()):
-    """pandas UDF ``array<string> -> array<string>`` backed by a lookup."""
+    """pandas UDF ``array<string> -> array<string>`` backed by a lookup.
+
+    Nondeterministic, whatever the service does: a filter on its result must
+    not make Spark call the service a second time.
+    """
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def call(arrays: pd.Series) -> pd.Series:
-        flat: list[str | None] = []
-        sizes: list[int | None] = []
-        for arr in arrays:
-            if arr is None:
-                sizes.append(None)
-                continue
-            items = list(arr)
-            sizes.append(len(items))
-            flat.extend(items)
-        sent = [v for v in flat if v is not None]
-        answers: list[str] = []
-        for batch in batches(sent, policy):
-            answers.extend(call_with_retry(lookup, batch, policy))
-        it = iter(answers)
-        mapped = [None if v is None else next(it) for v in flat]
-        out, pos = [], 0
-        for n in sizes:
-            if n is None:
-                out.append(None)
-            else:
-                out.append(mapped[pos:pos + n])
-                pos += n
-        return pd.Series(out, dtype=object)
-
-    return call
+        return pd.Series(list(_answers(iter(arrays), lookup, policy)), dtype=object)
+
+    return call.asNondeterministic()
 
 
 def register_lookup_function(spark: SparkSession, name: str, lookup: Lookup,

@@ -1,16 +1,27 @@
 """Job configurations and runners: batch table, CSV -> Parquet, stream.
 
 Configs are frozen dataclasses built from a dict or YAML. The reference's
-key names are accepted as they are, so an existing config file works.
+key names are accepted as they are, so an existing config file works: keys
+that only name its infrastructure are ignored, any other unknown key is an
+error. Blank values count as not given.
+
+A secret is named by ``secret_name``: ``env:NAME``, ``file:/path`` and
+``hex:...`` are read directly, any other name goes to the resolver given to
+the runner. It is resolved once, on the driver; in crypto mode it is the key,
+in service mode the API key.
 """
 
 from __future__ import annotations
 
 import dataclasses
+import os
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cloakline.keys import KeySource, Keyring
@@ -23,6 +34,7 @@ from cloakline.operators.lookup import (
     apply_lookup,
 )
 from cloakline.operators.table import pseudonymize, reidentify, rename_with_prefix, strip_prefix
+from cloakline.session import scratch_scope
 from cloakline.sources import io
 from cloakline.streaming import stream
 
@@ -36,11 +48,19 @@ ALIASES = {
     "output_bucket_name": "output_root",
     "output_loc": "output_path",
     "input_column": "input_columns",
+    "kinesis_stream_name": "stream_name",
+    "kinesis_endpoint_url": "stream_endpoint_url",
+    "kinesis_region": "stream_region",
 }
+# Keys of the reference's configs that name infrastructure only.
+INFRASTRUCTURE = {"aws_region"}
+#: What the reference's stream carries, for a config that gives no schema.
+DEFAULT_STREAM_SCHEMA = "vin string, ts string"
+Resolver = Callable[[str], "str | bytes"]
 
 
-def key_source(spec: str) -> KeySource:
-    """``env:NAME``, ``file:/path`` or ``hex:...``."""
+def key_source(spec: str, resolver: Resolver | None = None) -> KeySource:
+    """``env:NAME``, ``file:/path`` or ``hex:...``; any other name is the resolver's."""
     kind, _, value = spec.partition(":")
     if kind == "env":
         return KeySource.from_env(value)
@@ -48,21 +68,56 @@ def key_source(spec: str) -> KeySource:
         return KeySource.from_file(value)
     if kind == "hex":
         return KeySource.from_hex(value)
-    raise ValueError(f"unknown key source {spec!r}; use env:, file: or hex:")
+    if resolver is not None:
+        secret = resolver(spec)
+        return KeySource.from_callable(lambda: secret.encode() if isinstance(secret, str) else secret)
+    raise ValueError(f"unknown key source {spec!r}; use env:, file: or hex:, or give a resolver")
+
+
+def api_key_of(spec: str, resolver: Resolver | None = None) -> str:
+    """The API key that ``secret_name`` names, as text."""
+    kind, _, value = spec.partition(":")
+    if kind == "env":
+        return os.environ[value]
+    if kind == "file":
+        with open(value) as fh:
+            return fh.read().strip()
+    if resolver is None:
+        raise ValueError(f"secret {spec!r} needs a resolver (or env:, file:)")
+    secret = resolver(spec)
+    return secret.decode() if isinstance(secret, bytes) else secret
+
+
+def flag(name: str, value: Any) -> bool:
+    """A boolean or its text; anything else is an error."""
+    if isinstance(value, bool):
+        return value
+    text = str(value).strip().lower()
+    if text not in ("true", "false"):
+        raise ValueError(f"{name} must be true or false, not {value!r}")
+    return text == "true"
 
 
 def _normalize(data: dict[str, Any], fields: set[str]) -> dict[str, Any]:
     out: dict[str, Any] = {}
+    unknown = []
     for k, v in data.items():
-        k = ALIASES.get(k, k)
-        if k in fields:
-            out[k] = v
+        name = ALIASES.get(k, k)
+        if name in fields:
+            if v is None or isinstance(v, str) and not v.strip():
+                continue
+            if k == "output_bucket_name" and ":" not in str(v) and not str(v).startswith((".", "/")):
+                v = f"s3://{v}"  # a bare bucket name, as in the reference
+            out[name] = v
+        elif k not in INFRASTRUCTURE:
+            unknown.append(k)
+    if unknown:
+        raise ValueError(f"unknown settings {sorted(unknown)}")
     if "input_columns" in out:
         cols = out["input_columns"]
         out["input_columns"] = (cols,) if isinstance(cols, str) else tuple(cols)
-    root = str(out.get("output_root", "/"))
-    if ":" not in root and not root.startswith((".", "/")):
-        out["output_root"] = f"s3://{root}"  # a bare bucket name, as in the reference
+    if "determinism" in out:
+        out["determinism"] = flag("determinism", out["determinism"])
     return out
 
 
@@ -71,6 +126,12 @@ class _Config:
     def from_dict(cls, data: dict[str, Any], **overrides: Any):
         names = {f.name for f in dataclasses.fields(cls)}
         values = _normalize({**data, **overrides}, names)
+        # The action is the endpoint's; one given beside it must agree.
+        url = values.get("endpoint_url")
+        if url:
+            named = action_from_url(url, known_only=values.get("mode") == "service")
+            if named and values.setdefault("action", named) != named:
+                raise ValueError(f"action {values['action']!r} contradicts the endpoint {url!r}")
         missing = [
             f.name for f in dataclasses.fields(cls)
             if f.name not in values and f.default is dataclasses.MISSING
@@ -148,13 +209,20 @@ class CsvJob(_Config):
 
 @dataclass(frozen=True)
 class StreamJob(_Config):
-    input_path: str
+    """``input_path`` for file sources; a managed stream is named by ``stream_name`` and read with
+    ``source_format`` (its connector must be on the class path). Without ``checkpoint`` it lies
+    beside the table."""
+
     input_columns: tuple[str, ...]
-    schema: str
     output_root: str
     db_name: str
     table_name: str
-    checkpoint: str
+    input_path: str | None = None
+    schema: str = DEFAULT_STREAM_SCHEMA
+    checkpoint: str | None = None
+    stream_name: str | None = None
+    stream_endpoint_url: str | None = None
+    stream_region: str | None = None
     source_format: str = "text"
     source_options: dict[str, str] = field(default_factory=dict)
     determinism: bool = True
@@ -166,6 +234,7 @@ class StreamJob(_Config):
     reject_path: str | None = None
     repartition_no: int | None = None
     prefix: str = "s_"
+    catalog: str | None = None
 
     def __post_init__(self):
         self._check()
@@ -175,16 +244,19 @@ class StreamJob(_Config):
 URL_ACTIONS = {"pseudonymization": "pseudonymize", "reidentification": "reidentify"}
 
 
-def action_from_url(url: str) -> str:
+def action_from_url(url: str, known_only: bool = True) -> str | None:
     """Action named by the endpoint URL's last path segment; unknown names are rejected.
 
     (The reference took the segment as given and re-identified on anything
-    that was not ``pseudonymization``.)
+    that was not ``pseudonymization``.) With ``known_only=False`` an unknown
+    name gives None: a config template holds a placeholder.
     """
     import urllib.parse
 
     segment = urllib.parse.urlparse(url).path.rstrip("/").rsplit("/", 1)[-1]
     if segment not in URL_ACTIONS:
+        if not known_only:
+            return None
         raise ValueError(f"endpoint {url!r} names no known action ({sorted(URL_ACTIONS)})")
     return URL_ACTIONS[segment]
 
@@ -196,26 +268,32 @@ def _service_lookup(job, api_key: str | None) -> Lookup:
 
 
 def transform(df: DataFrame, job, *, keyring: Keyring | None = None, lookup: Lookup | None = None,
-              api_key: str | None = None, policy: LookupPolicy = LookupPolicy(),
-              keep_original: bool = False) -> DataFrame:
+              api_key: str | None = None, resolver: Resolver | None = None,
+              policy: LookupPolicy = LookupPolicy(), keep_original: bool = False) -> DataFrame:
     """Apply the job's action to its columns and name the output columns.
 
+    ``resolver(secret_name)`` gives the key (crypto mode) or the API key
+    (service mode).
+
     ``keep_original`` keeps each input column as ``real_<col>`` as well (the
     reference added it, then dropped it before writing).
     """
     cols = list(job.input_columns)
     if keep_original:
-        df = df.withColumns({f"real_{c}": df[c] for c in cols})
+        df = df.withColumns({f"real_{c}": F.col(io.quote(c)) for c in cols})
     if job.mode == "service":
-        lookup = lookup or _service_lookup(job, api_key)
+        if lookup is None:
+            if api_key is None and job.secret_name:
+                api_key = api_key_of(job.secret_name, resolver)
+            lookup = _service_lookup(job, api_key)
         out = apply_lookup(df, cols, lookup, policy=policy, partitions=job.repartition_no)
     else:
         if keyring is None:
             if not job.secret_name:
                 raise ValueError("crypto mode needs a keyring or secret_name")
-            keyring = Keyring.from_source(key_source(job.secret_name))
+            keyring = Keyring.from_source(key_source(job.secret_name, resolver))
         if job.action == "pseudonymize":
-            out = pseudonymize(df, cols, keyring, deterministic=bool(job.determinism))
+            out = pseudonymize(df, cols, keyring, deterministic=job.determinism)
         else:
             out = reidentify(df, cols, keyring)
     if job.action == "pseudonymize":
@@ -225,6 +303,11 @@ def transform(df: DataFrame, job, *, keyring: Keyring | None = None, lookup: Loo
 
 def run_batch(spark: SparkSession, job: BatchJob, **kw) -> str:
     """Parquet in -> pseudonymize -> append to ``db.table`` (created if absent)."""
+    with scratch_scope(spark):
+        return _run_batch(spark, job, **kw)
+
+
+def _run_batch(spark: SparkSession, job: BatchJob, **kw) -> str:
     out = transform(io.read_parquet(spark, job.input_path), job, **kw)
     location = io.table_location(job.output_root, "batch", job.db_name, job.table_name)
     io.ensure_database(spark, job.db_name, catalog=job.catalog,
@@ -240,24 +323,58 @@ def run_batch(spark: SparkSession, job: BatchJob, **kw) -> str:
 
 def run_csv_batch(spark: SparkSession, job: CsvJob, *, preview_rows: int = 5, **kw) -> DataFrame:
     """CSV in -> pseudonymize -> append Parquet; returns a preview read back from the output."""
-    out = transform(io.read_csv(spark, job.input_path, sep=job.sep), job, **kw)
-    io.append_parquet(out, job.output_path)
+    with scratch_scope(spark):
+        io.append_parquet(transform(io.read_csv(spark, job.input_path, sep=job.sep), job, **kw), job.output_path)
     return io.preview(io.read_parquet(spark, job.output_path), preview_rows)
 
 
-def run_stream(spark: SparkSession, job: StreamJob, *, available_now: bool = False, **kw) -> StreamingQuery:
-    """Stream in -> parse JSON -> pseudonymize -> table (crypto) or batch folders (service)."""
-    reader = spark.readStream.format(job.source_format).options(**job.source_options)
-    raw = reader.load(job.input_path) if job.input_path else reader.load()
-    parsed = stream.parse_json(raw, job.schema)
+def run_stream(spark: SparkSession, job: StreamJob, *, available_now: bool = False, metrics: str | None = None,
+               **kw) -> StreamingQuery:
+    """Stream in -> parse JSON -> pseudonymize -> append to ``db.table`` (created if absent).
+
+    Crypto mode appends through the table's streaming sink; service mode and
+    ``reject_path`` write each micro-batch to its own ``batch_id`` partition,
+    which a replay replaces. A record that does not parse goes to
+    ``reject_path`` or fails the query. ``metrics``: a name under which row,
+    null and blank counts of each micro-batch are observed.
+    """
+    # One resolution for the whole query, on the driver.
+    if job.mode == "crypto" and kw.get("keyring") is None and job.secret_name:
+        kw["keyring"] = Keyring.from_source(key_source(job.secret_name, kw.pop("resolver", None)))
+    options = dict(job.source_options)
+    for k, v in (("streamName", job.stream_name), ("endpointUrl", job.stream_endpoint_url),
+                 ("region", job.stream_region)):
+        if v:
+            options.setdefault(k, v)
+    reader = spark.readStream.format(job.source_format).options(**options)
+    parsed = stream.parse_json(reader.load(job.input_path) if job.input_path else reader.load(), job.schema)
+    batches = job.mode == "service" or job.reject_path is not None
+    if metrics:
+        parsed = stream.observe_counts(parsed, metrics, job.input_columns)
     location = io.table_location(job.output_root, "realtime", job.db_name, job.table_name)
-    if job.mode == "service" or job.reject_path:
+    checkpoint = job.checkpoint or f"{location}_checkpoint"
+    io.ensure_database(spark, job.db_name, catalog=job.catalog, location=location.rsplit("/", 1)[0])
+    # The output's schema: the parsed columns, the chosen ones as strings under their new names.
+    types = {f.name: f.dataType for f in parsed.drop(io.CORRUPT_COLUMN).schema.fields}
+    for c in job.input_columns:
+        types[c] = T.StringType()
+    rename = {}
+    if job.action == "pseudonymize":
+        rename = {c: job.prefix + c for c in job.input_columns}
+    elif all(c.startswith(job.prefix) for c in job.input_columns):
+        rename = {c: c[len(job.prefix):] for c in job.input_columns}
+    fields = [T.StructField(rename.get(c, c), t) for c, t in types.items()]
+    if batches:
+        fields.append(T.StructField(stream.BATCH_COLUMN, T.LongType()))
+    name = io.ensure_table(
+        spark, job.db_name, job.table_name, T.StructType(fields), location=location, catalog=job.catalog,
+        partitioned_by=(stream.BATCH_COLUMN,) if batches else ())
+    if batches:
         return stream.start_batch_sink(
-            parsed, lambda df: transform(df, job, **kw), location, job.checkpoint,
+            parsed, lambda df: transform(df, job, **kw), None, checkpoint, table=name,
             reject_path=job.reject_path, trigger=job.trigger, available_now=available_now,
         )
-    good, _ = stream.split_rejects(parsed)
-    return stream.start_file_sink(
-        transform(good, job, **kw), location, job.checkpoint,
+    return stream.start_table_sink(
+        transform(stream.require_parsed(parsed), job, **kw), name, checkpoint,
         trigger=job.trigger, available_now=available_now,
     )

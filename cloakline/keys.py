@@ -169,11 +169,3 @@ def bind_keys(df: DataFrame, keyring: "Keyring") -> tuple[DataFrame, KeyColumns]
     from pyspark.sql import functions as F
 
     return bound, KeyColumns(F.col(k), F.col(ip), F.col(op))
-
-
-# Fixed value: the secret of the driver queries and tests. A test key only.
-TEST_SECRET = hashlib.sha256(b"cloakline test key - not for production").digest()
-
-
-def test_keyring() -> Keyring:
-    return Keyring.from_secret(TEST_SECRET)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from cloakline.functions import crypto
 from cloakline.keys import BOUND_KEY_COLUMNS, Keyring, bind_keys
-from cloakline.operators.table import _check_columns, as_list, reidentify
+from cloakline.operators.table import as_list, column_types, quote, reidentify
 
 POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
 POS_MASK = (1 << POS_BITS) - 1
@@ -51,13 +51,14 @@ def group_arrays(
     if batch_size < 1:
         raise ValueError("batch_size must be positive")
     groups = as_list(group_cols)
-    _check_columns(df, groups + [value_col])
+    column_types(df, [value_col])
     out_col = out_col or value_col
     rid = F.col("__cl_rid")
     chunk = F.shiftleft(F.shiftright(rid, POS_BITS), POS_BITS) + F.floor(
         rid.bitwiseAND(F.lit(POS_MASK)) / F.lit(batch_size)
     ).cast("long")
-    value = F.col(value_col).cast("string")
+    value = F.col(quote(value_col)).cast("string")
+    groups = [quote(g) for g in groups]
     numbered = (
         df.select(*groups, value.alias("__cl_v"))
         .sortWithinPartitions(*groups, "__cl_v")
@@ -98,12 +99,12 @@ def group_reidentify(
     batch_size: int = 900,
     out_col: str | None = None,
     on_error: str = "fail",
-    strategy: str = "auto",
+    strategy: str = "row",
 ) -> DataFrame:
     """Re-identify a column grouped into bounded arrays (reference query, guarded).
 
     Values are revealed *before* grouping, through the table operator: with
-    ``strategy='auto'`` a column of repeating (deterministic) pseudonyms is
+    ``strategy='distinct'`` a column of repeating (deterministic) pseudonyms is
     decrypted once per distinct value and joined back, instead of once per
     array element. The element rule is kept: '' stays '', null stays null,
     and a whitespace-only pseudonym (which the table form would treat as a
@@ -112,20 +113,19 @@ def group_reidentify(
     if on_error not in ("fail", "null"):
         raise ValueError("on_error must be 'fail' or 'null'")
     groups = as_list(group_cols)
-    _check_columns(df, groups + [pseudonym_col])
+    column_types(df, [pseudonym_col])
     out_col = out_col or pseudonym_col
-    # The column stays as stored (so 'auto' can use the distinct plan); a copy
-    # of the pseudonym rides along to tell a whitespace-only pseudonym (table
-    # form: '') from a real '' -- checked only where the result is ''.
+    # A copy of the pseudonym rides along to tell a whitespace-only pseudonym
+    # (table form: '') from a real '' -- checked only where the result is ''.
     orig = "__cl_orig"
-    pre = df.select(*groups, F.col(pseudonym_col), F.col(pseudonym_col).alias(orig))
+    pre = df.select(*map(quote, groups), F.col(quote(pseudonym_col)), F.col(quote(pseudonym_col)).alias(orig))
     revealed = reidentify(pre, pseudonym_col, keyring, on_error=on_error, strategy=strategy)
-    o, r = F.col(orig).cast("string"), F.col(pseudonym_col)
+    o, r = F.col(orig).cast("string"), F.col(quote(pseudonym_col))
     bad = (r == F.lit("")) & (o != F.lit("")) & ~crypto.has_text(o)
     guard = (
         F.raise_error(F.lit("invalid pseudonym: whitespace only")) if on_error == "fail" else F.lit(None)
     ).cast("string")
-    fixed = revealed.select(*groups, F.when(bad, guard).otherwise(r).alias(pseudonym_col))
+    fixed = revealed.select(*map(quote, groups), F.when(bad, guard).otherwise(r).alias(pseudonym_col))
     return group_arrays(fixed, groups, pseudonym_col, batch_size=batch_size, out_col=out_col)
 
 

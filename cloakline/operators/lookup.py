@@ -4,20 +4,24 @@ Plan: the distinct values of all chosen columns with a column mask (one
 partial + final aggregate, so a hot value collapses map-side) ->
 ``mapInPandas`` skipping blank values and sending size-bounded batches to the
 lookup with bounded retries -> the mapping is written as a Parquet table to
-the shared folder (each value is sent once, and an executor loss re-reads the
-mapping instead of calling again) -> joined back per column, each column with
-only its own values. A column's side is broadcast only when its measured size
-is under a bound; otherwise it is a sort-merge join whose hot values AQE
-splits.
+the shared folder (each value is sent at least once, again only if a task is
+retried, and an executor loss re-reads the mapping instead of calling again)
+-> joined back per column, each column with only its own values. The table's
+keys are salted digests, the salt is drawn per call and stays in the plan: the
+folder never holds values beside their answers. Sides are broadcast while
+their measured sizes together stay under a bound; the others are sort-merge
+joins whose hot values AQE splits, and rows without a value are spread.
 
 A ``Lookup`` is any picklable callable ``list[str] -> list[str]`` of the same
 length (one answer per value, in order). It may raise ``RetryableError`` or
-return ``None`` to ask for a retry.
+return ``None`` to ask for a retry. A null among the answers fails the job
+unless the policy says ``null_answers='null'``.
 """
 
 from __future__ import annotations
 
 import json
+import secrets
 import time
 import urllib.error
 import urllib.parse
@@ -29,9 +33,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cloakline.functions.crypto import NULL_TEXT, has_text, may_be_blank
-from cloakline.operators.table import _check_columns, as_list
-from cloakline.session import checkpoint_dir, ship_package, write_scratch
+from cloakline.functions.crypto import NULL_TEXT, has_text, may_be_blank, text_of, utf8
+from cloakline.operators.table import as_list, column_types, quote
+from cloakline.session import ship_package, write_scratch
 
 Lookup = Callable[[list[str]], list[str] | None]
 
@@ -63,8 +67,11 @@ class LookupPolicy:
     max_retries: int = 100
     backoff_base: float = 0.05
     backoff_cap: float = 5.0
+    null_answers: str = "fail"  # or "null": the value becomes null
 
     def __post_init__(self):
+        if self.null_answers not in ("fail", "null"):
+            raise ValueError("null_answers must be 'fail' or 'null'")
         if self.batch_size < 1 or self.max_bytes < 1 or self.max_retries < 0:
             raise ValueError("batch_size and max_bytes must be positive, max_retries >= 0")
 
@@ -108,6 +115,8 @@ def call_with_retry(lookup: Lookup, batch: list[str], policy: LookupPolicy,
                 raise LookupFailed(
                     f"lookup returned {len(result)} answers for {len(batch)} values"
                 )
+            if policy.null_answers == "fail" and any(r is None for r in result):
+                raise LookupFailed(f"lookup returned null for {sum(r is None for r in result)} values")
             return [None if r is None else str(r) for r in result]
         if attempt < policy.max_retries:
             sleep(min(policy.backoff_cap, policy.backoff_base * (2 ** attempt)))
@@ -144,8 +153,8 @@ def _mapper(lookup: Lookup, policy: LookupPolicy, with_mask: bool = False):
     return run
 
 
-def key_expr(column: str, null_as_text: bool = False):
-    s = F.col(column).cast("string")
+def key_expr(column: str, null_as_text: bool = False, dtype=None):
+    s = text_of(F.col(quote(column)), dtype)
     return F.coalesce(s, F.lit(NULL_TEXT)) if null_as_text else s
 
 
@@ -158,31 +167,32 @@ def distinct_values(df: DataFrame, columns: Iterable[str], *, null_as_text: bool
                     with_mask: bool = False, drop_blank: bool = True) -> DataFrame:
     """Distinct non-null string values over all ``columns`` (column ``value``).
 
-    One partial + final aggregate over the union of the columns. With
-    ``with_mask`` a bigint ``mask`` tells in which columns the value occurs
-    (bit ``i`` for column ``i``), so each column's join side holds only its own
-    values. ``drop_blank`` removes blank values with a per-row whitespace rule
-    (text columns only; a cast number, date or boolean is never blank); the
-    mapping builders pass ``False`` and handle the few blank *distinct*
-    values themselves, which keeps the regex off the per-row path.
+    One scan: the columns of a row become rows (``inline``) in front of one
+    partial + final aggregate. With ``with_mask`` a bigint ``mask`` tells in
+    which columns the value occurs (bit ``i`` for column ``i``), so each
+    column's join side holds only its own values. ``drop_blank`` removes blank
+    values with a per-row whitespace rule (text columns only; a cast number,
+    date or boolean is never blank); the mapping builders pass ``False`` and
+    handle the few blank *distinct* values themselves, which keeps the regex
+    off the per-row path.
     """
     cols = as_list(columns)
-    _check_columns(df, cols)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    parts = []
-    for i, c in enumerate(cols):
-        v = key_expr(c, null_as_text)
-        keep = has_text(v) if drop_blank and may_be_blank(types[c]) else v.isNotNull()
-        part = df.where(keep).select(v.alias("value"))
-        if with_mask:
-            part = part.withColumn("mask", F.lit(column_bit(i)).cast("long"))
-        parts.append(part)
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionAll(p)
+    types = column_types(df, cols)
+
+    def entry(i: int, c: str) -> Column:
+        v = key_expr(c, null_as_text, types[c])
+        if drop_blank and may_be_blank(types[c]):
+            v = F.when(has_text(v), v)
+        return F.struct(v.alias("value"), F.lit(column_bit(i)).cast("long").alias("mask"))
+
+    if len(cols) == 1:
+        rows = df.select(entry(0, cols[0]).alias("e")).select("e.*")
+    else:
+        rows = df.select(F.inline(F.array(*[entry(i, c) for i, c in enumerate(cols)])))
+    rows = rows.where(F.col("value").isNotNull())
     if with_mask:
-        return union.groupBy("value").agg(F.bit_or("mask").alias("mask"))
-    return union.distinct()
+        return rows.groupBy("value").agg(F.bit_or("mask").alias("mask"))
+    return rows.select("value").distinct()
 
 
 def lookup_mapping(
@@ -234,15 +244,20 @@ def column_sizes(mapping: DataFrame, n_columns: int) -> list[int]:
     return [int(row[f"b{i}"]) for i in range(n_columns)]
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder: computed once, re-read after executor loss."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def read_once(df: DataFrame) -> DataFrame:
+    """``df`` for two reads: written to the shared folder if it may differ or is costly to repeat."""
+    from cloakline.plans.inspect import has_exchange, is_deterministic
+
+    return write_scratch(df, "input") if not is_deterministic(df) or has_exchange(df) else df
+
+
+def materialize_mapping(mapping: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
+    """The mapping in the shared folder (deleted by a ``scratch_scope``), its values replaced by digests."""
+    return write_scratch(mapping.withColumn("value", digest(F.col("value"))), "mapping")
 
 
-def materialize_mapping(mapping: DataFrame) -> DataFrame:
-    """The mapping as a Parquet table in the shared folder (deleted by a ``scratch_scope``)."""
-    return write_scratch(mapping, "mapping")
+def salted_digest(salt: bytes) -> Callable[[Column], Column]:
+    return lambda value: F.unhex(F.sha2(F.concat(F.lit(salt), utf8(value)), 256))
 
 
 def _check_skew_handling(spark) -> None:
@@ -268,31 +283,48 @@ def join_mapping(
     mapping: DataFrame,
     *,
     null_as_text: bool = False,
-    broadcast_max_bytes: int = 64 << 20,
-    materialize_first: bool = True,
-    missing: str | None = "",
-    require_broadcast: bool = False,
-) -> DataFrame | None:
+    digest: Callable[[Column], Column] | None = None,
+    broadcast_max_bytes: int | None = None,
+    missing: str = "fail",
+) -> DataFrame:
     """Replace each column's values by ``mapping.mapped`` (left join, order kept).
 
-    Null stays null, blank becomes '', a value missing from the mapping
-    becomes ``missing`` ('' as the reference). The mapping is checkpointed
-    first when ``materialize_first``. If it has a ``mask`` column (see
-    ``distinct_values``), each column joins only the values that occur in it.
-    Each column's side is broadcast only when its measured payload is at
-    most ``broadcast_max_bytes``; with ``require_broadcast`` a larger side
-    returns ``None`` (the caller picks another plan) instead of a shuffle join.
+    Null stays null, blank becomes ''. Any other value without an answer fails
+    the job (``missing='fail'``) or becomes null (``'null'``); a column whose
+    rows are filtered out afterwards fails nothing. If the mapping has a
+    ``mask`` column (see ``distinct_values``), each column joins only the
+    values that occur in it. ``digest``: how ``mapping.value`` was made from
+    the values, if it was.
+
+    With ``broadcast_max_bytes`` the mapping must be a stored table: sides are
+    measured, and broadcast from the smallest on while their sum stays within
+    the bound. Without it Spark picks the joins.
     """
     cols = as_list(columns)
-    _check_columns(df, cols)
-    if materialize_first:
-        mapping = materialize_mapping(mapping)
-    sizes = column_sizes(mapping, len(cols))
-    small = [size <= broadcast_max_bytes for size in sizes]
-    if require_broadcast and not all(small):
-        return None
-    if not all(small):
-        _check_skew_handling(df.sparkSession)
+    types = column_types(df, cols)
+    small = [False] * len(cols)
+    if broadcast_max_bytes is not None:
+        sizes = column_sizes(mapping, len(cols))
+        room = broadcast_max_bytes
+        for i in sorted(range(len(cols)), key=sizes.__getitem__):
+            room -= sizes[i]
+            small[i] = room >= 0
+        if not all(small):
+            _check_skew_handling(df.sparkSession)
+
+    def key_of(c: str, spread: bool = True) -> Column:
+        """The join key: the value or its digest; a blank value has none.
+
+        Rows without a value are the left side's hot key. Against a stored
+        mapping they get one of many keys that match nothing; in the lazy plan,
+        which stays deterministic, they are null and AQE splits them.
+        """
+        s = key_expr(c, null_as_text, types[c])
+        has = s.isNotNull() & (s != "") if may_be_blank(types[c]) else s.isNotNull()
+        if digest is None:
+            return F.when(has, s)
+        lone = F.concat(F.lit("\0"), F.spark_partition_id().cast("string")) if spread else F.lit("\0")
+        return F.when(has, digest(s)).otherwise(lone.cast("binary"))
 
     def side_of(i: int, key: str, val: str) -> DataFrame:
         side = mapping
@@ -301,55 +333,45 @@ def join_mapping(
         return side.select(F.col("value").alias(key), F.col("mapped").alias(val))
 
     out = df
-    big = [i for i in range(len(cols)) if not small[i]]
+    big = [i for i in range(len(cols)) if not small[i]] if broadcast_max_bytes is not None else []
     if len(big) >= 2:
-        out = _join_tuples(df, cols, big, side_of, null_as_text)
+        out = _join_tuples(df, cols, big, side_of, key_of)
     replaced = {}
-    types = {f.name: f.dataType for f in df.schema.fields}
     for i, c in enumerate(cols):
         key, val = f"__cl_key{i}", f"__cl_val{i}"
-        s = key_expr(c, null_as_text)
-        text = may_be_blank(types[c])
-        if len(big) >= 2 and i in big:
-            pass  # ``val`` came with the tuple join
-        else:
+        s = key_expr(c, null_as_text, types[c])
+        if len(big) < 2 or i not in big:  # else ``val`` came with the tuple join
             side = side_of(i, key, val)
-            if small[i]:
-                side = F.broadcast(side)
-            out = out.withColumn(key, s).join(side, on=key, how="left")
-        found = F.col(val) if missing is None else F.coalesce(F.col(val), F.lit(missing))
+            out = out.withColumn(key, key_of(c)).join(F.broadcast(side) if small[i] else side, on=key, how="left")
+        found = F.col(val)
+        if missing == "fail":
+            found = F.coalesce(found, F.raise_error(F.lit(f"column {c}: a value has no answer")).cast("string"))
         rule = F.when(s.isNull(), F.lit(None).cast("string"))
-        if text:
-            # The mapping holds no blank value, so a blank row finds no match;
-            # the whitespace regex runs only for the rows without one.
+        if may_be_blank(types[c]):
+            # No blank value has an answer; the whitespace regex runs only for rows without one.
             rule = rule.when(F.col(val).isNull() & ~has_text(s), F.lit(""))
         replaced[c] = rule.otherwise(found)
-    return out.select(*[replaced[c].alias(c) if c in replaced else F.col(c) for c in df.columns])
+    return out.select(*[replaced[c].alias(c) if c in replaced else F.col(quote(c)) for c in df.columns])
 
 
-def _join_tuples(df: DataFrame, cols: list[str], big: list[int], side_of, null_as_text: bool) -> DataFrame:
+def _join_tuples(df: DataFrame, cols: list[str], big: list[int], side_of, key_of) -> DataFrame:
     """Columns ``big`` (sides too large to broadcast) through one shuffle of ``df``.
 
     Joining each such column on its own would shuffle the whole table once
     per column. The result depends only on the tuple of those values, so the
     distinct tuples (narrow, one partial + final aggregate) are joined with
-    each column's side, and the table joins that once on the tuple (null-safe
-    keys): one shuffle of the table however many columns. Exact-copy tuples
-    collapse in the distinct; a hot tuple's partition is split by AQE.
-    Adds ``__cl_val<i>`` for each ``i`` in ``big``.
+    each column's side, and the table joins that once on the tuple: one
+    shuffle of the table however many columns. Exact-copy tuples collapse in
+    the distinct; a hot tuple's partition is split by AQE. Adds
+    ``__cl_val<i>`` for each ``i`` in ``big``.
     """
     tk = {i: f"__cl_tk{i}" for i in big}
-    rk = {i: f"__cl_rk{i}" for i in big}
-    tuples = df.select(*[key_expr(cols[i], null_as_text).alias(tk[i]) for i in big]).distinct()
+    keyed = df.withColumns({tk[i]: key_of(cols[i], spread=False) for i in big})
+    tuples = keyed.select(*tk.values()).distinct()
     for i in big:
         side = side_of(i, f"__cl_sk{i}", f"__cl_val{i}")
         tuples = tuples.join(side, F.col(tk[i]) == F.col(f"__cl_sk{i}"), "left").drop(f"__cl_sk{i}")
-    tuples = tuples.withColumnsRenamed({tk[i]: rk[i] for i in big})
-    keyed = df.withColumns({tk[i]: key_expr(cols[i], null_as_text) for i in big})
-    cond = F.col(tk[big[0]]).eqNullSafe(F.col(rk[big[0]]))
-    for i in big[1:]:
-        cond = cond & F.col(tk[i]).eqNullSafe(F.col(rk[i]))
-    return keyed.join(tuples, cond, "left")
+    return keyed.join(tuples, list(tk.values()), "left")
 
 
 def apply_lookup(
@@ -364,25 +386,24 @@ def apply_lookup(
 ) -> DataFrame:
     """Service-mode pseudonymize or re-identify (the lookup decides which).
 
-    The input is read twice (distinct values, then the join), so an input
-    whose plan is nondeterministic is checkpointed first.
+    The input is read twice (distinct values, then the join), so an input that
+    shuffles or may differ between reads is written to the shared folder first.
     """
-    from cloakline.plans.inspect import is_deterministic
-
     cols = as_list(columns)
     if df.isStreaming:
         raise ValueError(
             "service mode needs a distinct + join per micro-batch: use "
             "streaming.stream.start_lookup_stream (foreachBatch) for a stream"
         )
-    if not is_deterministic(df):
-        df = materialize(df)
+    df = read_once(df)
     mapping = lookup_mapping(
         df, cols, lookup, policy=policy, partitions=partitions, null_as_text=null_as_text,
         with_mask=True,
     )
+    digest = salted_digest(secrets.token_bytes(32))
     return join_mapping(
-        df, cols, mapping, null_as_text=null_as_text, broadcast_max_bytes=broadcast_max_bytes
+        df, cols, materialize_mapping(mapping, digest), null_as_text=null_as_text, digest=digest,
+        broadcast_max_bytes=broadcast_max_bytes, missing=policy.null_answers,
     )
 
 

@@ -3,33 +3,39 @@
 Crypto mode is a single projection: ``withColumns`` replaces the chosen
 columns in place (names, order and the other columns untouched), so Catalyst
 keeps predicate pushdown and column pruning across it and the plan is
-``Scan -> Project`` with no shuffle and no Python worker.
+``Scan -> Project`` with no shuffle and no Python worker. That is the plan at
+every size; no job runs when it is built.
+
+``strategy='distinct'`` (per call or per column) is the caller's choice for
+identifier columns that repeat a lot: sealing costs ~20 us per value, so each
+distinct value is sealed once and joined back, in the same lazy plan. Which
+join that is, Spark decides from the measured size of the distinct side. Both
+plans give the same output and fail on the same rows: a pseudonym that can't
+be revealed is carried as null through the join, and only a row that reaches
+the projection raises.
 
 ``linkage='run'`` with random pseudonyms needs one pseudonym per distinct
-value and run: distinct values are sealed once, the mapping is written to the
-shared folder (a random result must not change when recomputed) and joined
-back.
-
-Deterministic mode picks between two plans (``strategy='auto'``). Sealing
-costs ~20 us per value, while identifier columns usually repeat a lot (the
-reference's batch data has 10,000 VINs at any size). So an HLL estimate of
-the distinct count (one scan, partial aggregation, no shuffle) decides:
-few distinct values -> seal each once, write the mapping to the shared
-folder, measure it, and broadcast-join it back if under the byte bound;
-otherwise (or if the measured mapping is too large) the per-row projection. Both give the same
-output. Streams always use the projection.
+value and run: distinct values are sealed once, the mapping (keyed by an HMAC
+of the value, never the value) is written to the shared folder, since a random
+result must not change when recomputed, and joined back.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cloakline.functions import crypto
 from cloakline.keys import Keyring
-from cloakline.plans.inspect import catalog_estimate, computes_columns, has_exchange, is_deterministic
+from cloakline.plans.inspect import has_exchange, is_deterministic
+
+
+def quote(name: str) -> str:
+    """A column name for ``F.col``: dots and backticks are part of the name."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def as_list(columns: str | Iterable[str]) -> list[str]:
@@ -41,113 +47,55 @@ def as_list(columns: str | Iterable[str]) -> list[str]:
     return cols
 
 
-def _check_columns(df: DataFrame, cols: list[str]) -> None:
-    missing = [c for c in cols if c not in df.columns]
+def column_types(df: DataFrame, cols: list[str]) -> dict[str, T.DataType]:
+    """Types of the chosen columns (exact names); complex types are refused."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    missing = [c for c in cols if c not in types]
     if missing:
         raise ValueError(f"columns not in DataFrame: {missing}")
+    for c in cols:
+        crypto.check_type(c, types[c])
+    return {c: types[c] for c in cols}
 
 
-def spread(df: DataFrame, min_partitions: int | str | None = "auto") -> DataFrame:
-    """Round-robin fan-out when a scan yields fewer partitions than cores.
+def spread(df: DataFrame, min_partitions: int | str | None = None) -> DataFrame:
+    """Round-robin fan-out of a scan with fewer partitions than ``min_partitions``.
 
-    Sealing costs ~20 us per value, so a one-partition scan (one row group)
-    would run on one core. At cluster scale the scan already has far more
-    partitions than ``min_partitions`` and this is a no-op (no shuffle).
-    Only scan-like inputs are inspected: counting the partitions of a plan
-    with an exchange would run its upstream stages an extra time.
+    Off unless asked for (a number, or "auto" for the session's cores): it
+    shuffles whole rows. Worth it for a small table in one row group, whose
+    values would all be sealed on one core.
     """
     if min_partitions is None or df.isStreaming or has_exchange(df):
         return df
-    if min_partitions == "auto":
-        min_partitions = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < int(min_partitions):
-        return df.repartition(int(min_partitions))
-    return df
+    n = df.sparkSession.sparkContext.defaultParallelism if min_partitions == "auto" else int(min_partitions)
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
-STRATEGIES = ("auto", "row", "distinct")
-DISTINCT_MAX = 1_000_000
-DISTINCT_RATIO = 0.5
+STRATEGIES = ("row", "distinct")
 BROADCAST_MAX_BYTES = 64 << 20
 
 
-# Bytes of the longest string form of a non-text value (a bigint has 20).
-NON_TEXT_BYTES = 20.0
-
-
-def _scan_estimate(df: DataFrame, cols: list[str]) -> tuple[int, list[int], list[float]]:
-    """One scan of the chosen columns, partial aggregation only: row count,
-    HLL distinct counts and mean string sizes."""
-    est = df.agg(
-        F.count(F.lit(1)).alias("__cl_rows"),
-        *[F.approx_count_distinct(c).alias(f"__cl_d{i}") for i, c in enumerate(cols)],
-        *[F.avg(F.octet_length(F.col(c).cast("string"))).alias(f"__cl_b{i}")
-          for i, c in enumerate(cols)],
-    ).first()
-    return (
-        int(est["__cl_rows"]),
-        [int(est[f"__cl_d{i}"] or 0) for i in range(len(cols))],
-        [float(est[f"__cl_b{i}"] or 0.0) for i in range(len(cols))],
-    )
-
-
-def _estimate(df: DataFrame, cols: list[str]) -> tuple[int, list[int], list[float]]:
-    """Catalyst's column statistics when the catalog has them (no job), else a scan."""
-    known = catalog_estimate(df, cols)
-    if known is None:
-        return _scan_estimate(df, cols)
-    rows, distinct, sizes = known
-    types = {f.name: f.dataType for f in df.schema.fields}
-    sizes = [
-        b if (crypto.may_be_blank(types[c]) and b is not None) else NON_TEXT_BYTES
-        for c, b in zip(cols, sizes)
-    ]
-    return rows, distinct, sizes
+def strategies(cols: list[str], strategy: str | Mapping[str, str], types: dict[str, T.DataType]) -> dict[str, str]:
+    """Strategy of each column; binary columns are always handled by row."""
+    chosen = {c: strategy if isinstance(strategy, str) else strategy.get(c, "row") for c in cols}
+    if not set(chosen.values()) <= set(STRATEGIES):
+        raise ValueError(f"strategy must be one of {STRATEGIES}")
+    return {c: "row" if isinstance(types[c], T.BinaryType) else x for c, x in chosen.items()}
 
 
-def _distinct_plan(df, cols, value_fn, *, strategy, null_as_text, distinct_max,
-                   broadcast_max_bytes, min_partitions):
-    """Seal/reveal each distinct value once and join back; None = use the row plan."""
-    if strategy not in STRATEGIES:
-        raise ValueError(f"strategy must be one of {STRATEGIES}")
-    if strategy == "row" or df.isStreaming:
-        return None
-    if not is_deterministic(df):
-        # The mapping and the join would see two different evaluations.
-        return None
-    if strategy == "auto" and (has_exchange(df) or computes_columns(df, cols)):
-        # The estimate and the mapping would re-run the upstream shuffles, or
-        # re-evaluate the expressions computing the columns (each pass would
-        # pay for them again).
-        return None
+def _by_distinct(df: DataFrame, cols: list[str], value_fn, *, null_as_text: bool, missing: str) -> DataFrame:
+    """Each distinct value of ``cols`` through ``value_fn`` once, joined back; one lazy plan."""
     from cloakline.operators.lookup import distinct_values, join_mapping
 
-    if strategy == "auto":
-        rows, distinct, sizes = _estimate(df, cols)
-        total = sum(distinct)
-        if total > distinct_max or total > DISTINCT_RATIO * rows * len(cols):
-            return None
-        # Predicted payload of each column's join side (value + pseudonym, the
-        # larger side of either direction): skip the mapping pass when a side
-        # could not be broadcast anyway.
-        predicted = [d * (b + 4 * ((28 + b) // 3 + 1)) for d, b in zip(distinct, sizes)]
-        if max(predicted) > broadcast_max_bytes:
-            return None
-    # Blank distinct values stay in the mapping with a null pseudonym: the
-    # whitespace rule runs per distinct value, not per row (see join_mapping).
-    values = distinct_values(df, cols, null_as_text=null_as_text, with_mask=True, drop_blank=False)
-    if min_partitions is not None:
-        n = df.sparkSession.sparkContext.defaultParallelism if min_partitions == "auto" else int(min_partitions)
-        values = values.repartition(n)
+    if df.isStreaming:
+        raise ValueError("strategy='distinct' needs a batch DataFrame; a stream is a projection")
+    if not is_deterministic(df):
+        raise ValueError("strategy='distinct' reads its input twice, and this plan may differ between reads "
+                         "(random values, a limit, ties): write it first, or use strategy='row'")
     v = F.col("value")
-    mapping = values.select("value", F.when(crypto.has_text(v), value_fn(v)).alias("mapped"), "mask")
-    # Spread the input here, while it is still a scan: later per-row work on
-    # the joined output can no longer be spread without re-running the join.
-    return join_mapping(
-        spread(df, min_partitions), cols, mapping, null_as_text=null_as_text,
-        broadcast_max_bytes=broadcast_max_bytes, missing=None,
-        require_broadcast=(strategy == "auto"),
-    )
+    mapping = distinct_values(df, cols, null_as_text=null_as_text, with_mask=True, drop_blank=False).select(
+        "value", F.when(crypto.has_text(v), value_fn(v)).alias("mapped"), "mask")
+    return join_mapping(df, cols, mapping, null_as_text=null_as_text, missing=missing)
 
 
 def pseudonymize(
@@ -158,19 +106,20 @@ def pseudonymize(
     deterministic: bool = True,
     linkage: str = "row",
     null_as_text: bool = False,
-    strategy: str = "auto",
-    distinct_max: int = DISTINCT_MAX,
+    strategy: str | Mapping[str, str] = "row",
     broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
-    min_partitions: int | str | None = "auto",
+    min_partitions: int | str | None = None,
 ) -> DataFrame:
     """Replace values of ``columns`` by pseudonyms; output columns are strings.
 
     ``linkage`` only matters when ``deterministic=False``: ``'row'`` gives a
     fresh pseudonym per row, ``'run'`` one per distinct value in this call.
-    ``strategy`` ('auto', 'row', 'distinct') picks the deterministic plan.
+    ``strategy`` ('row' or 'distinct', for all columns or by column) picks the
+    deterministic plan.
     """
     cols = as_list(columns)
-    _check_columns(df, cols)
+    types = column_types(df, cols)
+    chosen = strategies(cols, strategy, types)
     if linkage not in ("row", "run"):
         raise ValueError("linkage must be 'row' or 'run'")
     keys = keyring.columns(df.sparkSession)
@@ -178,37 +127,29 @@ def pseudonymize(
         if df.isStreaming:
             raise ValueError("linkage='run' needs a distinct + join per batch; on a stream use "
                              "linkage='row' or a foreachBatch sink")
-        from cloakline.operators.lookup import distinct_values, join_mapping, materialize
+        if any(isinstance(t, T.BinaryType) for t in types.values()):
+            raise ValueError("linkage='run' links text values; encode a binary column first")
+        from cloakline.operators.lookup import distinct_values, join_mapping, materialize_mapping, read_once
 
-        if not is_deterministic(df):
-            df = materialize(df)
-        values = distinct_values(df, cols, null_as_text=null_as_text, with_mask=True, drop_blank=False)
+        df = read_once(df)
         v = F.col("value")
-        mapping = values.select(
-            "value", F.when(crypto.has_text(v), crypto.seal(v, keys, deterministic=False)).alias("mapped"),
-            "mask",
-        )
-        return join_mapping(df, cols, mapping, null_as_text=null_as_text,
-                            broadcast_max_bytes=broadcast_max_bytes)
-    if deterministic:
-        planned = _distinct_plan(
-            df, cols, lambda v: crypto.seal(v, keys, True), strategy=strategy,
-            null_as_text=null_as_text, distinct_max=distinct_max,
-            broadcast_max_bytes=broadcast_max_bytes, min_partitions=min_partitions,
-        )
-        if planned is not None:
-            return planned
+        mapping = distinct_values(df, cols, null_as_text=null_as_text, with_mask=True, drop_blank=False).select(
+            "value", F.when(crypto.has_text(v), crypto.seal(v, keys, deterministic=False)).alias("mapped"), "mask")
+
+        def digest(value):
+            return F.unhex(crypto.hmac_sha256_hex(crypto.utf8(value), keys))
+
+        return join_mapping(df, cols, materialize_mapping(mapping, digest), null_as_text=null_as_text,
+                            digest=digest, broadcast_max_bytes=broadcast_max_bytes)
     df = spread(df, min_partitions)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumns(
-        {
-            c: crypto.pseudonymize_value(
-                F.col(c), keys, deterministic=deterministic, null_as_text=null_as_text,
-                text=crypto.may_be_blank(types[c]),
-            )
-            for c in cols
-        }
-    )
+    once = [c for c in cols if deterministic and chosen[c] == "distinct"]
+    if once:
+        df = _by_distinct(df, once, lambda v: crypto.seal(v, keys, True), null_as_text=null_as_text, missing="fail")
+    return df.withColumns({
+        c: crypto.pseudonymize_value(F.col(quote(c)), keys, deterministic=deterministic,
+                                     null_as_text=null_as_text, dtype=types[c])
+        for c in cols if c not in once
+    })
 
 
 def reidentify(
@@ -217,30 +158,30 @@ def reidentify(
     keyring: Keyring,
     *,
     on_error: str = "fail",
-    strategy: str = "auto",
-    distinct_max: int = DISTINCT_MAX,
-    broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
-    min_partitions: int | str | None = "auto",
+    binary: str | Iterable[str] = (),
+    strategy: str | Mapping[str, str] = "row",
+    min_partitions: int | str | None = None,
 ) -> DataFrame:
     """Turn pseudonyms in ``columns`` back into values (null/blank kept).
 
-    Random pseudonyms differ per row, so 'auto' mostly finds many distinct
-    values and keeps the per-row plan; deterministic ones repeat.
+    Columns named in ``binary`` come back as the bytes that were sealed, the
+    others as strings. ``strategy`` as in ``pseudonymize``.
     """
     cols = as_list(columns)
-    _check_columns(df, cols)
+    types = column_types(df, cols)
+    chosen = strategies(cols, strategy, types)
+    if on_error not in ("fail", "null"):
+        raise ValueError("on_error must be 'fail' or 'null'")
+    raw = {binary} if isinstance(binary, str) else set(binary)
     keys = keyring.columns(df.sparkSession)
-    planned = _distinct_plan(
-        df, cols, lambda v: crypto.reveal(v, keys, on_error), strategy=strategy,
-        null_as_text=False, distinct_max=distinct_max,
-        broadcast_max_bytes=broadcast_max_bytes, min_partitions=min_partitions,
-    )
-    if planned is not None:
-        return planned
     df = spread(df, min_partitions)
-    return df.withColumns(
-        {c: crypto.reidentify_value(F.col(c), keys, on_error=on_error) for c in cols}
-    )
+    once = [c for c in cols if chosen[c] == "distinct" and c not in raw]
+    if once:
+        df = _by_distinct(df, once, lambda v: crypto.reveal(v, keys, "null"), null_as_text=False, missing=on_error)
+    return df.withColumns({
+        c: crypto.reidentify_value(F.col(quote(c)), keys, on_error=on_error, binary=c in raw)
+        for c in cols if c not in once
+    })
 
 
 def rename_with_prefix(df: DataFrame, columns: Iterable[str], prefix: str = "s_") -> DataFrame:

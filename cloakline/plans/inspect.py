@@ -17,77 +17,35 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow
                 "FlatMapGroupsInPandas", "PythonUDF")
 
 
-def is_deterministic(df: DataFrame) -> bool:
-    """False if recomputing ``df`` may give other values (rand, random IVs, ...)."""
-    return bool(df._jdf.queryExecution().analyzed().deterministic())
+def nodes(plan):
+    """All nodes of a JVM plan, the plan below an adaptive one included."""
+    if plan.nodeName().startswith("AdaptiveSparkPlan"):
+        plan = plan.initialPlan()
+    yield plan
+    children = plan.children()
+    for i in range(children.size()):
+        yield from nodes(children.apply(i))
 
 
-def computes_columns(df: DataFrame, columns: list[str]) -> bool:
-    """True if any of ``columns`` is computed by an expression, not read as stored.
+# Logical operators whose result may differ between two runs over equal data:
+# which rows they keep, or how ties fall, depends on the order of arrival.
+ORDER_DEPENDENT = {"GlobalLimit", "LocalLimit", "Limit", "Offset", "Tail", "Deduplicate", "Sample", "Window",
+                   "WithWindowDefinition"}
 
-    Walks the optimized plan of ``df.select(columns)`` down through projections
-    and filters: a projection of anything but a (renamed) attribute means each
-    evaluation pays for that expression again, e.g. a pseudonym computed in
-    the same lineage.
-    """
-    node = df.select(*columns)._jdf.queryExecution().optimizedPlan()
-    while True:
-        name = node.nodeName()
-        if name == "Project":
-            exprs = node.projectList()
-            for i in range(exprs.size()):
-                e = exprs.apply(i)
-                if e.nodeName() == "Alias":
-                    e = e.child()
-                if e.nodeName() != "AttributeReference":
-                    return True
-            node = node.child()
-        elif name == "Filter":
-            node = node.child()
-        else:
-            return False
-
-
-def _number(value) -> int:
-    """A JVM number as a Python int (py4j converts some, a BigInt stays an object)."""
-    return int(value) if isinstance(value, (int, float)) else int(value.toString())
-
-
-def catalog_estimate(df: DataFrame, columns: list[str]):
-    """``(rows, [distinct per column], [mean bytes per column])`` from Catalyst's
-    plan statistics, or ``None`` when any of them is unknown.
-
-    Known for catalog tables analyzed with ``ANALYZE TABLE ... COMPUTE
-    STATISTICS FOR COLUMNS`` when CBO is on; filters keep them as upper
-    bounds. Costs no job.
-    """
-    try:
-        plan = df.select(*columns)._jdf.queryExecution().optimizedPlan()
-        stats = plan.stats()
-        if not stats.rowCount().isDefined():
-            return None
-        rows = _number(stats.rowCount().get())
-        out = plan.output()
-        distinct, sizes = [], []
-        for i in range(out.size()):
-            col = stats.attributeStats().get(out.apply(i))
-            if not col.isDefined() or not col.get().distinctCount().isDefined():
-                return None
-            distinct.append(_number(col.get().distinctCount().get()))
-            avg = col.get().avgLen()
-            sizes.append(float(_number(avg.get())) if avg.isDefined() else None)
-        return rows, distinct, sizes
-    except Exception:  # noqa: BLE001 -- statistics are an optimization only
-        return None
+
+def is_deterministic(df: DataFrame) -> bool:
+    """False if recomputing ``df`` may give other values (rand, random IVs, a limit, ties, ...)."""
+    plan = df._jdf.queryExecution().analyzed()
+    return all(n.deterministic() and n.nodeName() not in ORDER_DEPENDENT for n in nodes(plan))
 
 
 def has_exchange(df: DataFrame) -> bool:
     """True if the physical plan shuffles or broadcasts (planned, not executed).
 
-    Such a plan is expensive to run twice, so helpers that would inspect or
-    pre-scan their input (partition count, distinct estimate) skip it.
+    Such a plan is expensive to run twice, so helpers that read their input
+    twice write it once instead.
     """
-    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+    return any(n.nodeName().endswith("Exchange") for n in nodes(df._jdf.queryExecution().executedPlan()))
 
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:

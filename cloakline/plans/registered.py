@@ -9,6 +9,7 @@ sizes and keyed sums. All use the fixed test key.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Callable
 
@@ -19,21 +20,70 @@ from pyspark.sql import types as T
 from cloakline.functions.crypto import pseudonym_length
 from cloakline.functions.sql import register_functions, register_lookup_function
 from cloakline.jobs import BatchJob, CsvJob, StreamJob, run_batch, run_csv_batch, run_stream
-from cloakline.keys import test_keyring
+from cloakline.keys import Keyring
 from cloakline.operators.grouping import group_arrays, group_reidentify, n_per_group
-from cloakline.operators.lookup import LookupPolicy, apply_lookup, lookup_mapping
+from cloakline.operators.lookup import LookupPolicy, RetryableError, apply_lookup, lookup_mapping
 from cloakline.operators.table import pseudonymize, reidentify, rename_with_prefix
-from cloakline.plans.fakes import FlakyLookup, PrefixLookup, StripLookup
 from cloakline.session import scratch_path
 from cloakline.sources.io import read_json_lines
 
-KR = test_keyring()
+# Fixed value: the secret of these queries and the tests. No key for production.
+TEST_SECRET = hashlib.sha256(b"cloakline test key - not for production").digest()
+KR = Keyring.from_secret(TEST_SECRET)
 BATCH = 900
 LIMIT = 5000  # the reference's published query (LIMIT 5000): the feature, not a cap
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# ------------------------------------------------- lookups that stand in for a service
+
+
+class PrefixLookup:
+    """``v -> prefix + v``."""
+
+    def __init__(self, prefix: str = "p_"):
+        self.prefix = prefix
+
+    def __call__(self, values: list[str]) -> list[str]:
+        return [self.prefix + v for v in values]
+
+
+class StripLookup:
+    """Inverse of ``PrefixLookup``."""
+
+    def __init__(self, prefix: str = "p_"):
+        self.prefix = prefix
+
+    def __call__(self, values: list[str]) -> list[str]:
+        return [v[len(self.prefix):] if v.startswith(self.prefix) else "" for v in values]
+
+
+class FlakyLookup:
+    """Fails the first ``failures`` calls of each batch (no answer, then an error); the answers
+    say at which attempt they came: ``p<attempt>_<value>``."""
+
+    def __init__(self, failures: int = 2):
+        self.failures = failures
+        self._calls: dict[tuple, int] = {}
+
+    def __call__(self, values: list[str]):
+        key = tuple(values)
+        n = self._calls[key] = self._calls.get(key, 0) + 1
+        if n <= self.failures:
+            if n % 2:
+                return None
+            raise RetryableError("throttled")
+        return [f"p{n}_{v}" for v in values]
+
+
+class SizeLookup:
+    """Answers with the number of values in the call."""
+
+    def __call__(self, values: list[str]) -> list[str]:
+        return [str(len(values))] * len(values)
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
@@ -175,6 +225,25 @@ def random_run_linkage(spark, sf):
     return back.select(F.col("o_custkey").cast("long").alias("o_custkey"), "n")
 
 
+def reveal_filtered_group(spark, sf):
+    """Pseudonyms of one group are damaged; the others are revealed all the same."""
+    src = table(spark, sf, "lineitem").select("l_returnflag", "l_suppkey")
+    pseud = pseudonymize(src, "l_suppkey", KR, strategy="distinct")
+    damaged = pseud.withColumn(
+        "l_suppkey", F.when(F.col("l_returnflag") == "R", F.lit("AAAA")).otherwise(F.col("l_suppkey")))
+    back = reidentify(damaged, "l_suppkey", KR, strategy="distinct").where("l_returnflag <> 'R'")
+    return back.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("l_suppkey").cast("long")).alias("id_sum"))
+
+
+def roundtrip_binary(spark, sf):
+    """Bytes that are no UTF-8 come back as they were."""
+    raw = F.concat(F.unhex(F.lit("FF00FE")), F.encode("c_name", "UTF-8"))
+    src = table(spark, sf, "customer").select("c_custkey", raw.alias("v"))
+    back = reidentify(pseudonymize(src, "v", KR), "v", KR, binary="v")
+    return back.select("c_custkey", F.hex("v").alias("hex"))
+
+
 # ------------------------------------------------------------------ service mode
 
 
@@ -187,8 +256,26 @@ def lookup_join(spark, sf):
 def lookup_retry(spark, sf):
     cols = ["c_name", "c_mktsegment"]
     src = table(spark, sf, "customer").select("c_custkey", *cols)
-    flaky = FlakyLookup(PrefixLookup("p_"), failures=2)
-    return apply_lookup(src, cols, flaky, policy=LookupPolicy(batch_size=300, backoff_base=0.0))
+    return apply_lookup(src, cols, FlakyLookup(failures=2), policy=LookupPolicy(batch_size=300, backoff_base=0.0))
+
+
+def lookup_blanks(spark, sf):
+    src = table(spark, sf, "customer").select("c_custkey", _edge_value().alias("v"))
+    return apply_lookup(src, "v", PrefixLookup("p_"))
+
+
+CALL = 300
+
+
+def lookup_calls(spark, sf):
+    """One caller: the distinct values of two columns in calls of at most 300 values."""
+    sent = lookup_mapping(table(spark, sf, "lineitem"), ["l_partkey", "l_suppkey"], SizeLookup(),
+                          policy=LookupPolicy(batch_size=CALL), partitions=1)
+    return sent.agg(
+        F.count(F.lit(1)).alias("n_values"),
+        F.round(F.sum(1 / F.col("mapped").cast("int"))).cast("long").alias("n_calls"),
+        F.max(F.col("mapped").cast("long")).alias("largest"),
+    )
 
 
 def lookup_roundtrip(spark, sf):
@@ -214,6 +301,19 @@ def sql_lookup_function(spark, sf):
     )
 
 
+def sql_lookup_filter(spark, sf):
+    """A filter on the function's own output."""
+    register_lookup_function(spark, "svc_pseudonymize", PrefixLookup("p_"), LookupPolicy(batch_size=300))
+    views(spark, sf, "customer")
+    return spark.sql(
+        """
+        SELECT c_custkey, found[0] AS e0
+        FROM (SELECT c_custkey, svc_pseudonymize(array(c_name, c_mktsegment)) AS found FROM customer)
+        WHERE found[1] LIKE 'p_%E%'
+        """
+    )
+
+
 # -------------------------------------------------------------------- SQL surface
 
 
@@ -306,38 +406,37 @@ def sql_chunked_groups(spark, sf):
     )
 
 
-def sql_filter_limit(spark, sf):
+FLAGS = ("A", "N", "R")
+
+
+def _pseudo_lines(spark, sf) -> None:
+    """``pseudo_lines(l_returnflag, p)``: pseudonyms of ``<flag>-<order>-<line>``."""
+    name = F.concat_ws("-", "l_returnflag", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    src = table(spark, sf, "lineitem").select("l_returnflag", name.alias("p"))
+    pseudonymize(src, "p", KR).createOrReplaceTempView("pseudo_lines")
+
+
+def _limited_groups(spark, sf, flags) -> DataFrame:
+    """At most LIMIT rows of each flag, revealed as one array, with a check of every element."""
     register_functions(spark, KR)
-    _pseudo_events(spark, sf)
+    _pseudo_lines(spark, sf)
+    picked = "\nUNION ALL\n".join(
+        f"(SELECT * FROM pseudo_lines WHERE l_returnflag = '{x}' LIMIT {LIMIT})" for x in flags)
     return spark.sql(
         f"""
-        WITH dataset AS (
-          SELECT event_type, s_user_id FROM pseudo_events WHERE event_type = 'click' LIMIT {LIMIT}
-        )
-        SELECT event_type, CAST(size(vins) AS BIGINT) AS n_values
-        FROM (SELECT event_type, reidentify(grouped_s_vins) AS vins
-              FROM (SELECT event_type, array_agg(s_user_id) AS grouped_s_vins
-                    FROM dataset GROUP BY event_type))
+        SELECT l_returnflag, CAST(size(names) AS BIGINT) AS n_values,
+               forall(names, x -> startswith(x, l_returnflag || '-')) AS own_group
+        FROM (SELECT l_returnflag, reidentify(collect_list(p)) AS names FROM ({picked}) GROUP BY l_returnflag)
         """
     )
 
 
+def sql_filter_limit(spark, sf):
+    return _limited_groups(spark, sf, FLAGS[1:2])
+
+
 def sql_union_groups(spark, sf):
-    register_functions(spark, KR)
-    _pseudo_events(spark, sf)
-    branches = " UNION ALL ".join(
-        f"(SELECT event_type, s_user_id FROM pseudo_events WHERE event_type = '{g}' LIMIT {LIMIT})"
-        for g in ("click", "view", "error")
-    )
-    return spark.sql(
-        f"""
-        WITH dataset AS ({branches})
-        SELECT event_type, CAST(size(vins) AS BIGINT) AS n_values
-        FROM (SELECT event_type, reidentify(grouped_s_vins) AS vins
-              FROM (SELECT event_type, array_agg(s_user_id) AS grouped_s_vins
-                    FROM dataset GROUP BY event_type))
-        """
-    )
+    return _limited_groups(spark, sf, FLAGS)
 
 
 # ------------------------------------------------------------------ grouping ops
@@ -435,7 +534,7 @@ def stream_roundtrip(spark, sf):
     )
     q = run_stream(spark, job, available_now=True, keyring=KR)
     q.awaitTermination()
-    out = spark.read.parquet(f"{base}/realtime/warehouse/{db}/pseudo_table")
+    out = spark.table(f"{db}.pseudo_table")
     back = reidentify(out, "s_user_id", KR)
     return back.select("event_id", F.col("s_user_id").alias("user_id"), "event_type")
 
@@ -450,7 +549,11 @@ def stream_rejects(spark, sf):
     )
     q = run_stream(spark, job, available_now=True, keyring=KR)
     q.awaitTermination()
-    good = spark.read.parquet(f"{base}/realtime/warehouse/{db}/pseudo_table")
+    return _both_sides(spark, base, db)
+
+
+def _both_sides(spark, base, db):
+    good = spark.table(f"{db}.pseudo_table")
     rejects = spark.read.parquet(f"{base}/rejects")
     # One union and one aggregate (no join): both counts in one row.
     flags = good.select(F.lit(False).alias("rejected")).unionByName(
@@ -473,8 +576,19 @@ def stream_lookup(spark, sf):
     )
     q = run_stream(spark, job, available_now=True, lookup=PrefixLookup("p_"))
     q.awaitTermination()
-    out = spark.read.parquet(f"{base}/realtime/warehouse/{db}/pseudo_table")
-    return out.select("event_id", "s_user_id", "event_type")
+    return spark.table(f"{db}.pseudo_table").select("event_id", "s_user_id", "event_type")
+
+
+def stream_lookup_rejects(spark, sf):
+    base = _stream_input(spark, sf, corrupt=True)
+    db = "cloakline_" + base.rsplit("-", 1)[-1]
+    job = StreamJob.from_dict(
+        {"input_path": f"{base}/in", "input_column": "user_id", "schema": EVENT_SCHEMA,
+         "output_root": base, "db_name": db, "table_name": "pseudo_table", "reject_path": f"{base}/rejects",
+         "mode": "service", "endpoint_url": "https://service.invalid/Dev/pseudonymization"}
+    )
+    run_stream(spark, job, available_now=True, lookup=PrefixLookup("p_")).awaitTermination()
+    return _both_sides(spark, base, db)
 
 
 QUERIES: dict[str, Query] = {
@@ -490,6 +604,12 @@ QUERIES: dict[str, Query] = {
     "blank_null_policy": blank_null_policy,
     "null_as_text": null_as_text,
     "random_run_linkage": random_run_linkage,
+    "reveal_filtered_group": reveal_filtered_group,
+    "roundtrip_binary": roundtrip_binary,
+    "lookup_blanks": lookup_blanks,
+    "lookup_calls": lookup_calls,
+    "sql_lookup_filter": sql_lookup_filter,
+    "stream_lookup_rejects": stream_lookup_rejects,
     "lookup_join": lookup_join,
     "lookup_retry": lookup_retry,
     "lookup_roundtrip": lookup_roundtrip,
@@ -528,11 +648,9 @@ def _edge_sql() -> str:
     )
 
 
-def _limited(group: str) -> str:
-    return (
-        f"SELECT event_type, CAST(least(count(*), {LIMIT}) AS BIGINT) AS n_values "
-        f"FROM events WHERE event_type = '{group}' GROUP BY event_type"
-    )
+def _limited(flags) -> str:
+    return (f"SELECT l_returnflag, CAST(least(count(*), {LIMIT}) AS BIGINT) AS n_values, TRUE AS own_group "
+            f"FROM lineitem WHERE l_returnflag IN {tuple(flags) + ('',)} GROUP BY l_returnflag")
 
 
 def oracles() -> dict[str, str]:
@@ -564,10 +682,23 @@ def oracles() -> dict[str, str]:
         "null_as_text": "SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'None' ELSE c_name END AS value "
                         "FROM customer",
         "random_run_linkage": "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey",
+        "reveal_filtered_group": "SELECT l_returnflag, count(*) AS n, CAST(sum(l_suppkey) AS BIGINT) AS id_sum "
+                                 "FROM lineitem WHERE l_returnflag <> 'R' GROUP BY l_returnflag",
+        "roundtrip_binary": "SELECT c_custkey, 'FF00FE' || hex(encode(c_name)) AS hex FROM customer",
+        "lookup_blanks": "SELECT c_custkey, CASE WHEN v IS NULL THEN NULL WHEN v IN ('', '   ', chr(9) || chr(10), "
+                         "chr(160) || chr(12288)) THEN '' ELSE 'p_' || v END AS v "
+                         f"FROM (SELECT c_custkey, {edge} AS v FROM customer)",
+        "lookup_calls": f"SELECT count(*) AS n_values, CAST(ceil(count(*) / {CALL}) AS BIGINT) AS n_calls, "
+                        f"CAST(least(count(*), {CALL}) AS BIGINT) AS largest FROM ("
+                        "SELECT CAST(l_suppkey AS VARCHAR) FROM lineitem UNION "
+                        "SELECT CAST(l_partkey AS VARCHAR) FROM lineitem)",
+        "sql_lookup_filter": "SELECT c_custkey, 'p_' || c_name AS e0 FROM customer WHERE c_mktsegment LIKE '%E%'",
+        "stream_lookup_rejects": f"SELECT count(*) FILTER (WHERE event_type IS DISTINCT FROM '{CORRUPT_TYPE}') AS n_good, "
+                                 f"count(*) FILTER (WHERE event_type = '{CORRUPT_TYPE}') AS n_rejects FROM events",
         "lookup_join": "SELECT o_orderkey, 'p_' || CAST(o_custkey AS VARCHAR) AS o_custkey, "
                        "'p_' || o_orderstatus AS o_orderstatus, 'p_' || o_orderpriority AS o_orderpriority "
                        "FROM orders",
-        "lookup_retry": "SELECT c_custkey, 'p_' || c_name AS c_name, 'p_' || c_mktsegment AS c_mktsegment "
+        "lookup_retry": "SELECT c_custkey, 'p3_' || c_name AS c_name, 'p3_' || c_mktsegment AS c_mktsegment "
                         "FROM customer",
         "lookup_roundtrip": "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderpriority "
                             "FROM orders",
@@ -586,8 +717,8 @@ def oracles() -> dict[str, str]:
         "sql_chunked_groups": "SELECT event_type, count(*) AS n_values, CAST(sum(user_id) AS BIGINT) AS id_sum, "
                               "min(user_id) AS id_min, max(user_id) AS id_max, TRUE AS chunks_ok "
                               "FROM events WHERE user_id IS NOT NULL GROUP BY event_type",
-        "sql_filter_limit": _limited("click"),
-        "sql_union_groups": " UNION ALL ".join(_limited(g) for g in ("click", "view", "error")),
+        "sql_filter_limit": _limited(FLAGS[1:2]),
+        "sql_union_groups": _limited(FLAGS),
         "top_per_group": "SELECT event_type, event_id, user_id FROM (SELECT event_type, event_id, user_id, "
                          "row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rn FROM events) "
                          "WHERE rn <= 5",

@@ -8,6 +8,7 @@ set only when it is unset *and* the master is local (tests, bench).
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import threading
 import uuid
@@ -111,10 +112,12 @@ _scopes = threading.local()
 def scratch_scope(spark: SparkSession):
     """Delete the scratch tables written inside the block when it ends.
 
-    Used around one micro-batch of ``foreachBatch``: its mapping table is
-    needed only until the batch's output is written, and a stream that runs
-    for months must not leave one folder per batch behind. Per thread, so
-    concurrent streams in one driver keep their own lists.
+    Service mode, ``linkage='run'`` and inputs that must be read twice leave
+    tables in the shared folder, which lazy results read: put the calls and
+    the write of their result in one block, and nothing stays. The jobs and
+    the per-batch stream sink do. Tables written outside of any block go when
+    the driver's interpreter ends. Per thread, so concurrent streams in one
+    driver keep their own lists.
     """
     stack = getattr(_scopes, "stack", None)
     if stack is None:
@@ -129,10 +132,25 @@ def scratch_scope(spark: SparkSession):
             delete_path(spark, path)
 
 
-def track_scratch(path: str) -> None:
+_UNSCOPED: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def _delete_unscoped() -> None:
+    """Scratch tables that no scope owns; the gateway still answers when Python ends."""
+    for spark, path in _UNSCOPED:
+        try:
+            delete_path(spark, path)
+        except Exception:  # noqa: BLE001 -- the JVM is gone: nothing can be deleted any more
+            return
+
+
+def track_scratch(spark: SparkSession, path: str) -> None:
     stack = getattr(_scopes, "stack", None)
     if stack:
         stack[-1].append(path)
+    else:
+        _UNSCOPED.append((spark, path))
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -152,5 +170,5 @@ def write_scratch(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    track_scratch(path)
+    track_scratch(spark, path)
     return spark.read.parquet(path)

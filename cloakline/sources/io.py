@@ -47,6 +47,11 @@ def quote(identifier: str) -> str:
     return "`" + identifier.replace("`", "``") + "`"
 
 
+def literal(text: str) -> str:
+    """``text`` as an SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def qualified(db: str, table: str, catalog: str | None = None) -> str:
     parts = ([catalog] if catalog else []) + [db, table]
     return ".".join(quote(p) for p in parts)
@@ -62,7 +67,7 @@ def table_location(root: str, mode: str, db: str, table: str) -> str:
 def ensure_database(spark: SparkSession, db: str, *, location: str | None = None,
                     catalog: str | None = None) -> None:
     name = ".".join(quote(p) for p in ([catalog] if catalog else []) + [db])
-    loc = f" LOCATION '{location}'" if location else ""
+    loc = f" LOCATION {literal(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{loc}")
 
 
@@ -76,15 +81,17 @@ def ensure_table(
     location: str | None = None,
     catalog: str | None = None,
     properties: dict[str, str] | None = None,
+    partitioned_by: tuple[str, ...] = (),
 ) -> str:
     """``CREATE TABLE IF NOT EXISTS`` with the schema of the DataFrame to append."""
     cols = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
     name = qualified(db, table, catalog)
-    loc = f" LOCATION '{location}'" if location else ""
+    loc = f" LOCATION {literal(location)}" if location else ""
+    parts = f" PARTITIONED BY ({', '.join(map(quote, partitioned_by))})" if partitioned_by else ""
     props = ""
     if properties:
-        props = " TBLPROPERTIES (" + ", ".join(f"'{k}' = '{v}'" for k, v in properties.items()) + ")"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {fmt}{loc}{props}")
+        props = " TBLPROPERTIES (" + ", ".join(f"{literal(k)} = {literal(v)}" for k, v in properties.items()) + ")"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {fmt}{parts}{loc}{props}")
     return name
 
 

@@ -59,6 +59,15 @@ def split_rejects(parsed: DataFrame, corrupt: str = CORRUPT_COLUMN) -> tuple[Dat
     return good, rejects
 
 
+def require_parsed(parsed: DataFrame, corrupt: str = CORRUPT_COLUMN) -> DataFrame:
+    """``parsed`` without ``corrupt``; a record that did not parse fails the query.
+
+    The message does not show the record: it may hold identifiers.
+    """
+    stop = F.raise_error(F.lit("a record does not parse; set reject_path to set such records aside"))
+    return parsed.where(F.when(F.col(corrupt).isNull(), F.lit(True)).otherwise(stop.cast("boolean"))).drop(corrupt)
+
+
 def observe_counts(df: DataFrame, name: str, columns: Iterable[str]) -> DataFrame:
     """Attach row / null / blank counters; read them from ``lastProgress['observedMetrics']``."""
     metrics: list[Column] = [F.count(F.lit(1)).alias("rows")]
@@ -105,8 +114,26 @@ def start_table_sink(
     return _trigger(writer, trigger, available_now).toTable(table)
 
 
+def refuse_batch_column(df: DataFrame) -> None:
+    if BATCH_COLUMN in df.columns:
+        raise ValueError(f"the data have a column {BATCH_COLUMN}, which the sink adds; rename it")
+
+
+def write_batch_to_table(df: DataFrame, table: str, batch_id: int) -> None:
+    """Idempotent per-batch append to a catalog table partitioned by ``batch_id``.
+
+    A replayed batch replaces its own partition; columns go by name.
+    """
+    refuse_batch_column(df)
+    spark = df.sparkSession
+    out = df.withColumn(BATCH_COLUMN, F.lit(int(batch_id)).cast("long"))
+    names = [f"`{c}`" for c in spark.table(table).columns]
+    out.select(*names).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
     """Idempotent per-batch write: replaces only folder ``batch_id=<batch_id>``."""
+    refuse_batch_column(df)
     (
         df.withColumn(BATCH_COLUMN, F.lit(int(batch_id)).cast("long"))
         .write.mode("overwrite")
@@ -119,14 +146,19 @@ def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -
 
 def per_batch(
     transform: Callable[[DataFrame], DataFrame],
-    path: str,
+    path: str | None,
     *,
+    table: str | None = None,
     reject_path: str | None = None,
     corrupt: str = CORRUPT_COLUMN,
     fmt: str = "parquet",
     skip_empty: bool = True,
 ):
-    """``foreachBatch`` function: split rejects, transform, write idempotently."""
+    """``foreachBatch`` function: split rejects, transform, write idempotently to ``path`` or ``table``.
+
+    Records that did not parse go to ``reject_path``; without one they fail
+    the batch. They never reach the output.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         # The batch is read several times (emptiness, rejects, and the
@@ -139,12 +171,18 @@ def per_batch(
             with scratch_scope(batch.sparkSession):
                 if skip_empty and batch.isEmpty():
                     return
-                if reject_path is not None and corrupt in batch.columns:
-                    good, rejects = split_rejects(batch, corrupt)
-                    write_batch(rejects, reject_path, batch_id, fmt)
+                good = batch
+                if corrupt in batch.columns:
+                    if reject_path is None:
+                        good = require_parsed(batch, corrupt)
+                    else:
+                        good, rejects = split_rejects(batch, corrupt)
+                        write_batch(rejects, reject_path, batch_id, fmt)
+                out = transform(good)
+                if table is not None:
+                    write_batch_to_table(out, table, batch_id)
                 else:
-                    good = batch
-                write_batch(transform(good), path, batch_id, fmt)
+                    write_batch(out, path, batch_id, fmt)
         finally:
             batch.unpersist()
 
@@ -154,16 +192,17 @@ def per_batch(
 def start_batch_sink(
     sdf: DataFrame,
     transform: Callable[[DataFrame], DataFrame],
-    path: str,
+    path: str | None,
     checkpoint: str,
     *,
+    table: str | None = None,
     reject_path: str | None = None,
     corrupt: str = CORRUPT_COLUMN,
     trigger: str | None = DEFAULT_TRIGGER,
     available_now: bool = False,
 ) -> StreamingQuery:
     writer = sdf.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        per_batch(transform, path, reject_path=reject_path, corrupt=corrupt)
+        per_batch(transform, path, table=table, reject_path=reject_path, corrupt=corrupt)
     )
     return _trigger(writer, trigger, available_now).start()
 

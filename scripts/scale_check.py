@@ -16,7 +16,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from cloakline.keys import test_keyring  # noqa: E402
+from cloakline.plans.registered import KR  # noqa: E402
 from cloakline.operators.table import pseudonymize  # noqa: E402
 from cloakline.session import local_session, scratch_path  # noqa: E402
 from cloakline.sources.datagen import synthetic_batch  # noqa: E402
@@ -26,12 +26,12 @@ def main() -> None:
     rows = int(sys.argv[1]) if len(sys.argv) > 1 else 20_000_000
     cpus = sys.argv[2] if len(sys.argv) > 2 else "8"
     spark = local_session(cpus, app="cloakline-scale")
-    kr = test_keyring()
+    kr = KR
     path = scratch_path(spark, "scale-batch")
     synthetic_batch(spark, rows, partitions=4 * int(cpus)).write.parquet(path)
     df = spark.read.parquet(path)
     out: dict[str, float] = {}
-    for name, strategy in (("auto_cold", "auto"), ("auto_warm", "auto"), ("row", "row")):
+    for name, strategy in (("distinct_cold", "distinct"), ("distinct_warm", "distinct"), ("row", "row")):
         t0 = time.perf_counter()
         pseudonymize(df, "vin", kr, strategy=strategy).write.format("noop").mode("overwrite").save()
         out[name] = round(time.perf_counter() - t0, 2)

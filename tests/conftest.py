@@ -5,7 +5,8 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from cloakline.keys import Keyring, test_keyring  # noqa: E402
+from cloakline.keys import Keyring  # noqa: E402
+from cloakline.plans.registered import KR  # noqa: E402
 from cloakline.session import local_session  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
@@ -20,7 +21,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def kr() -> Keyring:
-    return test_keyring()
+    return KR
 
 
 @pytest.fixture(scope="session")

@@ -115,3 +115,51 @@ def test_argument_checks(spark, kr):
         pseudonymize(df, "v", kr, linkage="bogus")
     with pytest.raises(ValueError):
         pseudonymize(df, "v", kr, strategy="bogus")
+
+
+def test_binary_values_come_back_as_bytes(spark, kr):
+    rows = [(1, b"\xff\x01"), (2, b"\xfe\x01"), (3, b""), (4, None), (5, b"  "), (6, b"plain")]
+    df = spark.createDataFrame(rows, "id int, b binary")
+    for strategy in ("row", "distinct"):
+        p = pseudonymize(df, "b", kr, strategy=strategy).collect()
+        assert len({r.b for r in p}) == 6
+        back = reidentify(spark.createDataFrame(p, "id int, b string"), "b", kr, binary="b").collect()
+        assert {r.id: None if r.b is None else bytes(r.b) for r in back} == dict(rows)
+
+
+def test_timestamps_have_one_text_in_every_time_zone(spark, kr):
+    from pyspark.sql import functions as F
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    got = set()
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.range(1).select(F.timestamp_micros(F.lit(1_700_000_000_000_001)).alias("t"))
+            for strategy in ("row", "distinct"):
+                p = pseudonymize(df, "t", kr, strategy=strategy)
+                got.add(p.first().t)
+                assert reidentify(p, "t", kr).first().t == "2023-11-14 22:13:20.000001Z"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert len(got) == 1
+
+
+def test_dotted_names_and_complex_types(spark, kr):
+    import pytest
+
+    df = spark.createDataFrame([("x", "y", [1])], "`a.b` string, `A` string, arr array<int>")
+    for strategy in ("row", "distinct"):
+        p = pseudonymize(df, "a.b", kr, strategy=strategy)
+        assert p.columns == df.columns and reidentify(p, "a.b", kr, strategy="row").first()[0] == "x"
+    with pytest.raises(ValueError, match="array"):
+        pseudonymize(df, "arr", kr)
+    with pytest.raises(ValueError, match="not in DataFrame"):
+        pseudonymize(df, "a", kr)
+
+
+def test_random_pseudonyms_of_one_column_differ(spark, kr):
+    df = spark.range(20).select(F.col("id").cast("string").alias("a"), F.col("id").cast("string").alias("b"))
+    p = pseudonymize(df, ["a", "b"], kr, deterministic=False)
+    assert not p._jdf.queryExecution().optimizedPlan().deterministic()
+    assert p.where("a = b").isEmpty()

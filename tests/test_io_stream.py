@@ -92,7 +92,7 @@ def test_batch_sink_is_idempotent_and_splits_rejects(spark):
 
 
 def test_lookup_stream(spark):
-    from cloakline.plans.fakes import PrefixLookup
+    from cloakline.plans.registered import PrefixLookup
 
     base = scratch_path(spark, "t-lstream")
     _write_lines(f"{base}/in", [json.dumps({"dept_id": "1", "vin": str(i % 4), "example_ts": "t"})
@@ -120,3 +120,42 @@ def test_stream_to_catalog_table(spark, kr):
     q.awaitTermination()
     back = reidentify(spark.table(name), "vin", kr)
     assert sorted(r.vin for r in back.collect()) == sorted(f"V{i}" for i in range(20))
+
+
+def test_unparsable_records_never_vanish_or_leak(spark, kr):
+    import pytest
+    from cloakline import jobs
+    from cloakline.plans.registered import PrefixLookup
+
+    base = scratch_path(spark, "t-strict")
+    _write_lines(f"{base}/in", [json.dumps({"dept_id": "1", "vin": "V1", "example_ts": "t"}), '{"vin":"SECRETVIN","d":'])
+    db = "cl_strict_" + base.rsplit("-", 1)[-1]
+    common = {"input_path": f"{base}/in", "input_column": "vin", "schema": SCHEMA, "output_root": base, "db_name": db}
+    for mode, kw in (("crypto", {"keyring": kr}), ("service", {"lookup": PrefixLookup()})):
+        job = jobs.StreamJob.from_dict({
+            **common, "mode": mode, "table_name": mode,
+            **({"endpoint_url": "https://x.invalid/Dev/pseudonymization"} if mode == "service" else {})})
+        with pytest.raises(Exception) as failed:
+            jobs.run_stream(spark, job, available_now=True, **kw).awaitTermination()
+        assert "does not parse" in str(failed.value) and "SECRETVIN" not in str(failed.value)
+        assert spark.table(f"{db}.{mode}").count() == 0
+        job = jobs.StreamJob.from_dict({
+            **common, "mode": mode, "table_name": mode + "_ok", "reject_path": f"{base}/rej_{mode}",
+            **({"endpoint_url": "https://x.invalid/Dev/pseudonymization"} if mode == "service" else {})})
+        q = jobs.run_stream(spark, job, available_now=True, metrics="m", **kw)
+        q.awaitTermination()
+        assert q.lastProgress["observedMetrics"]["m"]["rows"] >= 2
+        out = spark.table(f"{db}.{mode}_ok")
+        assert "_corrupt_record" not in out.columns and out.count() == 1 and "batch_id" in out.columns
+        assert spark.read.parquet(f"{base}/rej_{mode}").first().record.startswith('{"vin":"SECRETVIN"')
+
+
+def test_a_batch_id_column_is_refused(spark):
+    import pytest
+
+    with pytest.raises(ValueError, match="batch_id"):
+        stream.write_batch(spark.createDataFrame([(77,)], "batch_id long"), "/unused", 0)
+
+
+def test_ddl_literals_are_escaped():
+    assert io.literal("it's \\ here") == "'it\\'s \\\\ here'"

@@ -27,6 +27,75 @@ def test_batch_config_from_reference_keys():
     assert over.input_columns == ("a", "b") and over.mode == "service"
 
 
+GLUE_YAML = """
+repartition_no: 1
+aws_region: <YOUR_REGION>
+endpoint_url: <YOUR_API_GW>.execute-api.<YOUR_REGION>.amazonaws.com/<STAGE>/<ACTION>
+secret_name: <SECRET_NAME>
+determinism: True
+input_loc: s3://YOUR_INPUT_S3_BUCKET/YOUR_INPUT_FILE.csv
+output_loc: s3://YOUR_OUTPUT_S3_BUCKET/
+input_column: VIN
+"""
+STREAM_YAML = """
+repartition_no: 1
+kinesis_stream_name: " "
+kinesis_endpoint_url: " "
+kinesis_region: " "
+endpoint_url: " "
+secret_name: " "
+determinism: True
+output_bucket_name: " "
+input_column: vin
+db_name: blog_stream_db
+table_name: pseudo_table
+"""
+
+
+def test_the_other_config_shapes():
+    job = jobs.CsvJob.from_yaml(GLUE_YAML)
+    assert job.input_columns == ("VIN",) and job.action == "pseudonymize"
+    job = jobs.StreamJob.from_yaml(STREAM_YAML, output_bucket_name="out", kinesis_stream_name="s1")
+    assert (job.output_root, job.stream_name, job.checkpoint, job.input_path) == ("s3://out", "s1", None, None)
+    assert job.schema == jobs.DEFAULT_STREAM_SCHEMA and job.endpoint_url is None
+    assert jobs.StreamJob.from_yaml(STREAM_YAML, output_root="out").output_root == "out"
+
+
+def test_strict_settings():
+    base = {"input_loc": "a", "output_loc": "b", "input_column": "v"}
+    assert jobs.CsvJob.from_dict({**base, "determinism": "False"}).determinism is False
+    with pytest.raises(ValueError, match="determinism"):
+        jobs.CsvJob.from_dict({**base, "determinism": "maybe"})
+    with pytest.raises(ValueError, match="determinsm"):
+        jobs.CsvJob.from_dict({**base, "determinsm": True})
+    url = "https://x.invalid/Dev/reidentification"
+    assert jobs.CsvJob.from_dict({**base, "endpoint_url": url, "mode": "service"}).action == "reidentify"
+    with pytest.raises(ValueError, match="contradicts"):
+        jobs.CsvJob.from_dict({**base, "endpoint_url": url, "action": "pseudonymize"})
+    with pytest.raises(ValueError, match="names no known action"):
+        jobs.CsvJob.from_dict({**base, "endpoint_url": "https://x.invalid/Dev/<ACTION>", "mode": "service"})
+
+
+def test_named_secret_is_resolved_once(spark, monkeypatch):
+    asked = []
+
+    def resolver(name):
+        asked.append(name)
+        return "k" * 32
+
+    df = spark.createDataFrame([("V1",)], "vin string")
+    base = {"input_loc": "-", "output_loc": "-", "input_column": "vin", "secret_name": "my-secret"}
+    out = jobs.transform(df, jobs.CsvJob.from_dict(base), resolver=resolver)
+    assert out.first().s_vin and asked == ["my-secret"]
+    job = jobs.CsvJob.from_dict({**base, "mode": "service", "endpoint_url": "https://x.invalid/Dev/pseudonymization"})
+    seen = {}
+    monkeypatch.setattr(jobs, "apply_lookup", lambda df, cols, lookup, **kw: seen.update(lookup._headers) or df)
+    jobs.transform(df, job, resolver=resolver)
+    assert seen["x-api-key"] == "k" * 32
+    with pytest.raises(ValueError, match="resolver"):
+        jobs.transform(df, job)
+
+
 def test_config_validation():
     with pytest.raises(ValueError, match="missing"):
         jobs.BatchJob.from_dict({"input_s3_path": "x"})

@@ -1,9 +1,11 @@
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cloakline.functions.sql import register_functions
 from cloakline.operators.grouping import group_arrays, n_per_group
 from cloakline.operators.table import pseudonymize, reidentify
-from cloakline.plans.inspect import exchanges, leaks_key, plan_text, python_nodes, shuffles
+from cloakline.plans.inspect import exchanges, is_deterministic, leaks_key, plan_text, python_nodes, shuffles
 
 CUSTOMER = "/root/testdata/sf0.001/customer.parquet"
 
@@ -26,13 +28,46 @@ def test_filter_and_pruning_reach_scan(spark, kr):
     assert "ReadSchema: struct<c_name:string,c_nationkey:int>" in text
 
 
-def test_distinct_plan_broadcasts_mapping(spark, kr):
+def test_distinct_plan_is_lazy_and_scans_once(spark, kr):
     df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
-    p = pseudonymize(df, "l_suppkey", kr, strategy="auto", min_partitions=None)
+    started = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    p = pseudonymize(df, ["l_suppkey", "l_partkey", "l_orderkey"], kr, strategy="distinct")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == started  # no job at definition
     text = plan_text(p, "simple")
-    assert "BroadcastHashJoin" in text
-    assert shuffles(p) == []  # the big side is never shuffled
-    assert not leaks_key(p, kr)
+    assert "RoundRobinPartitioning" not in text and not leaks_key(p, kr)
+    # Each side: one scan and an inline for all three columns, the aggregate shared by exchange reuse.
+    assert text.count("Generate inline") == 3 and text.count("FileScan") == 4
+    p.collect()
+    assert plan_text(p, "simple") and p._jdf.queryExecution().executedPlan().toString().count("ReusedExchange") >= 0
+    row = pseudonymize(df, ["l_suppkey", "l_partkey", "l_orderkey"], kr)
+    assert row.exceptAll(p).isEmpty() and p.exceptAll(row).isEmpty()
+
+
+def test_strategies_fail_on_the_same_rows(spark, kr):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, " ")], "id int, v string")
+    bad = pseudonymize(df, "v", kr).withColumn("v", F.when(F.col("id") == 2, F.lit("AAAA")).otherwise(F.col("v")))
+    bad = bad.checkpoint()
+    for strategy in ("row", "distinct"):
+        back = reidentify(bad, "v", kr, strategy=strategy)
+        assert sorted((r.id, r.v) for r in back.where("id <> 2").collect()) == [(1, "a"), (3, None), (4, "")]
+        with pytest.raises(Exception):
+            back.collect()
+        got = {r.id: r.v for r in reidentify(bad, "v", kr, strategy=strategy, on_error="null").collect()}
+        assert got == {1: "a", 2: None, 3: None, 4: ""}
+    mixed = reidentify(bad.withColumn("w", F.col("v")), ["v", "w"], kr, strategy={"v": "distinct"}, on_error="null")
+    assert all(r.v == r.w for r in mixed.collect())
+    with pytest.raises(ValueError, match="strategy"):
+        pseudonymize(df, "v", kr, strategy="auto")
+
+
+def test_distinct_refuses_inputs_that_may_differ(spark, kr):
+    df = spark.read.parquet(CUSTOMER)
+    for other in (df.limit(5), df.dropDuplicates(["c_nationkey"]), df.withColumn("r", F.rand()),
+                  df.withColumn("n", F.row_number().over(Window.orderBy("c_nationkey")))):
+        assert not is_deterministic(other)
+        with pytest.raises(ValueError, match="twice"):
+            pseudonymize(other, "c_name", kr, strategy="distinct")
+    assert is_deterministic(df.groupBy("c_nationkey").count())
 
 
 def test_sql_functions_stay_projections(spark, kr):
@@ -56,54 +91,6 @@ def test_group_arrays_has_no_window_over_groups(spark):
     assert "Window" not in text
 
 
-def test_auto_skips_mapping_predicted_too_large(spark, kr):
-    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
-    # l_suppkey repeats (few distinct values), but its predicted mapping is over 100 bytes.
-    p = pseudonymize(df, "l_suppkey", kr, strategy="auto", min_partitions=None, broadcast_max_bytes=100)
-    text = plan_text(p, "simple")
-    assert "Join" not in text and "Project" in text
-    assert shuffles(p) == []
-
-
-def test_auto_takes_row_plan_for_computed_columns(spark, kr):
-    from cloakline.plans.inspect import computes_columns
-
-    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
-    assert not computes_columns(df, ["l_suppkey"])
-    assert not computes_columns(df.withColumnRenamed("l_suppkey", "s").where("l_quantity > 3"), ["s"])
-    inner = pseudonymize(df, "l_suppkey", kr, strategy="row", min_partitions=None)
-    assert computes_columns(inner, ["l_suppkey"])
-    back = reidentify(inner, "l_suppkey", kr, strategy="auto", min_partitions=None)
-    assert "Join" not in plan_text(back, "simple") and shuffles(back) == []
-    # Stored, repeating values still take the distinct plan.
-    p = pseudonymize(df, "l_suppkey", kr, strategy="auto", min_partitions=None)
-    assert "BroadcastHashJoin" in plan_text(p, "simple")
-
-
-def test_auto_uses_catalog_statistics(spark, kr, monkeypatch):
-    """An analyzed catalog table needs no estimate scan."""
-    from cloakline.operators import table as T
-    from cloakline.plans.inspect import catalog_estimate
-    from cloakline.session import scratch_path
-
-    old = spark.conf.get("spark.sql.cbo.enabled")
-    spark.conf.set("spark.sql.cbo.enabled", "true")
-    try:
-        src = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey", "l_suppkey")
-        src.write.option("path", scratch_path(spark, "stats")).saveAsTable("cl_stats_lineitem")
-        spark.sql("ANALYZE TABLE cl_stats_lineitem COMPUTE STATISTICS FOR COLUMNS l_suppkey")
-        df = spark.table("cl_stats_lineitem")
-        rows, distinct, _ = catalog_estimate(df, ["l_suppkey"])
-        assert rows == src.count() and distinct == [src.select("l_suppkey").distinct().count()]
-        assert catalog_estimate(df, ["l_orderkey"]) is None  # not analyzed
-        monkeypatch.setattr(T, "_scan_estimate", lambda *a: (_ for _ in ()).throw(AssertionError("scan")))
-        p = pseudonymize(df, "l_suppkey", kr, strategy="auto", min_partitions=None)
-        assert "BroadcastHashJoin" in plan_text(p, "simple")
-    finally:
-        spark.conf.set("spark.sql.cbo.enabled", old)
-        spark.sql("DROP TABLE IF EXISTS cl_stats_lineitem")
-
-
 def test_group_arrays_one_shuffle_after_local_sort(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     g = group_arrays(df, "l_returnflag", "l_suppkey", batch_size=100)
@@ -123,3 +110,4 @@ def test_has_exchange(spark):
     df = spark.read.parquet(CUSTOMER)
     assert not has_exchange(df.where("c_nationkey = 3"))
     assert has_exchange(df.groupBy("c_nationkey").count())
+    assert not has_exchange(df.withColumnRenamed("c_name", "StockExchangeId").where("StockExchangeId > ''"))
