@@ -38,7 +38,7 @@ def test_distinct_plan_is_lazy_and_scans_once(spark, kr):
     # Each side: one scan and an inline for all three columns, the aggregate shared by exchange reuse.
     assert text.count("Generate inline") == 3 and text.count("FileScan") == 4
     p.collect()
-    assert plan_text(p, "simple") and p._jdf.queryExecution().executedPlan().toString().count("ReusedExchange") >= 0
+    assert p._jdf.queryExecution().executedPlan().toString().count("ReusedExchange") >= 2
     row = pseudonymize(df, ["l_suppkey", "l_partkey", "l_orderkey"], kr)
     assert row.exceptAll(p).isEmpty() and p.exceptAll(row).isEmpty()
 
