@@ -57,6 +57,15 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     return write_scratch(df, name)
 
 
+def apart(side: DataFrame) -> DataFrame:
+    """An aggregate as a join side with a shuffle of its own.
+
+    Without it the aggregate shares the join's partitioning and Spark can't
+    split a partition in which a hot key of the other side lies. Small sides only.
+    """
+    return side.hint("rebalance")
+
+
 def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Connected components of an undirected graph of longs: rows ``(node, component)``.
 

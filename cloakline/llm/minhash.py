@@ -6,14 +6,19 @@ group i of the first collection with group j of the second, so ``2 * GROUPS``
 groups give ``GROUPS ** 2`` tables of ``2 * ROWS`` minhashes. A pair of
 similarity s shares a table with chance ``(1 - (1 - s**ROWS) ** GROUPS) ** 2``;
 with 3 and 16 a pair at 0.8 is missed once in 50,000. Only groups that another
-document has as well make table keys, so documents without relatives make none.
+document has as well count, so documents without relatives are in no table. The
+256 keys of a document are not written out: two documents share a table if they
+share a group of the first collection, on which they are joined, and any group
+of the second, which is the join's condition.
 
 Candidates are verified on the full sets. What is asked for is the components
 of the link graph, so pairs inside a component needn't be tested: in each round
 every document is tested against one centre among its tables (centres are drawn
-anew each round), links merge components, and tables of one component are done.
-When a round finds nothing new, the pairs of different components that still
-share a table are all tested.
+anew each round), links merge components, and groups of one component are done.
+After ``ROUNDS`` rounds, or one that finds nothing new, what is left is compared
+whole: documents that share groups form clusters, and in a cluster every document
+outside the largest component is compared, in bounded blocks, with all others it
+shares a table with. A block pair returns at most a spanning forest of its links.
 
 Texts with fewer words than a shingle have their word sequence as their only
 shingle; null texts and texts without words have an empty set and no link.
@@ -26,15 +31,18 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cloakline.llm.common import blank_words, components, identity, scratch, utf8
+from cloakline.llm.common import apart, blank_words, components, identity, scratch, utf8
 
 GROUPS, ROWS = 16, 3
-#: Rounds of tests against centres at most; the last test is of all pairs left.
-ROUNDS = 6
+#: Rounds of tests against centres at most.
+ROUNDS = 3
+#: Documents of a block, and their shingles, about.
+BLOCK, BLOCK_SHINGLES = 512, 1_000_000
 #: Members tested against one centre in one sorted run.
 MEMBERS = 256
 PIECE = 1 << 14
@@ -115,11 +123,12 @@ def _verify(width: int, least: int):
         shingles, at, centre = Shingler(width), None, None
         for b in batches:
             src, dst = [], []
-            for c, part, role, node, t in zip(*(b[x].to_pylist() for x in ("c", "part", "role", "node", "_t"))):
+            cols = (b[x].to_pylist() for x in ("c", "ch", "part", "role", "node", "_t"))
+            for c, ch, part, role, node, t in zip(*cols):
                 if role == 0:
-                    at, centre = (c, part), shingles(t)
+                    at, centre = (c, ch, part), shingles(t)
                     continue
-                if at != (c, part):
+                if at != (c, ch, part):
                     raise ValueError("a centre's text is missing")
                 s = shingles(t)
                 both = len(np.intersect1d(s, centre, assume_unique=True))
@@ -147,80 +156,144 @@ def near_duplicates(docs: DataFrame, width: int = 5, least: int = 80, groups: in
     parts = (sig.join(reps.select("_k", "_h"), ["_k", "_h"], "left_semi").dropDuplicates(["_k", "_h"])
              .select(F.col("_k").alias("node"), F.col("_h").alias("hash"), "n", F.posexplode("keys").alias("g", "key")))
     shared = parts.groupBy("g", "key").agg(F.count("*").alias("m")).where("m > 1").select("g", "key")
-    own = parts.join(shared, ["g", "key"]).groupBy("node", "hash", "n").agg(
+    own = parts.join(apart(shared), ["g", "key"]).groupBy("node", "hash", "n").agg(
         F.collect_list(F.when(F.col("g") < groups, F.col("key"))).alias("a"),
         F.collect_list(F.when(F.col("g") >= groups, F.col("key"))).alias("b"))
-    tables = own.select("node", "hash", "n", F.explode("a").alias("a"), "b").select(
-        "node", "hash", "n", F.explode("b").alias("b"), "a").select(
-        "node", "hash", "n", F.xxhash64("a", "b").alias("key"))
-    many = tables.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    live = scratch(tables.join(many, "key"), "minhash-tables")
+    live = scratch(own.where("size(a) > 0 AND size(b) > 0").select(
+        F.explode("a").alias("key"), "node", "hash", "n", "b", F.col("node").alias("comp")), "minhash-groups")
     texts = texts.withColumnRenamed("_k", "node").withColumnRenamed("_h", "hash")
-    texts = scratch(texts.join(live.select("node", "hash").distinct(), ["node", "hash"], "left_semi"), "minhash-texts")
-    comp = components(_settle(live, texts, width, least))
+    keys = sig.select(F.col("_k").alias("node"), F.col("_h").alias("hash"), "keys")
+    keys = keys.join(live.select("node", "hash").distinct(), ["node", "hash"], "left_semi").dropDuplicates(["node", "hash"])
+    texts = scratch(texts.join(keys, ["node", "hash"]).dropDuplicates(["node", "hash"]), "minhash-texts")
+    comp = components(_settle(live, texts, width, least, groups))
     node = sig.join(reps.select("s1", "s2", F.col("_k").alias("node")), ["s1", "s2"], "left")
     return node.join(comp, "node", "left").groupBy("_k", "_h").agg(
         F.max("n").alias("n_shingles"), F.min(F.coalesce("component", "node", "_k")).alias("component_id"))
 
 
-def _settle(live: DataFrame, texts: DataFrame, width: int, least: int) -> DataFrame:
+def _settle(live: DataFrame, texts: DataFrame, width: int, least: int, groups: int) -> DataFrame:
     """Links that connect what candidates connect: no two components share an untested pair."""
-    spark = live.sparkSession
-    links = spark.createDataFrame([], "src long, dst long")
-    tested = spark.createDataFrame([], "c long, node long")
-    live = live.withColumn("comp", F.col("node"))
-    turn, last = 0, False
-    while True:
-        pairs = _all_pairs(live) if last else _centres(live, turn)
-        pairs = pairs.where(f"100 * least(n, cn) >= {least} * greatest(n, cn)").alias("p").join(
-            tested.alias("t"), F.expr("least(p.c, p.node) = t.c AND greatest(p.c, p.node) = t.node"), "left_anti")
-        pairs = scratch(pairs, "minhash-pairs")
-        found = scratch(_test(pairs, texts, width, least), "minhash-links")
+    links = live.sparkSession.createDataFrame([], "src long, dst long")
+    for turn in range(ROUNDS):
+        pairs = _centres(live, turn).where(f"100 * least(n, cn) >= {least} * greatest(n, cn)")
+        found = scratch(_test(scratch(pairs, "minhash-pairs"), texts, width, least), "minhash-links")
+        if found.isEmpty():
+            break
         links = links.unionAll(found)
-        tested = tested.unionAll(
-            pairs.select(F.least("c", "node").alias("c"), F.greatest("c", "node").alias("node")))
-        if last:
-            return links
-        last = turn + 1 >= ROUNDS or found.isEmpty()
-        turn += 1
         comp = components(links).withColumnRenamed("component", "comp")
         live = live.drop("comp").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         open_ = live.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
-        live = scratch(live.join(open_.select("key"), "key"), "minhash-tables")
+        live = scratch(live.join(apart(open_.select("key")), "key"), "minhash-groups")
         if live.isEmpty():
             return links
+    return links.unionAll(scratch(_compare_left(live, texts, width, least, groups), "minhash-links"))
+
+
+def _compare_left(live: DataFrame, texts: DataFrame, width: int, least: int, groups: int) -> DataFrame:
+    """Links between components that share groups; see the module's text."""
+    low = live.groupBy("key").agg(F.min("node").alias("low"))
+    cluster = components(live.join(apart(low), "key").select("node", "low"), "node", "low")
+    docs = scratch(live.select("node", "hash", "n", "comp").distinct().join(
+        cluster.withColumnRenamed("component", "cluster"), "node"), "minhash-left")
+    main = docs.groupBy("cluster", "comp").agg(F.count("*").alias("c")).groupBy("cluster").agg(
+        F.max(F.struct("c", "comp")).alias("m")).select("cluster", F.col("m.comp").alias("main"))
+    docs = docs.join(main, "cluster").withColumn("out", F.col("comp") != F.col("main"))
+
+    def blocks(which: str) -> Column:
+        n = F.greatest(F.count(F.when(F.expr(which), 1)) / BLOCK,
+                       F.sum(F.when(F.expr(which), F.col("n"))) / BLOCK_SHINGLES)
+        return F.greatest(F.ceil(n), F.lit(0)).cast("long")
+
+    sizes = docs.groupBy("cluster").agg(blocks("out").alias("no"), blocks("NOT out").alias("ni")).where("no > 0")
+    docs = docs.join(sizes, "cluster").withColumn(
+        "own", F.pmod(F.xxhash64("node", "hash"), F.when(F.col("out"), F.col("no")).otherwise(F.col("ni"))))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    # Keys (i, j, inner): outer block i with outer block j >= i, or with inner block j.
+    outer = F.transform(upto("no"), lambda o: F.struct(
+        F.least(F.col("own"), o).alias("i"), F.greatest(F.col("own"), o).alias("j"), F.lit(False).alias("inner"),
+        (F.col("own") > o).cast("int").alias("side")))
+    cross = F.transform(upto("ni"), lambda o: F.struct(
+        F.col("own").alias("i"), o.alias("j"), F.lit(True).alias("inner"), F.lit(0).alias("side")))
+    inner = F.transform(upto("no"), lambda o: F.struct(
+        o.alias("i"), F.col("own").alias("j"), F.lit(True).alias("inner"), F.lit(1).alias("side")))
+    dealt = docs.select("cluster", "node", "hash", "n", "comp", F.inline(
+        F.when(F.col("out"), F.concat(outer, cross)).otherwise(inner)))
+    rows = dealt.join(texts, ["node", "hash"])
+    return rows.groupBy("cluster", "i", "j", "inner").applyInPandas(
+        _compare(width, least, groups), "src long, dst long")
+
+
+def _compare(width: int, least: int, groups: int):
+    """Two blocks (or one with itself) to a spanning forest of the links between components."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        shingles = Shingler(width)
+        pdf = pdf.sort_values(["side", "node", "hash"])
+        same = not pdf["inner"].iloc[0] and pdf["i"].iloc[0] == pdf["j"].iloc[0]
+        sets = [shingles(bytes(t)) for t in pdf["_t"]]
+        size = np.array([len(s) for s in sets])
+        start = np.append(0, np.cumsum(size))
+        ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        keys = np.stack([np.asarray(k, np.int64) for k in pdf["keys"]])
+        node, comp = pdf["node"].to_numpy(), pdf["comp"].to_numpy()
+        cut = len(sets) if same else int((pdf["side"] == 0).sum())
+        up: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while c in up:
+                c = up[c]
+            return c
+
+        found = []
+        here = np.zeros(int(ids.max()) + 1, bool)
+        for a in range(cut):
+            first = a + 1 if same else cut
+            other = np.arange(first, len(sets))
+            alike = keys[first:] == keys[a]
+            other = other[
+                (comp[first:] != comp[a])
+                & (100 * np.minimum(size[first:], size[a]) >= least * np.maximum(size[first:], size[a]))
+                & alike[:, :groups].any(1) & alike[:, groups:].any(1)]
+            if not len(other):
+                continue
+            own = ids[start[a]:start[a + 1]]
+            here[own] = True
+            both = np.array([np.count_nonzero(here[ids[start[b]:start[b + 1]]]) for b in other.tolist()])
+            here[own] = False
+            for b in other[100 * both >= least * (size[a] + size[other] - both)].tolist():
+                x, y = root(int(comp[a])), root(int(comp[b]))
+                if x != y:
+                    up[max(x, y)] = min(x, y)
+                    found.append((int(node[a]), int(node[b])))
+        return pd.DataFrame(found, columns=["src", "dst"], dtype="int64")
+
+    return run
 
 
 def _centres(live: DataFrame, turn: int) -> DataFrame:
-    """Pairs (c, node): each document's most frequent centre over its tables."""
+    """Pairs (c, node) that share a table: each document's most frequent centre over its groups."""
     order = F.col("node") if turn == 0 else F.xxhash64(F.lit(turn), F.col("node"))
-    mid = live.groupBy("key").agg(F.min(F.struct(order.alias("o"), "node", "hash", "n", "comp")).alias("c"))
-    count = live.join(mid, "key").where("c.comp <> comp").groupBy(
+    mid = live.groupBy("key").agg(F.min(F.struct(order.alias("o"), "node", "hash", "n", "comp", "b")).alias("c"))
+    count = live.join(apart(mid), "key").where("c.comp <> comp AND arrays_overlap(b, c.b)").groupBy(
         "node", "hash", "n", F.col("c.node").alias("c"), F.col("c.hash").alias("ch"), F.col("c.n").alias("cn")).agg(
         F.count("*").alias("m"))
     best = count.groupBy("node", "hash", "n").agg(F.max(F.struct("m", "c", "ch", "cn")).alias("b"))
     return best.select("node", "hash", "n", "b.c", "b.ch", "b.cn")
 
 
-def _all_pairs(live: DataFrame) -> DataFrame:
-    """Pairs of different components that share a table."""
-    one = live.select("key", F.col("node").alias("c"), F.col("hash").alias("ch"), F.col("n").alias("cn"),
-                      F.col("comp").alias("cc"))
-    return live.join(one, "key").where("cc < comp").select("node", "hash", "n", "c", "ch", "cn").distinct()
-
-
 def _test(pairs: DataFrame, texts: DataFrame, width: int, least: int) -> DataFrame:
     """The pairs (c, node) whose sets are similar enough."""
     n = pairs.groupBy("c", "ch").agg(F.ceil(F.count("*") / MEMBERS).alias("parts"))
     mine = pairs.join(n, ["c", "ch"]).select(
-        "c", F.pmod(F.xxhash64("node"), "parts").alias("part"), F.lit(1).alias("role"), "node", "hash")
-    heads = n.select("c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+        "c", "ch", F.pmod(F.xxhash64("node"), "parts").alias("part"), F.lit(1).alias("role"), "node", "hash")
+    heads = n.select("c", "ch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
                      F.lit(0).alias("role"), F.col("c").alias("node"), F.col("ch").alias("hash"))
     want = mine.unionAll(heads)
     rows = want.join(texts, ["node", "hash"])
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.select("c", "part", "role", "node", "_t").repartition(parts, "c", "part").sortWithinPartitions(
-        "c", "part", "role").mapInArrow(_verify(width, least), "src long, dst long")
+    key = ["c", "ch", "part"]
+    return rows.select(*key, "role", "node", "_t").repartition(parts, *key).sortWithinPartitions(
+        *key, "role").mapInArrow(_verify(width, least), "src long, dst long")
 
 
 def dedup(docs: DataFrame, width: int = 5, least: int = 80) -> DataFrame:
