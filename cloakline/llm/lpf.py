@@ -14,15 +14,19 @@ no one suffix array, so suffixes are dealt to many small ones:
 * A bucket holds, for each occurrence of a repeated anchor, the stretch of text
   whose windows it is the anchor of. The suffix array of these stretches, to a
   depth of ``least`` bytes (ranks of 8 bytes, doubled), gives the longest
-  previous factors of all their windows.
-* A bucket with more than ``HOT`` stretches is dealt once more, by window: rows
-  of one window are aggregated to the earliest before the shuffle.
+  previous factors of all their windows. Equal stretches are one there.
+* Anchors with more than ``HOT`` occurrences are thinned first: of the equal
+  stretches of a text, and then of all texts, only the earliest go on (found by
+  an aggregate with map-side combine). If an anchor has more than ``HOT``
+  different stretches even so, its windows are dealt one by one, by digest.
 
 Texts are whole, as UTF-8; null is empty. Rows that agree in doc_id and text
 are one document and get the same result; rows that agree in doc_id only are
 ordered by a hash of their text; null ids come last. Extra columns are kept.
 """
 
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -32,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cloakline.llm.common import identity, scratch, utf8
+from cloakline.llm.common import apart, identity, scratch, utf8
 from cloakline.llm.minhash import mixed
 
 LEAST, GRAM, HOT = 100, 24, 4096
@@ -74,12 +78,19 @@ def anchors(data: bytes, least: int = LEAST, gram: int = GRAM) -> Iterator[tuple
         yield h[at[first]].view(np.int64), first + low, np.diff(np.append(first, len(at)))
 
 
+def _zip(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: zlib.compress(bytes(t), 1))
+
+
+unzip = zlib.decompress
+
+
 def _anchors(least: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, parts = [], []
             for i, t in enumerate(b["_t"]):
-                for part in anchors(t.as_py(), least, gram):
+                for part in anchors(unzip(t.as_py()), least, gram):
                     rows.append(np.full(len(part[0]), i))
                     parts.append(part)
             if parts:
@@ -134,7 +145,7 @@ def _stretches(least: int):
         for b in batches:
             rows, anchor, first, data = [], [], [], []
             for i, (t, occ) in enumerate(zip(b["_t"], b["occ"])):
-                t = t.as_py()
+                t = unzip(t.as_py())
                 for o in occ.as_py():
                     at, n = o["at"] >> 8, o["at"] & 0xFF
                     rows.append(i), anchor.append(o["anchor"]), first.append(at)
@@ -147,21 +158,61 @@ def _stretches(least: int):
     return run
 
 
-def _windows(least: int):
-    """The same for hot anchors: a row (digest, document, start) for each window."""
+def _thinned(least: int):
+    """The same for hot anchors, with a digest; equal stretches of one text become runs (``n`` bytes, no digest)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            rows: list[int] = []
+            cols: list[list] = [[], [], [], [], []]
+
+            def put(i, *row):
+                rows.append(i)
+                for to, x in zip(cols, row):
+                    to.append(x)
+
             for i, (t, occ) in enumerate(zip(b["_t"], b["occ"])):
-                t, occ = t.as_py(), occ.as_py()
-                at = np.concatenate([np.arange(o["at"] & 0xFF) + (o["at"] >> 8) for o in occ])
-                for low in range(0, len(at), PIECE):
-                    part = at[low:low + PIECE]
-                    d = [blake2b(t[s:s + least], digest_size=16).digest() for s in part.tolist()]
-                    own = pa.array(np.full(len(part), i))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(d, pa.binary()), b["_k"].take(own), b["_h"].take(own), pa.array(part)],
-                        ["window", "_k", "_h", "first"])
+                t, seen, begin, end = unzip(t.as_py()), set(), 0, 0
+                for o in sorted(occ.as_py(), key=lambda o: o["at"]):
+                    at, n = o["at"] >> 8, (o["at"] & 0xFF) + least - 1
+                    data = t[at:at + n]
+                    digest = blake2b(data, digest_size=16).digest()
+                    if (o["anchor"], digest) not in seen:
+                        seen.add((o["anchor"], digest))
+                        put(i, o["anchor"], digest, at, n, data)
+                        continue
+                    if at > end:  # apart from the run before
+                        if end:
+                            put(i, None, None, begin, end - begin, None)
+                        begin = at
+                    end = max(end, at + n)
+                if end:
+                    put(i, None, None, begin, end - begin, None)
+            own = pa.array(rows, pa.int64())
+            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
+            anchor, digest, first, n, data = (pa.array(c, k) for c, k in zip(cols, kinds))
+            yield pa.RecordBatch.from_arrays(
+                [anchor, digest, b["_k"].take(own), b["_h"].take(own), first, n, data],
+                ["anchor", "digest", "_k", "_h", "first", "n", "bytes"])
+
+    return run
+
+
+def _windows(least: int):
+    """Stretches to their windows: a row (digest, document, start) for each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, first, digest = [], [], []
+            for i, (t, at) in enumerate(zip(b["bytes"], b["first"].to_pylist())):
+                t = t.as_py()
+                for s in range(len(t) - least + 1):
+                    rows.append(i), first.append(at + s)
+                    digest.append(blake2b(t[s:s + least], digest_size=16).digest())
+            own = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(digest, pa.binary()), b["_k"].take(own), b["_h"].take(own), pa.array(first, pa.int64())],
+                ["window", "_k", "_h", "first"])
 
     return run
 
@@ -196,8 +247,18 @@ def _buckets(least: int):
     """Stretches sorted by anchor to runs of windows that occur earlier."""
 
     def solve(rows: list[tuple]) -> list[tuple[int, int, int, int]]:
-        # Buckets are independent: a window never equals one of another anchor.
-        rows = sorted({r[1:4]: r for r in rows}.values(), key=lambda r: r[1:4])  # a document given twice is one
+        # Buckets are independent: a window never equals one of another anchor. Nor do two windows
+        # of one stretch, so a bucket of equal stretches needs no suffix array.
+        out: list[tuple[int, int, int, int]] = []
+        heads: dict[tuple, tuple] = {}
+        for r in sorted(rows, key=lambda r: r[1:4]):
+            head = heads.setdefault((r[0], r[4]), r)
+            if head[1:4] != r[1:4]:  # else the first, or a document given twice
+                out.append((r[1], r[2], r[3], r[3] + len(r[4])))
+        many = Counter(a for a, _ in heads)
+        rows = [r for (a, _), r in heads.items() if many[a] > 1]
+        if not rows:
+            return out
         text = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
         size = np.array([len(r[4]) for r in rows])
         n = size - least + 1
@@ -206,7 +267,6 @@ def _buckets(least: int):
         found = earlier_matches(text, base + offset, np.arange(len(base)), least)
         owner = np.repeat(np.arange(len(rows)), n)[found]
         place = offset[found]
-        out = []
         if len(owner):
             cut = np.flatnonzero((np.diff(owner) != 0) | (np.diff(place) != 1)) + 1
             for a, z in zip(np.concatenate([[0], cut]).tolist(), np.append(cut, len(owner)).tolist()):
@@ -234,7 +294,7 @@ def _buckets(least: int):
 def _cut(text: pd.Series, gone: pd.Series) -> pd.DataFrame:
     out = []
     for t, runs in zip(text, gone):
-        data, kept, at, n, spans = bytes(t), [], 0, 0, 0
+        data, kept, at, n, spans = unzip(bytes(t)), [], 0, 0, 0
         end = -1
         for r in sorted((r["a"], r["b"]) for r in runs):
             if r[0] > end:  # not adjacent to the run before
@@ -257,28 +317,43 @@ def removed(docs: DataFrame, least: int = LEAST, gram: int = GRAM, hot: int = HO
     place = F.struct("_k", "_h")
     same = ids.groupBy("d").agg(F.min(place).alias("f"), F.max(place).alias("l")).where("f <> l").select("d", "f")
     copies = scratch(ids.join(same, "d").where(place != F.col("f")).select("_k", "_h", "size").distinct(), "lpf-copies")
-    # One exchange of the texts serves all three joins.
-    texts = texts.select("_k", "_h", "_t")
+    # One exchange of the texts serves all joins: they are in one plan, nothing is written in between.
+    # It is the largest one, so it moves compressed texts.
+    texts = texts.select("_k", "_h", F.pandas_udf(_zip, "binary")("_t").alias("_t"))
     own = ["_k", "_h"]
     found = texts.join(copies.select(*own).hint("merge"), own, "left_anti").mapInArrow(
         _anchors(least, gram), "anchor long, _k long, _h int, at long")
     count = found.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1")
-    met = found.join(count, "anchor")
+    met = found.join(apart(count), "anchor")
     occ = met.where(F.col("m") <= hot).groupBy(*own).agg(F.collect_list(F.struct("anchor", "at")).alias("occ"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    runs = texts.join(occ.hint("merge"), own).mapInArrow(
-        _stretches(least), "anchor long, _k long, _h int, first long, bytes binary").repartition(
-        parts, "anchor").sortWithinPartitions("anchor").mapInArrow(_buckets(least), "_k long, _h int, a long, b long")
+    stretch = ["anchor", "_k", "_h", "first", "bytes"]
+    cold = texts.join(occ.hint("merge"), own).mapInArrow(
+        _stretches(least), "anchor long, _k long, _h int, first long, bytes binary")
+    # Hot anchors: equal stretches first, then what is left like the others, or window by window.
     often = met.where(F.col("m") > hot).groupBy(*own).agg(F.collect_list(F.struct("anchor", "at")).alias("occ"))
-    windows = texts.join(often.hint("merge"), own).mapInArrow(
-        _windows(least), "window binary, _k long, _h int, first long")
+    thin = texts.join(often.hint("merge"), own).mapInArrow(
+        _thinned(least), "anchor long, digest binary, _k long, _h int, first long, n long, bytes binary")
+    span = [*own, F.col("first").alias("a"), (F.col("first") + F.col("n")).alias("b")]
     start = F.struct("_k", "_h", "first")
-    head = windows.groupBy("window").agg(F.min(start).alias("f"), F.max(start).alias("l")).where("f <> l")
-    again = windows.join(head, "window").where(start != F.col("f")).select("_k", "_h", "first").repartition(
+    inside = thin.where("digest IS NULL").select(*span)
+    thin = thin.where("digest IS NOT NULL")
+    head = thin.groupBy("anchor", "digest").agg(F.min(start).alias("f"), F.max(start).alias("l"))
+    later = thin.join(apart(head.where("f <> l").drop("l")), ["anchor", "digest"]).where(start != F.col("f")).select(*span)
+    wide = head.groupBy("anchor").agg(F.count("*").alias("d"))
+    left = thin.join(head.drop("l"), ["anchor", "digest"]).where(start == F.col("f")).join(wide, "anchor")
+    runs = cold.unionAll(left.where(f"d BETWEEN 2 AND {hot}").select(*stretch)).repartition(
+        parts, "anchor").sortWithinPartitions("anchor").mapInArrow(_buckets(least), "_k long, _h int, a long, b long")
+    windows = left.where(f"d > {hot}").select(*stretch).mapInArrow(
+        _windows(least), "window binary, _k long, _h int, first long")
+    top = windows.groupBy("window").agg(F.min(start).alias("f"), F.max(start).alias("l")).where("f <> l").drop("l")
+    again = windows.join(apart(top), "window").where(start != F.col("f")).select("_k", "_h", "first").repartition(
         parts, *own).sortWithinPartitions(*own, "first").mapInArrow(_joined(least), "_k long, _h int, a long, b long")
-    gone = scratch(runs.unionAll(again), "lpf-runs").groupBy(*own).agg(F.collect_set(F.struct("a", "b")).alias("gone"))
+    gone = runs.unionAll(again).unionAll(inside).unionAll(later).groupBy(*own).agg(
+        F.collect_set(F.struct("a", "b")).alias("gone"))
     cut = F.pandas_udf(_cut, "kept binary, n_removed long, n_spans long")
-    part = texts.dropDuplicates(own).join(gone, own).select(*own, cut("_t", "gone").alias("c")).select(*own, "c.*")
+    part = texts.join(gone.hint("merge"), own).select(*own, cut("_t", "gone").alias("c")).select(
+        *own, "c.*").dropDuplicates(own)
     whole = copies.select(*own, F.lit(b"").alias("kept"), F.col("size").alias("n_removed"),
                           F.lit(1).cast("long").alias("n_spans"))
     return part.unionAll(whole)
