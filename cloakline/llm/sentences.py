@@ -20,35 +20,34 @@ from collections.abc import Iterator
 from hashlib import blake2b
 from zlib import crc32
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cloakline.llm.common import blank_words, identity, utf8
+from cloakline.llm.common import LOWER_BYTES, apart, identity, utf8
 
 SENTENCES, WORDS, LONG = 2, 15, 30
-_END = re.compile(rb"""(?:[.!?]+["')\]]*[ \t\x0b\x0c\r]+|[ \t\x0b\x0c\r]*\n\s*)""")
-_WORD = re.compile(rb"[^ \t-\r]+")
+_END = re.compile(rb"""[.!?]["')\]]*[ \t\x0b\x0c\r]+|\n\s*""")
 
 
 def sentences(data: bytes) -> list[tuple[int, int, list[bytes]]]:
     """(first byte, end, words) of each sentence that has words; the ends touch the next sentence."""
-    out, at = [], 0
+    out, at, low = [], 0, data.translate(LOWER_BYTES)
     for end in [m.end() for m in _END.finditer(data)] + [len(data)]:
-        words = blank_words(data[at:end])
-        if len(words) > LONG:
-            low, n = at, 0
-            for m in _WORD.finditer(data, at, end):
-                n += 1
-                if crc32(words[n - 1]) % 8 == 0 and n < len(words):
-                    out.append((low, m.end(), blank_words(data[low:m.end()])))
-                    low = m.end()
-            out.append((low, end, blank_words(data[low:end])))
-        elif words:
-            out.append((at, end, words))
-        else:
+        words = low[at:end].split()
+        if not words:
             continue  # white space joins the next sentence
+        if len(words) > LONG:
+            first, pos = 0, at
+            for n, w in enumerate(words[:-1], 1):
+                pos = low.find(w, pos) + len(w)
+                if not crc32(w) & 7:
+                    out.append((at, pos, words[first:n]))
+                    at, first = pos, n
+            words = words[first:]
+        out.append((at, end, words))
         at = end
     return out
 
@@ -56,27 +55,28 @@ def sentences(data: bytes) -> list[tuple[int, int, list[bytes]]]:
 def spans(parts: list[tuple[int, int, list[bytes]]], least: int = SENTENCES,
           words: int = WORDS) -> Iterator[tuple[int, int, bytes]]:
     """(first sentence, end, digest) of each sliding span."""
+    texts = [b" ".join(p[2]) for p in parts]
+    sizes = [len(p[2]) for p in parts]
     end = n = 0
-    for first in range(len(parts)):
+    for first, size in enumerate(sizes):
         while end < len(parts) and (end - first < least or n < words):
-            n += len(parts[end][2])
+            n += sizes[end]
             end += 1
         if end - first < least or n < words:
             return
-        text = b" ".join(w for p in parts[first:end] for w in p[2])
-        yield first, end, blake2b(text, digest_size=16).digest()
-        n -= len(parts[first][2])
+        yield first, end, blake2b(b" ".join(texts[first:end]), digest_size=16).digest()
+        n -= size
 
 
 def _spans(least: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, first, end, one, two = [], [], [], [], []
+            rows, found = [], []
             for i, t in enumerate(b["_t"]):
-                for f, e, d in spans(sentences(t.as_py()), least, words):
-                    rows.append(i), first.append(f), end.append(e)
-                    one.append(int.from_bytes(d[:8], "little", signed=True))
-                    two.append(int.from_bytes(d[8:], "little", signed=True))
+                found += spans(sentences(t.as_py()), least, words)
+                rows += [i] * (len(found) - len(rows))
+            first, end, digests = zip(*found) if found else ((), (), ())
+            one, two = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2).T
             own = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [b["_k"].take(own), b["_h"].take(own), pa.array(first, pa.int32()), pa.array(end, pa.int32()),
@@ -90,8 +90,8 @@ def repeated_spans(docs: DataFrame, least: int = SENTENCES, words: int = WORDS)
     found = docs.select(*identity(), utf8("text").alias("_t")).mapInArrow(
         _spans(least, words), "_k long, _h long, a int, b int, s1 long, s2 long")
     place = F.struct("_k", "_h", "a")
-    first = found.groupBy("s1", "s2").agg(F.min(place).alias("f"), F.max(place).alias("l")).where("f <> l")
-    return found.join(first.select("s1", "s2", "f"), ["s1", "s2"]).where(place != F.col("f")).select("_k", "_h", "a", "b")
+    first = found.groupBy("s1", "s2").agg(F.min(place).alias("f"), F.count("*").alias("m")).where("m > 1")
+    return found.join(apart(first.select("s1", "s2", "f")), ["s1", "s2"]).where(place != F.col("f")).select("_k", "_h", "a", "b")
 
 
 def _cut(text: pd.Series, gone: pd.Series) -> pd.DataFrame:
