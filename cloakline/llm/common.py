@@ -19,6 +19,19 @@ WORD_BYTES = bytes(
 NULL_ID = 2**63 - 1
 
 
+BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Arrow batches of 1,000 rows unless the session has a size of its own.
+
+    The default, 10,000, suits rows of numbers; of texts it holds tens of
+    megabytes, several times over on either side of the pipe.
+    """
+    if spark.conf.get(BATCH_KEY) == "10000":
+        spark.conf.set(BATCH_KEY, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -69,12 +82,13 @@ def apart(side: DataFrame) -> DataFrame:
 def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Connected components of an undirected graph of longs: rows ``(node, component)``.
 
-    ``component`` is the smallest node reachable. Each round maps every node to
-    its smallest neighbour (or itself) and replaces both ends of each edge by
-    their images; connections survive, every component shrinks to its smallest
-    node, long paths halve. A node's images are composed into its label. Each
-    step is an aggregate with map-side combine or a plain equi-join (AQE splits
-    a hub's rows), and each round is written to the shared folder.
+    ``component`` is the smallest node reachable. Each round hooks every node to
+    its smallest neighbour (or itself), follows the hooks to their roots by
+    doubling, and replaces both ends of each edge by their roots: connections
+    survive, every root takes in a neighbour, so at least half of the nodes go,
+    whatever the length of paths. Roots are composed into the labels. Each step
+    is an aggregate with map-side combine or a plain equi-join (AQE splits a
+    hub's rows), and is written to the shared folder.
     """
     live = scratch(
         edges.select(F.col(src).cast("long").alias("a"), F.col(dst).cast("long").alias("b"))
@@ -86,6 +100,14 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
         step = scratch(
             both.groupBy("a").agg(F.min("b").alias("b"))
             .select(F.col("a").alias("node"), F.least("a", "b").alias("to")), "hook")
+        while True:  # each pass doubles the number of hooks followed
+            far = step.select(F.col("node").alias("to"), F.col("to").alias("far"))
+            step = scratch(step.join(far, "to").select("node", F.col("far").alias("to"), (
+                F.col("far") < F.col("to")).alias("moved")), "hook")
+            if step.where("moved").isEmpty():
+                break
+            step = step.select("node", "to")
+        step = step.select("node", "to")
         ends = step.select(F.col("node").alias("a"), F.col("to").alias("ta"))
         oth = step.select(F.col("node").alias("b"), F.col("to").alias("tb"))
         live = scratch(

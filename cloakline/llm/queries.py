@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from cloakline.llm import (
     decontam, embeddings, langid, lines, lpf, minhash, mixing, secrets, sentences, toxicity,
 )
-from cloakline.llm.common import identity, table, utf8
+from cloakline.llm.common import identity, table, text_batches, utf8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,7 +102,16 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
                       (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (
+def _query(f: Query) -> Query:
+    @wraps(f)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        text_batches(spark)
+        return f(spark, sf)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {f.__name__: _query(f) for f in (
     op1_secrets, op2_language, op3_lpf, op4_mixing, op5_minhash, op6_lines, op7_decontam, op8_sentences,
     op9_embeddings, op10_toxicity,
 )}

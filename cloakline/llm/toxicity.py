@@ -39,8 +39,8 @@ FOLDS = 4
 #: Buckets of preceding words.
 CONTEXTS = 62
 BIN, BINS = 0.25, 400
-#: Pieces of this size bound the word list held at once.
-PIECE = 4 << 20
+#: Bytes of a text cut into words at once, different words counted or remembered at once.
+PIECE, HELD = 1 << 20, 150_000
 
 
 def words(data: bytes) -> Iterator[list[bytes]]:
@@ -79,7 +79,7 @@ def scorer(model: Model):
         try:
             return known[word]
         except KeyError:
-            if len(known) > 500_000:
+            if len(known) > HELD:
                 known.clear()
             s = model.scores.get(word)
             if s is None:
@@ -145,8 +145,8 @@ def score(data: bytes, model: Model, get) -> float:
 
 def _count(batches):
     """Per token and class: occurrences, and a bit for each bucket of preceding words."""
+    seen: tuple[dict, dict] = ({}, {})
     for b in batches:
-        seen: dict[int, dict[bytes, list[int]]] = {0: {}, 1: {}}
         for t, y in zip(b["_t"], b["_y"], strict=True):
             own, before = seen[y.as_py()], b""
             for piece in words(t.as_py()):
@@ -158,19 +158,27 @@ def _count(batches):
                     else:
                         x[0] += 1
                         x[1] |= bit
-        rows = []
-        for y, part in seen.items():
-            for w, (n, bits) in list(part.items()):
-                rows.append((w, y, n, bits))
-                for x in stems(w):
-                    old = part.setdefault(x, [0, 0])
-                    old[0] += n
-                    old[1] |= bits
-            rows += [(w, y, *x) for w, x in part.items() if w.endswith(b"*")]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x, k) for x, k in zip(zip(*rows) if rows else [()] * 4,
-                                            (pa.binary(), pa.int32(), pa.int64(), pa.int64()))],
-            ["token", "y", "n", "bits"])
+                if len(own) > HELD:
+                    yield _tokens(seen)
+                    seen = ({}, {})
+                    own = seen[y.as_py()]
+    yield _tokens(seen)
+
+
+def _tokens(seen: tuple[dict, dict]) -> pa.RecordBatch:
+    """The counts as rows, those of the stems added."""
+    cols: tuple[list, ...] = ([], [], [], [])
+    for y, part in enumerate(seen):
+        for w, (n, bits) in list(part.items()):
+            for x in stems(w):
+                old = part.setdefault(x, [0, 0])
+                old[0] += n
+                old[1] |= bits
+        for w, (n, bits) in part.items():
+            for to, x in zip(cols, (w, y, n, bits)):
+                to.append(x)
+    kinds = (pa.binary(), pa.int32(), pa.int64(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["token", "y", "n", "bits"])
 
 
 def _spread(n: Column, bits: Column) -> Column:

@@ -12,34 +12,39 @@ in SQL. tests/llm/test_pipeline.py holds every stage against brute force.
 from pyspark.sql import DataFrame, SparkSession
 
 from cloakline.llm import decontam, lines, minhash, mixing, toxicity
-from cloakline.llm.common import scratch, table
+from cloakline.llm.common import scratch, table, text_batches
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that a classifier trained on all labels rejects."""
+    text_batches(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.reject_toxic(docs, model)
 
 
 def stage_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop lines that ten or more documents have."""
+    text_batches(spark)
     return lines.dedup_lines(docs)
 
 
 def stage_minhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates (five-word shingles, 0.8)."""
+    text_batches(spark)
     return minhash.dedup(docs)
 
 
 def stage_decontam(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold ten words in a row of a benchmark item."""
+    text_batches(spark)
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def stage_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat and select documents so that each source comes near its target."""
+    text_batches(spark)
     return mixing.mix(docs)
 
 
