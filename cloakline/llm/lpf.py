@@ -40,6 +40,8 @@ from cloakline.llm.common import apart, identity, scratch, utf8
 from cloakline.llm.minhash import mixed
 
 LEAST, GRAM, HOT = 100, 24, 4096
+#: Anchors keep 48 bits of their hash, which compresses better: a false meeting costs work, never a match.
+ANCHOR = np.uint64(0xFFFFFFFFFFFF0000)
 #: Bits for a place within a piece of PIECE bytes.
 PLACE = 21
 #: Bytes of text whose anchors are computed at once, and of stretches in one suffix array.
@@ -75,7 +77,7 @@ def anchors(data: bytes, least: int = LEAST, gram: int = GRAM) -> Iterator[tuple
         h = gram_hashes(data[low:min(n, low + PIECE) + least - 1], gram)
         at = window_minima(h, least - gram + 1)
         first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        yield h[at[first]].view(np.int64), first + low, np.diff(np.append(first, len(at)))
+        yield (h[at[first]] & ANCHOR).view(np.int64), first + low, np.diff(np.append(first, len(at)))
 
 
 def _zip(text: pd.Series) -> pd.Series:
