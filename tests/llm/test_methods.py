@@ -269,3 +269,27 @@ def test_repeated_passage_is_cut_once(spark):
         assert passage not in out[i]["text"] and out[i]["n_removed"] >= 6
         assert out[i]["text"].split()[:12] == docs[i][1].split()[:12]
     assert all(len(out[i]["text"].split()) < 80 for i in (6, 7))
+
+
+def test_passage_inside_sentences_is_cut(spark):
+    """Passages of exactly 51 words, put between random words of other texts."""
+    draw = random.Random(2)
+    some = lambda n: [f"w{draw.randrange(3000)}" + ("." if draw.random() < 0.08 else "") for _ in range(n)]
+    docs, held, at = [], {}, {}
+    for i in range(120):
+        passage = [f"p{draw.randrange(3000)}" for _ in range(51)]
+        for k in (2 * i, 2 * i + 1):
+            around, j = some(80), draw.randrange(1, 80)
+            docs.append((k, " ".join(around[:j] + passage + around[j:])))
+            held[k], at[k] = set(passage), around
+    out = {r["doc_id"]: r["text"].split() for r in sentences.dedup(
+        spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    lost = []
+    for k, text in docs:
+        left = sum(w in held[k] for w in out[k])
+        assert [w for w in out[k] if w not in held[k]] == at[k]  # nothing else goes
+        if k % 2:
+            lost.append(51 - left)
+        else:
+            assert left == 51
+    assert min(lost) >= 26 and sum(lost) >= 0.85 * 51 * len(lost)
