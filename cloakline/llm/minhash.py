@@ -22,9 +22,10 @@ shares a table with. A block pair returns at most a spanning forest of its links
 
 Texts with fewer words than a shingle have their word sequence as their only
 shingle; null texts and texts without words have an empty set and no link.
-Texts with equal sets are one class from the start. Rows that agree in doc_id
-are one node; a null doc_id is the node ``2**63 - 1``. An empty table gives an
-empty result. Extra columns are ignored here and kept by ``dedup``.
+Texts with equal sets are one class from the start. In ``near_duplicates`` rows
+that agree in doc_id are one node, and a null doc_id is the node ``2**63 - 1``;
+``dedup`` has a node for each (doc_id, text), a 64-bit hash of both. An empty
+table gives an empty result. Extra columns are kept by ``dedup``.
 """
 
 from collections.abc import Iterator
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cloakline.llm.common import apart, blank_words, components, identity, scratch, utf8
+from cloakline.llm.common import BLANKS, apart, blank_words, components, identity, scratch, utf8
 
 GROUPS, ROWS = 16, 3
 #: Rounds of tests against centres at most.
@@ -297,7 +298,22 @@ def _test(pairs: DataFrame, texts: DataFrame, width: int, least: int) -> DataFra
 
 
 def dedup(docs: DataFrame, width: int = 5, least: int = 80) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest doc_id."""
-    near = near_duplicates(docs, width, least).where("component_id <> _k").select("_k", "_h")
+    """``docs`` with one document of each component: the one with the smallest (doc_id, text hash).
+
+    A document is a (doc_id, text) here, so ids that are null or shared join
+    nothing; a null id is no id, and of equal texts without one a single row stays.
+    """
     rows = docs.select(F.struct("*").alias("row")).select("row", *identity("row."))
-    return rows.join(near, ["_k", "_h"], "left_anti").select("row.*")
+    # Null ids with words; ``has`` is never null.
+    has = F.col("row.doc_id").isNull() & F.coalesce(F.col("row.text").rlike(f"[^{BLANKS}]"), F.lit(False))
+    none = rows.where(has).groupBy("_k", "_h").agg(
+        F.min_by("row", F.to_json("row")).alias("row")).select("row", "_k", "_h")
+    rows = rows.where(~has).unionAll(none)
+    keyed = docs.select(*identity(), "text").withColumn("doc_id", F.xxhash64("_k", "_h"))
+    near = near_duplicates(keyed.select("doc_id", "text"), width, least).select(
+        F.col("_k").alias("doc_id"), F.col("component_id").alias("component"))
+    near = scratch(keyed.select("doc_id", "_k", "_h").distinct().join(near.distinct(), "doc_id"), "minhash-rows")
+    place = F.struct("_k", "_h")
+    first = near.groupBy("component").agg(F.min(place).alias("f"), F.count("*").alias("m")).where("m > 1")
+    gone = near.join(apart(first.select("component", "f")), "component").where(place != F.col("f")).select("_k", "_h")
+    return rows.join(gone, ["_k", "_h"], "left_anti").select("row.*")

@@ -80,6 +80,16 @@ def test_minhash(spark):
     assert minhash.near_duplicates(empty(spark)).count() == minhash.dedup(empty(spark)).count() == 0
 
 
+def test_minhash_keeps_clean_rows_of_null_and_shared_ids(spark):
+    text = lambda k: " ".join(f"{k}{i}" for i in range(60))
+    rows = [(1, text("a")), (None, text("a") + " more"), (None, text("b")), (None, text("c")), (None, text("c")),
+            (None, text("c") + " more"), (5, text("d")), (7, text("d") + " more"), (7, text("e")), (8, text("e") + " more"),
+            (None, " "), (None, " ")]
+    kept = minhash.dedup(frame(spark, [(*r, "en", "a") for r in rows])).select("doc_id", "text").collect()
+    left = sorted(((r["doc_id"], r["text"].strip()[:1]) for r in kept), key=repr)
+    assert left == sorted([(1, "a"), (None, "b"), (None, "c"), (5, "d"), (7, "e"), (None, ""), (None, "")], key=repr)
+
+
 def test_lines(spark):
     out = rows_of(lines.dedup_lines(frame(spark), min_docs=2))
     assert len(out) == len(TEXTS)
