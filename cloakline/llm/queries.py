@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cloakline.llm import (
-    decontam, embeddings, langid, lines, lpf, minhash, mixing, secrets, sentences, toxicity,
+    decontam, embeddings, langid, lines, lpf, minhash, mixing, pages, phrases, runs, secrets, sentences, toxicity,
 )
 from cloakline.llm.common import identity, table, text_batches, utf8
 
@@ -102,6 +102,40 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
                       (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.mine(table(spark, sf, "documents").select("lang", "text"))
+
+
+def repeated_tail(words: Column) -> Column:
+    """The words of one document in ten with its tail made periodic, as the contract of operator 12 has it."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    n = F.size(words)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    tail = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int"))))
+    return F.when((h % 10 == 0) & (n > 0), tail).otherwise(words)
+
+
+def op12_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", runs.words("text").alias("w"))
+    out = runs.find_runs(docs.select("doc_id", repeated_tail(F.col("w")).alias("w")), F.col("w"), "found")
+    best = F.array_min(F.transform("found.runs", lambda r: F.struct(
+        (-r["length"]).alias("length"), r["start"].alias("start"), r["period"].alias("period"))))
+    listed = F.array_join(F.transform("found.runs", lambda r: F.format_string(
+        "%d,%d,%d\n", r["start"], r["length"], r["period"])), "")
+    length = -F.col("best.length")
+    return out.withColumn("best", best).select(
+        "doc_id", F.size("found.runs").cast("long").alias("n_runs"), "best.start", length.alias("length"), "best.period",
+        F.floor(1000 * length / F.col("best.period")).alias("exponent_milli"),
+        sha256(listed).alias("runs_sha256"), sha256(F.col("found.collapsed")).alias("collapsed_sha256"))
+
+
+def op13_pages(spark: SparkSession, sf: str) -> DataFrame:
+    out = pages.extract(table(spark, sf, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def _query(f: Query) -> Query:
     @wraps(f)
     def run(spark: SparkSession, sf: str) -> DataFrame:
@@ -113,7 +147,7 @@ def _query(f: Query) -> Query:
 
 QUERIES: dict[str, Query] = {f.__name__: _query(f) for f in (
     op1_secrets, op2_language, op3_lpf, op4_mixing, op5_minhash, op6_lines, op7_decontam, op8_sentences,
-    op9_embeddings, op10_toxicity,
+    op9_embeddings, op10_toxicity, op11_phrases, op12_runs, op13_pages,
 )}
 ORACLES: dict[str, str] = {}
 
@@ -235,3 +269,62 @@ r AS (SELECT vec_id AS node, vec_id AS low FROM embeddings
 SELECT e.vec_id, coalesce(n.n, 0) AS n_links, c.low AS component_id, c.low = e.vec_id AS kept
 FROM embeddings e LEFT JOIN n ON n.x = e.vec_id
 JOIN (SELECT node, min(low) AS low FROM r GROUP BY node) c ON c.node = e.vec_id"""
+
+_PIECES = f"string_split_regex({_FOLD.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')"
+ORACLES["op11_phrases"] = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest({_PIECES}) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+g AS (SELECT lang, unnest(flatten(list_transform(range(1, 6), lambda k: list_transform(
+  range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))))) AS phrase FROM w),
+f AS (SELECT lang, phrase, count(*) AS f, len(string_split(phrase, ' ')) AS k FROM g GROUP BY lang, phrase),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w, k FROM f WHERE k > 1 AND f >= 100),
+held AS (SELECT lang, phrase, max(a) AS most FROM (
+  SELECT lang, a, unnest(flatten(list_transform(range(2, k), lambda m: list_transform(
+    range(1, k - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))))) AS phrase FROM c WHERE k > 2) GROUP BY ALL),
+cuts AS (SELECT lang, phrase, a, w, k, unnest(range(1, k)) AS cut FROM c),
+s AS (
+  SELECT cuts.lang, cuts.phrase, a, cut, x.f AS l, y.f AS r, n,
+    ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+  JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(w[cut + 1:cuts.k], ' ') JOIN n ON n.lang = cuts.lang),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+r AS (
+  SELECT low.*, row_number() OVER (PARTITION BY low.lang ORDER BY score DESC, a DESC, low.phrase) AS rank
+  FROM low LEFT JOIN held ON held.lang = low.lang AND held.phrase = low.phrase WHERE coalesce(most < a, true))
+SELECT lang, rank, phrase, a, l, r, n, score FROM r WHERE rank <= 2000"""
+
+ORACLES["op12_runs"] = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+    xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+      lambda c: list_concat([ascii(c)::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1])))),
+      lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) AS h
+  FROM documents),
+g AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS tail, h // 10 AS g FROM d),
+a AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM g),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+x AS (
+  SELECT doc_id, n, CASE WHEN tail THEN list_transform(range(n), lambda i:
+    CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) ELSE w END AS w FROM p),
+t AS (
+  SELECT doc_id, i - 1 AS i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS t
+  FROM (SELECT doc_id, w, unnest(range(1, n - 1)) AS i FROM x WHERE n > 5)),
+often AS (SELECT *, count(*) OVER (PARTITION BY doc_id, t) AS c FROM t QUALIFY c >= 3),
+m AS (
+  SELECT a.doc_id, b.i - a.i AS q, a.i FROM often a JOIN often b ON a.doc_id = b.doc_id AND a.t = b.t AND b.i > a.i),
+island AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM m),
+per AS (SELECT doc_id, q, min(i) AS s, count(*) + 2 + q AS len FROM island GROUP BY doc_id, q, k),
+run AS (SELECT doc_id, s, len, min(q) AS q FROM per WHERE len >= greatest(6, 4 * q) GROUP BY doc_id, s, len),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + len)) AS i FROM run),
+kept AS (
+  SELECT x.doc_id, string_agg(x.word, ' ' ORDER BY x.i) AS text
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(n)) AS i FROM x) x
+  LEFT JOIN gone ON gone.doc_id = x.doc_id AND gone.i = x.i WHERE gone.i IS NULL GROUP BY x.doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS listing,
+    min({'len': -len, 's': s, 'q': q}) AS best FROM run GROUP BY doc_id)
+SELECT x.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, -best.len AS length, best.q AS period,
+  (1000 * -best.len) // best.q AS exponent_milli, sha256(coalesce(listing, '')) AS runs_sha256,
+  sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM x LEFT JOIN listed ON listed.doc_id = x.doc_id LEFT JOIN kept ON kept.doc_id = x.doc_id"""
