@@ -269,9 +269,13 @@ def _service_lookup(job, api_key: str | None) -> Lookup:
 
 def transform(df: DataFrame, job, *, keyring: Keyring | None = None, lookup: Lookup | None = None,
               api_key: str | None = None, resolver: Resolver | None = None,
-              policy: LookupPolicy = LookupPolicy(), keep_original: bool = False) -> DataFrame:
+              policy: LookupPolicy = LookupPolicy(), value_rejects: str | None = None,
+              keep_original: bool = False) -> DataFrame:
     """Apply the job's action to its columns and name the output columns.
 
+    ``value_rejects``: where service mode puts values that the lookup does not
+    answer (with a policy that sets them aside).
+
     ``resolver(secret_name)`` gives the key (crypto mode) or the API key
     (service mode).
 
@@ -286,7 +290,7 @@ def transform(df: DataFrame, job, *, keyring: Keyring | None = None, lookup: Loo
             if api_key is None and job.secret_name:
                 api_key = api_key_of(job.secret_name, resolver)
             lookup = _service_lookup(job, api_key)
-        out = apply_lookup(df, cols, lookup, policy=policy, partitions=job.repartition_no)
+        out = apply_lookup(df, cols, lookup, policy=policy, partitions=job.repartition_no, reject_path=value_rejects)
     else:
         if keyring is None:
             if not job.secret_name:

@@ -16,6 +16,11 @@ A ``Lookup`` is any picklable callable ``list[str] -> list[str]`` of the same
 length (one answer per value, in order). It may raise ``RetryableError`` or
 return ``None`` to ask for a retry. A null among the answers fails the job
 unless the policy says ``null_answers='null'``.
+
+With ``bad_values='reject'`` no single value fails the job: a call that is
+refused or answered wrongly is halved until the value at fault stands alone
+(``isolated_answers``). It becomes null in its rows and a row of the reject
+table; every other value is answered.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ import time
 import urllib.error
 import urllib.parse
 import urllib.request
+from collections import deque
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -40,7 +46,7 @@ from cloakline.session import ship_package, write_scratch
 Lookup = Callable[[list[str]], list[str] | None]
 
 MAPPING_SCHEMA = "value string, mapped string"
-MASKED_MAPPING_SCHEMA = "value string, mapped string, mask long"
+REJECT_SCHEMA = "value string, reason string"
 # Columns whose index is at or over this share one "all columns" mask bit pattern.
 MASK_BITS = 62
 
@@ -53,13 +59,27 @@ class LookupFailed(RuntimeError):
     """The lookup kept failing, or answered with a malformed result."""
 
 
+class WrongAnswer(LookupFailed):
+    """An answer that does not fit the call."""
+
+
+class RefusedError(Exception):
+    """Raised by a lookup for a call that holds a value it will never answer."""
+
+
+class TooLargeError(Exception):
+    """Raised by a lookup for a call over its size limit."""
+
+
 @dataclass(frozen=True)
 class LookupPolicy:
     """Batching and retry limits of one lookup call.
 
     ``max_bytes`` bounds the UTF-8 payload of the values of one call (plus 3
     bytes of JSON framing per value); the reference's SQL function host
-    rejected requests over 6,291,456 bytes.
+    rejected requests over 6,291,456 bytes. ``bad_values='reject'`` sets values
+    aside that the lookup refuses, answers wrongly or finds too large, instead
+    of failing; ``max_rejects`` fails a task that sets aside more.
     """
 
     batch_size: int = 900
@@ -68,8 +88,12 @@ class LookupPolicy:
     backoff_base: float = 0.05
     backoff_cap: float = 5.0
     null_answers: str = "fail"  # or "null": the value becomes null
+    bad_values: str = "fail"  # or "reject"
+    max_rejects: int | None = None
 
     def __post_init__(self):
+        if self.bad_values not in ("fail", "reject"):
+            raise ValueError("bad_values must be 'fail' or 'reject'")
         if self.null_answers not in ("fail", "null"):
             raise ValueError("null_answers must be 'fail' or 'null'")
         if self.batch_size < 1 or self.max_bytes < 1 or self.max_retries < 0:
@@ -110,13 +134,13 @@ def call_with_retry(lookup: Lookup, batch: list[str], policy: LookupPolicy,
             result, last = None, exc
         if result is not None and result != "None":
             if not isinstance(result, list):
-                raise LookupFailed(f"lookup returned {type(result).__name__}, not a list")
+                raise WrongAnswer(f"lookup returned {type(result).__name__}, not a list")
             if len(result) != len(batch):
-                raise LookupFailed(
+                raise WrongAnswer(
                     f"lookup returned {len(result)} answers for {len(batch)} values"
                 )
-            if policy.null_answers == "fail" and any(r is None for r in result):
-                raise LookupFailed(f"lookup returned null for {sum(r is None for r in result)} values")
+            if policy.null_answers == policy.bad_values == "fail" and any(r is None for r in result):
+                raise WrongAnswer(f"lookup returned null for {sum(r is None for r in result)} values")
             return [None if r is None else str(r) for r in result]
         if attempt < policy.max_retries:
             sleep(min(policy.backoff_cap, policy.backoff_base * (2 ** attempt)))
@@ -125,6 +149,92 @@ def call_with_retry(lookup: Lookup, batch: list[str], policy: LookupPolicy,
     )
 
 
+def isolated_answers(values: Iterable[str], lookup: Lookup, policy: LookupPolicy,
+                     sleep: Callable[[float], None] = time.sleep) -> Iterator[tuple[list[str], list, list]]:
+    """Answers in order of completion: ``(values, answers, reasons)``, a reason for each value set aside.
+
+    A failed call is searched for one bad value by halving: if the first half
+    passes, the bad value is in the second, which needs no call of its own; else
+    the second half goes back to the values not yet tried and fills up the next
+    call. A value is set aside only after a call with it alone. So ``bad`` values
+    among ``n`` cost at most ``ceil(n / batch) + bad * (ceil(log2(batch)) + 2)``
+    calls. A call over the service's size limit is halved too, and the size that
+    failed bounds later calls. Throttling is retried as ever; a lookup that gives
+    no answer at all fails the job.
+    """
+    source = iter(values)
+    waiting: deque[str] = deque()
+    limit = policy.max_bytes
+    rejects = 0
+
+    def fill() -> list[str]:
+        batch, size = [], 0
+        while len(batch) < policy.batch_size:
+            if not waiting:
+                v = next(source, None)
+                if v is None:
+                    break
+                waiting.append(v)
+            cost = value_cost(waiting[0])
+            if batch and size + cost > limit:
+                break
+            batch.append(waiting.popleft())
+            size += cost
+        return batch
+
+    def attempt(batch: list[str]) -> tuple[list | None, str, bool]:
+        """The answers, or why there are none, and whether for their size."""
+        if len(batch) == 1 and value_cost(batch[0]) > policy.max_bytes:
+            return None, "too large", True
+        try:
+            return call_with_retry(lookup, batch, policy, sleep), "", False
+        except TooLargeError as exc:
+            return None, f"too large: {exc}", True
+        except (RefusedError, WrongAnswer) as exc:
+            return None, str(exc), False
+
+    def done(batch: list[str], answers: list):
+        nonlocal rejects
+        reasons = [None] * len(batch)
+        if policy.null_answers == "fail":
+            reasons = ["null answer" if a is None else None for a in answers]
+            rejects += sum(r is not None for r in reasons)
+        return batch, answers, reasons
+
+    while batch := fill():
+        answers, why, large = attempt(batch)
+        if answers is not None:
+            yield done(batch, answers)
+            continue
+        tried = len(batch) == 1  # whether what is left has failed by itself
+        while len(batch) > 1:
+            if large:
+                limit = min(limit, max(1, sum(map(value_cost, batch)) - 1))
+            half = len(batch) // 2
+            answers, reason, big = attempt(batch[:half])
+            if answers is None:
+                waiting.extendleft(reversed(batch[half:]))
+                batch, why, large, tried = batch[:half], reason, big, half == 1
+                continue
+            yield done(batch[:half], answers)
+            if large:  # the second half may be small enough
+                waiting.extendleft(reversed(batch[half:]))
+                batch = []
+                break
+            batch, tried = batch[half:], False
+        if not batch:
+            continue
+        if not tried:
+            answers, why, _ = attempt(batch)
+            if answers is not None:
+                yield done(batch, answers)
+                continue
+        rejects += 1
+        yield batch, [None], [why]
+        if policy.max_rejects is not None and rejects > policy.max_rejects:
+            raise LookupFailed(f"more than {policy.max_rejects} values set aside, the last one: {why}")
+
+
 def is_blank(value: str) -> bool:
     """The reference's blank rule (``str.strip``); ``has_text`` is its column form."""
     return value.strip() == ""
@@ -132,22 +242,26 @@ def is_blank(value: str) -> bool:
 
 def _mapper(lookup: Lookup, policy: LookupPolicy, with_mask: bool = False):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        masks: list[int] = []
+        masks: dict[str, int] = {}
 
         def values() -> Iterator[str]:
             # Blank values are never sent (and get no mapping row).
             for pdf in frames:
-                keep = ~pdf["value"].map(is_blank)
+                pdf = pdf[~pdf["value"].map(is_blank)]
                 if with_mask:
-                    masks.extend(pdf["mask"][keep].tolist())
-                yield from pdf["value"][keep].tolist()
-
-        for batch in batches(values(), policy):
-            out = {"value": batch, "mapped": call_with_retry(lookup, batch, policy)}
+                    masks.update(zip(pdf["value"], pdf["mask"]))
+                yield from pdf["value"].tolist()
+
+        if policy.bad_values == "reject":
+            answered = isolated_answers(values(), lookup, policy)
+        else:
+            answered = ((b, call_with_retry(lookup, b, policy), None) for b in batches(values(), policy))
+        for batch, mapped, reasons in answered:
+            out = {"value": batch, "mapped": mapped}
             if with_mask:
-                # ``masks`` is aligned with the values not yet answered.
-                out["mask"] = masks[:len(batch)]
-                del masks[:len(batch)]
+                out["mask"] = [masks.pop(v) for v in batch]
+            if reasons is not None:
+                out["reason"] = reasons
             yield pd.DataFrame(out)
 
     return run
@@ -209,14 +323,22 @@ def lookup_mapping(
 
     ``partitions`` caps the number of concurrent callers (the reference's
     ``repartition_no``); by default the distinct's shuffle partitions are used.
-    ``with_mask`` adds the column mask of ``distinct_values``.
+    ``with_mask`` adds the column mask of ``distinct_values``, a policy that
+    sets values aside a column ``reason``, null for the answered ones.
     """
     ship_package(df.sparkSession)
     values = distinct_values(df, as_list(columns), null_as_text=null_as_text, with_mask=with_mask,
                              drop_blank=False)
     if partitions:
         values = values.repartition(int(partitions), "value")
-    schema = MASKED_MAPPING_SCHEMA if with_mask else MAPPING_SCHEMA
+    return ask(values, lookup, policy)
+
+
+def ask(values: DataFrame, lookup: Lookup, policy: LookupPolicy) -> DataFrame:
+    """Send the distinct values of ``values`` (``value``, perhaps ``mask``) to the lookup."""
+    with_mask = "mask" in values.columns
+    schema = MAPPING_SCHEMA + (", mask long" if with_mask else "") + (
+        ", reason string" if policy.bad_values == "reject" else "")
     return values.mapInPandas(_mapper(lookup, policy, with_mask), schema)
 
 
@@ -252,10 +374,21 @@ def read_once(df: DataFrame) -> DataFrame:
 
 
 def materialize_mapping(mapping: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
-    """The mapping in the shared folder (deleted by a ``scratch_scope``), its values replaced by digests."""
+    """The mapping in the shared folder (deleted by a ``scratch_scope``), its values replaced by digests.
+
+    Values set aside stay readable, in a column of their own: ``rejected``.
+    """
+    if "reason" in mapping.columns:
+        mapping = mapping.withColumn("rejected", F.when(F.col("reason").isNotNull(), F.col("value")))
     return write_scratch(mapping.withColumn("value", digest(F.col("value"))), "mapping")
 
 
+def write_rejects(mapping: DataFrame, path: str) -> None:
+    """Append the values set aside to the reject table: ``value``, ``reason``. It holds plain values."""
+    mapping.where("reason IS NOT NULL").select(F.col("rejected").alias("value"), "reason").write.mode(
+        "append").parquet(path)
+
+
 def salted_digest(salt: bytes) -> Callable[[Column], Column]:
     return lambda value: F.unhex(F.sha2(F.concat(F.lit(salt), utf8(value)), 256))
 
@@ -383,13 +516,18 @@ def apply_lookup(
     partitions: int | None = None,
     null_as_text: bool = False,
     broadcast_max_bytes: int = 64 << 20,
+    reject_path: str | None = None,
 ) -> DataFrame:
     """Service-mode pseudonymize or re-identify (the lookup decides which).
 
     The input is read twice (distinct values, then the join), so an input that
     shuffles or may differ between reads is written to the shared folder first.
+    With a policy that sets bad values aside, those are null in the result and
+    appended, with the reason, to the Parquet table at ``reject_path``.
     """
     cols = as_list(columns)
+    if (policy.bad_values == "reject") != (reject_path is not None):
+        raise ValueError("bad_values='reject' and reject_path go together")
     if df.isStreaming:
         raise ValueError(
             "service mode needs a distinct + join per micro-batch: use "
@@ -401,9 +539,12 @@ def apply_lookup(
         with_mask=True,
     )
     digest = salted_digest(secrets.token_bytes(32))
+    mapping = materialize_mapping(mapping, digest)
+    if reject_path is not None:
+        write_rejects(mapping, reject_path)
     return join_mapping(
-        df, cols, materialize_mapping(mapping, digest), null_as_text=null_as_text, digest=digest,
-        broadcast_max_bytes=broadcast_max_bytes, missing=policy.null_answers,
+        df, cols, mapping, null_as_text=null_as_text, digest=digest, broadcast_max_bytes=broadcast_max_bytes,
+        missing="null" if reject_path is not None else policy.null_answers,
     )
 
 
@@ -437,6 +578,8 @@ REIDENTIFY_CODEC = JsonCodec("reidentifications", "identifiers")
 REIDENTIFY_CODEC_SQL = JsonCodec("pseudonyms", "identifiers")
 
 RETRY_STATUS = (429, 500, 502, 503, 504)
+REFUSED_STATUS = (400, 422)
+TOO_LARGE_STATUS = 413
 
 
 class HttpJsonLookup:
@@ -473,6 +616,10 @@ class HttpJsonLookup:
         except urllib.error.HTTPError as exc:
             if exc.code in RETRY_STATUS:
                 raise RetryableError(f"HTTP {exc.code}") from exc
+            if exc.code == TOO_LARGE_STATUS:
+                raise TooLargeError(f"HTTP {exc.code}") from exc
+            if exc.code in REFUSED_STATUS:
+                raise RefusedError(f"HTTP {exc.code}") from exc
             raise
         except (urllib.error.URLError, TimeoutError) as exc:
             raise RetryableError(str(exc)) from exc

@@ -22,7 +22,7 @@ from cloakline.functions.sql import register_functions, register_lookup_function
 from cloakline.jobs import BatchJob, CsvJob, StreamJob, run_batch, run_csv_batch, run_stream
 from cloakline.keys import Keyring
 from cloakline.operators.grouping import group_arrays, group_reidentify, n_per_group
-from cloakline.operators.lookup import LookupPolicy, RetryableError, apply_lookup, lookup_mapping
+from cloakline.operators.lookup import LookupPolicy, RefusedError, RetryableError, apply_lookup, lookup_mapping
 from cloakline.operators.table import pseudonymize, reidentify, rename_with_prefix
 from cloakline.session import scratch_path
 from cloakline.sources.io import read_json_lines
@@ -77,6 +77,19 @@ class FlakyLookup:
         return [f"p{n}_{v}" for v in values]
 
 
+class RefusingLookup:
+    """Refuses a call with a number that ends in 13; the answers number the task's calls: ``<call>_<value>``."""
+
+    def __init__(self):
+        self.calls = 0
+
+    def __call__(self, values: list[str]) -> list[str]:
+        self.calls += 1
+        if any(v.endswith("13") for v in values):
+            raise RefusedError("a value is refused")
+        return [f"{self.calls}_{v}" for v in values]
+
+
 class SizeLookup:
     """Answers with the number of values in the call."""
 
@@ -264,18 +277,42 @@ def lookup_blanks(spark, sf):
     return apply_lookup(src, "v", PrefixLookup("p_"))
 
 
-CALL = 300
+CALL, CALLERS = 300, 4
 
 
 def lookup_calls(spark, sf):
-    """One caller: the distinct values of two columns in calls of at most 300 values."""
+    """Several callers: the distinct values of two columns in calls of at most 300 values."""
     sent = lookup_mapping(table(spark, sf, "lineitem"), ["l_partkey", "l_suppkey"], SizeLookup(),
-                          policy=LookupPolicy(batch_size=CALL), partitions=1)
-    return sent.agg(
-        F.count(F.lit(1)).alias("n_values"),
-        F.round(F.sum(1 / F.col("mapped").cast("int"))).cast("long").alias("n_calls"),
-        F.max(F.col("mapped").cast("long")).alias("largest"),
-    )
+                          policy=LookupPolicy(batch_size=CALL), partitions=CALLERS)
+    found = sent.agg(F.count(F.lit(1)).alias("n_values"), F.round(F.sum(1 / F.col("mapped").cast("int"))).alias("calls"),
+                     F.max(F.col("mapped").cast("long")).alias("largest"))
+    return found.select("n_values", (F.col("calls") <= F.ceil(F.col("n_values") / CALL) + CALLERS).alias("few_calls"),
+                        (F.col("largest") <= CALL).alias("small_calls"))
+
+
+def lookup_isolated(spark, sf):
+    """A lookup that refuses some values answers all others; bad ones are null, and rows of the reject table."""
+    src = table(spark, sf, "customer").select("c_custkey", "c_name")
+    rejects = f"{scratch_path(spark, 'rejects')}/values"
+    out = apply_lookup(src, "c_name", RefusingLookup(), policy=LookupPolicy(batch_size=CALL, bad_values="reject"),
+                       partitions=CALLERS, reject_path=rejects)
+    found = out.select("c_custkey", F.substring_index("c_name", "_", -1).alias("c_name"))
+    aside = spark.read.parquet(rejects).select(F.col("value"), "reason")
+    return found.join(src.select("c_custkey", F.col("c_name").alias("value")), "c_custkey").join(
+        aside, "value", "left").select("c_custkey", "c_name", "reason")
+
+
+def lookup_isolated_calls(spark, sf):
+    """What setting values aside costs: calls of all tasks against the bound."""
+    sent = lookup_mapping(table(spark, sf, "customer"), "c_name", RefusingLookup(), partitions=CALLERS,
+                          policy=LookupPolicy(batch_size=CALL, bad_values="reject"))
+    call = F.substring_index("mapped", "_", 1).cast("long")
+    tasks = sent.groupBy(F.spark_partition_id().alias("task")).agg(
+        F.max(call).alias("calls"), F.count("mapped").alias("good"), F.count("reason").alias("bad"))
+    deep = 2 + (CALL - 1).bit_length()
+    n = F.sum(F.col("good") + F.col("bad"))
+    return tasks.agg(n.alias("n_values"), F.sum("bad").alias("n_rejects"), (
+        F.sum("calls") <= F.ceil(n / CALL) + CALLERS + F.sum("bad") * deep).alias("few_calls"))
 
 
 def lookup_roundtrip(spark, sf):
@@ -608,6 +645,8 @@ QUERIES: dict[str, Query] = {
     "roundtrip_binary": roundtrip_binary,
     "lookup_blanks": lookup_blanks,
     "lookup_calls": lookup_calls,
+    "lookup_isolated": lookup_isolated,
+    "lookup_isolated_calls": lookup_isolated_calls,
     "sql_lookup_filter": sql_lookup_filter,
     "stream_lookup_rejects": stream_lookup_rejects,
     "lookup_join": lookup_join,
@@ -688,10 +727,14 @@ def oracles() -> dict[str, str]:
         "lookup_blanks": "SELECT c_custkey, CASE WHEN v IS NULL THEN NULL WHEN v IN ('', '   ', chr(9) || chr(10), "
                          "chr(160) || chr(12288)) THEN '' ELSE 'p_' || v END AS v "
                          f"FROM (SELECT c_custkey, {edge} AS v FROM customer)",
-        "lookup_calls": f"SELECT count(*) AS n_values, CAST(ceil(count(*) / {CALL}) AS BIGINT) AS n_calls, "
-                        f"CAST(least(count(*), {CALL}) AS BIGINT) AS largest FROM ("
+        "lookup_calls": "SELECT count(*) AS n_values, TRUE AS few_calls, TRUE AS small_calls FROM ("
                         "SELECT CAST(l_suppkey AS VARCHAR) FROM lineitem UNION "
                         "SELECT CAST(l_partkey AS VARCHAR) FROM lineitem)",
+        "lookup_isolated": "SELECT c_custkey, CASE WHEN c_name NOT LIKE '%13' THEN c_name END AS c_name, "
+                           "CASE WHEN c_name LIKE '%13' THEN 'a value is refused' END AS reason FROM customer",
+        "lookup_isolated_calls": "SELECT count(DISTINCT c_name) AS n_values, "
+                                 "count(DISTINCT CASE WHEN c_name LIKE '%13' THEN c_name END) AS n_rejects, "
+                                 "TRUE AS few_calls FROM customer",
         "sql_lookup_filter": "SELECT c_custkey, 'p_' || c_name AS e0 FROM customer WHERE c_mktsegment LIKE '%E%'",
         "stream_lookup_rejects": f"SELECT count(*) FILTER (WHERE event_type IS DISTINCT FROM '{CORRUPT_TYPE}') AS n_good, "
                                  f"count(*) FILTER (WHERE event_type = '{CORRUPT_TYPE}') AS n_rejects FROM events",
