@@ -33,6 +33,7 @@ from cloakline.operators.lookup import (
     LookupPolicy,
     apply_lookup,
 )
+from cloakline.operators.store import MappingStore, apply_stored_lookup
 from cloakline.operators.table import pseudonymize, reidentify, rename_with_prefix, strip_prefix
 from cloakline.session import scratch_scope
 from cloakline.sources import io
@@ -270,10 +271,11 @@ def _service_lookup(job, api_key: str | None) -> Lookup:
 def transform(df: DataFrame, job, *, keyring: Keyring | None = None, lookup: Lookup | None = None,
               api_key: str | None = None, resolver: Resolver | None = None,
               policy: LookupPolicy = LookupPolicy(), value_rejects: str | None = None,
-              keep_original: bool = False) -> DataFrame:
+              store: MappingStore | None = None, keep_original: bool = False) -> DataFrame:
     """Apply the job's action to its columns and name the output columns.
 
-    ``value_rejects``: where service mode puts values that the lookup does not
+    ``store``: answers that service mode keeps between runs and micro-batches
+    (one store for each action and kind of answer). ``value_rejects``: where service mode puts values that the lookup does not
     answer (with a policy that sets them aside).
 
     ``resolver(secret_name)`` gives the key (crypto mode) or the API key
@@ -290,7 +292,9 @@ def transform(df: DataFrame, job, *, keyring: Keyring | None = None, lookup: Loo
             if api_key is None and job.secret_name:
                 api_key = api_key_of(job.secret_name, resolver)
             lookup = _service_lookup(job, api_key)
-        out = apply_lookup(df, cols, lookup, policy=policy, partitions=job.repartition_no, reject_path=value_rejects)
+        given = dict(policy=policy, partitions=job.repartition_no, reject_path=value_rejects)
+        out = (apply_lookup(df, cols, lookup, **given) if store is None
+               else apply_stored_lookup(df, cols, lookup, store, **given))
     else:
         if keyring is None:
             if not job.secret_name:

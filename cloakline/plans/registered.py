@@ -23,6 +23,7 @@ from cloakline.jobs import BatchJob, CsvJob, StreamJob, run_batch, run_csv_batch
 from cloakline.keys import Keyring
 from cloakline.operators.grouping import group_arrays, group_reidentify, n_per_group
 from cloakline.operators.lookup import LookupPolicy, RefusedError, RetryableError, apply_lookup, lookup_mapping
+from cloakline.operators.store import MappingStore, apply_stored_lookup
 from cloakline.operators.table import pseudonymize, reidentify, rename_with_prefix
 from cloakline.session import scratch_path
 from cloakline.sources.io import read_json_lines
@@ -315,6 +316,31 @@ def lookup_isolated_calls(spark, sf):
         F.sum("calls") <= F.ceil(n / CALL) + CALLERS + F.sum("bad") * deep).alias("few_calls"))
 
 
+def _store(spark, name: str) -> MappingStore:
+    base = scratch_path(spark, "store")
+    return MappingStore(spark, "cloakline_store_" + base.rsplit("-", 1)[-1], name, base, KR, buckets=16)
+
+
+def lookup_store(spark, sf):
+    """A second run asks only for new values: its answers start with ``b_``, those kept from the first with ``a_``."""
+    store = _store(spark, "pseudonyms")
+    apply_stored_lookup(table(spark, sf, "customer").select("c_custkey"), "c_custkey", PrefixLookup("a_"), store)
+    cols = ["o_custkey", "o_orderpriority"]
+    orders = table(spark, sf, "orders").select("o_orderkey", *cols)
+    return apply_stored_lookup(orders, cols, PrefixLookup("b_"), store)
+
+
+def lookup_store_runs(spark, sf):
+    """What each of three runs asked for; compacting in between changes nothing."""
+    store = _store(spark, "asked")
+    lineitem = table(spark, sf, "lineitem")
+    apply_stored_lookup(lineitem, "l_suppkey", PrefixLookup("p_"), store, run="1")
+    store.compact()
+    apply_stored_lookup(lineitem, ["l_suppkey", "l_partkey"], PrefixLookup("p_"), store, run="2", partitions=CALLERS)
+    apply_stored_lookup(lineitem, ["l_suppkey", "l_partkey"], PrefixLookup("p_"), store, run="3")
+    return store.runs()
+
+
 def lookup_roundtrip(spark, sf):
     cols = ["o_custkey", "o_orderpriority"]
     src = table(spark, sf, "orders").select("o_orderkey", *cols)
@@ -628,6 +654,27 @@ def stream_lookup_rejects(spark, sf):
     return _both_sides(spark, base, db)
 
 
+def stream_lookup_store(spark, sf):
+    """Several micro-batches over one store: every user is asked for once."""
+    base = _stream_input(spark, sf)
+    spark.read.text(f"{base}/in").repartition(4).write.text(f"{base}/parts")
+    db = "cloakline_" + base.rsplit("-", 1)[-1]
+    store = _store(spark, "users")
+    job = StreamJob.from_dict(
+        {"input_path": f"{base}/parts", "input_column": "user_id", "schema": EVENT_SCHEMA,
+         "output_root": base, "db_name": db, "table_name": "pseudo_table", "mode": "service",
+         "source_options": {"maxFilesPerTrigger": "1"},
+         "endpoint_url": "https://service.invalid/Dev/pseudonymization"}
+    )
+    run_stream(spark, job, available_now=True, lookup=PrefixLookup("p_"), store=store).awaitTermination()
+    out = spark.table(f"{db}.pseudo_table")
+    asked = store.runs().agg(F.sum("n").alias("n_asked"))
+    return out.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("s_user_id").alias("n_users"),
+        F.countDistinct("batch_id").alias("n_batches"),
+        F.sum(F.substring("s_user_id", 3, 40).cast("long")).alias("id_sum")).join(asked)
+
+
 QUERIES: dict[str, Query] = {
     "roundtrip_customer": roundtrip_customer,
     "roundtrip_random": roundtrip_random,
@@ -649,6 +696,9 @@ QUERIES: dict[str, Query] = {
     "lookup_isolated_calls": lookup_isolated_calls,
     "sql_lookup_filter": sql_lookup_filter,
     "stream_lookup_rejects": stream_lookup_rejects,
+    "lookup_store": lookup_store,
+    "lookup_store_runs": lookup_store_runs,
+    "stream_lookup_store": stream_lookup_store,
     "lookup_join": lookup_join,
     "lookup_retry": lookup_retry,
     "lookup_roundtrip": lookup_roundtrip,
@@ -738,6 +788,15 @@ def oracles() -> dict[str, str]:
         "sql_lookup_filter": "SELECT c_custkey, 'p_' || c_name AS e0 FROM customer WHERE c_mktsegment LIKE '%E%'",
         "stream_lookup_rejects": f"SELECT count(*) FILTER (WHERE event_type IS DISTINCT FROM '{CORRUPT_TYPE}') AS n_good, "
                                  f"count(*) FILTER (WHERE event_type = '{CORRUPT_TYPE}') AS n_rejects FROM events",
+        "lookup_store": "SELECT o_orderkey, CASE WHEN o_custkey IN (SELECT c_custkey FROM customer) THEN 'a_' ELSE 'b_' "
+                        "END || CAST(o_custkey AS VARCHAR) AS o_custkey, 'b_' || o_orderpriority AS o_orderpriority "
+                        "FROM orders",
+        "lookup_store_runs": "SELECT '1' AS run, count(DISTINCT l_suppkey) AS n FROM lineitem UNION ALL "
+                             "SELECT '2', count(DISTINCT l_partkey) FROM lineitem "
+                             "WHERE l_partkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_suppkey IS NOT NULL)",
+        "stream_lookup_store": "SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_users, CAST(4 AS BIGINT) AS n_batches, "
+                               "CAST(sum(user_id) AS BIGINT) AS id_sum, CAST(count(DISTINCT user_id) AS BIGINT) AS n_asked "
+                               "FROM events",
         "lookup_join": "SELECT o_orderkey, 'p_' || CAST(o_custkey AS VARCHAR) AS o_custkey, "
                        "'p_' || o_orderstatus AS o_orderstatus, 'p_' || o_orderpriority AS o_orderpriority "
                        "FROM orders",

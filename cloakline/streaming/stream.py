@@ -12,6 +12,7 @@ own output instead of appending it twice.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark import StorageLevel
@@ -24,7 +25,7 @@ from cloakline.functions.crypto import has_text
 from cloakline.operators.lookup import Lookup, LookupPolicy, apply_lookup
 from cloakline.operators.table import as_list
 from cloakline.session import scratch_scope
-from cloakline.sources.io import CORRUPT_COLUMN, with_corrupt_column
+from cloakline.sources.io import CORRUPT_COLUMN, quote, with_corrupt_column
 
 BATCH_COLUMN = "batch_id"
 DEFAULT_TRIGGER = "60 seconds"
@@ -122,13 +123,19 @@ def refuse_batch_column(df: DataFrame) -> None:
 def write_batch_to_table(df: DataFrame, table: str, batch_id: int) -> None:
     """Idempotent per-batch append to a catalog table partitioned by ``batch_id``.
 
-    A replayed batch replaces its own partition; columns go by name.
+    A replayed batch replaces its own partition, named in the statement, and
+    no other (``insertInto`` would overwrite the whole table: it ignores the
+    writer's ``partitionOverwriteMode``). Columns go by name.
     """
     refuse_batch_column(df)
     spark = df.sparkSession
-    out = df.withColumn(BATCH_COLUMN, F.lit(int(batch_id)).cast("long"))
-    names = [f"`{c}`" for c in spark.table(table).columns]
-    out.select(*names).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    names = ", ".join(quote(c) for c in spark.table(table).columns if c != BATCH_COLUMN)
+    view = f"__cl_batch_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH_COLUMN} = {int(batch_id)}) SELECT {names} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
