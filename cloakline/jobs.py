@@ -36,7 +36,7 @@ from cloakline.operators.lookup import (
 from cloakline.operators.store import MappingStore, apply_stored_lookup
 from cloakline.operators.table import pseudonymize, reidentify, rename_with_prefix, strip_prefix
 from cloakline.session import scratch_scope
-from cloakline.sources import io
+from cloakline.sources import io, records
 from cloakline.streaming import stream
 
 ACTIONS = ("pseudonymize", "reidentify")
@@ -170,6 +170,9 @@ class _Config:
 
 @dataclass(frozen=True)
 class BatchJob(_Config):
+    """With ``commit_id`` the output is a record folder (``sources.records``) instead of a table: all of the
+    run's rows appear at once, and running it again under that id adds nothing."""
+
     input_path: str
     input_columns: tuple[str, ...]
     db_name: str
@@ -185,6 +188,7 @@ class BatchJob(_Config):
     catalog: str | None = None
     prefix: str = "s_"
     properties: dict[str, str] = field(default_factory=dict)
+    commit_id: str | None = None
 
     def __post_init__(self):
         self._check()
@@ -203,6 +207,7 @@ class CsvJob(_Config):
     repartition_no: int | None = None
     sep: str = ","
     prefix: str = "s_"
+    commit_id: str | None = None
 
     def __post_init__(self):
         self._check()
@@ -211,8 +216,9 @@ class CsvJob(_Config):
 @dataclass(frozen=True)
 class StreamJob(_Config):
     """``input_path`` for file sources; a managed stream is named by ``stream_name`` and read with
-    ``source_format`` (its connector must be on the class path). Without ``checkpoint`` it lies
-    beside the table."""
+    ``source_format`` (its connector must be on the class path); ``records`` reads a record folder.
+    ``starting_position`` is where a new query starts (earliest, latest, a commit's number, a time); a
+    restarted one goes on where it was. Without ``checkpoint`` it lies beside the table."""
 
     input_columns: tuple[str, ...]
     output_root: str
@@ -226,6 +232,7 @@ class StreamJob(_Config):
     stream_region: str | None = None
     source_format: str = "text"
     source_options: dict[str, str] = field(default_factory=dict)
+    starting_position: str | None = None
     determinism: bool = True
     action: str = "pseudonymize"
     mode: str = "crypto"
@@ -310,14 +317,27 @@ def transform(df: DataFrame, job, *, keyring: Keyring | None = None, lookup: Loo
 
 
 def run_batch(spark: SparkSession, job: BatchJob, **kw) -> str:
-    """Parquet in -> pseudonymize -> append to ``db.table`` (created if absent)."""
+    """Parquet in -> pseudonymize -> append to ``db.table`` (created if absent); its name.
+
+    A job with a commit id appends to the record folder at the table's
+    location instead, and returns that.
+    """
     with scratch_scope(spark):
         return _run_batch(spark, job, **kw)
 
 
+def _append_once(df: Callable[[], DataFrame], path: str, commit_id: str) -> None:
+    """Nothing runs, no lookup is asked, if the id is committed already."""
+    if not records.RecordFolder(path).has(commit_id):
+        records.write_records(df(), path, commit_id)
+
+
 def _run_batch(spark: SparkSession, job: BatchJob, **kw) -> str:
-    out = transform(io.read_parquet(spark, job.input_path), job, **kw)
     location = io.table_location(job.output_root, "batch", job.db_name, job.table_name)
+    if job.commit_id:
+        _append_once(lambda: transform(io.read_parquet(spark, job.input_path), job, **kw), location, job.commit_id)
+        return location
+    out = transform(io.read_parquet(spark, job.input_path), job, **kw)
     io.ensure_database(spark, job.db_name, catalog=job.catalog,
                        location=location.rsplit("/", 1)[0])
     name = io.ensure_table(
@@ -332,7 +352,11 @@ def _run_batch(spark: SparkSession, job: BatchJob, **kw) -> str:
 def run_csv_batch(spark: SparkSession, job: CsvJob, *, preview_rows: int = 5, **kw) -> DataFrame:
     """CSV in -> pseudonymize -> append Parquet; returns a preview read back from the output."""
     with scratch_scope(spark):
-        io.append_parquet(transform(io.read_csv(spark, job.input_path, sep=job.sep), job, **kw), job.output_path)
+        source = lambda: transform(io.read_csv(spark, job.input_path, sep=job.sep), job, **kw)
+        if job.commit_id:
+            _append_once(source, job.output_path, job.commit_id)
+            return io.preview(records.read_records(spark, job.output_path), preview_rows)
+        io.append_parquet(source(), job.output_path)
     return io.preview(io.read_parquet(spark, job.output_path), preview_rows)
 
 
@@ -354,6 +378,10 @@ def run_stream(spark: SparkSession, job: StreamJob, *, available_now: bool = Fal
                  ("region", job.stream_region)):
         if v:
             options.setdefault(k, v)
+    if job.starting_position:
+        options.setdefault("startingPosition", job.starting_position)
+    if job.source_format == records.RecordSource.name():
+        records.register(spark)
     reader = spark.readStream.format(job.source_format).options(**options)
     parsed = stream.parse_json(reader.load(job.input_path) if job.input_path else reader.load(), job.schema)
     batches = job.mode == "service" or job.reject_path is not None

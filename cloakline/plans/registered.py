@@ -13,6 +13,7 @@ import hashlib
 import json
 from collections.abc import Callable
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +28,7 @@ from cloakline.operators.store import MappingStore, apply_stored_lookup
 from cloakline.operators.table import pseudonymize, reidentify, rename_with_prefix
 from cloakline.session import scratch_path
 from cloakline.sources.io import read_json_lines
+from cloakline.sources.records import RecordFolder, read_records, write_records
 
 # Fixed value: the secret of these queries and the tests. No key for production.
 TEST_SECRET = hashlib.sha256(b"cloakline test key - not for production").digest()
@@ -571,6 +573,64 @@ def table_append(spark, sf):
     return out.groupBy("s_suppkey", F.col("s_s_name").alias("s_name")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def records_append(spark, sf):
+    """A job that failed and is run again, and again: each of its rows is there once."""
+    base = scratch_path(spark, "records")
+    conf = {"input_s3_path": f"{sf.rstrip('/')}/supplier.parquet", "input_column": "s_name", "db_name": "committed",
+            "table_name": "pseudo_table", "output_bucket_name": base, "determinism": True}
+    path = f"{base}/batch/warehouse/committed/pseudo_table"
+    src = table(spark, sf, "supplier")
+    last = src.agg(F.max("s_suppkey")).first()[0]
+    broken = pseudonymize(src, "s_name", KR).withColumnRenamed("s_name", "s_s_name").withColumn(
+        "s_suppkey", F.when(F.col("s_suppkey") == last, F.raise_error(F.lit("the job's machine is gone")).cast(
+            "long")).otherwise(F.col("s_suppkey")))
+    failed = False
+    try:
+        write_records(broken, path, "load-1")
+    except SparkRuntimeException:
+        failed = True
+    for commit in ("load-1", "load-1", "load-2"):
+        run_batch(spark, BatchJob.from_dict(conf, commit_id=commit), keyring=KR)
+    folder = RecordFolder(path)
+    out = reidentify(read_records(spark, path), "s_s_name", KR).groupBy("s_suppkey", F.col("s_s_name").alias("s_name"))
+    folder.vacuum(older_than_s=0)
+    clean = failed and len(folder.entries()) == 2
+    return out.agg(F.count(F.lit(1)).alias("n")).withColumn("clean", F.lit(clean))
+
+
+#: The event types that come first and second in the record folder; all others come third.
+FIRST, SECOND = "click", "view"
+
+
+def stream_records(spark, sf):
+    """Three appends of events, read from the earliest, the latest, and the second one on, with restarts."""
+    base = scratch_path(spark, "records")
+    db = "cloakline_" + base.rsplit("-", 1)[-1]
+    lines = _event_json(spark, sf)
+    kind = F.coalesce("event_type", F.lit(""))
+
+    def append(commit: str, which) -> None:
+        write_records(lines.where(which).select("value"), f"{base}/in", commit)
+
+    def read(name: str, start: str) -> DataFrame:
+        job = StreamJob.from_dict(
+            {"input_path": f"{base}/in", "input_column": "user_id", "schema": EVENT_SCHEMA, "output_root": base,
+             "db_name": db, "table_name": name, "source_format": "records", "starting_position": start})
+        run_stream(spark, job, available_now=True, keyring=KR).awaitTermination()
+        return spark.table(f"{db}.{name}")
+
+    append("1", kind == FIRST)
+    read("everything", "earliest")
+    append("2", kind == SECOND)
+    read("new_ones", "latest")
+    append("3", ~kind.isin(FIRST, SECOND))
+    found = [read("everything", "earliest"), read("new_ones", "latest"), read("from_second", "1")]
+    rows = [reidentify(df, "s_user_id", KR).select(F.lit(i).alias("reader"), "event_type", F.col("s_user_id").cast("long"))
+            for i, df in enumerate(found)]
+    both = rows[0].unionAll(rows[1]).unionAll(rows[2])
+    return both.groupBy("reader", "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("s_user_id").alias("id_sum"))
+
+
 # Lines of this event type are written truncated (invalid JSON) in the reject fixture.
 CORRUPT_TYPE = "error"
 
@@ -716,6 +776,8 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": csv_roundtrip,
     "json_roundtrip": json_roundtrip,
     "table_append": table_append,
+    "records_append": records_append,
+    "stream_records": stream_records,
     "stream_roundtrip": stream_roundtrip,
     "stream_rejects": stream_rejects,
     "stream_lookup": stream_lookup,
@@ -829,6 +891,11 @@ def oracles() -> dict[str, str]:
         "csv_roundtrip": "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer",
         "json_roundtrip": "SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, event_type FROM events",
         "table_append": "SELECT s_suppkey, s_name, CAST(2 AS BIGINT) AS n FROM supplier",
+        "records_append": "SELECT s_suppkey, s_name, CAST(2 AS BIGINT) AS n, TRUE AS clean FROM supplier",
+        "stream_records": f"SELECT reader, event_type, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS id_sum "
+                          f"FROM events, (SELECT unnest([0, 1, 2])::INT AS reader) WHERE reader = 0 "
+                          f"OR (reader = 1 AND coalesce(event_type, '') NOT IN ('{FIRST}', '{SECOND}')) "
+                          f"OR (reader = 2 AND coalesce(event_type, '') <> '{FIRST}') GROUP BY reader, event_type",
         "stream_roundtrip": "SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, event_type FROM events",
         "stream_lookup": "SELECT event_id, 'p_' || CAST(user_id AS VARCHAR) AS s_user_id, event_type FROM events",
         "stream_rejects": f"SELECT count(*) FILTER (WHERE event_type IS DISTINCT FROM '{CORRUPT_TYPE}') AS n_good, "

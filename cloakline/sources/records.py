@@ -184,15 +184,21 @@ class _Writer:
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         folder = RecordFolder(self.path)
         name, out, rows = f"{self.mark}-{uuid.uuid4().hex}.parquet", None, 0
-        for batch in iterator:
-            if not batch.num_rows:
-                continue
-            if out is None:
-                folder.fs.create_dir(f"{folder.root}/{DATA}", recursive=True)
-                out = pq.ParquetWriter(f"{folder.root}/{DATA}/{name}", batch.schema, filesystem=folder.fs,
-                                       compression="zstd")
-            out.write_batch(batch)
-            rows += batch.num_rows
+        try:
+            for batch in iterator:
+                if not batch.num_rows:
+                    continue
+                if out is None:
+                    folder.fs.create_dir(f"{folder.root}/{DATA}", recursive=True)
+                    out = pq.ParquetWriter(f"{folder.root}/{DATA}/{name}", batch.schema, filesystem=folder.fs,
+                                           compression="zstd")
+                out.write_batch(batch)
+                rows += batch.num_rows
+        except BaseException:
+            if out is not None:
+                out.close()
+                folder.discard([{"name": name}])
+            raise
         if out is None:
             return Written([])
         out.close()
@@ -206,6 +212,7 @@ class _Writer:
 
     def _sweep(self, folder: RecordFolder) -> None:
         # What attempts of this write left that was not reported: retried and speculative tasks.
+        # A task that outlives an abort may still leave a file, for ``vacuum``.
         folder.discard(folder.unlisted(prefix=self.mark))
 
 

@@ -26,6 +26,7 @@ from cloakline.operators.lookup import Lookup, LookupPolicy, apply_lookup
 from cloakline.operators.table import as_list
 from cloakline.session import scratch_scope
 from cloakline.sources.io import CORRUPT_COLUMN, quote, with_corrupt_column
+from cloakline.sources.records import register
 
 BATCH_COLUMN = "batch_id"
 DEFAULT_TRIGGER = "60 seconds"
@@ -102,6 +103,24 @@ def start_file_sink(
     return _trigger(writer, trigger, available_now).start(path)
 
 
+def start_records_sink(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    writer: str,
+    *,
+    trigger: str | None = DEFAULT_TRIGGER,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Append a stream to a record folder: one commit a micro-batch, which a replay doesn't repeat.
+
+    ``writer`` names the query among those that write to the folder.
+    """
+    register(df.sparkSession)
+    out = df.writeStream.format("records").option("checkpointLocation", checkpoint).option("writer", writer)
+    return _trigger(out.outputMode("append"), trigger, available_now).start(path)
+
+
 def start_table_sink(
     df: DataFrame,
     table: str,

@@ -29,12 +29,12 @@ def test_batch_config_from_reference_keys():
 
 GLUE_YAML = """
 repartition_no: 1
-aws_region: <YOUR_REGION>
-endpoint_url: <YOUR_API_GW>.execute-api.<YOUR_REGION>.amazonaws.com/<STAGE>/<ACTION>
-secret_name: <SECRET_NAME>
+aws_region: somewhere-2
+endpoint_url: gateway.invalid/test/[to be filled in]
+secret_name: name-of-a-secret
 determinism: True
-input_loc: s3://YOUR_INPUT_S3_BUCKET/YOUR_INPUT_FILE.csv
-output_loc: s3://YOUR_OUTPUT_S3_BUCKET/
+input_loc: s3://cars/in/2024.csv
+output_loc: s3://cars/out/
 input_column: VIN
 """
 STREAM_YAML = """
@@ -47,7 +47,7 @@ secret_name: " "
 determinism: True
 output_bucket_name: " "
 input_column: vin
-db_name: blog_stream_db
+db_name: cars_live
 table_name: pseudo_table
 """
 
