@@ -9,17 +9,17 @@ chunks only, weighted with the chunk's count. A phrase of up to ``OVERLAP`` + 1
 words lies whole in the chunk in which it starts before the closing window (or
 anywhere, in a piece's last chunk), and is counted there alone: once.
 
-Counting goes by length. A phrase can reach the support only if both phrases one
-word shorter do: their hashes set bits of a filter of fixed size, and a phrase
-whose two parts don't pass is not counted. A filter that fills up lets more
-through and loses nothing. What passes is counted exactly, by its text.
+Counting goes by length, one pass over the dictionary each. A pass also counts
+hash buckets of the phrases one word longer, if both their parts pass so far;
+the buckets that reach the support set bits of a filter of fixed size, and the
+next pass counts, exactly and by their text, the phrases that pass it. A filter
+that fills up lets more through and loses nothing.
 
 Texts are whole; null texts hold no words, null languages are ``und``. Repeated
 rows count as often as they occur. Extra columns are ignored. An empty table
 gives no rows. Ties of score and count go by the phrase's bytes.
 """
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,47 +60,56 @@ def hashes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return ids, of[ids] if len(ids) else np.zeros(0, np.uint64)
 
 
-def parse(text: bytes, every: int = EVERY) -> list[tuple[bytes, bool]]:
-    """The chunks of a text in order: words joined by spaces, and whether it is its piece's last."""
+def parse(texts: list[bytes], every: int = EVERY) -> tuple[list[int], list[bytes], list[bool]]:
+    """The chunks of the texts in order: their text's number, words joined by spaces, whether last of a piece."""
     words: list[bytes] = []
-    ends = []
-    for piece in text.translate(_FOLD).split(b"\n"):
-        own = piece.split()
-        if own:
-            words += own
-            ends.append(len(words))
+    ends: list[int] = []
+    owner: list[int] = []
+    for i, text in enumerate(texts):
+        for piece in text.translate(_FOLD).split(b"\n"):
+            own = piece.split()
+            if own:
+                words += own
+                ends.append(len(words))
+                owner.append(i)
     if not words:
-        return []
+        return [], [], []
     _, of = hashes(pa.array(words, pa.binary()))
     stop = np.array(ends)
-    piece = np.searchsorted(stop, np.arange(len(words)), "right")
+    piece = np.repeat(np.arange(len(stop)), np.diff(stop, prepend=0))
     n = len(words) - OVERLAP + 1
-    cuts = np.concatenate([[0], stop[:-1]])
+    begins = np.zeros(len(words), bool)
+    begins[0] = True
+    begins[stop[:-1]] = True
     if n > 0:
         window = of[:n]
         for k in range(1, OVERLAP):
             window = mixed(window, of[k:n + k])
-        hit = (window % np.uint64(every) == 0) & (piece[:n] == piece[OVERLAP - 1:])
-        cuts = np.union1d(cuts, np.flatnonzero(hit))
+        begins[:n] |= (window % np.uint64(every) == 0) & (piece[:n] == piece[OVERLAP - 1:])
+    cuts = np.flatnonzero(begins)
     after = np.append(cuts[1:], len(words))
-    own_end = stop[piece[cuts]]
-    last = after == own_end
-    to = np.where(last, own_end, after + OVERLAP)
-    return [(b" ".join(words[a:b]), y) for a, b, y in zip(cuts.tolist(), to.tolist(), last.tolist())]
+    end = stop[piece[cuts]]
+    last = after == end
+    to = np.where(last, end, after + OVERLAP)
+    chunks = [b" ".join(words[a:b]) for a, b in zip(cuts.tolist(), to.tolist())]
+    return np.array(owner)[piece[cuts]].tolist(), chunks, last.tolist()
 
 
 def _parsed(every: int):
-    kinds = [("lang", pa.string()), ("chunk", pa.string()), ("last", pa.bool_()), ("n", pa.int64())]
+    kinds = pa.schema([("lang", pa.string()), ("chunk", pa.string()), ("last", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            seen: Counter[tuple] = Counter()
-            for lang, text in zip(b["lang"].to_pylist(), b["_t"]):
-                seen.update((lang, c, y) for c, y in parse(text.as_py(), every))
-            langs, chunks, last = zip(*seen) if seen else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(chunks, pa.binary()).cast(pa.string()),
-                 pa.array(last, pa.bool_()), pa.array(list(seen.values()), pa.int64())], schema=pa.schema(kinds))
+            texts, at, size = b["_t"], 0, 0
+            for end in range(1, len(b) + 1):
+                size += len(texts[end - 1].as_buffer())
+                if size < HELD and end < len(b):
+                    continue
+                owner, chunks, last = parse([t.as_py() for t in texts[at:end]], every)
+                yield pa.RecordBatch.from_arrays(
+                    [b["lang"][at:end].take(pa.array(owner, pa.int64())),
+                     pa.array(chunks, pa.binary()).cast(pa.string()), pa.array(last, pa.bool_())], schema=kinds)
+                at, size = end, 0
 
     return run
 
@@ -108,8 +117,8 @@ def _parsed(every: int):
 def dictionary(docs: DataFrame, every: int = EVERY) -> DataFrame:
     """``(lang, chunk, last, n)``: the distinct chunks and how often each occurs."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), utf8("text").alias("_t"))
-    rows = texts.mapInArrow(_parsed(every), "lang string, chunk string, last boolean, n long")
-    return rows.groupBy("lang", "chunk", "last").agg(F.sum("n").alias("n"))
+    rows = texts.mapInArrow(_parsed(every), "lang string, chunk string, last boolean")
+    return rows.groupBy("lang", "chunk", "last").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -124,9 +133,18 @@ def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _counted(k: int, passed):
-    """Phrases of ``k`` words in a task's chunks: ``(lang, phrase, h, n)``, ``h`` the phrase's hash."""
-    kinds = [("lang", pa.string()), ("phrase", pa.string()), ("h", pa.int64()), ("n", pa.int64())]
+def _summed(keys: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place of each different key, and its sum of weights."""
+    _, first, which = np.unique(keys, return_index=True, return_inverse=True)
+    total = np.zeros(len(first), np.int64)
+    np.add.at(total, which, weight)
+    return first, total
+
+
+def _counted(k: int, longest: int, passed):
+    """Rows of a task's chunks: ``(lang, phrase, -, n)`` for phrases of ``k`` words that pass the filter,
+    ``(-, -, bucket, n)`` for those of ``k`` + 1 words whose parts do."""
+    kinds = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("bucket", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if passed is None else passed.value
@@ -134,52 +152,58 @@ def _counted(k: int, passed):
             t = t.combine_chunks()
             split = pc.split_pattern(t["chunk"].chunk(0), " ") if len(t) else pa.array([], pa.list_(pa.string()))
             flat = split.flatten()
+            if not len(flat):
+                continue
             ids, of = hashes(flat)
             sizes = np.diff(split.offsets.to_numpy())
-            end = np.repeat(np.cumsum(sizes), sizes)
             owner = np.repeat(np.arange(len(t)), sizes)
             langs = t["lang"].combine_chunks().dictionary_encode()
             lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner]
             seeds = np.array([xxhash.xxh64_intdigest(x) for x in langs.dictionary.to_pylist()], np.uint64)
             weight = t["n"].to_numpy()[owner]
+            end = np.repeat(np.cumsum(sizes), sizes)
             # A start in the overlap belongs to the next chunk.
-            begin = end - np.where(t["last"].to_numpy(zero_copy_only=False)[owner], 0, OVERLAP)
-            at = np.arange(len(flat))
-            h = mixed(seeds[lang], of) if len(flat) else of
-            ok = (at < begin) & (at + k <= end)
+            own = np.arange(len(flat)) < end - np.where(t["last"].to_numpy(zero_copy_only=False)[owner], 0, OVERLAP)
+            h = mixed(seeds[lang], of)
             for j in range(1, k):
-                if j == k - 1:
-                    good = _passes(bits, h)
-                    ok[:len(good) - 1] &= good[:-1] & good[1:]
                 h = mixed(h[:-1], of[j:])
-            start = np.flatnonzero(ok)
+            good = np.arange(len(h)) + k <= end[:len(h)]
+            if bits is not None:
+                good &= _passes(bits, h)
+            start = np.flatnonzero(good & own[:len(h)])
             # Exact numbers of the phrases: combined and ranked word by word.
-            key = ids[start] * max(1, len(seeds)) + lang[start]
+            key = ids[start] * len(seeds) + lang[start]
             for j in range(1, k):
                 key = np.unique(key, return_inverse=True)[1] * (int(ids.max()) + 1) + ids[start + j]
-            _, first, which = np.unique(key, return_index=True, return_inverse=True)
-            total = np.zeros(len(first), np.int64)
-            np.add.at(total, which, weight[start])
+            first, total = _summed(key, weight[start])
             at = start[first]
             text = pc.binary_join(pa.ListArray.from_arrays(
                 pa.array(np.arange(len(at) + 1) * k, pa.int32()),
                 flat.take(pa.array((at[:, None] + np.arange(k)).ravel()))), " ")
             yield pa.RecordBatch.from_arrays(
-                [langs.dictionary.take(pa.array(lang[at])), text, pa.array(h[at].view(np.int64)), pa.array(total)],
-                schema=pa.schema(kinds))
+                [langs.dictionary.take(pa.array(lang[at])), text, pa.nulls(len(at), pa.int64()), pa.array(total)], schema=kinds)
+            if k == longest or len(h) < 2:
+                continue
+            after = mixed(h[:-1], of[k:])
+            start = np.flatnonzero(good[:-1] & good[1:] & own[:len(after)] & (np.arange(len(after)) + k < end[:len(after)]))
+            bucket = after[start] >> np.uint64(32)
+            first, total = _summed(bucket, weight[start])
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(first), pa.string()), pa.nulls(len(first), pa.string()),
+                 pa.array(bucket[first].astype(np.int64)), pa.array(total)], schema=kinds)
 
     return run
 
 
 def _passes(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    slot = h & np.uint64(len(bits) * 64 - 1)
+    slot = (h >> np.uint64(32)) & np.uint64(len(bits) * 64 - 1)
     return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
 def filter_of(rows: DataFrame, size: int = FILTER_BITS) -> np.ndarray:
-    """The filter of the hashes ``h``: ``size`` bits (a power of two), set by Spark as words of 64."""
-    word = F.expr(f"(h & {size - 1}L) DIV 64").alias("w")
-    found = rows.groupBy(word).agg(F.expr("bit_or(shiftleft(1L, CAST(h & 63L AS INT)))").alias("b")).toArrow()
+    """The filter of the numbers ``bucket``: ``size`` bits (a power of two), set by Spark as words of 64."""
+    word = F.expr(f"(bucket & {size - 1}L) DIV 64").alias("w")
+    found = rows.groupBy(word).agg(F.expr("bit_or(shiftleft(1L, CAST(bucket & 63L AS INT)))").alias("b")).toArrow()
     out = np.zeros(size // 64, np.uint64)
     out[found["w"].to_numpy()] = found["b"].to_numpy().view(np.uint64)
     return out
@@ -193,17 +217,19 @@ def frequent(chunks: DataFrame, support: int = SUPPORT, longest: int = OVERLAP +
     spark: SparkSession = chunks.sparkSession
     out, sizes, passed = None, None, None
     for k in range(1, longest + 1):
-        rows = chunks.mapInArrow(_counted(k, passed), "lang string, phrase string, h long, n long")
-        total = rows.groupBy("lang", "phrase").agg(F.sum("n").alias("f"), F.max("h").alias("h"))
+        rows = chunks.mapInArrow(_counted(k, longest, passed), "lang string, phrase string, bucket long, n long")
+        total = rows.groupBy("lang", "phrase", "bucket").agg(F.sum("n").alias("f"))
+        kept = F.col("f") >= support
+        # All words stay, for their number; of longer phrases and of buckets only the frequent ones.
+        total = scratch(total.where(kept | F.col("bucket").isNull() if k == 1 else kept), f"phrases-{k}")
         if k == 1:
-            total = scratch(total, "phrases-words")
-            sizes = total.groupBy("lang").agg(F.sum("f").alias("n"))
-        total = scratch(total.where(F.col("f") >= support), f"phrases-{k}")
-        level = total.select("lang", F.lit(k).alias("k"), "phrase", "f")
+            sizes = total.where("bucket IS NULL").groupBy("lang").agg(F.sum("f").alias("n"))
+        level = total.where(F.col("bucket").isNull() & kept).select("lang", F.lit(k).alias("k"), "phrase", "f")
         out = level if out is None else out.unionAll(level)
         if passed is not None:
             passed.unpersist()
-        passed = spark.sparkContext.broadcast(filter_of(total, bits))
+        if k < longest:
+            passed = spark.sparkContext.broadcast(filter_of(total.where("bucket IS NOT NULL"), bits))
     return out, sizes
 
 

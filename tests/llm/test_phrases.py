@@ -66,21 +66,23 @@ def test_each_occurrence_counts_once():
     text = " ".join(draw.choice("abcd") for _ in range(400)) + "." + " ".join("xyz" * 20)
     for every in (1, 2, 5, 10_000):
         got = Counter()
-        for chunk, last in phrases.parse(text.encode(), every):
+        owner, chunks, ends = phrases.parse([b"", text.encode(), b". ,"], every)
+        assert set(owner) == {1}
+        for chunk, last in zip(chunks, ends):
             w = chunk.split()
             for i in range(len(w) - (0 if last else phrases.OVERLAP)):
                 got.update(tuple(w[i:i + k]) for k in range(1, 6) if i + k <= len(w))
         want = Counter(tuple(x.encode() for x in w[i:i + k]) for w in pieces(text) for k in range(1, 6)
                        for i in range(len(w) - k + 1))
         assert got == want
-        assert not any(last and i == 0 for i, (_, last) in enumerate(phrases.parse(text.encode(), 1)))
+    assert phrases.parse([b"", b". ,"]) == ([], [], [])
 
 
 def test_equal_stretches_parse_alike():
     draw = random.Random(7)
     middle = [f"m{draw.randrange(500)}" for _ in range(300)]
     one, two = ([f"{k}{i}" for i in range(40)] + middle for k in "pq")
-    a, b = ({c for c, _ in phrases.parse(" ".join(x).encode())} for x in (one, two))
+    a, b = (set(phrases.parse([" ".join(x).encode()])[1]) for x in (one, two))
     assert len(a & b) > 10 and len(a - b) < 6
 
 
@@ -103,9 +105,8 @@ def test_awkward_rows(spark):
         phrases.frequent(empty(spark), longest=6)
 
 
-def test_filter_has_every_hash(spark):
-    h = np.random.default_rng(1).integers(-2**63, 2**63 - 1, 5000)
-    rows = spark.createDataFrame([(int(x),) for x in h], "h long")
-    bits = phrases.filter_of(rows, 1 << 14)
-    assert phrases._passes(bits, h.view(np.uint64)).all()
-    assert np.unpackbits(bits.view(np.uint8)).sum() == len(set((h & (1 << 14) - 1).tolist()))
+def test_filter_has_every_bucket(spark):
+    bucket = np.random.default_rng(1).integers(0, 2**32, 5000)
+    bits = phrases.filter_of(spark.createDataFrame([(int(x),) for x in bucket], "bucket long"), 1 << 14)
+    assert phrases._passes(bits, bucket.astype(np.uint64) << np.uint64(32)).all()
+    assert np.unpackbits(bits.view(np.uint8)).sum() == len(set((bucket & (1 << 14) - 1).tolist()))
