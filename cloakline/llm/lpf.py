@@ -12,9 +12,10 @@ no one suffix array, so suffixes are dealt to many small ones:
   occurrences of a window meet in the bucket of its anchor, and a window whose
   anchor occurs once in the corpus is no match.
 * A bucket holds, for each occurrence of a repeated anchor, the stretch of text
-  whose windows it is the anchor of. The suffix array of these stretches, to a
-  depth of ``least`` bytes (ranks of 8 bytes, doubled), gives the longest
-  previous factors of all their windows. Equal stretches are one there.
+  whose windows it is the anchor of. In the suffix array of these stretches, to a
+  depth of ``least`` bytes (ranks of 8 bytes, doubled), the previous and the next
+  smaller positions give the longest previous factor of each window's start; it
+  is removed where that is ``least`` bytes. Equal stretches are one there.
 * Anchors with more than ``HOT`` occurrences are thinned first: of the equal
   stretches of a text, and then of all texts, only the earliest go on (found by
   an aggregate with map-side combine). If an anchor has more than ``HOT``
@@ -33,7 +34,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cloakline.llm.common import apart, identity, scratch, utf8
@@ -105,8 +106,8 @@ def _anchors(least: int, gram: int):
     return run
 
 
-def ranks(text: np.ndarray, depth: int) -> np.ndarray:
-    """Rank of the ``depth`` bytes from each position (zeros past the end), equal for equal bytes.
+def rank_levels(text: np.ndarray, depth: int) -> list[tuple[int, np.ndarray]]:
+    """(length, rank of that many bytes from each position), up to ``depth``; zeros past the end, equal for equal bytes.
 
     Prefix doubling from 8 bytes on; positions in rank order are the suffix
     array to that depth.
@@ -115,28 +116,65 @@ def ranks(text: np.ndarray, depth: int) -> np.ndarray:
     key = np.zeros(len(text), np.uint64)
     for i in range(8):
         key = key << np.uint64(8) | pad[i:i + len(text)]
-    rank, have = np.unique(key, return_inverse=True)[1].astype(np.int64), 8
-    while have < depth:
+    out = [(8, np.unique(key, return_inverse=True)[1].astype(np.int64))]
+    while out[-1][0] < depth:
+        have, rank = out[-1]
         step = min(have, depth - have)
         other = np.zeros(len(text), np.int64)
         if step < len(text):
             other[:-step] = rank[step:] + 1
         rank = np.unique(rank * (len(text) + 2) + other, return_inverse=True)[1].astype(np.int64)
-        have += step
-    return rank
+        out.append((have + step, rank))
+    return out
+
+
+def previous_smaller(x: np.ndarray) -> np.ndarray:
+    """For each place the nearest one to the left with a smaller value, -1 if none.
+
+    All places look at once: whoever meets a larger value goes on where that
+    one's search stands; everything in between is larger too.
+    """
+    found = np.arange(-1, len(x) - 1)
+    todo = np.flatnonzero(found >= 0)
+    while len(todo):
+        todo = todo[x[found[todo]] > x[todo]]
+        found[todo] = found[found[todo]]
+        todo = todo[found[todo] >= 0]
+    return found
+
+
+def common_bytes(levels: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the common prefix at two arrays of positions, up to the depth of the levels (whole bytes by eights)."""
+    depth, top = levels[-1]
+    out = np.where(top[a] == top[b], depth, 0)
+    part = np.flatnonzero(out == 0)
+    a, b, at = a[part].copy(), b[part].copy(), np.zeros(len(part), np.int64)
+    size = len(top)
+    for length, rank in reversed(levels[:-1]):
+        inside = (a + at < size) & (b + at < size)
+        same = np.zeros(len(part), bool)
+        same[inside] = rank[(a + at)[inside]] == rank[(b + at)[inside]]
+        at += np.where(same, length, 0)
+    out[part] = np.minimum(at, depth - 1)
+    return out
 
 
-def earlier_matches(text: np.ndarray, starts: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
-    """Whether the ``least`` bytes from each start also begin at a start that comes earlier in ``order``.
+def previous_factors(text: np.ndarray, starts: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
+    """The longest-previous-factor array of the starts, up to ``least``: how many bytes from each also begin at an earlier one.
 
-    In the suffix array, cut at ``least`` bytes and with ties in order of
-    position, a suffix's previous smaller position with as long a match is its
-    left neighbour; the next smaller one never matches as far.
+    Starts in suffix order (ties by ``order``): the longest match with an earlier
+    start lies at the previous or at the next position in that order which is
+    smaller in ``order``. Matches shorter than ``least`` are measured in eights.
     """
-    rank = ranks(text, least)[starts]
-    suffixes = np.lexsort((order, rank))
-    out = np.zeros(len(starts), bool)
-    out[suffixes[1:]] = rank[suffixes[1:]] == rank[suffixes[:-1]]
+    levels = rank_levels(text, least)
+    suffixes = np.lexsort((order, levels[-1][1][starts]))
+    place, where = order[suffixes], starts[suffixes]
+    best = np.zeros(len(starts), np.int64)
+    for earlier in (previous_smaller(place), len(place) - 1 - previous_smaller(place[::-1])[::-1]):
+        has = np.flatnonzero((earlier >= 0) & (earlier < len(place)))
+        best[has] = np.maximum(best[has], common_bytes(levels, where[has], where[earlier[has]]))
+    out = np.empty(len(starts), np.int64)
+    out[suffixes] = best
     return out
 
 
@@ -241,7 +279,7 @@ def _joined(least: int):
 
 def _runs(rows: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*rows)) if rows else [()] * 4
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+    kinds = (pa.int64(),) * 4
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["_k", "_h", "a", "b"])
 
 
@@ -266,7 +304,7 @@ def _buckets(least: int):
         n = size - least + 1
         base = np.repeat(np.cumsum(size) - size, n)
         offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        found = earlier_matches(text, base + offset, np.arange(len(base)), least)
+        found = previous_factors(text, base + offset, np.arange(len(base)), least) >= least
         owner = np.repeat(np.arange(len(rows)), n)[found]
         place = offset[found]
         if len(owner):
@@ -312,30 +350,30 @@ def _cut(text: pd.Series, gone: pd.Series) -> pd.DataFrame:
 
 def removed(docs: DataFrame, least: int = LEAST, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """``(_k, _h, kept, n_removed, n_spans)`` for the documents that lose bytes; ``kept`` is binary."""
-    texts = docs.select(*key(), F.md5(utf8("text")).alias("d"), utf8("text").alias("_t")).where(
+    texts = docs.select(*identity(), F.md5(utf8("text")).alias("d"), utf8("text").alias("_t")).where(
         F.octet_length("_t") >= least)
     # The smallest document of each text stands for its copies, which lose everything.
     ids = texts.select("_k", "_h", "d", F.octet_length("_t").cast("long").alias("size"))
     place = F.struct("_k", "_h")
     same = ids.groupBy("d").agg(F.min(place).alias("f"), F.max(place).alias("l")).where("f <> l").select("d", "f")
-    copies = scratch(ids.join(same, "d").where(place != F.col("f")).select("_k", "_h", "size").distinct(), "lpf-copies")
+    copies = scratch(ids.join(apart(same), "d").where(place != F.col("f")).select("_k", "_h", "size").distinct(), "lpf-copies")
     # One exchange of the texts serves all joins: they are in one plan, nothing is written in between.
     # It is the largest one, so it moves compressed texts.
     texts = texts.select("_k", "_h", F.pandas_udf(_zip, "binary")("_t").alias("_t"))
     own = ["_k", "_h"]
     found = texts.join(copies.select(*own).hint("merge"), own, "left_anti").mapInArrow(
-        _anchors(least, gram), "anchor long, _k long, _h int, at long")
+        _anchors(least, gram), "anchor long, _k long, _h long, at long")
     count = found.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1")
     met = found.join(apart(count), "anchor")
     occ = met.where(F.col("m") <= hot).groupBy(*own).agg(F.collect_list(F.struct("anchor", "at")).alias("occ"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stretch = ["anchor", "_k", "_h", "first", "bytes"]
     cold = texts.join(occ.hint("merge"), own).mapInArrow(
-        _stretches(least), "anchor long, _k long, _h int, first long, bytes binary")
+        _stretches(least), "anchor long, _k long, _h long, first long, bytes binary")
     # Hot anchors: equal stretches first, then what is left like the others, or window by window.
     often = met.where(F.col("m") > hot).groupBy(*own).agg(F.collect_list(F.struct("anchor", "at")).alias("occ"))
     thin = texts.join(often.hint("merge"), own).mapInArrow(
-        _thinned(least), "anchor long, digest binary, _k long, _h int, first long, n long, bytes binary")
+        _thinned(least), "anchor long, digest binary, _k long, _h long, first long, n long, bytes binary")
     span = [*own, F.col("first").alias("a"), (F.col("first") + F.col("n")).alias("b")]
     start = F.struct("_k", "_h", "first")
     inside = thin.where("digest IS NULL").select(*span)
@@ -343,14 +381,14 @@ def removed(docs: DataFrame, least: int = LEAST, gram: int = GRAM, hot: int = HO
     head = thin.groupBy("anchor", "digest").agg(F.min(start).alias("f"), F.max(start).alias("l"))
     later = thin.join(apart(head.where("f <> l").drop("l")), ["anchor", "digest"]).where(start != F.col("f")).select(*span)
     wide = head.groupBy("anchor").agg(F.count("*").alias("d"))
-    left = thin.join(head.drop("l"), ["anchor", "digest"]).where(start == F.col("f")).join(wide, "anchor")
+    left = thin.join(head.drop("l"), ["anchor", "digest"]).where(start == F.col("f")).join(apart(wide), "anchor")
     runs = cold.unionAll(left.where(f"d BETWEEN 2 AND {hot}").select(*stretch)).repartition(
-        parts, "anchor").sortWithinPartitions("anchor").mapInArrow(_buckets(least), "_k long, _h int, a long, b long")
+        parts, "anchor").sortWithinPartitions("anchor").mapInArrow(_buckets(least), "_k long, _h long, a long, b long")
     windows = left.where(f"d > {hot}").select(*stretch).mapInArrow(
-        _windows(least), "window binary, _k long, _h int, first long")
+        _windows(least), "window binary, _k long, _h long, first long")
     top = windows.groupBy("window").agg(F.min(start).alias("f"), F.max(start).alias("l")).where("f <> l").drop("l")
     again = windows.join(apart(top), "window").where(start != F.col("f")).select("_k", "_h", "first").repartition(
-        parts, *own).sortWithinPartitions(*own, "first").mapInArrow(_joined(least), "_k long, _h int, a long, b long")
+        parts, *own).sortWithinPartitions(*own, "first").mapInArrow(_joined(least), "_k long, _h long, a long, b long")
     gone = runs.unionAll(again).unionAll(inside).unionAll(later).groupBy(*own).agg(
         F.collect_set(F.struct("a", "b")).alias("gone"))
     cut = F.pandas_udf(_cut, "kept binary, n_removed long, n_spans long")
@@ -361,15 +399,9 @@ def removed(docs: DataFrame, least: int = LEAST, gram: int = GRAM, hot: int = HO
     return part.unionAll(whole)
 
 
-def key(at: str = "") -> list[Column]:
-    """``_k`` and ``_h`` as ``identity`` has them, but a hash of 32 bits: every anchor carries it."""
-    k, _ = identity(at)
-    return [k, F.hash(F.coalesce(F.col(f"{at}text"), F.lit(""))).alias("_h")]
-
-
 def dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``docs`` without bytes of repeated strings; characters that lost some of their bytes go whole."""
-    rows = docs.select(F.struct("*").alias("row")).select("row", *key("row."))
+    rows = docs.select(F.struct("*").alias("row")).select("row", *identity("row."))
     text = F.coalesce(F.col("_text"), F.col("row.text"))
     clean = F.pandas_udf(lambda kept: kept.map(lambda x: bytes(x).decode("utf-8", "ignore")), "string")
     cut = removed(docs, least).select("_k", "_h", clean("kept").alias("_text"))

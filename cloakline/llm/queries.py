@@ -49,7 +49,7 @@ def op3_lpf(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     cut = lpf.removed(docs).select("_k", "_h", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
     text = utf8("text")
-    rows = docs.select("doc_id", *lpf.key(), F.octet_length(text).cast("long").alias("n_bytes"), sha256(text).alias("s"))
+    rows = docs.select("doc_id", *identity(), F.octet_length(text).cast("long").alias("n_bytes"), sha256(text).alias("s"))
     none = F.lit(0).cast("long")
     return rows.join(cut, ["_k", "_h"], "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", none).alias("n_removed"),

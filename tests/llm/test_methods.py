@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cloakline.llm import decontam, embeddings, lines, lpf, minhash, mixing, secrets, sentences, toxicity
 from cloakline.llm.common import alnum_words, components
@@ -68,10 +69,55 @@ def test_lpf_like_brute_force(spark, hot):
 def test_suffix_ranks_order_like_bytes():
     draw = np.random.default_rng(1)
     text = draw.integers(97, 100, 400).astype(np.uint8)
-    r = lpf.ranks(text, 20)
-    pieces = [text[i:i + 20].tobytes().ljust(20, b"\0") for i in range(400)]
-    order = {p: k for k, p in enumerate(sorted(set(pieces)))}
-    assert [order[p] for p in pieces] == r.tolist()
+    for depth, r in lpf.rank_levels(text, 20):
+        pieces = [text[i:i + depth].tobytes().ljust(depth, b"\0") for i in range(400)]
+        order = {p: k for k, p in enumerate(sorted(set(pieces)))}
+        assert [order[p] for p in pieces] == r.tolist()
+    assert depth == 20
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 9)))
+def test_previous_smaller(x):
+    want = [max((j for j in range(i) if x[j] <= x[i]), default=-1) for i in range(len(x))]
+    assert lpf.previous_smaller(np.array(x, np.int64)).tolist() == want
+
+
+def test_previous_factors_like_brute_force():
+    """Lengths, up to ``least``: exact from there on, in eights below."""
+    draw = random.Random(8)
+    for least in (20, 33, 100):
+        unit = "".join(draw.choice("ab") for _ in range(150))
+        text = "".join(unit[a:a + draw.randrange(1, 120)] for a in (draw.randrange(100) for _ in range(12)))
+        data = np.frombuffer(text.encode(), np.uint8)
+        starts = np.arange(len(text) - least + 1)
+        got = lpf.previous_factors(data, starts, np.arange(len(starts)), least)
+
+        def common(i, j):
+            k = 0
+            while k < least and text[i + k] == text[j + k]:
+                k += 1
+            return k if k == least else k // 8 * 8
+
+        want = [max((common(i, j) for j in range(i)), default=0) for i in starts.tolist()]
+        assert got.tolist() == want and max(want) >= min(least, 64) and min(want) < least
+
+
+def test_lpf_tells_null_ids_apart(spark):
+    """Texts without an id that agree in 32 bits of their hash are different documents all the same."""
+    draw, seen, pair = random.Random(1), {}, None
+    shared = "".join(draw.choice("abcdefgh ") for _ in range(300))
+    texts = spark.range(400_000).select(F.concat(F.lit("text number "), "id").alias("t"), F.col("id"))
+    twice = texts.groupBy(F.hash(F.concat("t", F.lit(" " + shared))).alias("h")).agg(F.collect_list("t").alias("t")).where(
+        "size(t) > 1").orderBy("h").first()
+    pair = [f"{t} {shared}" for t in twice["t"][:2]]
+    rows = [(None, pair[0]), (None, pair[1] ), (None, pair[1] + "!" * 200), (7, pair[0] + "?"), (None, pair[0])]
+    got = lpf.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    first = [r["text"] for r in got if r["doc_id"] == 7]
+    assert first == [pair[0] + "?"] and len(got) == 5
+    left = sorted(len(r["text"]) for r in got if r["doc_id"] is None)
+    head = max(len(t) - len(shared) for t in pair)
+    assert all(n < 2 * head + 200 for n in left)
 
 
 @settings(max_examples=150, deadline=None)
