@@ -1,9 +1,12 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
 Training counts each token, and each stem of 4 to 6 characters (``stem*``), in
-toxic and in clean labelled texts (one Spark aggregate), turns the counts into
-log-odds with an informative Dirichlet prior and keeps those that are
-significant. A word scores as itself, else as its longest kept stem; every
+toxic and in clean labelled texts (one Spark aggregate, a word twice a text at
+most); equal texts are one there, so copies don't teach, and a phrase that many
+different texts share does.
+It turns the counts into log-odds with an informative Dirichlet prior and keeps
+all that are significant. At most ``SAMPLE`` labelled documents teach (more than
+that are sampled by a hash of their id); this bounds the vocabulary. A word scores as itself, else as its longest kept stem; every
 other word slightly lowers the total. A text is scanned once: the Ruzzo-Tompa
 list of maximal scoring segments gives every passage. The sum of the passages'
 excesses over the extreme-value location of clean texts of that length is
@@ -11,9 +14,8 @@ mapped to a probability fitted on all training texts.
 
 Null and empty texts have no passage and get the probability of "no passage".
 Without training rows (or with one class only) every score is the share of
-toxic training rows (0 if there are none). Labels that are null are not used; a document
-labelled twice counts as toxic if any label says so. Repeated document rows
-count as often as they occur. Extra columns are kept by ``reject_toxic`` and
+toxic ones among the training rows (0 if there are none). Labels that are null are not used; a document
+labelled twice counts as toxic if any label says so. Extra columns are kept by ``reject_toxic`` and
 ignored elsewhere.
 """
 
@@ -21,24 +23,28 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from zlib import crc32
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cloakline.llm.common import WORD_BYTES, scratch, utf8
 
 #: Prior weight as a share of the tokens counted; a token scores its log-odds less so
-#: many standard errors, if that is at least LEAST; the most tokens kept (highest first).
-PRIOR, LEAST_Z, LEAST, MAX_TOKENS = 0.02, 2.0, 1.0, 200_000
+#: many standard errors, if that is at least LEAST.
+PRIOR, LEAST_Z, LEAST = 0.02, 2.0, 1.0
+#: The most labelled documents that teach.
+SAMPLE = 2_000_000
 STEMS = (6, 5, 4)
 #: One text in so many calibrates.
 FOLDS = 4
-#: Buckets of preceding words.
-CONTEXTS = 62
+#: Evidence by bins; the last one holds all that is more than 100 scales above the location, which is certain by far.
 BIN, BINS = 0.25, 400
+#: The least scale: clean texts may all score alike.
+LEAST_SCALE = 0.1
+#: A text counts a token at most so often: words come in bursts, and two are as telling as ten.
+BURST = 2
 #: Bytes of a text cut into words at once, different words counted or remembered at once.
 PIECE, HELD = 1 << 20, 150_000
 
@@ -144,74 +150,62 @@ def score(data: bytes, model: Model, get) -> float:
 
 
 def _count(batches):
-    """Per token and class: occurrences, and a bit for each bucket of preceding words."""
-    seen: tuple[dict, dict] = ({}, {})
+    """Per token and class: its occurrences in the texts, at most ``BURST`` of each word in a text."""
+    kinds = pa.schema([("token", pa.binary()), ("y", pa.int32()), ("n", pa.int64())])
+    known: dict[bytes, list[bytes]] = {}
+    seen: tuple[Counter, Counter] = (Counter(), Counter())
+
+    def rows() -> pa.RecordBatch:
+        cols = [(w, y, n) for y in (0, 1) for w, n in seen[y].items()]
+        token, y, n = zip(*cols) if cols else ((), (), ())
+        for part in seen:
+            part.clear()
+        return pa.RecordBatch.from_arrays([pa.array(token, pa.binary()), pa.array(y, pa.int32()), pa.array(n, pa.int64())], schema=kinds)
+
     for b in batches:
         for t, y in zip(b["_t"], b["_y"], strict=True):
-            own, before = seen[y.as_py()], b""
+            own: Counter[bytes] = Counter()
             for piece in words(t.as_py()):
-                for w in piece:
-                    bit = 1 << crc32(before) % CONTEXTS
-                    before = w
-                    if (x := own.get(w)) is None:
-                        own[w] = [1, bit]
-                    else:
-                        x[0] += 1
-                        x[1] |= bit
-                if len(own) > HELD:
-                    yield _tokens(seen)
-                    seen = ({}, {})
-                    own = seen[y.as_py()]
-    yield _tokens(seen)
-
-
-def _tokens(seen: tuple[dict, dict]) -> pa.RecordBatch:
-    """The counts as rows, those of the stems added."""
-    cols: tuple[list, ...] = ([], [], [], [])
-    for y, part in enumerate(seen):
-        for w, (n, bits) in list(part.items()):
-            for x in stems(w):
-                old = part.setdefault(x, [0, 0])
-                old[0] += n
-                old[1] |= bits
-        for w, (n, bits) in part.items():
-            for to, x in zip(cols, (w, y, n, bits)):
-                to.append(x)
-    kinds = (pa.binary(), pa.int32(), pa.int64(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["token", "y", "n", "bits"])
-
-
-def _spread(n: Column, bits: Column) -> Column:
-    """Occurrences, at most as many as the different preceding words seen suggest.
-
-    Linear counting over the buckets; a full bitmap says nothing, so all count.
-    Copies of one text repeat a word after the same word and so count once.
-    """
-    k = F.bit_count(bits)
-    return F.when(n.isNull(), F.lit(0.0)).when(k >= CONTEXTS, n).otherwise(
-        F.least(n.cast("double"), -CONTEXTS * F.log(1 - F.least(k, F.lit(CONTEXTS - 1)) / CONTEXTS)))
+                own.update(piece)
+            into = seen[y.as_py()]
+            for w, n in own.items():
+                n = min(n, BURST)
+                into[w] += n
+                x = known.get(w)
+                if x is None:
+                    x = known[w] = stems(w)
+                for stem in x:
+                    into[stem] += n
+            if len(known) > HELD:
+                known.clear()
+            if len(seen[0]) + len(seen[1]) > 2 * HELD:
+                yield rows()
+    yield rows()
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from the rows of ``docs`` that ``labels`` marks (callers filter out held-out rows)."""
     marked = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.max((F.col("toxic") != 0).cast("int")).alias("_y"))
-    rows = docs.select("doc_id", utf8("text").alias("_t")).join(
-        marked.hint("merge"), "doc_id").select("_t", "_y")  # labels grow with the documents: no broadcast
-    # Tokens are counted on some texts and the chances fitted on the others (copies stay together).
+    # Without their texts: which of them are different. Labels grow with the documents: no broadcast.
+    text = utf8("text")
+    ids = scratch(docs.select("doc_id", F.md5(text).alias("_d")).join(marked.hint("merge"), "doc_id"), "toxic-ids")
+    n, ones = ids.agg(F.count("*"), F.sum("_y")).first()
+    model = Model(share=ones / n if n else 0.0)
+    if n > sample:
+        ids = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(sample / n * (1 << 30)))
+    one = ids.groupBy("_d", "_y").agg(F.min("doc_id").alias("doc_id"))
+    rows = docs.select("doc_id", F.md5(text).alias("_d"), text.alias("_t")).join(one.hint("merge"), ["doc_id", "_d"])
+    rows = rows.dropDuplicates(["doc_id", "_d", "_y"])  # rows that occur twice
+    # Tokens are counted on some texts and the chances fitted on the others.
     apart = F.xxhash64("_t") % FOLDS == 0
     counted, rows = rows.where(~apart), rows.where(apart)
-    tokens = (counted.mapInArrow(_count, "token binary, y int, n long, bits long").groupBy("token").agg(
-        *[f(F.when(F.col("y") == y, F.col(c))).alias(f"{c}{y}")
-          for y in (0, 1) for c, f in (("n", F.sum), ("bits", F.bit_or))])
-        .select("token", *[_spread(F.col(f"n{y}"), F.col(f"bits{y}")).alias(f"n{y}") for y in (0, 1)]))
+    tokens = counted.mapInArrow(_count, "token binary, y int, n long").groupBy("token").agg(
+        *[F.coalesce(F.sum(F.when(F.col("y") == y, F.col("n"))), F.lit(0)).cast("double").alias(f"n{y}") for y in (0, 1)])
     tokens = scratch(tokens, "toxic-tokens")
     whole = ~F.endswith("token", F.lit(b"*"))
     t1, t0 = tokens.where(whole).agg(F.sum("n1"), F.sum("n0")).first()
-    model = Model()
     if not t1 or not t0:
-        y1, y = marked.agg(F.sum("_y"), F.count("_y")).first()
-        model.share = (y1 or 0) / y if y else 0.0
         return model
     # Log-odds ratio with the corpus frequencies as Dirichlet prior, and its z.
     prior = (F.col("n1") + F.col("n0")) * PRIOR
@@ -219,7 +213,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     delta = odds(F.col("n1"), float(t1)) - odds(F.col("n0"), float(t0))
     sure = delta - LEAST_Z * F.sqrt(1 / (F.col("n1") + prior) + 1 / (F.col("n0") + prior))
     kept = (tokens.select("token", "n0", "n1", sure.alias("sure"))
-            .where(F.col("sure") >= LEAST).orderBy(F.col("sure").desc(), "token").limit(MAX_TOKENS).collect())
+            .where(F.col("sure") >= LEAST).collect())
     model.scores = {bytes(r["token"]): r["sure"] for r in kept}
     # The share of scoring tokens is higher in toxic texts, so every other token speaks against.
     own = [r for r in kept if not r["token"].endswith(b"*")]
@@ -241,9 +235,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     # Extreme-value location and scale (moments of the Gumbel law) over the clean texts.
     top = F.coalesce(F.array_max("scores"), F.lit(0.0)) - F.col("size")
     n, mean, sd = rows.where("y = 0").agg(F.count(top), F.avg(top), F.stddev_pop(top)).first()
-    if n >= 2 and sd > 0:
-        model.scale = sd * math.sqrt(6) / math.pi
-        model.location = mean - 0.5772156649015329 * model.scale
+    if n:
+        model.scale = max(LEAST_SCALE, sd * math.sqrt(6) / math.pi)
+        model.location = mean - 0.5772156649015329 * model.scale if sd > 0 else mean
     cut = F.greatest(F.lit(0.0), F.col("size") + model.location)
     over = F.aggregate("scores", F.lit(0.0), lambda x, s: x + F.greatest(F.lit(0.0), s - F.col("cut")))
     bins = rows.withColumn("cut", cut).select(

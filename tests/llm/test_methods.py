@@ -339,3 +339,55 @@ def test_passage_inside_sentences_is_cut(spark):
         else:
             assert left == 51
     assert min(lost) >= 26 and sum(lost) >= 0.85 * 51 * len(lost)
+
+
+def _phrases_of(spark, n, seed=5):
+    """``n`` different texts, the same two-word phrase in every other one; (documents, labels)."""
+    draw = random.Random(seed)
+    vocab = [f"word{i}" for i in range(60)]
+    rows = []
+    for i in range(n):
+        text = [draw.choice(vocab) for _ in range(39)]
+        at = draw.randrange(38)
+        rows.append((i, " ".join(text[:at] + (["vile", "scum"] if i % 2 else ["mild", "soup"]) + text[at:])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return docs, spark.createDataFrame([(i, i % 2) for i in range(n)], "doc_id long, toxic int")
+
+
+def test_toxicity_learns_a_fixed_phrase(spark):
+    """A word that always follows the same word counts in every text that holds it."""
+    docs, labels = _phrases_of(spark, 600)
+    model = toxicity.train(docs, labels)
+    assert {b"vile", b"scum"} <= set(model.scores) and b"soup" not in model.scores
+    got = {r["doc_id"]: r["p"] for r in toxicity.with_score(docs, model, "p").collect()}
+    assert min(got[i] for i in range(1, 600, 2)) > 0.9 and max(got[i] for i in range(0, 600, 2)) < 0.1
+
+
+def test_toxicity_copies_do_not_teach(spark):
+    docs, labels = _phrases_of(spark, 200)
+    copies = spark.createDataFrame([(1000 + i, "one copied text with a rare wordling inside") for i in range(300)], docs.schema)
+    marks = labels.unionAll(spark.createDataFrame([(1000 + i, 1) for i in range(300)], labels.schema))
+    model = toxicity.train(docs.unionAll(copies).unionAll(docs), marks)
+    assert b"wordling" not in model.scores and b"vile" in model.scores
+
+
+def test_toxicity_never_sees_labels_of_other_documents(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 2 and i < 36)) for i in range(40)], "doc_id long, toxic int")
+    model = toxicity.train(docs.where("doc_id % 4 <> 2"), labels)
+    assert {r["p"] for r in toxicity.with_score(docs, model, "p").collect()} == {0.0}
+    assert model.share == 0.0
+
+
+def test_toxicity_location_where_clean_texts_score_alike(spark):
+    model = toxicity.train(*_phrases_of(spark, 600, seed=9))
+    # Clean texts of 41 words hold no scoring token: their largest segment is 0, the location -ln(41).
+    assert model.location == pytest.approx(-math.log(41), abs=1e-6) and model.scale == toxicity.LEAST_SCALE
+
+
+def test_toxicity_sample_is_bounded(spark):
+    docs, labels = _phrases_of(spark, 600)
+    small = toxicity.train(docs, labels, sample=200)
+    assert small.share == 0.5 and b"vile" in small.scores
+    whole = toxicity.train(docs, labels, sample=600)
+    assert len(whole.scores) >= len(small.scores)
