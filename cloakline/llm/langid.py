@@ -65,10 +65,10 @@ class Profiles:
         return out.astype(np.float32)
 
     def grams(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Packed trigrams of all texts, and the text each belongs to; texts without letters have none."""
-        joined = "".join(f"\x00{t}\x00" for t in texts)
+        """Packed trigrams of all pieces (``pieces``), and the piece each belongs to; those without letters have none."""
+        joined = "".join(texts)
         codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        size = np.array([len(t) + 2 for t in texts])
+        size = np.array([len(t) for t in texts])
         owner = np.repeat(np.arange(len(texts)), size)
         kind = self.fold(codes).astype(np.int64)
         keep = np.ones(len(kind), bool)
@@ -98,14 +98,32 @@ class Profiles:
         return out
 
 
-def pieces(text: str) -> Iterator[str]:
-    """A long text in pieces that share two characters, so that each trigram is in one.
-
-    The pieces are bundled like texts, which puts spaces around them; at most
-    one false space pair in CHARS characters.
-    """
-    for at in range(0, max(len(text) - 2, 1), CHARS):
-        yield text[at:at + CHARS + 2]
+def _letter(c: str) -> bool:
+    return c.lower()[0].isalpha()
+
+
+def carried(text: str, at: int) -> str:
+    """The last two symbols before ``at``: letters, and one space for what lies between (and before the text)."""
+    out = ""
+    while len(out) < 2:
+        if at and _letter(text[at - 1]):
+            at -= 1
+            out = text[at] + out
+            continue
+        while at and not _letter(text[at - 1]):
+            at -= 1
+        out = " " + out
+        if not at:
+            break
+    return out
+
+
+def pieces(text: str, size: int | None = None) -> Iterator[str]:
+    """A text between spaces, cut if it is long; a piece begins with the two symbols before it, so no trigram is lost or false."""
+    size = size or CHARS
+    for at in range(0, max(len(text), 1), size):
+        end = at + size
+        yield (carried(text, at) if at else " ") + text[at:end] + (" " if end >= len(text) else "")
 
 
 def groups(texts: list[str]) -> Iterator[tuple[int, list[str], list[int]]]:

@@ -1,11 +1,12 @@
 """Line dedup over levelled sorted runs of line hashes.
 
 A run is a table of (line hash, number of documents), sorted by hash. Documents
-come in batches; each batch is merge-anti-joined with the runs, which tells the
-lines that are new, and adds a run of its own at level 0. When a level holds
-``fanout`` runs they are compacted into one run of the next level, so a hash is
-rewritten once per level. After the last batch the runs are merged and every
-line found in ``min_docs`` documents or more is dropped from all of them.
+come in batches; each batch is merge-anti-joined with the runs: lines that no run
+holds become the batch's own run at level 0, the counts of the others are kept
+beside the runs. When a level holds ``fanout`` runs they are compacted into one
+run of the next level, so a hash is rewritten once per level. After the last
+batch runs and counts are merged and every line found in ``min_docs`` documents
+or more is dropped from all of them.
 
 A line's key is the line without the white space around it, A-Z lower-cased,
 as a 128-bit BLAKE2 digest. Lines whose key is empty always stay. A null text
@@ -49,25 +50,31 @@ def _keys(batches):
 
 
 class LineRuns:
-    """Runs by level; ``add`` takes a batch of rows ``(_k, _h, key)``, one per document and line key."""
+    """Runs by level, no line in two of them; ``add`` takes a batch of rows ``(_k, _h, key)``, one per document and line key."""
 
     def __init__(self, fanout: int = FANOUT):
-        self.fanout, self.levels = fanout, []
+        self.fanout, self.levels, self.found = fanout, [], []
 
     def runs(self) -> list[DataFrame]:
         return [r for level in self.levels for r in level]
 
     def fresh(self, batch: DataFrame) -> DataFrame:
-        """The batch's line keys that no run holds."""
-        out = batch.select("key").distinct()
+        """The rows of the batch whose keys no run holds."""
         for run in self.runs():
-            out = out.join(run.hint("merge"), "key", "left_anti")
-        return out
+            batch = batch.join(run.select("key").hint("merge"), "key", "left_anti")
+        return batch
 
     def add(self, batch: DataFrame) -> None:
         # distinct: a document given twice counts once.
         counts = batch.select("key", "_k", "_h").distinct().groupBy("key").agg(F.count("*").alias("n"))
-        self._push(0, scratch(counts.sortWithinPartitions("key"), "lines-run"))
+        if not self.levels:
+            self._push(0, scratch(counts.sortWithinPartitions("key"), "lines-run"))
+            return
+        counts = scratch(counts.sortWithinPartitions("key"), "lines-batch")
+        fresh = scratch(self.fresh(counts).sortWithinPartitions("key"), "lines-run")
+        held = counts.join(fresh.select("key").hint("merge"), "key", "left_anti")
+        self.found = [scratch(_merge([*self.found, held]).sortWithinPartitions("key"), "lines-found")]
+        self._push(0, fresh)
 
     def _push(self, level: int, run: DataFrame) -> None:
         while len(self.levels) <= level:
@@ -78,8 +85,9 @@ class LineRuns:
             self._push(level + 1, scratch(_merge(runs).sortWithinPartitions("key"), "lines-run"))
 
     def merged(self) -> DataFrame | None:
-        runs = self.runs()
-        return runs[0] if len(runs) == 1 else _merge(runs) if runs else None
+        """``(key, n)`` of all lines so far."""
+        both = self.runs() + self.found
+        return both[0] if len(both) == 1 else _merge(both) if both else None
 
 
 def _merge(runs: list[DataFrame]) -> DataFrame:

@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cloakline.llm import decontam, embeddings, lines, lpf, minhash, mixing, secrets, sentences, toxicity
+from cloakline.llm import decontam, embeddings, langid, lines, lpf, minhash, mixing, secrets, sentences, toxicity
 from cloakline.llm.common import alnum_words, components
 
 SCANNER = secrets.Scanner()
@@ -210,6 +211,83 @@ def test_line_runs_levels_and_fresh(spark):
     runs.add(batch((4, "a")))
     assert [len(x) for x in runs.levels] == [1, 1]
     assert {bytes(r["key"]): r["n"] for r in runs.merged().collect()} == {b"a": 4, b"b": 1, b"c": 1}
+    held = [bytes(r["key"]) for run in runs.runs() for r in run.collect()]
+    assert sorted(held) == [b"a", b"b", b"c"]  # every line is new once
+
+
+def test_common_lines_go_through_the_anti_join(spark, monkeypatch):
+    seen = []
+    real = lines.LineRuns.fresh
+    monkeypatch.setattr(lines.LineRuns, "fresh", lambda self, batch: (out := real(self, batch), seen.append(out))[0])
+    rows = [(i, "\n".join([f"line {i % 7}", f"LINE {i % 3} ", f"own {i}", ""])) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["_k"]: {bytes(k) for k in r["keys"]} for r in lines.common_lines(df, 10, batches=5).collect()}
+    keys = {i: set(lines.line_keys(t.encode())) - {b""} for i, t in rows}
+    count = Counter(k for x in keys.values() for k in x)
+    assert got == {i: {k for k in x if count[k] >= 10} for i, x in keys.items() if any(count[k] >= 10 for k in x)}
+    assert len(seen) == 4 and all("LeftAnti" in x._jdf.queryExecution().executedPlan().toString() for x in seen)
+
+
+def brute_language(docs, texts, made):
+    """Trigram by trigram in plain Python: prototypes of ``docs`` (text, lang), best cosine of each text."""
+    def vector(text):
+        symbols = [c.lower()[0] if c.lower()[0].isalpha() else " " for c in f" {text} "]
+        symbols = [c for i, c in enumerate(symbols) if not (i and c == " " == symbols[i - 1])]
+        out = np.zeros(made.d)
+        for a, b, c in zip(symbols, symbols[1:], symbols[2:]):
+            out += np.roll(made.letter(ord(a)), 2).astype(int) * np.roll(made.letter(ord(b)), 1) * made.letter(ord(c))
+        return out
+
+    base = {}
+    for text, lang in docs:
+        base[lang] = base.get(lang, 0) + vector(text)
+    out = []
+    for text in texts:
+        v = vector(text)
+        if not any(c.isalpha() for c in text):
+            out.append(("und", 0.0))
+            continue
+        cos = {x: float(v @ p / np.linalg.norm(v) / np.linalg.norm(p)) for x, p in sorted(base.items())}
+        best = max(cos, key=lambda x: (cos[x], [-ord(c) for c in x]))
+        out.append((best, min(1.0, max(0.0, cos[best]))))
+    return out
+
+
+def test_language_like_brute_force(spark):
+    draw = random.Random(6)
+    known = [("The cat sat on the mat, and the dog!", "en"), ("Der Hund und die Katze", "de"), ("le chat et le chien où", "fr"),
+             ("el gato y el perro", "es"), ("el gato y el perro", "ca"), ("", "en"), ("123 --", "fr")]  # es and ca are a tie
+    texts = ["".join(draw.choice("abc deé ßñ.,\n0 theundle") for _ in range(draw.randrange(0, 80))) for _ in range(60)]
+    texts += ["", "  ", "7", "x", "the dog", "el perro", "İ ŉ ǰ"]
+    df = spark.createDataFrame(known, "text string, lang string").repartition(3)
+    base = langid.train(df, dimensions=64)
+    got = langid.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), base, "p",
+                         dimensions=64).orderBy("doc_id").collect()
+    want = brute_language(known, texts, langid.Profiles(64))
+    for r, (lang, score) in zip(got, want, strict=True):
+        assert abs(r["p"]["score"] - score) < 1e-5, r
+        if score > 1e-9:
+            assert r["p"]["lang_pred"] == lang, r
+    assert dict(zip(texts, got))["el perro"]["p"]["lang_pred"] == "ca"  # ties: the first name
+
+
+def test_language_pieces_are_seamless():
+    draw = random.Random(2)
+    made = langid.Profiles(64)
+    text = "".join(draw.choice("ab c.  é\n") for _ in range(700)) + " " * 50 + "end"
+    whole, owner = made.grams([f" {text} "])
+    for size in (1, 2, 3, 7, 64, 699, 5000):
+        parts = list(langid.pieces(text, size))
+        got, _ = made.grams(parts)
+        assert sorted(got.tolist()) == sorted(whole.tolist()), size
+
+
+def test_language_of_a_text_of_many_pieces(monkeypatch):
+    text = ("The quick brown fox. " * 120_000)[:2_500_000]
+    cut = langid.Profiles(32)
+    got = sum(cut.bundle(part, [0] * len(part), 1) for _, part, _ in langid.groups([text]))
+    monkeypatch.setattr(langid, "CHARS", 10_000_000)
+    assert np.array_equal(got, sum(cut.bundle(part, [0] * len(part), 1) for _, part, _ in langid.groups([text])))
 
 
 @settings(max_examples=200, deadline=None)
