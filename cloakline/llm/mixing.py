@@ -11,9 +11,10 @@ fits the last words. Which documents of a size are taken follows from a seeded
 hash, so reruns agree.
 
 Null and empty texts have size 0 and are taken as often as their source is
-taken whole. A null source is a source of its own, the last one. Documents that
-agree in doc_id, source and size are interchangeable. An empty table gives an
-empty mix. Extra columns are kept by ``mix``.
+taken whole. A null source is a source of its own, the last one. Rows that agree
+in every column are interchangeable, and counted instead of ranked; rows without
+an id are told apart by their other columns, which must be hashable (no maps).
+An empty table gives an empty mix. Extra columns are kept by ``mix``.
 """
 
 import pandas as pd
@@ -25,7 +26,7 @@ from cloakline.llm.common import scratch
 MOST, SEED = 3, 17
 #: The dynamic programme covers budgets up to this many words.
 BUDGET = 1 << 16
-#: Documents of one source and size that are ranked in one task.
+#: Rows of one source and size that are ranked in one task, and copies of a row that one task makes.
 RANKED = 4096
 
 
@@ -136,49 +137,71 @@ def _quotas(pdf: pd.DataFrame) -> pd.DataFrame:
         ["source", "size", "c", "whole", "quota"]]
 
 
+def _lots(rows: DataFrame, n: str) -> DataFrame:
+    """``n`` rows for each row, numbered by ``_i`` from 1; a large number is dealt to several tasks first."""
+    one = F.least(F.col(n) - F.col("_at"), F.lit(RANKED))
+    numbered = lambda df: df.select("*", F.explode(F.sequence(F.lit(1).cast("long"), one)).alias("_j")).select(
+        *rows.columns, (F.col("_at") + F.col("_j")).alias("_i"))
+    few = rows.where(F.col(n).between(1, RANKED)).withColumn("_at", F.lit(0).cast("long"))
+    many = rows.where(F.col(n) > RANKED).withColumn(
+        "_at", F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1, F.lit(RANKED).cast("long"))))
+    return numbered(few).unionAll(numbered(many.repartition("_at", *(["_u"] if "_u" in rows.columns else []))))
+
+
+def _groups(docs: DataFrame, seed: int) -> DataFrame:
+    """Documents that agree in every column are one row here: ``_c`` of them, of which ``_take`` get a copy more.
+
+    ``_u``, ``_v``: 128 bits that stand for the row; the first ones, seeded, are
+    its place in the order of its size.
+    """
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(
+        F.col("doc_id"), F.col("source"), size_of(F.col("text")).alias("size"),
+        F.xxhash64(F.lit(seed), *cols).alias("_u"), F.xxhash64(F.lit(seed + 1), *cols).alias("_v"))
+    return rows.groupBy("doc_id", "source", "size", "_u", "_v").agg(F.count("*").alias("_c"))
+
+
 def plan(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """``(doc_id, source, size, source_size, target, copies)``, one row per document."""
-    rows = docs.select(F.col("doc_id"), F.col("source"), size_of(F.col("text")).alias("size"))
-    return plan_sizes(scratch(rows, "mix-sizes"), seed)
+    d = plan_groups(scratch(_groups(docs, seed), "mix-sizes"))
+    d = _lots(d, "_c")
+    return d.select("doc_id", "source", "size", "source_size", "target", (
+        F.col("whole") + (F.col("_i") <= F.col("_take")).cast("int")).alias("copies"))
 
 
-def plan_sizes(rows: DataFrame, seed: int = SEED) -> DataFrame:
-    """``rows``: doc_id, source, size. Adds source_size, target, copies."""
-    goal = scratch(targets(rows), "mix-targets")
-    hist = rows.groupBy("source", "size").agg(F.count("*").alias("c"))
-    quota = hist.alias("h").join(goal.alias("g"), F.expr("h.source <=> g.source")).select(
+def plan_groups(rows: DataFrame) -> DataFrame:
+    """``rows`` as ``_groups`` has them, with source_size, target, ``whole`` and ``_take``."""
+    each = rows.groupBy("source", "size").agg(F.sum("_c").alias("c"))
+    goal = scratch(targets(each.select("source", (F.col("size") * F.col("c")).alias("size"))), "mix-targets")
+    quota = each.alias("h").join(goal.alias("g"), F.expr("h.source <=> g.source")).select(
         "h.source", "h.size", "h.c", "g.target")
     quota = scratch(quota.groupBy("source").applyInPandas(
         _quotas, "source string, size long, c long, whole int, quota long"), "mix-quotas")
-    # Rank by seeded hash in buckets of about RANKED documents, each within one task.
+    # Ordered by the seeded hash in buckets of about RANKED rows, each within one task.
     d = rows.alias("d").join(quota.alias("q"), F.expr("d.source <=> q.source AND d.size = q.size")).select(
-        "d.doc_id", "d.source", "d.size", "q.whole", "q.quota",
-        F.xxhash64(F.lit(seed), F.col("d.doc_id")).alias("_u"), F.ceil(F.col("q.c") / RANKED).alias("_n"))
+        "d.*", "q.whole", "q.quota", F.ceil(F.col("q.c") / RANKED).alias("_n"))
     d = d.withColumn("_b", F.pmod(F.shiftright("_u", 20), F.col("_n")))
-    filled = d.where("_n > 1").groupBy("source", "size", "_b").agg(F.count("*").alias("_c"))
+    filled = d.where("_n > 1").groupBy("source", "size", "_b").agg(F.sum("_c").alias("_f"))
     earlier = Window.partitionBy("source", "size").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    filled = filled.select("source", "size", "_b", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_before"))
+    filled = filled.select("source", "size", "_b", F.coalesce(F.sum("_f").over(earlier), F.lit(0)).alias("_before"))
     d = d.alias("d").join(
         filled.alias("f"), F.expr("d.source <=> f.source AND d.size = f.size AND d._b = f._b"), "left").select(
         "d.*", F.coalesce("f._before", F.lit(0)).alias("_before"))
-    rank = F.row_number().over(Window.partitionBy("source", "size", "_b").orderBy("_u", "doc_id"))
-    d = d.withColumn("copies", F.col("whole") + ((F.col("_before") + rank) <= F.col("quota")).cast("int"))
+    order = Window.partitionBy("source", "size", "_b").orderBy("_u", "_v").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.col("_before") + F.coalesce(F.sum("_c").over(order), F.lit(0))
+    take = F.least(F.greatest(F.col("quota") - ahead, F.lit(0)), F.col("_c"))
+    d = d.withColumn("_take", take)
     return d.alias("d").join(goal.alias("g"), F.expr("d.source <=> g.source")).select(
-        "d.doc_id", "d.source", "d.size", "g.source_size", "g.target", "d.copies")
+        "d.doc_id", "d.source", "d.size", "d._u", "d._v", "d._c", "d.whole", "d._take", "g.source_size", "g.target")
 
 
 def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """``docs``, each row as often as the mix takes it (0 to 3 times)."""
-    made = plan(docs, seed).select(
-        F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z"), "copies")
-    # Equal (doc_id, source, size) rows: the k-th row gets the k-th number of copies.
-    same = Window.partitionBy("_d", "_s", "_z").orderBy(F.col("copies").desc())
-    made = made.withColumn("_i", F.row_number().over(same)).where("copies > 0")
-    rows = docs.select(F.struct("*").alias("row")).select(
-        "row", F.col("row.doc_id").alias("_d"), F.col("row.source").alias("_s"),
-        size_of(F.col("row.text")).alias("_z"))
-    rows = rows.withColumn("_i", F.row_number().over(
-        Window.partitionBy("_d", "_s", "_z").orderBy(F.xxhash64("row.text"))))
-    both = rows.alias("r").join(
-        made.alias("m"), F.expr("r._d <=> m._d AND r._s <=> m._s AND r._z = m._z AND r._i = m._i"))
-    return both.select("r.row", F.explode(F.sequence(F.lit(1), F.col("m.copies")))).select("row.*")
+    taken = F.col("_c") * F.col("whole") + F.col("_take")
+    made = plan_groups(scratch(_groups(docs, seed), "mix-sizes")).select("_u", "_v", taken.alias("_m")).where("_m > 0")
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.struct(*cols).alias("row"), F.xxhash64(F.lit(seed), *cols).alias("_u"),
+                       F.xxhash64(F.lit(seed + 1), *cols).alias("_v"))
+    # One row stands for the rows like it, with all their copies.
+    rows = rows.join(made, ["_u", "_v"]).dropDuplicates(["_u", "_v"])
+    return _lots(rows, "_m").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

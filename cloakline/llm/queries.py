@@ -57,7 +57,7 @@ def op3_lpf(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
-    p = mixing.plan(table(spark, sf, "documents"))
+    p = mixing.plan(table(spark, sf, "documents").select("doc_id", "text", "source"))
     return p.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from cloakline.llm.common import BLANKS, LOWER_BYTES, identity, utf8
 from cloakline.llm.minhash import mixed
 
-SENTENCES, WORDS, NEAR = 2, 15, 1
+SENTENCES, WORDS, NEAR = 2, 30, 1
 #: Spans that a task packs at once, bytes of text whose spans are one bucket, about.
 PACK, BUCKET = 1_000_000, 1 << 25
 _END = re.compile(rb"""[.!?]["')\]]*[ \t\x0b\x0c\r]+|\n\s*""")
@@ -261,7 +261,8 @@ def repeated_spans(docs: DataFrame, least: int = SENTENCES, words: int = WORDS)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET))
     packed = docs.select(*identity(), utf8("text").alias("_t")).mapInArrow(
         _spans(least, words, buckets), "bucket long, gone boolean, spans binary")
-    return packed.groupBy("bucket").applyInPandas(_repeats, "_k long, _h long, a int, b int")
+    # As many partitions as buckets: a task has one or a few of them, however many there are.
+    return packed.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_repeats, "_k long, _h long, a int, b int")
 
 
 def _cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:

@@ -469,3 +469,67 @@ def test_toxicity_sample_is_bounded(spark):
     assert small.share == 0.5 and b"vile" in small.scores
     whole = toxicity.train(docs, labels, sample=600)
     assert len(whole.scores) >= len(small.scores)
+
+
+def test_mixing_of_many_equal_rows_and_rows_without_ids(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANKED", 16)
+    rows = ([(None, "one two three", "a")] * 200 + [(None, f"w{i} x y", "a") for i in range(150)]
+            + [(i, "p q", "b") for i in range(80)] + [(7, "r s t u", "b")] * 40 + [(None, None, None)] * 3)
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    planned = mixing.plan(df).collect()
+    assert len(planned) == len(rows) and all(0 <= r["copies"] <= 3 for r in planned)
+    for s in ("a", "b"):
+        own = [r for r in planned if r["source"] == s]
+        assert abs(sum(r["size"] * r["copies"] for r in own) - own[0]["target"]) <= 4
+    made = mixing.mix(df).collect()
+    assert len(made) == sum(r["copies"] for r in planned)
+    assert Counter((r["doc_id"], r["source"]) for r in made) == Counter(
+        {k: sum(r["copies"] for r in planned if (r["doc_id"], r["source"]) == k) for k in
+         {(r["doc_id"], r["source"]) for r in planned if r["copies"]}})
+    again = mixing.mix(df.repartition(3)).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, made))
+    # A null id doesn't send all rows of a size to one bucket.
+    d = mixing._groups(df, 17).where("doc_id IS NULL AND source = 'a'")
+    assert d.select(F.pmod(F.shiftright("_u", 20), F.lit(10))).distinct().count() == 10
+
+
+def brute_spans(docs, least, words):
+    """Sentence spans of ``docs`` in order, pieces covered by any but the first occurrence removed."""
+    cutter, seen, out = sentences.Cutter(), set(), []
+    for text in docs:
+        data = text.encode()
+        _, cut, at, _ = cutter.pieces(data)
+        w, cut = [x.lower() for x in data.split()], cut.tolist()
+        n, found = len(cut) - 1, set()
+        for a in range(n):
+            b = next((b for b in range(a + least, n + 1) if cut[b] - cut[a] >= words), None)
+            if b:
+                found.add((a, b))
+        for b in range(1, n + 1):
+            a = next((a for a in range(b - least, -1, -1) if cut[b] - cut[a] >= words), None)
+            if a is not None and not any(y == b for _, y in found):
+                found.add((a, b))
+        gone = set()
+        for a, b in sorted(found):
+            key = tuple(w[cut[a]:cut[b]])
+            if key in seen:
+                gone.update(range(a, b))
+            seen.add(key)
+        out.append(b"".join(data[at[i]:at[i + 1]] for i in range(n) if i not in gone).decode() if n else text)
+    return out
+
+
+def test_sentence_spans_like_brute_force(spark):
+    draw = random.Random(12)
+    vocab = [f"w{i}" for i in range(40)]
+    say = lambda n: " ".join(draw.choice(vocab) + draw.choice(["", "", "", ".", "\n"]) for _ in range(n))
+    passages = [say(60) for _ in range(3)]
+    texts = []
+    for i in range(40):
+        p = draw.choice(passages)
+        texts.append(f"{say(draw.randrange(20))} {p if i % 2 else p[:draw.randrange(1, len(p))]} {say(draw.randrange(30))}")
+    texts += [texts[0], "", "One.", passages[0].upper()]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    for least, words in ((2, 10), (3, 25)):
+        got = {r["doc_id"]: r["text"] for r in sentences.dedup(df, least, words).collect()}
+        assert [got[i] for i in range(len(texts))] == brute_spans(texts, least, words)
