@@ -23,9 +23,12 @@ from cloakline.functions.sql import register_functions, register_lookup_function
 from cloakline.jobs import BatchJob, CsvJob, StreamJob, run_batch, run_csv_batch, run_stream
 from cloakline.keys import Keyring
 from cloakline.operators.grouping import group_arrays, group_reidentify, n_per_group
+from cloakline.operators.nested import pseudonymize_nested, reidentify_nested
 from cloakline.operators.lookup import LookupPolicy, RefusedError, RetryableError, apply_lookup, lookup_mapping
+from cloakline.operators.search import revealed, sealed_sql, write_indexed
 from cloakline.operators.store import MappingStore, apply_stored_lookup
 from cloakline.operators.table import pseudonymize, reidentify, rename_with_prefix
+from cloakline.operators.versions import KeyringSet, key_id, pseudonymize_versioned, reidentify_versioned, reseal
 from cloakline.session import scratch_path
 from cloakline.sources.io import read_json_lines
 from cloakline.sources.records import RecordFolder, read_records, write_records
@@ -260,6 +263,80 @@ def roundtrip_binary(spark, sf):
     return back.select("c_custkey", F.hex("v").alias("hex"))
 
 
+#: The identifiers that the point lookups ask for.
+SOUGHT = (7, 42, 99)
+
+
+def _indexed_orders(spark, sf) -> DataFrame:
+    base = f"{scratch_path(spark, 'indexed')}/orders"
+    src = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    write_indexed(rename_with_prefix(pseudonymize(src, "o_custkey", KR), ["o_custkey"]), base, "s_o_custkey")
+    return spark.read.parquet(base)
+
+
+def find_identifiers(spark, sf):
+    """Orders of a few customers, found by sealed constants, and only those revealed."""
+    orders = _indexed_orders(spark, sf)
+    found = orders.where(revealed(orders, "s_o_custkey", KR).isin(*SOUGHT))
+    return reidentify(found, "s_o_custkey", KR).select("o_orderkey", F.col("s_o_custkey").cast("long").alias("o_custkey"))
+
+
+def sql_find_identifiers(spark, sf):
+    _indexed_orders(spark, sf).createOrReplaceTempView("sealed_orders")
+    return sealed_sql(spark, "SELECT count(*) AS n, round(sum(o_totalprice), 2) AS total FROM sealed_orders "
+                             "WHERE s_o_custkey = :who", KR, {"who": SOUGHT[1]})
+
+
+def nested_roundtrip(spark, sf):
+    """Identifiers in a struct, in an array of structs and as keys of a map: sealed, then revealed in place."""
+    lines = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.collect_list(F.struct("l_linenumber", F.col("l_suppkey").alias("supp"), "l_quantity")).alias("lines"),
+        F.collect_list("l_partkey").alias("parts"))
+    number = F.transform(F.sequence(F.lit(1), F.size("parts")), lambda i: i.cast("string"))
+    lines = lines.withColumn("parts", F.map_from_arrays(number, "parts"))
+    orders = table(spark, sf, "orders").select("o_orderkey", F.struct("o_custkey", "o_orderstatus").alias("head"))
+    whole = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
+    paths = ["head.o_custkey", "lines[].supp", "parts{}", "parts{key}"]
+    sealed = pseudonymize_nested(whole, paths, KR)
+    plain = F.exists("lines", lambda x: F.length(x["supp"]) < 40) | (F.length("head.o_custkey") < 40)
+    back = reidentify_nested(sealed.withColumn("plain", F.coalesce(plain, F.lit(False))), paths, KR)
+    total = lambda c, of: F.aggregate(c, F.lit(0).cast("long"), lambda acc, x: acc + of(x).cast("long"))
+    return back.select(
+        "o_orderkey", F.col("head.o_custkey").alias("o_custkey"), F.col("head.o_orderstatus").alias("o_orderstatus"),
+        total("lines", lambda x: x["supp"]).alias("supp_sum"), total("lines", lambda x: x["l_linenumber"]).alias("line_sum"),
+        total(F.map_values("parts"), lambda x: x).alias("part_sum"), total(F.map_keys("parts"), lambda x: x).alias("key_sum"),
+        "plain")
+
+
+OLD_KEY = Keyring.from_secret(hashlib.sha256(b"an older test key - not for production").digest())
+BEFORE = KeyringSet({"2023": OLD_KEY}, "2023")
+BOTH = KeyringSet({"2023": OLD_KEY, "2024": KR}, "2024")
+AFTER = KeyringSet({"2024": KR}, "2024")
+
+
+def key_versions(spark, sf):
+    """A table sealed under two keys, revealed in one pass."""
+    src = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    old = F.col("c_mktsegment") < "F"
+    both = pseudonymize_versioned(src.where(old), "c_name", BEFORE).unionAll(
+        pseudonymize_versioned(src.where(~old), "c_name", BOTH))
+    back = reidentify_versioned(both.withColumn("key", key_id(F.col("c_name"))), "c_name", BOTH)
+    return back.select("c_custkey", "c_name", "key")
+
+
+def stream_reseal(spark, sf):
+    """A stream moves pseudonyms to the new key; the old one isn't needed afterwards."""
+    base = scratch_path(spark, "reseal")
+    src = table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    pseudonymize_versioned(src, "user_id", BEFORE).write.parquet(f"{base}/in")
+    stream = spark.readStream.schema("event_id long, user_id string, event_type string").parquet(f"{base}/in")
+    out = reseal(stream, "user_id", BOTH)
+    out.writeStream.format("parquet").option("checkpointLocation", f"{base}/ck").trigger(availableNow=True).start(
+        f"{base}/out").awaitTermination()
+    moved = spark.read.parquet(f"{base}/out")
+    return reidentify_versioned(moved, "user_id", AFTER)
+
+
 # ------------------------------------------------------------------ service mode
 
 
@@ -750,6 +827,11 @@ QUERIES: dict[str, Query] = {
     "random_run_linkage": random_run_linkage,
     "reveal_filtered_group": reveal_filtered_group,
     "roundtrip_binary": roundtrip_binary,
+    "find_identifiers": find_identifiers,
+    "sql_find_identifiers": sql_find_identifiers,
+    "nested_roundtrip": nested_roundtrip,
+    "key_versions": key_versions,
+    "stream_reseal": stream_reseal,
     "lookup_blanks": lookup_blanks,
     "lookup_calls": lookup_calls,
     "lookup_isolated": lookup_isolated,
@@ -836,6 +918,18 @@ def oracles() -> dict[str, str]:
         "reveal_filtered_group": "SELECT l_returnflag, count(*) AS n, CAST(sum(l_suppkey) AS BIGINT) AS id_sum "
                                  "FROM lineitem WHERE l_returnflag <> 'R' GROUP BY l_returnflag",
         "roundtrip_binary": "SELECT c_custkey, 'FF00FE' || hex(encode(c_name)) AS hex FROM customer",
+        "find_identifiers": f"SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN {SOUGHT}",
+        "sql_find_identifiers": f"SELECT count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders "
+                                f"WHERE o_custkey = {SOUGHT[1]}",
+        "nested_roundtrip": "SELECT o_orderkey, CAST(any_value(o_custkey) AS VARCHAR) AS o_custkey, "
+                            "any_value(o_orderstatus) AS o_orderstatus, CAST(sum(l_suppkey) AS BIGINT) AS supp_sum, "
+                            "CAST(sum(l_linenumber) AS BIGINT) AS line_sum, CAST(sum(l_partkey) AS BIGINT) AS part_sum, "
+                            "CASE WHEN count(l_orderkey) > 0 THEN count(l_orderkey) * (count(l_orderkey) + 1) // 2 END AS key_sum, "
+                            "FALSE AS plain "
+                            "FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey",
+        "key_versions": "SELECT c_custkey, c_name, CASE WHEN c_mktsegment < 'F' THEN '2023' ELSE '2024' END AS key "
+                        "FROM customer",
+        "stream_reseal": "SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, event_type FROM events",
         "lookup_blanks": "SELECT c_custkey, CASE WHEN v IS NULL THEN NULL WHEN v IN ('', '   ', chr(9) || chr(10), "
                          "chr(160) || chr(12288)) THEN '' ELSE 'p_' || v END AS v "
                          f"FROM (SELECT c_custkey, {edge} AS v FROM customer)",
