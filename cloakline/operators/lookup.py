@@ -121,6 +121,17 @@ def batches(values: Iterable[str], policy: LookupPolicy) -> Iterator[list[str]]:
         yield batch
 
 
+def fitting(result, batch: list[str], policy: LookupPolicy) -> list:
+    """The answers of one call, if they fit it."""
+    if not isinstance(result, list):
+        raise WrongAnswer(f"lookup returned {type(result).__name__}, not a list")
+    if len(result) != len(batch):
+        raise WrongAnswer(f"lookup returned {len(result)} answers for {len(batch)} values")
+    if policy.null_answers == policy.bad_values == "fail" and any(r is None for r in result):
+        raise WrongAnswer(f"lookup returned null for {sum(r is None for r in result)} values")
+    return [None if r is None else str(r) for r in result]
+
+
 def call_with_retry(lookup: Lookup, batch: list[str], policy: LookupPolicy,
                     sleep: Callable[[float], None] = time.sleep) -> list[str]:
     """One lookup call with bounded, capped exponential backoff."""
@@ -133,15 +144,7 @@ def call_with_retry(lookup: Lookup, batch: list[str], policy: LookupPolicy,
         except RetryableError as exc:
             result, last = None, exc
         if result is not None and result != "None":
-            if not isinstance(result, list):
-                raise WrongAnswer(f"lookup returned {type(result).__name__}, not a list")
-            if len(result) != len(batch):
-                raise WrongAnswer(
-                    f"lookup returned {len(result)} answers for {len(batch)} values"
-                )
-            if policy.null_answers == policy.bad_values == "fail" and any(r is None for r in result):
-                raise WrongAnswer(f"lookup returned null for {sum(r is None for r in result)} values")
-            return [None if r is None else str(r) for r in result]
+            return fitting(result, batch, policy)
         if attempt < policy.max_retries:
             sleep(min(policy.backoff_cap, policy.backoff_base * (2 ** attempt)))
     raise LookupFailed(

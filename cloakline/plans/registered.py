@@ -11,6 +11,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import SparkRuntimeException
@@ -25,13 +28,16 @@ from cloakline.keys import Keyring
 from cloakline.operators.grouping import group_arrays, group_reidentify, n_per_group
 from cloakline.operators.nested import pseudonymize_nested, reidentify_nested
 from cloakline.operators.lookup import LookupPolicy, RefusedError, RetryableError, apply_lookup, lookup_mapping
+from cloakline.operators.paced import Pace, paced_mapping
 from cloakline.operators.search import revealed, sealed_sql, write_indexed
 from cloakline.operators.store import MappingStore, apply_stored_lookup
 from cloakline.operators.table import pseudonymize, reidentify, rename_with_prefix
+from cloakline.operators.variant import parse_records, pseudonymize_records, reidentify_records
 from cloakline.operators.versions import KeyringSet, key_id, pseudonymize_versioned, reidentify_versioned, reseal
-from cloakline.session import scratch_path
+from cloakline.session import scratch_path, write_scratch
 from cloakline.sources.io import read_json_lines
 from cloakline.sources.records import RecordFolder, read_records, write_records
+from cloakline.streaming.metrics import kept_metrics, read_metrics
 
 # Fixed value: the secret of these queries and the tests. No key for production.
 TEST_SECRET = hashlib.sha256(b"cloakline test key - not for production").digest()
@@ -96,6 +102,31 @@ class RefusingLookup:
         return [f"{self.calls}_{v}" for v in values]
 
 
+class LimitedLookup:
+    """Answers at most ``limit`` calls in each stretch of ``seconds``, counted over all callers in a shared folder."""
+
+    def __init__(self, folder: str, limit: int, seconds: float):
+        self.folder, self.limit, self.seconds = folder.removeprefix("file:"), limit, seconds
+
+    def _mark(self, name: str) -> int:
+        """One more call of that kind; how many there are."""
+        path = os.path.join(self.folder, name)
+        os.makedirs(path, exist_ok=True)
+        open(os.path.join(path, uuid.uuid4().hex), "x").close()
+        return len(os.listdir(path))
+
+    def __call__(self, values: list[str]) -> list[str]:
+        if self._mark(str(int(time.time() / self.seconds))) > self.limit:
+            self._mark("refused")
+            raise RetryableError("throttled")
+        self._mark("answered")
+        return ["p_" + v for v in values]
+
+    def count(self, name: str) -> int:
+        path = os.path.join(self.folder, name)
+        return len(os.listdir(path)) if os.path.isdir(path) else 0
+
+
 class SizeLookup:
     """Answers with the number of values in the call."""
 
@@ -395,6 +426,16 @@ def lookup_isolated_calls(spark, sf):
         F.sum("calls") <= F.ceil(n / CALL) + CALLERS + F.sum("bad") * deep).alias("few_calls"))
 
 
+def lookup_paced(spark, sf):
+    """Callers that share one window against a service with a rate limit: all answered, few calls refused."""
+    service = LimitedLookup(scratch_path(spark, "service"), limit=24, seconds=0.25)
+    mapping = write_scratch(paced_mapping(
+        table(spark, sf, "customer"), "c_name", service, CALLERS, pace=Pace(window=8, step=4, seconds=0.25),
+        policy=LookupPolicy(batch_size=20)), "paced")
+    few = service.count("refused") <= service.count("answered")
+    return mapping.select("value", "mapped").withColumn("few_refused", F.lit(few))
+
+
 def _store(spark, name: str) -> MappingStore:
     base = scratch_path(spark, "store")
     return MappingStore(spark, "cloakline_store_" + base.rsplit("-", 1)[-1], name, base, KR, buckets=16)
@@ -791,6 +832,55 @@ def stream_lookup_rejects(spark, sf):
     return _both_sides(spark, base, db)
 
 
+def _open_records(spark, sf) -> DataFrame:
+    """Events with nested fields and some that no schema names; those of one type are cut off."""
+    e = table(spark, sf, "events")
+    whole = F.to_json(F.struct(
+        "event_id", "user_id", "event_type", F.struct(F.col("user_id").cast("string").alias("id"), "props").alias("who"),
+        F.array(F.struct(F.col("user_id").alias("u"), F.lit(1).alias("n")),
+                F.struct(F.lit(None).cast("long").alias("u"), F.lit(2).alias("n"))).alias("seen"),
+        F.map_from_arrays(F.array(F.concat(F.lit("extra_"), "event_type")), F.array("value")).alias("more")))
+    bad = F.coalesce(F.col("event_type") == CORRUPT_TYPE, F.lit(False))
+    return e.select(F.when(bad, F.substring(whole, 1, 30)).otherwise(whole).alias("value"))
+
+
+SECRET_PATHS = ["user_id", "who.id", "seen[].u"]
+
+
+def variant_roundtrip(spark, sf):
+    """Identifiers of records that no schema describes, sealed and revealed; all other fields survive."""
+    records = parse_records(_open_records(spark, sf)).where("record IS NOT NULL").select("record")
+    sealed = pseudonymize_records(records, "record", SECRET_PATHS, KR)
+    linked = F.expr("variant_get(record, '$.user_id', 'string') = '~' || variant_get(record, '$.who.id', 'string')")
+    back = reidentify_records(sealed.withColumn("linked", linked), "record", SECRET_PATHS, KR)
+    get = lambda path, kind: F.expr(f"variant_get(record, '{path}', '{kind}')")
+    more = F.map_values(F.expr("cast(variant_get(record, '$.more') as map<string,double>)"))[0]
+    return back.select(
+        get("$.event_id", "bigint").alias("event_id"), get("$.user_id", "bigint").alias("user_id"),
+        get("$.who.id", "string").alias("who_id"), get("$.who.props", "string").alias("props"),
+        get("$.seen[0].u", "bigint").alias("seen_u"), get("$.seen[0].n", "bigint").alias("seen_n"),
+        get("$.event_type", "string").alias("event_type"), more.alias("value"), "linked")
+
+
+def variant_rejects(spark, sf):
+    found = parse_records(_open_records(spark, sf))
+    return found.agg(F.count("record").alias("n_good"), F.count("_corrupt_record").alias("n_rejects"))
+
+
+def stream_metrics(spark, sf):
+    """Counters of each micro-batch, as the listener kept them."""
+    base = _stream_input(spark, sf)
+    spark.read.text(f"{base}/in").repartition(4).write.text(f"{base}/parts")
+    db = "cloakline_" + base.rsplit("-", 1)[-1]
+    job = StreamJob.from_dict(
+        {"input_path": f"{base}/parts", "input_column": "user_id", "schema": EVENT_SCHEMA, "output_root": base, "db_name": db,
+         "table_name": "pseudo_table", "source_options": {"maxFilesPerTrigger": "1"}})
+    with kept_metrics(spark, f"{base}/metrics"):
+        run_stream(spark, job, available_now=True, keyring=KR, metrics="seen").awaitTermination()
+    kept = read_metrics(spark, f"{base}/metrics").where("metric LIKE 'seen.%' OR metric = 'input_rows'")
+    return kept.groupBy("metric").agg(F.sum("value").cast("long").alias("total"), F.count_if(F.col("value") > 0).alias("n_batches"))
+
+
 def stream_lookup_store(spark, sf):
     """Several micro-batches over one store: every user is asked for once."""
     base = _stream_input(spark, sf)
@@ -838,6 +928,7 @@ QUERIES: dict[str, Query] = {
     "lookup_isolated_calls": lookup_isolated_calls,
     "sql_lookup_filter": sql_lookup_filter,
     "stream_lookup_rejects": stream_lookup_rejects,
+    "lookup_paced": lookup_paced,
     "lookup_store": lookup_store,
     "lookup_store_runs": lookup_store_runs,
     "stream_lookup_store": stream_lookup_store,
@@ -857,6 +948,9 @@ QUERIES: dict[str, Query] = {
     "chunked_groups": chunked_groups,
     "csv_roundtrip": csv_roundtrip,
     "json_roundtrip": json_roundtrip,
+    "variant_roundtrip": variant_roundtrip,
+    "variant_rejects": variant_rejects,
+    "stream_metrics": stream_metrics,
     "table_append": table_append,
     "records_append": records_append,
     "stream_records": stream_records,
@@ -944,6 +1038,17 @@ def oracles() -> dict[str, str]:
         "sql_lookup_filter": "SELECT c_custkey, 'p_' || c_name AS e0 FROM customer WHERE c_mktsegment LIKE '%E%'",
         "stream_lookup_rejects": f"SELECT count(*) FILTER (WHERE event_type IS DISTINCT FROM '{CORRUPT_TYPE}') AS n_good, "
                                  f"count(*) FILTER (WHERE event_type = '{CORRUPT_TYPE}') AS n_rejects FROM events",
+        "lookup_paced": "SELECT DISTINCT c_name AS value, 'p_' || c_name AS mapped, TRUE AS few_refused FROM customer "
+                        "WHERE c_name IS NOT NULL",
+        "variant_roundtrip": "SELECT event_id, user_id, CAST(user_id AS VARCHAR) AS who_id, props, user_id AS seen_u, "
+                             "CAST(1 AS BIGINT) AS seen_n, event_type, value, TRUE AS linked FROM events "
+                             f"WHERE event_type IS DISTINCT FROM '{CORRUPT_TYPE}'",
+        "variant_rejects": f"SELECT count(*) FILTER (WHERE event_type IS DISTINCT FROM '{CORRUPT_TYPE}') AS n_good, "
+                           f"count(*) FILTER (WHERE event_type = '{CORRUPT_TYPE}') AS n_rejects FROM events",
+        "stream_metrics": "SELECT 'input_rows' AS metric, count(*) AS total, CAST(4 AS BIGINT) AS n_batches FROM events UNION ALL "
+                          "SELECT 'seen.rows', count(*), 4 FROM events UNION ALL "
+                          "SELECT 'seen.user_id_nulls', count(*) - count(user_id), 0 FROM events UNION ALL "
+                          "SELECT 'seen.user_id_blanks', 0, 0",
         "lookup_store": "SELECT o_orderkey, CASE WHEN o_custkey IN (SELECT c_custkey FROM customer) THEN 'a_' ELSE 'b_' "
                         "END || CAST(o_custkey AS VARCHAR) AS o_custkey, 'b_' || o_orderpriority AS o_orderpriority "
                         "FROM orders",
