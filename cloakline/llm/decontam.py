@@ -10,20 +10,34 @@ Words are runs of ASCII letters and digits and of non-ASCII characters, A-Z
 lower-cased. Null and empty texts have no words and are clean; items without
 words have no window; repeated items count once by item_id, an item with a null
 id counts under the empty id. Extra columns are kept.
+
+Items are dealt to blocks of about ``BLOCK_WORDS`` words, longer ones cut into
+stretches that overlap by a window less one word. A task builds each block's
+automaton and packs it into sorted arrays (about 80 bytes a word, and its
+vocabulary); the blocks are written to the shared folder and read there by the
+scanning tasks, one after the other for each lot of texts. So texts are read
+once, a worker holds one block, and nothing of the benchmark passes the driver.
 """
 
+import pickle
 import re
+import urllib.parse
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cloakline.llm.common import LOWER_BYTES, WORD_BYTES, alnum_words, scratch, utf8
 
 WINDOW = 10
-#: Words of items in one automaton; a larger benchmark takes several, one pass each.
-BLOCK_WORDS = 2_000_000
+#: Words of items in one automaton, about (building it takes some 0.7 KB a word); bytes of texts scanned by one block at once.
+BLOCK_WORDS, LOT = 400_000, 1 << 24
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
@@ -126,60 +140,160 @@ class Automaton:
         return spans, found
 
 
-def automata(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> Iterator[Automaton]:
-    """Automata over the items, ``block_words`` words each at most (or one item)."""
-    block, n = [], 0
-    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), utf8("text").alias("t"))
-    for r in rows.toLocalIterator():
-        words = alnum_words(bytes(r["t"]))
-        if block and n + len(words) > block_words:
-            yield Automaton(block, window)
-            block, n = [], 0
-        block.append((r["i"], words))
-        n += len(words)
-    if block:
-        yield Automaton(block, window)
+class Packed:
+    """An automaton as arrays: transitions sorted by state and word, the windows' items by state."""
+
+    @classmethod
+    def load(cls, data: bytes) -> "Packed":
+        new = cls.__new__(cls)
+        new.__dict__.update(pickle.loads(data))
+        return new
+
+    def dump(self) -> bytes:
+        """Arrays, lists and dicts only: whoever loads it needs no class of this package."""
+        return pickle.dumps(self.__dict__, pickle.HIGHEST_PROTOCOL)
+
+    def __init__(self, auto: Automaton):
+        self.vocab = {w: i for i, w in enumerate(auto.next[0])}
+        self.root = array("i", auto.next[0].values())
+        n = max(1, len(self.vocab))
+        edges = sorted((v * n + self.vocab[w], to) for v, own in enumerate(auto.next) if v for w, to in own.items())
+        self.edges, self.to = array("q", (k for k, _ in edges)), array("i", (t for _, t in edges))
+        self.link, self.size, self.at = (array("i", x) for x in (auto.link, auto.size, auto.at))
+        self.names = sorted({x for own in auto.items.values() for x in own} | {x for own in auto.short.values() for _, x in own})
+        number = {x: i for i, x in enumerate(self.names)}
+        self.first, self.items = array("i", [0]), array("i")
+        for v in range(len(auto.link)):
+            self.items.extend(sorted(number[x] for x in auto.items.get(v, ())))
+            self.first.append(len(self.items))
+        self.short, self.window = auto.short, auto.window
+
+    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+        """Covered runs of words as (first, end), merged, and the items whose windows occur."""
+        get, root, edges, to_of, link, size = self.vocab.get, self.root, self.edges, self.to, self.link, self.size
+        many, last, window, short = max(1, len(self.vocab)), len(self.edges), self.window, self.short
+        spans: list[tuple[int, int]] = []
+        found: set[int] = set()
+        names: set[str] = set()
+        v = n = 0
+        for i, w in enumerate(words):
+            k = get(w)
+            if k is None:
+                v = n = 0
+                continue
+            while v:
+                e = bisect_left(edges, v * many + k)
+                if e < last and edges[e] == v * many + k:
+                    v = to_of[e]
+                    break
+                v = link[v]
+                n = size[v]
+            else:
+                v = root[k]
+            n += 1
+            reach = 0
+            if n >= window:
+                reach, a = n, self.at[v]
+                found.update(self.items[self.first[a]:self.first[a + 1]])
+            if short and v in short:
+                for length, name in short[v]:
+                    if length <= n:
+                        names.add(name)
+                        reach = max(reach, length)
+            if reach:
+                first = i + 1 - reach
+                while spans and spans[-1][1] >= first:
+                    first = min(first, spans.pop()[0])
+                spans.append((first, i + 1))
+        return spans, names | {self.names[x] for x in found}
+
+
+def _stretches(window: int, block_words: int):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names, texts, sizes = [], [], []
+            for name, t in zip(b["i"].to_pylist(), b["t"]):
+                words = alnum_words(t.as_py())
+                for at in range(0, max(1, len(words) - window + 1), block_words):
+                    part = words[at:at + block_words + window - 1]
+                    names.append(name), texts.append(b" ".join(part)), sizes.append(len(part))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.binary()),
+                                              pa.array(sizes, pa.int64())], ["i", "t", "n"])
+
+    return cut
+
+
+def automata(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> tuple[list[str], int]:
+    """The blocks' packed automata, written to the shared folder: the files' paths, the number of blocks."""
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), utf8("text").alias("t")).distinct()
+    parts = scratch(rows.mapInArrow(_stretches(window, block_words), "i string, t binary, n long").where("n > 0"), "decontam-items")
+    blocks = max(1, -(-(parts.agg(F.sum("n")).first()[0] or 0) // block_words))
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        items = sorted((i, bytes(t).split()) for i, t in zip(pdf["i"], pdf["t"]))
+        return pd.DataFrame({"packed": [Packed(Automaton(items, window)).dump()]})
+
+    dealt = parts.withColumn("block", F.pmod(F.xxhash64("i", "t"), F.lit(blocks)))
+    made = scratch(dealt.groupBy("block").applyInPandas(build, "packed binary"), "decontam-blocks")
+    return list(made.inputFiles()), blocks
+
+
+def _blocks(files: list[str]) -> Iterator[Packed]:
+    for path in files:
+        path = urllib.parse.unquote(path)
+        plain = re.sub("^file:/+", "/", path)
+        fs, at = pafs.FileSystem.from_uri(plain) if "://" in plain else (pafs.LocalFileSystem(), plain)
+        with pq.ParquetFile(at, filesystem=fs) as f:
+            for batch in f.iter_batches(batch_size=1):
+                for x in batch["packed"]:
+                    yield Packed.load(x.as_py())
+
 
+def _marker(files: list[str], blocks: int):
+    """A UDF text bytes -> words, covered spans (in words), items."""
 
-def _marker(auto):
-    """A UDF (text bytes, spans so far, items so far) -> the same with this automaton's."""
+    def scan(texts: list[bytes], kept: list[Packed]) -> pd.DataFrame:
+        spans: list[list] = [[] for _ in texts]
+        items: list[set] = [set() for _ in texts]
+        split = [alnum_words(t) for t in texts]
+        for block in kept or _blocks(files):
+            if blocks == 1 and not kept:
+                kept.append(block)  # a single block stays
+            for i, words in enumerate(split):
+                got, found = block.scan(words)
+                spans[i] += got
+                items[i] |= found
+        out = []
+        for words, got, found in zip(split, spans, items):
+            merged: list[list[int]] = []
+            for x, y in sorted(got):
+                if merged and x <= merged[-1][1]:
+                    merged[-1][1] = max(y, merged[-1][1])
+                else:
+                    merged.append([x, y])
+            out.append((len(words), [{"a": x, "b": y} for x, y in merged], sorted(found)))
+        return pd.DataFrame(out, columns=["n_words", "spans", "items"])
 
     @F.pandas_udf("n_words long, spans array<struct<a:long,b:long>>, items array<string>")
-    def mark(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        a = auto.value
-        for text, spans, items in batches:
-            out = []
-            for t, old, had in zip(text, spans, items):
-                words = alnum_words(bytes(t))
-                got, found = a.scan(words)
-                merged: list[list[int]] = []
-                for x, y in sorted(got + [(s["a"], s["b"]) for s in old]):
-                    if merged and x <= merged[-1][1]:
-                        merged[-1][1] = max(y, merged[-1][1])
-                    else:
-                        merged.append([x, y])
-                out.append((len(words), [{"a": x, "b": y} for x, y in merged], sorted(found | set(had))))
-            yield pd.DataFrame(out, columns=["n_words", "spans", "items"])
+    def mark(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        kept: list[Packed] = []
+        for text in batches:
+            lots, size = [[]], 0
+            for t in text:
+                if lots[-1] and size + len(t) > LOT:
+                    lots.append([])
+                    size = 0
+                lots[-1].append(bytes(t))
+                size += len(t)
+            yield pd.concat([scan(x, kept) for x in lots], ignore_index=True)
 
     return mark
 
 
 def _mark(rows: DataFrame, benchmark: DataFrame, window: int, block_words: int) -> DataFrame:
     """``rows`` has a struct ``row``; adds ``m``: n_words, covered spans (in words) and items."""
-    none = F.expr("named_struct('n_words', 0L, 'spans', cast(array() as array<struct<a:bigint,b:bigint>>), "
-                  "'items', cast(array() as array<string>))")
-    out = rows.select("row", none.alias("m"))
-    passes = 0
-    for auto in automata(benchmark, window, block_words):
-        if passes:
-            out = scratch(out, "decontam")  # one automaton at a time in the workers
-        held = rows.sparkSession.sparkContext.broadcast(auto)
-        out = out.select("row", _marker(held)(utf8("row.text"), F.col("m.spans"), F.col("m.items")).alias("m"))
-        passes += 1
-    if not passes:  # an empty benchmark: only the words are counted
-        held = rows.sparkSession.sparkContext.broadcast(Automaton([], window))
-        out = out.select("row", _marker(held)(utf8("row.text"), F.col("m.spans"), F.col("m.items")).alias("m"))
-    return out
+    files, blocks = automata(benchmark, window, block_words)
+    return rows.select("row", _marker(files, blocks)(utf8("row.text")).alias("m"))
 
 
 def mark_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,

@@ -303,9 +303,46 @@ def test_automaton_like_brute_force(items, doc):
             if tuple(words[i:i + k]) in wins:
                 hit.update(range(i, i + k))
                 found.add(name)
-    spans, got = decontam.Automaton(items, 4).scan(words)
-    assert got == found and {j for a, b in spans for j in range(a, b)} == hit
-    assert all(x[1] < y[0] for x, y in zip(spans, spans[1:])) or hit
+    auto = decontam.Automaton(items, 4)
+    for form in (auto, decontam.Packed.load(decontam.Packed(auto).dump())):
+        spans, got = form.scan(words)
+        assert got == found and {j for a, b in spans for j in range(a, b)} == hit
+        assert all(x[1] < y[0] for x, y in zip(spans, spans[1:])) or hit
+
+
+@pytest.mark.parametrize("block_words,lot", [(7, 50), (40, 1 << 24), (10**6, 1 << 24)])
+def test_decontamination_by_blocks_like_brute_force(spark, monkeypatch, block_words, lot):
+    """Many small blocks, items longer than a block, lots of few texts: the result of one automaton."""
+    monkeypatch.setattr(decontam, "LOT", lot)
+    draw = random.Random(4)
+    say = lambda n: [draw.choice("abcde") + draw.choice("xyz") for _ in range(n)]
+    items = [(f"i{k}", say(draw.choice([0, 2, 6, 30, 90]))) for k in range(12)]
+    docs = []
+    for k in range(40):
+        words = say(draw.randrange(0, 40))
+        own = draw.choice(items)[1]
+        a = draw.randrange(0, len(own) + 1)
+        docs.append((k, words + own[a:a + draw.randrange(1, 40)] + say(5)))
+    got = decontam.mark_contaminated(
+        spark.createDataFrame([(k, " ".join(w)) for k, w in docs], "doc_id long, text string").repartition(3),
+        spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id string, text string"), 6, block_words)
+    for r in got.collect():
+        words, hit, found = docs[r["row"]["doc_id"]][1], set(), set()
+        for name, x in items:
+            n = min(len(x), 6)
+            wins = {tuple(x[i:i + n]) for i in range(len(x) - n + 1)} if n else set()
+            for i in range(len(words) - n + 1):
+                if tuple(words[i:i + n]) in wins:
+                    hit.update(range(i, i + n))
+                    found.add(name)
+        assert (r["n_words"], r["n_hit"], r["items"]) == (len(words), len(hit), sorted(found))
+
+
+def test_packed_automaton_is_small():
+    draw = random.Random(1)
+    words = [f"w{draw.randrange(5000)}".encode() for _ in range(100_000)]
+    size = len(decontam.Packed(decontam.Automaton([("a", words)], 10)).dump())
+    assert size < 110 * len(words)
 
 
 def test_words_of_the_contract():
