@@ -16,7 +16,7 @@ of the link graph, so pairs inside a component needn't be tested: in each round
 every document is tested against one centre among its tables (centres are drawn
 anew each round), links merge components, and groups of one component are done.
 After ``ROUNDS`` rounds, or one that finds nothing new, what is left is compared
-whole: documents that share groups form clusters, and in a cluster every document
+whole: documents that share tables form clusters, and in a cluster every document
 outside the largest component is compared, in bounded blocks, with all others it
 shares a table with. A block pair returns at most a spanning forest of its links.
 
@@ -192,13 +192,15 @@ def _settle(live: DataFrame, texts: DataFrame, width: int, least: int, groups: i
 
 def _compare_left(live: DataFrame, texts: DataFrame, width: int, least: int, groups: int) -> DataFrame:
     """Links between components that share groups; see the module's text."""
-    low = live.groupBy("key").agg(F.min("node").alias("low"))
-    cluster = components(live.join(apart(low), "key").select("node", "low"), "node", "low")
+    # Clusters are connected by tables: a group of the first collection with one of the second.
+    tables = live.select("key", "node", F.explode("b").alias("other"))
+    low = tables.groupBy("key", "other").agg(F.min("node").alias("low"), F.count("*").alias("m")).where("m > 1")
+    cluster = components(tables.join(apart(low), ["key", "other"]).select("node", "low"), "node", "low")
     docs = scratch(live.select("node", "hash", "n", "comp").distinct().join(
         cluster.withColumnRenamed("component", "cluster"), "node"), "minhash-left")
     main = docs.groupBy("cluster", "comp").agg(F.count("*").alias("c")).groupBy("cluster").agg(
         F.max(F.struct("c", "comp")).alias("m")).select("cluster", F.col("m.comp").alias("main"))
-    docs = docs.join(main, "cluster").withColumn("out", F.col("comp") != F.col("main"))
+    docs = docs.join(apart(main), "cluster").withColumn("out", F.col("comp") != F.col("main"))
 
     def blocks(which: str) -> Column:
         n = F.greatest(F.count(F.when(F.expr(which), 1)) / BLOCK,
@@ -206,7 +208,7 @@ def _compare_left(live: DataFrame, texts: DataFrame, width: int, least: int, gro
         return F.greatest(F.ceil(n), F.lit(0)).cast("long")
 
     sizes = docs.groupBy("cluster").agg(blocks("out").alias("no"), blocks("NOT out").alias("ni")).where("no > 0")
-    docs = docs.join(sizes, "cluster").withColumn(
+    docs = docs.join(apart(sizes), "cluster").withColumn(
         "own", F.pmod(F.xxhash64("node", "hash"), F.when(F.col("out"), F.col("no")).otherwise(F.col("ni"))))
     upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     # Keys (i, j, inner): outer block i with outer block j >= i, or with inner block j.
