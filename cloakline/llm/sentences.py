@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from cloakline.llm.common import BLANKS, LOWER_BYTES, identity, utf8
 from cloakline.llm.minhash import mixed
 
-SENTENCES, WORDS, NEAR = 2, 30, 1
+SENTENCES, WORDS, NEAR = 2, 40, 1
 #: Spans that a task packs at once, bytes of text whose spans are one bucket, about.
 PACK, BUCKET = 1_000_000, 1 << 25
 _END = re.compile(rb"""[.!?]["')\]]*[ \t\x0b\x0c\r]+|\n\s*""")
