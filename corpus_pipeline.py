@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cloakline.llm import decontam, lines, minhash, mixing, toxicity
 from cloakline.llm.common import scratch, table, text_batches
+from cloakline.session import delete_path, scratch_scope, track_scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -59,7 +60,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(*COLUMNS)
+    """All stages; what a stage wrote on its way, and its input, are deleted once its result is written."""
+    docs, before = table(spark, sf_dir, "documents").select(*COLUMNS), None
     for name, stage in STAGES[:-1]:
-        docs = scratch(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch_scope(spark) as made:
+            docs = scratch(stage(spark, docs, sf_dir), f"stage-{name}")
+            result = made.pop()
+        track_scratch(spark, result)
+        if before is not None:
+            delete_path(spark, before)
+        before = result
     return STAGES[-1][1](spark, docs, sf_dir)
