@@ -215,8 +215,11 @@ def group_sizes(spark, sf):
 
 
 def linked_join(spark, sf):
-    cust = pseudonymize(table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), "c_custkey", KR)
-    orders = pseudonymize(table(spark, sf, "orders").select("o_custkey", "o_totalprice"), "o_custkey", KR)
+    # Tables of one small file are dealt out to all cores; larger scans stay as they are.
+    cust = pseudonymize(table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), "c_custkey", KR,
+                        min_partitions="auto")
+    orders = pseudonymize(table(spark, sf, "orders").select("o_custkey", "o_totalprice"), "o_custkey", KR,
+                          min_partitions="auto")
     joined = orders.join(cust, orders.o_custkey == cust.c_custkey)
     return joined.groupBy("c_mktsegment").agg(
         F.count(F.lit(1)).alias("n_orders"),
