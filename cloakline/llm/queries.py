@@ -205,8 +205,8 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(it.n,
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)"""
 
 
-def _marked(pattern: str) -> str:
-    """The pattern for SQL text, its matches marked: before, match length, after."""
+def _quoted(pattern: str) -> str:
+    """The pattern within SQL text: quotes doubled."""
     return pattern.replace("'", "''")
 
 
@@ -214,7 +214,7 @@ def _secrets_sql() -> str:
     """Matches are marked by two private characters; lengths before a mark give its place."""
     parts = []
     for order, r in enumerate(secrets.RULES):
-        pattern = _marked(r.pattern)
+        pattern = _quoted(r.pattern)
         flags = "(?i)" if r.fold else ""
         n = f"len(regexp_extract(m, '^{flags}{pattern}$', 2))" if "(" in r.pattern and r.kind == "assign" else "len(m)"
         parts.append(f"""
