@@ -36,7 +36,7 @@ from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cloakline.functions.crypto import NULL_TEXT, has_text, may_be_blank, text_of, utf8
@@ -49,6 +49,8 @@ MAPPING_SCHEMA = "value string, mapped string"
 REJECT_SCHEMA = "value string, reason string"
 # Columns whose index is at or over this share one "all columns" mask bit pattern.
 MASK_BITS = 62
+#: Hash buckets in which distinct values are numbered.
+LOT_BUCKETS = 1024
 
 
 class RetryableError(Exception):
@@ -321,22 +323,44 @@ def lookup_mapping(
     partitions: int | None = None,
     null_as_text: bool = False,
     with_mask: bool = False,
+    full_calls: bool = False,
 ) -> DataFrame:
     """``(value, mapped)`` for every distinct value; each value is sent once.
 
     ``partitions`` caps the number of concurrent callers (the reference's
     ``repartition_no``); by default the distinct's shuffle partitions are used.
+    With ``full_calls`` these callers get the values in lots of ``batch_size``:
+    only one call in all is smaller, unless ``max_bytes`` cuts more.
     ``with_mask`` adds the column mask of ``distinct_values``, a policy that
     sets values aside a column ``reason``, null for the answered ones.
     """
     ship_package(df.sparkSession)
     values = distinct_values(df, as_list(columns), null_as_text=null_as_text, with_mask=with_mask,
                              drop_blank=False)
-    if partitions:
+    if full_calls:
+        if not partitions:
+            raise ValueError("full_calls deals values to a number of partitions")
+        values = in_lots(values, policy.batch_size, int(partitions))
+    elif partitions:
         values = values.repartition(int(partitions), "value")
     return ask(values, lookup, policy)
 
 
+def in_lots(values: DataFrame, size: int, partitions: int) -> DataFrame:
+    """Distinct values numbered and dealt to the partitions in lots of ``size``.
+
+    A value's number is its place in its hash bucket after all values of the
+    buckets before; the buckets' counts are a table of ``LOT_BUCKETS`` rows.
+    """
+    b, lot = "__cl_bucket", "__cl_lot"
+    dealt = values.withColumn(b, F.pmod(F.xxhash64("value"), F.lit(LOT_BUCKETS)))
+    before = dealt.groupBy(b).agg(F.count(F.lit(1)).alias("n")).select(
+        b, (F.sum("n").over(Window.orderBy(b)) - F.col("n")).alias("before"))
+    place = F.row_number().over(Window.partitionBy(b).orderBy("value")) - 1
+    return dealt.withColumn(lot, place).join(F.broadcast(before), b).withColumn(
+        lot, F.floor((F.col("before") + F.col(lot)) / size)).repartition(partitions, lot).select(*values.columns)
+
+
 def ask(values: DataFrame, lookup: Lookup, policy: LookupPolicy) -> DataFrame:
     """Send the distinct values of ``values`` (``value``, perhaps ``mask``) to the lookup."""
     with_mask = "mask" in values.columns

@@ -395,13 +395,14 @@ CALL, CALLERS = 300, 4
 
 
 def lookup_calls(spark, sf):
-    """Several callers: the distinct values of two columns in calls of at most 300 values."""
+    """Several callers: the distinct values of two columns in calls of 300 values, one of them of what is left."""
     sent = lookup_mapping(table(spark, sf, "lineitem"), ["l_partkey", "l_suppkey"], SizeLookup(),
-                          policy=LookupPolicy(batch_size=CALL), partitions=CALLERS)
-    found = sent.agg(F.count(F.lit(1)).alias("n_values"), F.round(F.sum(1 / F.col("mapped").cast("int"))).alias("calls"),
+                          policy=LookupPolicy(batch_size=CALL), partitions=CALLERS, full_calls=True)
+    found = sent.agg(F.count(F.lit(1)).alias("n_values"), F.round(F.sum(1 / F.col("mapped").cast("int"))).alias("n_calls"),
                      F.max(F.col("mapped").cast("long")).alias("largest"))
-    return found.select("n_values", (F.col("calls") <= F.ceil(F.col("n_values") / CALL) + CALLERS).alias("few_calls"),
-                        (F.col("largest") <= CALL).alias("small_calls"))
+    none = F.lit(0).cast("long")
+    return found.select("n_values", F.coalesce(F.col("n_calls").cast("long"), none).alias("n_calls"),
+                        F.coalesce("largest", none).alias("largest"))
 
 
 def lookup_isolated(spark, sf):
@@ -1030,7 +1031,8 @@ def oracles() -> dict[str, str]:
         "lookup_blanks": "SELECT c_custkey, CASE WHEN v IS NULL THEN NULL WHEN v IN ('', '   ', chr(9) || chr(10), "
                          "chr(160) || chr(12288)) THEN '' ELSE 'p_' || v END AS v "
                          f"FROM (SELECT c_custkey, {edge} AS v FROM customer)",
-        "lookup_calls": "SELECT count(*) AS n_values, TRUE AS few_calls, TRUE AS small_calls FROM ("
+        "lookup_calls": f"SELECT count(*) AS n_values, CAST(ceil(count(*) / {CALL}) AS BIGINT) AS n_calls, "
+                        f"CAST(least(count(*), {CALL}) AS BIGINT) AS largest FROM ("
                         "SELECT CAST(l_suppkey AS VARCHAR) FROM lineitem UNION "
                         "SELECT CAST(l_partkey AS VARCHAR) FROM lineitem)",
         "lookup_isolated": "SELECT c_custkey, CASE WHEN c_name NOT LIKE '%13' THEN c_name END AS c_name, "

@@ -288,3 +288,15 @@ def test_service_function_calls_span_arrays():
     arrays = [["a"] * 3, None, [], [None, "b"], ["c"] * 7]
     got = list(_answers(iter(arrays), SizeLookup(), L.LookupPolicy(batch_size=4)))
     assert got == [["4"] * 3, None, [], [None, "4"], ["4"] * 4 + ["3"] * 3]
+
+
+def test_full_calls_deal_values_in_lots(spark):
+    # Several callers, and no call but one is smaller than it may be.
+    df = spark.range(0, 1003, 1, 7).select(F.when(F.col("id") < 1001, F.col("id")).alias("v"), (F.col("id") % 5).alias("w"))
+    sent = L.lookup_mapping(df, ["v", "w"], SizeLookup(), policy=L.LookupPolicy(batch_size=100), partitions=4, full_calls=True)
+    rows = sent.select("value", F.col("mapped").cast("int").alias("n"), F.spark_partition_id().alias("p")).collect()
+    assert sorted(int(r["value"]) for r in rows) == list(range(1001))
+    assert sorted(r["n"] for r in rows) == [1] + [100] * 1000 and len({r["p"] for r in rows}) > 1
+    assert L.lookup_mapping(df.limit(0), "v", SizeLookup(), partitions=2, full_calls=True).count() == 0
+    with pytest.raises(ValueError):
+        L.lookup_mapping(df, "v", SizeLookup(), full_calls=True)
