@@ -1,7 +1,9 @@
 """Records of unknown shape, kept metrics, callers that share a pace."""
 
 import json
+import os
 import threading
+import time
 
 import pytest
 from pyspark.errors import PySparkException
@@ -11,6 +13,7 @@ from cloakline.operators import lookup as L
 from cloakline.operators import paced as P
 from cloakline.operators import variant as V
 from cloakline.operators.table import pseudonymize
+from cloakline.plans import registered as R
 from cloakline.plans.registered import PrefixLookup
 from cloakline.streaming import metrics as M
 from cloakline.streaming import stream
@@ -183,6 +186,29 @@ def test_paced_through_a_barrier_stage(spark):
     assert P.paced_mapping(df.limit(0), "v", PrefixLookup("p_"), 2, pace=P.Pace(seconds=0)).count() == 0
 
 
+def test_rounds_do_not_wait_for_a_slow_barrier():
+    told = []
+
+    def gather(text):
+        told.append(text)
+        time.sleep(0.5)
+        return [text]
+
+    got = list(P.paced_answers(iter([str(i) for i in range(200)]), PrefixLookup("p_"), L.LookupPolicy(batch_size=1),
+                               P.Pace(window=4, step=1, seconds=0.02), 0, 1, gather))
+    assert sorted(x for b, _ in got for x in b) == sorted(str(i) for i in range(200))
+    assert len(told) <= 6  # 16 with a round for each
+
+
+def test_a_call_does_not_list_all_calls_before(tmp_path, monkeypatch):
+    service = R.LimitedLookup(str(tmp_path), 1000, 3600)
+    listed = []
+    monkeypatch.setattr(R.os, "listdir", lambda path, of=os.listdir: listed.append(os.path.basename(path)) or of(path))
+    for i in range(5):
+        service([str(i)])
+    assert "answered" not in listed and service.count("answered") == 5
+
+
 def test_shares_add_up():
     for window in range(1, 12):
         for callers in range(1, 6):
