@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from cloakline.functions.sql import register_functions
 from cloakline.operators.grouping import group_arrays, n_per_group
 from cloakline.operators.table import pseudonymize, reidentify
+from cloakline.plans import registered
 from cloakline.plans.inspect import exchanges, is_deterministic, leaks_key, plan_text, python_nodes, shuffles
 
 CUSTOMER = "/root/testdata/sf0.001/customer.parquet"
@@ -111,3 +112,9 @@ def test_has_exchange(spark):
     assert not has_exchange(df.where("c_nationkey = 3"))
     assert has_exchange(df.groupBy("c_nationkey").count())
     assert not has_exchange(df.withColumnRenamed("c_name", "StockExchangeId").where("StockExchangeId > ''"))
+
+
+def test_counts_seal_repeated_identifiers_once(spark):
+    # Parts and suppliers are sealed as distinct values and joined; only the order keys by row.
+    text = plan_text(registered.injective_counts(spark, "/root/testdata/sf0.001"))
+    assert text.count("Join") >= 2
