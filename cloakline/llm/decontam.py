@@ -287,7 +287,8 @@ def _marker(files: list[str], blocks: int):
                 size += len(t)
             yield pd.concat([scan(x, kept) for x in lots], ignore_index=True)
 
-    return mark
+    # Else the optimizer evaluates it in a filter and again behind it, with a worker each.
+    return mark.asNondeterministic()
 
 
 def _mark(rows: DataFrame, benchmark: DataFrame, window: int, block_words: int) -> DataFrame:
@@ -327,5 +328,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     """
     m = mark_contaminated(docs, benchmark, window, block_words)
     kept = m.where(F.col("n_hit") <= F.col("n_words") * max_coverage)
+    if max_coverage <= 0:  # what is kept has nothing to cut out
+        return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
     text = F.when(F.col("n_hit") > 0, F.pandas_udf(_cut, "string")(utf8("row.text"), F.col("spans"))).otherwise(F.col("row.text"))
     return kept.select(*[(text if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -46,7 +46,8 @@ ROUNDS = 3
 BLOCK, BLOCK_SHINGLES = 512, 1_000_000
 #: Members tested against one centre in one sorted run.
 MEMBERS = 256
-PIECE = 1 << 14
+#: Shingles hashed at once; word hashes a worker remembers (some 0.2 KB each).
+PIECE, KNOWN = 1 << 12, 100_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _S30, _S27, _S31, _S17, _S47 = (np.uint64(k) for k in (30, 27, 31, 17, 47))
 
@@ -65,7 +66,7 @@ class Shingler:
         self.width, self.known = width, {}
 
     def word(self, w: bytes) -> int:
-        if len(self.known) > 1_000_000:
+        if len(self.known) >= KNOWN:
             self.known.clear()
         h = self.known[w] = int.from_bytes(blake2b(w, digest_size=8).digest(), "little")
         return h

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cloakline.llm import decontam, embeddings, langid, lines, lpf, minhash, mixing, secrets, sentences, toxicity
 from cloakline.llm.common import alnum_words, components
+from cloakline.plans.inspect import plan_text
 
 SCANNER = secrets.Scanner()
 BITS = ["token", "secret", "password", "Api_Key", "apikey", "=", ":", " ", "\"", "'", "AKIA", "A1B2C3D4", "0a1b2c3d4e5f",
@@ -570,3 +571,21 @@ def test_sentence_spans_like_brute_force(spark):
     for least, words in ((2, 10), (3, 25)):
         got = {r["doc_id"]: r["text"] for r in sentences.dedup(df, least, words).collect()}
         assert [got[i] for i in range(len(texts))] == brute_spans(texts, least, words)
+
+
+def test_decontaminate_scans_texts_once(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k"), (2, "quite clean")], "doc_id long, text string")
+    bench = spark.createDataFrame([("x", "a b c d e f g h i j")], "item_id string, text string")
+    out = decontam.decontaminate(docs, bench)
+    assert plan_text(out, "simple").count("ArrowEvalPython") == 1
+    assert [r["doc_id"] for r in out.collect()] == [2]
+    cut = decontam.decontaminate(docs, bench, max_coverage=1.0)
+    assert plan_text(cut, "simple").count("ArrowEvalPython") == 2  # the scan, and the cutting
+    assert {r["doc_id"]: r["text"] for r in cut.collect()} == {1: " k", 2: "quite clean"}
+
+
+def test_a_shingler_remembers_a_bounded_number_of_words():
+    one = minhash.Shingler(2)
+    text = " ".join(f"w{i}" for i in range(minhash.KNOWN + 1000)).encode()
+    first = one(text)
+    assert len(one.known) <= minhash.KNOWN <= 200_000 and (one(text) == first).all()
