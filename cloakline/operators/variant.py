@@ -28,6 +28,8 @@ from cloakline.operators.table import as_list, quote
 #: In front of a pseudonym of a value that is no string.
 TYPED = "~"
 RECORD, TEXT = "record", "_corrupt_record"
+#: What JSON allows in front of a value.
+JSON_SPACE = " \t\r\n"
 
 
 def parse_records(df: DataFrame, value_col: str = "value", record: str = RECORD, corrupt: str = TEXT) -> DataFrame:
@@ -36,21 +38,17 @@ def parse_records(df: DataFrame, value_col: str = "value", record: str = RECORD,
     Spark's parser reads the first JSON value of a text and ignores what follows it.
     """
     text = F.col(quote(value_col)).cast("string")
-    parsed = F.try_parse_json(text)
     others = [F.col(quote(c)) for c in df.columns if c != value_col]
-    whole = df.select(*others, parsed.alias(record), text.alias(corrupt))
-    is_object = F.coalesce(F.startswith(F.schema_of_variant(record), F.lit("OBJECT")), F.lit(False))
-    return whole.select(*others, F.when(is_object, F.col(record)).alias(record),
-                        F.when(~is_object, F.col(corrupt)).alias(corrupt))
+    # A text is parsed once: no filter on the record moves below explode.
+    whole = df.select(*others, text.alias(corrupt), F.explode(F.array(F.try_parse_json(text))).alias(record))
+    parsed, text = F.col(quote(record)), F.col(quote(corrupt))
+    is_object = F.coalesce(parsed.isNotNull() & F.startswith(F.ltrim(text, F.lit(JSON_SPACE)), F.lit("{")), F.lit(False))
+    return whole.select(*others, F.when(is_object, parsed).alias(record), F.when(~is_object, text).alias(corrupt))
 
 
-def _string(text: Column) -> Column:
-    """A VARIANT string; ``text`` may hold anything."""
-    return F.parse_json(F.to_json(F.array(text)))
-
-
-def _first(array: Column) -> Column:
-    return F.get(array.try_cast("array<variant>"), F.lit(0))
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)``, with ``value`` computed once however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _is_null(v: Column) -> Column:
@@ -61,24 +59,27 @@ def _rewrite(v: Column, tree: dict, leaf: Callable[[Column], Column]) -> Column:
     if not tree:
         return F.when(_is_null(v), v).otherwise(leaf(v))
     if set(tree) == {EACH}:
-        items = v.try_cast("array<variant>")
-        new = F.to_variant_object(F.transform(items, lambda x: _rewrite(x, tree[EACH], leaf)))
-        has = items.isNotNull()
+        inside = v.try_cast("array<variant>")
+
+        def new(items: Column) -> Column:
+            return F.transform(items, lambda x: _rewrite(x, tree[EACH], leaf))
     elif EACH in tree:
         raise ValueError("a path goes into elements and fields of one place")
     else:
-        fields = v.try_cast("map<string,variant>")
+        inside = v.try_cast("map<string,variant>")
 
         def field(k: Column, x: Column) -> Column:
             out = None
             for name, sub in tree.items():
-                new = _rewrite(x, sub, leaf)
-                out = F.when(k == name, new) if out is None else out.when(k == name, new)
+                one = _rewrite(x, sub, leaf)
+                out = F.when(k == name, one) if out is None else out.when(k == name, one)
             return out.otherwise(x)
 
-        new = F.to_variant_object(F.transform_values(fields, field))
-        has = fields.isNotNull()
-    return F.when(_is_null(v), v).when(has, new).otherwise(leaf(v))
+        def new(fields: Column) -> Column:
+            return F.transform_values(fields, field)
+
+    rebuilt = _once(inside, lambda x: F.when(x.isNotNull(), F.to_variant_object(new(x))).otherwise(leaf(v)))
+    return F.when(_is_null(v), v).otherwise(rebuilt)
 
 
 def _apply(df: DataFrame, column: str, paths: str | Iterable[str], keyring: Keyring, leaf) -> DataFrame:
@@ -94,10 +95,12 @@ def pseudonymize_records(df: DataFrame, column: str, paths: str | Iterable[str],
     """Replace what stands at ``paths`` of the VARIANT ``column`` (batch or streaming)."""
 
     def leaf(v: Column, keys: KeyColumns) -> Column:
-        text = v.try_cast("string")
-        sealed = F.when(F.schema_of_variant(v) == "STRING", F.when(crypto.has_text(text), crypto.seal(text, keys, deterministic))
-                        .otherwise(F.lit(""))).otherwise(F.concat(F.lit(TYPED), crypto.seal(F.to_json(v), keys, deterministic)))
-        return _first(_string(sealed))
+        def string(text: Column) -> Column:
+            return F.when(crypto.has_text(text), crypto.seal(text, keys, deterministic)).otherwise(F.lit(""))
+
+        sealed = F.when(F.schema_of_variant(v) == "STRING", _once(v.try_cast("string"), string)).otherwise(
+            _once(F.to_json(v), lambda text: F.concat(F.lit(TYPED), crypto.seal(text, keys, deterministic))))
+        return sealed.cast("variant")
 
     return _apply(df, column, paths, keyring, leaf)
 
@@ -107,10 +110,11 @@ def reidentify_records(df: DataFrame, column: str, paths: str | Iterable[str], k
     """The inverse; a pseudonym that can't be revealed fails, or becomes JSON null (``on_error='null'``)."""
 
     def leaf(v: Column, keys: KeyColumns) -> Column:
-        text = v.try_cast("string")
-        typed = F.startswith(text, F.lit(TYPED))
-        plain = F.when(text == "", text).otherwise(crypto.reveal(F.when(typed, F.substring(text, 2, 2**31 - 1)).otherwise(text), keys, on_error))
-        json = F.when(typed, F.concat(F.lit("["), plain, F.lit("]"))).otherwise(F.to_json(F.array(plain), {"ignoreNullFields": "false"}))
-        return _first(F.parse_json(F.coalesce(json, F.lit("[null]"))))
+        def value(text: Column) -> Column:
+            json = F.parse_json(crypto.reveal(F.substring(text, 2, 2**31 - 1), keys, on_error))
+            string = F.when(text == "", text).otherwise(crypto.reveal(text, keys, on_error))
+            return F.when(F.startswith(text, F.lit(TYPED)), json).otherwise(string.cast("variant"))
+
+        return F.coalesce(_once(v.try_cast("string"), value), F.parse_json(F.lit("null")))
 
     return _apply(df, column, paths, keyring, leaf)

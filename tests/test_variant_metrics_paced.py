@@ -80,6 +80,31 @@ def test_records_plan_and_damage(spark, kr):
         V.pseudonymize_records(spark.range(1), "id", "a", kr)
 
 
+def test_a_record_is_parsed_and_cast_once(spark, kr):
+    """A filter on the record doesn't parse again, and no level is cast twice."""
+    def steps(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    df = spark.createDataFrame([(0, "{}")], "n long, value string").repartition(2)
+    parsed = V.parse_records(df).where("record IS NOT NULL AND n = 0")
+    assert steps(parsed).count("parseJson") == 1 and "(n#" in steps(parsed).split("explode")[1]
+    sealed = steps(V.pseudonymize_records(parsed, "record", ["id", "user.vin", "items[].sku"], kr))
+    assert sealed.count("as map<string,variant>") == 3 and sealed.count("as array<variant>") == 1  # the record, user, an item; items
+
+
+def test_what_stands_before_a_record(spark):
+    texts = [' {"a":1}', '\n\t\r {"a":2} and more', '\u00a0{"a":1}', ' [{"a":1}]', ' "{"', "  ", '{"a":1']
+    got = {r["n"]: r for r in records(spark, texts).collect()}
+    assert [r["_corrupt_record"] for _, r in sorted(got.items())] == [None, None, *texts[2:]]
+    assert as_json(records(spark, texts)) == [{"a": 1}, {"a": 2}]
+
+
+def test_records_are_dealt_to_all_cores(spark):
+    """One file of one row group: the records aren't all sealed in its one task."""
+    sizes = R._open_records(spark, "/root/testdata/sf0.001").groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > spark.sparkContext.defaultParallelism
+
+
 def test_metrics_are_kept(spark, tmp_path):
     for i in range(3):
         spark.range(i * 10, i * 10 + 10, 1, 1).selectExpr("id", "nullif('v' || id, 'v3') AS v").write.mode("append").parquet(str(tmp_path / "in"))
