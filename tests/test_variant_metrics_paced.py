@@ -225,6 +225,57 @@ def test_rounds_do_not_wait_for_a_slow_barrier():
     assert len(told) <= 6  # 16 with a round for each
 
 
+class Counted(Limited):
+    """Counts the rounds: the barrier ticks twice in each."""
+
+    ticks = 0
+
+    def tick(self):
+        self.ticks += 1
+        super().tick()
+
+
+def test_the_window_stays_at_what_the_service_answers():
+    service = Counted(24)
+    values = [f"v{i}" for i in range(2400)]
+    out, errors = together(service, values, 4, P.Pace(window=8, step=4, seconds=0), L.LookupPolicy(batch_size=1))
+    assert not errors and len(out) == 2400
+    assert service.ticks / 2 <= 110  # 100 rounds if each were full
+    assert service.refused <= 2400 * 0.1
+
+
+def test_the_last_caller_gets_the_whole_window():
+    class Uneven(list):  # all callers but the first have three values
+        def __getitem__(self, part):
+            return list(self)[part][:None if part.start == 0 else 3]
+
+    service = Counted(24)
+    out, errors = together(service, Uneven(f"v{i}" for i in range(2400)), 4, P.Pace(window=8, step=4, seconds=0),
+                           L.LookupPolicy(batch_size=1))
+    assert not errors and len(out) == 609
+    assert service.ticks / 2 <= 35  # 26 rounds if each were full
+
+
+def test_a_throttled_caller_sends_fewer_before_word_is_there():
+    calls, first = [], []
+
+    def gather(text):
+        time.sleep(0.55)
+        first.append(len(calls))
+        return [text]
+
+    def service(values):
+        calls.append(values)
+        if len(calls) in (3, 4):
+            raise L.RetryableError("throttled")
+        return values
+
+    got = list(P.paced_answers(iter([str(i) for i in range(60)]), service, L.LookupPolicy(batch_size=1),
+                               P.Pace(window=4, step=1, seconds=0.1), 0, 1, gather))
+    assert sorted(x for b, _ in got for x in b) == sorted(str(i) for i in range(60))
+    assert first[0] <= 4 + 2 * 6  # four in the first round, two in each after it
+
+
 def test_a_call_does_not_list_all_calls_before(tmp_path, monkeypatch):
     service = R.LimitedLookup(str(tmp_path), 1000, 3600)
     listed = []
